@@ -51,11 +51,8 @@ def match_keyword_table(
     subject = F.col(text)
 
     def runs(size: int):
-        count = F.length(subject) - (size - 1)
-        cut = F.transform(
-            F.sequence(F.lit(1), F.greatest(count, F.lit(1))), lambda i: F.substring(subject, i, F.lit(size))
-        )
-        return F.when(count > 0, cut).otherwise(F.array().cast("array<string>"))
+        # A look-ahead finds overlapping runs in one pass over the text.
+        return F.regexp_extract_all(subject, F.lit(rf"(?s)(?=(.{{{size}}}))"), F.lit(1))
 
     offered = df.select(
         F.col(key).alias("_key"), F.explode(F.array_distinct(F.flatten(F.array(*[runs(n) for n in sizes])))).alias("_run")

@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegrain.functions import values as vl
-from pulsegrain.operators import match
 
 SCORE = "decimal(18,6)"
 
@@ -27,7 +26,7 @@ def _flagged(df: DataFrame, keywords: Sequence[str], keep: Sequence[str | Column
     )
 
 
-def _unstacked(df: DataFrame, keywords: Sequence[str], group: Sequence[str], fields: Sequence[str]) -> DataFrame:
+def unstacked(df: DataFrame, keywords: Sequence[str], group: Sequence[str], fields: Sequence[str]) -> DataFrame:
     """Columns ``_<field><i>`` to one row per keyword."""
     cells = [
         F.struct(F.lit(k).alias("keyword"), *[F.col(f"_{f}{i}").alias(f) for f in fields])
@@ -37,7 +36,7 @@ def _unstacked(df: DataFrame, keywords: Sequence[str], group: Sequence[str], fie
                      F.inline(F.array(*cells)))
 
 
-def _total(prefix: str, n: int) -> Column:
+def total_of(prefix: str, n: int) -> Column:
     return reduce(lambda a, b: a + b, [F.col(f"_{prefix}{i}") for i in range(n)])
 
 
@@ -46,7 +45,7 @@ def keyword_counts(df: DataFrame, keywords: Sequence[str], group: Sequence[str]
     """Sentences containing each keyword, with the total over all keywords."""
     flags = _flagged(df, keywords, group, text, regex)
     counts = flags.groupBy(*group).agg(*[F.count_if(f"_has{i}").alias(f"_n{i}") for i in range(len(keywords))])
-    return _unstacked(counts.withColumn("total", _total("n", len(keywords))), keywords, group, ["n"])
+    return unstacked(counts.withColumn("total", total_of("n", len(keywords))), keywords, group, ["n"])
 
 
 def keyword_doc_counts(df: DataFrame, keywords: Sequence[str], group: Sequence[str] = ("brand",),
@@ -63,14 +62,14 @@ def keyword_percentage(df: DataFrame, keywords: Sequence[str], group: Sequence[s
     )
 
 
-def _month_counts(df: DataFrame, keywords: Sequence[str], text: str, regex: bool = False) -> DataFrame:
+def month_counts(df: DataFrame, keywords: Sequence[str], text: str, regex: bool = False) -> DataFrame:
     n = range(len(keywords))
     flags = _flagged(df, keywords, ["brand", vl.month_label(F.col("commented_at")).alias("month"), "sentiment_label"], text, regex)
     return flags.groupBy("brand", "month").agg(
         *[F.count_if(f"_has{i}").alias(f"_n{i}") for i in n],
         *[F.count_if(F.col(f"_has{i}") & (F.col("sentiment_label") == "1")).alias(f"_p{i}") for i in n],
         *[F.count_if(F.col(f"_has{i}") & (F.col("sentiment_label") == "0")).alias(f"_m{i}") for i in n],
-    ).withColumn("total", _total("n", len(keywords)))
+    ).withColumn("total", total_of("n", len(keywords)))
 
 
 def keyword_month_trend(df: DataFrame, keywords: Sequence[str], text: str = "sentence", regex: bool = False) -> DataFrame:
@@ -78,7 +77,7 @@ def keyword_month_trend(df: DataFrame, keywords: Sequence[str], text: str = "sen
 
     Months and keywords without a hit are absent.
     """
-    cells = _unstacked(_month_counts(df, keywords, text, regex), keywords, ["brand", "month"], ["n", "p", "m"])
+    cells = unstacked(month_counts(df, keywords, text, regex), keywords, ["brand", "month"], ["n", "p", "m"])
     return cells.where("n > 0").select(
         "brand", "month", "keyword",
         vl.safe_ratio(F.col("n"), F.col("total"), 4).alias("ratio"),
@@ -89,7 +88,7 @@ def keyword_month_trend(df: DataFrame, keywords: Sequence[str], text: str = "sen
 
 def month_share(df: DataFrame, keywords: Sequence[str], text: str = "sentence") -> DataFrame:
     """A keyword's share of its month's hits, by a window over the counted cells."""
-    cells = _unstacked(_month_counts(df, keywords, text), keywords, ["brand", "month"], ["n"]).where("n > 0")
+    cells = unstacked(month_counts(df, keywords, text), keywords, ["brand", "month"], ["n"]).where("n > 0")
     whole = F.sum("n").over(Window.partitionBy("brand", "month"))
     return cells.select("brand", "month", "keyword", "n", vl.safe_ratio(F.col("n"), whole, 4).alias("share"))
 
@@ -108,7 +107,7 @@ def keyword_occurrence_rate(df: DataFrame, keywords: Sequence[str], text: str =
     months = hits.groupBy("brand", "month").agg(
         F.count(F.lit(1)).alias("sentences"), *[F.sum(f"_has{i}").alias(f"_n{i}") for i in range(n)]
     )
-    return _unstacked(months, keywords, ["brand", "month"], ["n"]).select(
+    return unstacked(months, keywords, ["brand", "month"], ["n"]).select(
         "brand", "month", "keyword", vl.safe_ratio(F.col("n"), F.col("sentences"), digits).alias("rate")
     )
 
@@ -133,7 +132,7 @@ def keyword_sentiment_score(df: DataFrame, keywords: Sequence[str], group: Seque
             F.count_if(with_label(i, label)).alias(f"_{s}n{i}"),
         )],
     )
-    cells = _unstacked(sums, keywords, group, ["n", "psum", "pn", "msum", "mn"]).where("n > 0")
+    cells = unstacked(sums, keywords, group, ["n", "psum", "pn", "msum", "mn"]).where("n > 0")
     return cells.select(
         *group, "keyword",
         F.coalesce(vl.exact_mean(F.col("psum"), F.col("pn"), 4), F.lit(0.0)).alias("pos"),
@@ -197,10 +196,3 @@ def stage_counts(stages: dict[str, DataFrame]) -> DataFrame:
 
 def cohort_sum(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
     return df.groupBy(*group).agg(F.sum(value).alias("total"))
-
-
-def keyword_hits(df: DataFrame, keywords: Sequence[str] | DataFrame, key: str, text: str = "sentence") -> DataFrame:
-    """Keyword match rows from a list or from a table of keywords."""
-    if isinstance(keywords, DataFrame):
-        return match.match_keyword_table(df, keywords, text, key)
-    return match.match_keywords(df, text, keywords)

@@ -48,12 +48,12 @@ def top_comment(
     )
 
 
-def top_comment_grid(df: DataFrame, keywords: Sequence[str], text: str = "sentence", key: str = "id",
+def top_comment_grid(df: DataFrame, brands: DataFrame, keywords: Sequence[str], text: str = "sentence", key: str = "id",
                      placeholder: str = lexicons.NO_COMMENT) -> DataFrame:
-    """``top_comment`` over every brand, keyword and label; a placeholder where none fits."""
+    """``top_comment`` over every listed brand, keyword and label; a placeholder where none fits."""
     best = top_comment(df, keywords, text, key).select("brand", "keyword", "sentiment", "sentence")
     grid = (
-        df.select("brand").distinct()
+        brands.select("brand").distinct()
         .withColumn("keyword", F.explode(F.array(*[F.lit(k) for k in keywords])))
         .withColumn("sentiment", F.explode(F.array(*[F.lit(s) for s in LABELS.values()])))
     )
@@ -67,20 +67,26 @@ def recent_valid_months(trend: DataFrame, n: int = 6) -> DataFrame:
 
 
 def month_slice_percent(trend: DataFrame, nth_newest: int = 1, n: int = 6) -> DataFrame:
-    """Label shares in per cent per keyword in the n-th newest valid month."""
-    chosen = recent_valid_months(trend, n).where(F.col("rank") == nth_newest).select("brand", "month")
-    return trend.join(chosen, ["brand", "month"]).select(
+    """Label shares in per cent per keyword in the n-th newest valid month.
+
+    Two windows over the trend rows, of which a brand has one per month and
+    keyword, so the trend is computed once.
+    """
+    labelled = F.max((F.col("pos_ratio") > 0) | (F.col("neg_ratio") > 0)).over(Window.partitionBy("brand", "month"))
+    newest = F.dense_rank().over(Window.partitionBy("brand").orderBy(F.desc("month")))
+    valid = trend.withColumn("_valid", labelled).where("_valid").withColumn("_newest", newest)
+    return valid.where((F.col("_newest") == nth_newest) & (F.col("_newest") <= n)).select(
         "brand", "month", "keyword",
         F.round(F.col("pos_ratio") * 100, 2).alias("pos_pct"),
         F.round(F.col("neg_ratio") * 100, 2).alias("neg_pct"),
     )
 
 
-def calendar_percent(trend: DataFrame, keywords: Sequence[str], as_of: str, months: int = 6) -> DataFrame:
+def calendar_percent(trend: DataFrame, brands: DataFrame, keywords: Sequence[str], as_of: str, months: int = 6) -> DataFrame:
     """Keyword shares in per cent for the months before ``as_of``, gaps as 0."""
     labels = [vl.month_of(as_of, back) for back in range(1, months + 1)]
     grid = (
-        trend.select("brand").distinct()
+        brands.select("brand").distinct()
         .withColumn("month", F.explode(F.array(*labels)))
         .withColumn("keyword", F.explode(F.array(*[F.lit(k) for k in keywords])))
     )

@@ -56,10 +56,14 @@ def tfidf_top_n(df: DataFrame, key: str, text: str, group: str, stopwords: Seque
     """Terms of a group by their summed TF-IDF weight.
 
     Per group of N documents: idf = ln((1+N)/(1+df)) + 1, a document's weights
-    tf*idf are scaled to length 1 and added up per term.
+    tf*idf are scaled to length 1 and added up per term. Document frequencies
+    come from each text's distinct terms, without moving the texts; the counts
+    stay spread by document, so its length needs no further exchange while the
+    idf table fits a broadcast.
     """
     tf = term_counts(df, key, text, stopwords, [group])
-    frequency = tf.groupBy(group, "term").agg(F.count(F.lit(1)).alias("df"))
+    frequency = df.select(group, F.explode(F.array_distinct(_tokens(text, stopwords))).alias("term")) \
+        .groupBy(group, "term").agg(F.count(F.lit(1)).alias("df"))
     sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("docs"))
     idf = frequency.join(sizes, group).select(
         group, "term", (F.log((1 + F.col("docs")) / (1 + F.col("df"))) + 1).alias("idf")

@@ -6,6 +6,8 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.feature import HashingTF, Normalizer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -114,12 +116,10 @@ def vector_table(
     )
 
 
-def hashed_embedding(text: Column, dimensions: int = 64) -> Column:
-    """A unit vector of hashed term counts, for texts that come without an embedding."""
-    slots = F.transform(tokens_of(text), lambda t: F.pmod(F.xxhash64(t), F.lit(dimensions)).cast("int"))
-    counts = F.transform(
-        F.sequence(F.lit(0), F.lit(dimensions - 1)),
-        lambda d: F.size(F.filter(slots, lambda s: s == d)).cast("double"),
+def hashed_embedding(df: DataFrame, text: str, name: str = "embedding", dimensions: int = 64) -> DataFrame:
+    """Add a unit vector of hashed term counts, for texts that come without an embedding."""
+    counted = HashingTF(inputCol="_terms", outputCol="_counts", numFeatures=dimensions).transform(
+        df.withColumn("_terms", tokens_of(F.col(text)))
     )
-    length = F.sqrt(F.aggregate(counts, F.lit(0.0), lambda total, x: total + x * x))
-    return F.transform(counts, lambda x: F.coalesce(F.try_divide(x, length), F.lit(0.0)).cast("float"))
+    scaled = Normalizer(inputCol="_counts", outputCol="_unit", p=2.0).transform(counted)
+    return scaled.withColumn(name, vector_to_array("_unit", "float32")).select(*df.columns, name)

@@ -33,10 +33,10 @@ def report_keywords(sentences: DataFrame, keywords: Sequence[str]) -> DataFrame:
     The month cells hold everything, and the brand shares are added up from
     them, so the sentences are read once.
     """
-    months = metrics._month_counts(sentences, keywords, "sentence").drop("total")
+    months = metrics.month_counts(sentences, keywords, "sentence").drop("total")
     n = range(len(keywords))
-    cells = metrics._unstacked(
-        months.withColumn("total", metrics._total("n", len(keywords))), keywords, ["brand", "month"], ["n", "p", "m"]
+    cells = metrics.unstacked(
+        months.withColumn("total", metrics.total_of("n", len(keywords))), keywords, ["brand", "month"], ["n", "p", "m"]
     )
     trend = cells.where("n > 0").select(
         "brand", "month", "keyword",
@@ -45,17 +45,17 @@ def report_keywords(sentences: DataFrame, keywords: Sequence[str]) -> DataFrame:
         vl.safe_ratio(F.col("m"), F.col("n"), 4).alias("neg_ratio"),
     )
     brands = months.groupBy("brand").agg(*[F.sum(f"_n{i}").alias(f"_n{i}") for i in n])
-    share = metrics._unstacked(
-        brands.withColumn("total", metrics._total("n", len(keywords))), keywords, ["brand"], ["n"]
+    share = metrics.unstacked(
+        brands.withColumn("total", metrics.total_of("n", len(keywords))), keywords, ["brand"], ["n"]
     ).select("brand", "keyword", vl.safe_ratio(F.col("n"), F.col("total"), 2, 100).alias("pct"))
     return _cells(share, "share", ["pct"]).unionByName(_cells(trend, "trend", ["ratio", "pos_ratio", "neg_ratio"]))
 
 
-def report_sentiment(sentences: DataFrame, keywords: Sequence[str]) -> DataFrame:
+def report_sentiment(sentences: DataFrame, brands: DataFrame, keywords: Sequence[str]) -> DataFrame:
     """Keyword scores, overall shares and the best sentence per cell."""
     score = metrics.keyword_sentiment_score(sentences, keywords)
     ratio = metrics.overall_sentiment_ratio(sentences)
-    best = ranking.top_comment_grid(sentences, keywords).select(
+    best = ranking.top_comment_grid(sentences, brands, keywords).select(
         F.lit("comment").alias("section"), "brand", F.lit("").alias("month"), "keyword",
         F.col("sentiment").alias("metric"), F.lit(None).cast("double").alias("value"), "sentence",
     )

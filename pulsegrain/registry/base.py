@@ -157,5 +157,5 @@ BEST = """best AS (
                              ORDER BY sentiment_score DESC, like_count DESC, sentence, id) = 1)"""
 
 GRID = """grid AS (
-  SELECT brand, keyword, sentiment FROM (SELECT DISTINCT brand FROM sentences)
+  SELECT brand, keyword, sentiment FROM (SELECT DISTINCT p_brand AS brand FROM part)
   CROSS JOIN keywords CROSS JOIN (SELECT unnest(['pos', 'neg']) AS sentiment))"""

@@ -115,8 +115,7 @@ def _(spark, sf):
     SELECT doc_id AS key, 'documents' AS source, text FROM documents UNION ALL SELECT item_id, 'benchmark', text FROM benchmark))""")
 def _(spark, sf):
     def embedded(name, key):
-        rows = views.table(spark, sf, name).select(F.col(key).alias("key"), "text")
-        return rows.withColumn("embedding", vectors.hashed_embedding(F.col("text")))
+        return vectors.hashed_embedding(views.table(spark, sf, name).select(F.col(key).alias("key"), "text"), "text")
 
     built = vectors.vector_table([("documents", embedded("documents", "doc_id")), ("benchmark", embedded("benchmark", "item_id"))],
                                  "key", "text", "embedding", batch=100)

@@ -106,7 +106,7 @@ def _(spark, sf):
 @query("top_comment", f"""WITH {HITS}, {BEST}, {GRID}
 SELECT brand, keyword, sentiment, coalesce(sentence, {sql_text(lexicons.NO_COMMENT)}) AS sentence FROM grid LEFT JOIN best USING (brand, keyword, sentiment)""")
 def _(spark, sf):
-    return ranking.top_comment_grid(_s(spark, sf), KEYWORDS)
+    return ranking.top_comment_grid(_s(spark, sf), views.brands(spark, sf), KEYWORDS)
 
 
 @query("top_liked_comment", f"""WITH {SENTENCES}, f AS (SELECT *, list_filter({sql_list(KEYWORDS)}, lambda k: contains(sentence, k))[1] AS keyword FROM sentences

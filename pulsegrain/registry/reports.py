@@ -113,7 +113,7 @@ UNION ALL SELECT 'overall', brand, '', '', 'neg', neg, '' FROM overall
 UNION ALL SELECT 'comment', brand, '', keyword, sentiment, NULL, coalesce(sentence, {sql_text(lexicons.NO_COMMENT)})
 FROM grid LEFT JOIN best USING (brand, keyword, sentiment)""")
 def _(spark, sf):
-    return report.report_sentiment(views.sentences(spark, sf), KEYWORDS)
+    return report.report_sentiment(views.sentences(spark, sf), views.brands(spark, sf), KEYWORDS)
 
 
 @query("report_related_terms", f"""WITH {CENTRES}, {sql_near(20, 'label = query_id')},

@@ -6,7 +6,7 @@ from pulsegrain import lexicons
 from pulsegrain.functions import html as hx
 from pulsegrain.functions import text as tx
 from pulsegrain.functions import values as vl
-from pulsegrain.operators import match, metrics, numbering, ranking, reshape
+from pulsegrain.operators import match, metrics, numbering, ranking, reshape, terms
 from pulsegrain.registry.base import (
     AS_OF, KEYWORDS, REQUESTS, SENTENCES, SHARE, TEXT_TERMS, TREND, query, sql_lines, sql_list, sql_sentences, sql_text, sql_tokens,
 )
@@ -128,8 +128,6 @@ r AS (SELECT *, row_number() OVER (PARTITION BY brand ORDER BY score DESC, term)
 SELECT brand AS center, term, CAST(score AS DOUBLE) AS weight, greatest(50.0, least(score * 3.0::DOUBLE, 150.0))::DOUBLE AS size, rank <= 5 AS highlighted
 FROM r WHERE rank <= 20""")
 def _(spark, sf):
-    from pulsegrain.operators import terms
-
     top = terms.term_frequency_top_n(_sentences(spark, sf), "sentence", ["brand"])
     return reshape.edge_list(top, F.col("brand"), "term", "n", "rank")
 
@@ -194,10 +192,10 @@ def _(spark, sf):
 
 @query("calendar_left_join", f"""WITH {TREND},
 months AS (SELECT strftime(DATE '{AS_OF}' - to_months(CAST(b AS INTEGER)), '%Y-%m') AS month FROM range(1, 7) r(b)),
-grid AS (SELECT brand, month, keyword FROM (SELECT DISTINCT brand FROM trend) CROSS JOIN months CROSS JOIN keywords)
+grid AS (SELECT brand, month, keyword FROM (SELECT DISTINCT p_brand AS brand FROM part) CROSS JOIN months CROSS JOIN keywords)
 SELECT brand, month, keyword, round(coalesce(ratio, 0.0) * 100, 2) AS pct FROM grid LEFT JOIN trend USING (brand, month, keyword)""")
 def _(spark, sf):
-    return ranking.calendar_percent(_trend(spark, sf), KEYWORDS, AS_OF)
+    return ranking.calendar_percent(_trend(spark, sf), views.brands(spark, sf), KEYWORDS, AS_OF)
 
 
 # -- order and limits

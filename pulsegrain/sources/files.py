@@ -79,10 +79,10 @@ def read_catalogue(df: DataFrame, template: str, brand: str, model: str, year: s
 def write_by_source(df: DataFrame, root: str, source: str) -> str:
     """Parquet under one directory per query or product.
 
-    The writer sorts within its tasks, so a source with most of the rows is
-    still written by many tasks.
+    Rebalancing gathers a source into few files and splits a source with most
+    of the rows over several tasks.
     """
-    df.write.mode("overwrite").partitionBy(source).parquet(root)
+    df.hint("rebalance", source).write.mode("overwrite").partitionBy(source).parquet(root)
     return root
 
 
@@ -93,7 +93,8 @@ def write_csv(df: DataFrame, path: str) -> str:
 
 def overwrite_partitions(df: DataFrame, root: str, partition: str = "ds") -> str:
     """Replace exactly the partitions present in ``df``; running twice changes nothing."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(root)
+    balanced = df.hint("rebalance", partition)
+    balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(root)
     return root
 
 

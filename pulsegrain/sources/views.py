@@ -31,6 +31,11 @@ def sentences(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def brands(spark: SparkSession, folder: str) -> DataFrame:
+    """The brand list, from the product table rather than the fact."""
+    return table(spark, folder, "part").select(F.col("p_brand").alias("brand")).distinct()
+
+
 def reviews(spark: SparkSession, folder: str) -> DataFrame:
     """One review per line item: product name, rating, purchase date."""
     items = table(spark, folder, "lineitem")
