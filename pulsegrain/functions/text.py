@@ -6,6 +6,7 @@ Unicode, as the results require.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
@@ -84,6 +85,29 @@ def clean_text(
     return remove_stopwords(collapse_repeated_jamo(strip_whitespace(text)), stopwords)
 
 
+def required_text(pattern: str) -> str:
+    """A literal that every match of ``pattern`` holds, or '' if none is plain to see."""
+    if re.search(r"[|\[]|\(\?|\([^()]*\(", pattern):
+        return ""
+    plain = re.sub(r"\([^()]*\)([?*]|\{[^}]*\})", " ", pattern)
+    plain = re.sub(r"\\.(\{[^}]*\}|[?*+])?|.\{[^}]*\}|.[?*]|[()^$.+{}]", " ", plain)
+    return max(plain.split(" "), key=len)
+
+
+def _replaced(text: Column, pattern: str, name: str) -> Column:
+    """One rule; texts without the literal it needs skip the regex."""
+    needed = required_text(pattern)
+
+    def rule(t: Column) -> Column:
+        return F.regexp_replace(t, rf"(?U)\b{pattern}", name)
+
+    if not needed:
+        return rule(text)
+    # The one-element transform names the text, so that it is computed once.
+    guarded = F.transform(F.array(text), lambda t: F.when(t.contains(needed), rule(t)).otherwise(t))
+    return F.get(guarded, F.lit(0))
+
+
 def normalize_entities(
     text: Column,
     rules: Sequence[tuple[str, str]] = tuple(lexicons.ENTITY_RULES),
@@ -93,9 +117,7 @@ def normalize_entities(
 
     Order matters: a short pattern early in the list pre-empts a longer one.
     """
-    text = reduce(
-        lambda t, rule: F.regexp_replace(t, rf"(?U)\b{rule[0]}", rule[1]), rules, F.lower(text)
-    )
+    text = reduce(lambda t, rule: _replaced(t, *rule), rules, F.lower(text))
     text = squeeze_whitespace(text)
     return reduce(lambda t, fix: F.replace(t, F.lit(fix[0]), F.lit(fix[1])), fixups, text)
 

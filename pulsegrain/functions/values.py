@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -52,9 +53,14 @@ def safe_ratio(part: Column, whole: Column, digits: int, scale: int = 1) -> Colu
     return F.round(ratio * scale if scale != 1 else ratio, digits)
 
 
-def exact_mean(total: Column, count: Column, digits: int) -> Column:
-    """Mean from a decimal sum: the same whatever the order of summing."""
-    return F.round(F.try_divide(total.cast("double"), count), digits)
+def in_units(score: Column, units: int) -> Column:
+    """A score as a whole number of 1/``units``: sums of it do not depend on their order."""
+    return F.round(score * units).cast("long")
+
+
+def mean_of_units(total: Column, count: Column, units: int, digits: int) -> Column:
+    """Rounded mean from a sum of whole units."""
+    return F.round(F.try_divide(total.cast("double") / units, count), digits)
 
 
 def first_integer(text: Column) -> Column:
@@ -88,8 +94,13 @@ def parse_iso_timestamp(text: Column, fmt: str = lexicons.ISO_FORMAT) -> Column:
 
 
 def parse_any_date(text: Column, formats: Sequence[str] = ("yyyy-MM-dd", "yyyy.MM.dd", "yy.MM.dd")) -> Column:
-    """The first format that fits, else NULL."""
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats]).cast("timestamp_ntz")
+    """The first format that fits, else NULL. A format is tried on texts of its shape only."""
+
+    def attempt(fmt: str) -> Column:
+        shape = re.sub("[A-Za-z]", r"\\d", re.escape(fmt))
+        return F.when(text.rlike(rf"\A{shape}\z"), F.try_to_timestamp(text, F.lit(fmt)))
+
+    return F.coalesce(*[attempt(f) for f in formats]).cast("timestamp_ntz")
 
 
 def month_label(ts: Column) -> Column:

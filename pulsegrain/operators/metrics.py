@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from pulsegrain.functions import values as vl
 
-SCORE = "decimal(18,6)"
+# Scores are summed as whole millionths.
+UNITS = 1_000_000
 
 
 def _flagged(df: DataFrame, keywords: Sequence[str], keep: Sequence[str | Column], text: str, regex: bool) -> DataFrame:
@@ -116,11 +117,11 @@ def keyword_sentiment_score(df: DataFrame, keywords: Sequence[str], group: Seque
                             text: str = "sentence", regex: bool = False) -> DataFrame:
     """Mean score of positive and of negative sentences per keyword; 0 for a missing label.
 
-    A keyword without any sentence is absent. Sums are decimal, so the result
-    does not depend on the order in which tasks finish.
+    A keyword without any sentence is absent. Sums are exact, so the result does
+    not depend on the order in which tasks finish.
     """
     n = range(len(keywords))
-    flags = _flagged(df, keywords, [*group, "sentiment_label", F.col("sentiment_score").cast(SCORE).alias("_score")], text, regex)
+    flags = _flagged(df, keywords, [*group, "sentiment_label", vl.in_units(F.col("sentiment_score"), UNITS).alias("_score")], text, regex)
 
     def with_label(i: int, label: str) -> Column:
         return F.col(f"_has{i}") & (F.col("sentiment_label") == label) & F.col("_score").isNotNull()
@@ -135,8 +136,8 @@ def keyword_sentiment_score(df: DataFrame, keywords: Sequence[str], group: Seque
     cells = unstacked(sums, keywords, group, ["n", "psum", "pn", "msum", "mn"]).where("n > 0")
     return cells.select(
         *group, "keyword",
-        F.coalesce(vl.exact_mean(F.col("psum"), F.col("pn"), 4), F.lit(0.0)).alias("pos"),
-        F.coalesce(vl.exact_mean(F.col("msum"), F.col("mn"), 4), F.lit(0.0)).alias("neg"),
+        F.coalesce(vl.mean_of_units(F.col("psum"), F.col("pn"), UNITS, 4), F.lit(0.0)).alias("pos"),
+        F.coalesce(vl.mean_of_units(F.col("msum"), F.col("mn"), UNITS, 4), F.lit(0.0)).alias("neg"),
     )
 
 
@@ -155,7 +156,7 @@ def overall_sentiment_ratio(df: DataFrame, group: Sequence[str] = ("brand",)) ->
 def filtered_sentiment(df: DataFrame, keywords: Sequence[str], group: Sequence[str] = ("brand",), text: str = "sentence") -> DataFrame:
     """Label shares and mean scores of the sentences matching the keyword alternation."""
     kept = df.where(F.col(text).rlike("|".join(keywords))).where(F.col("sentiment_label").isin("1", "0"))
-    score = F.col("sentiment_score").cast(SCORE)
+    score = vl.in_units(F.col("sentiment_score"), UNITS)
     positive = F.col("sentiment_label") == "1"
     sums = kept.groupBy(*group).agg(
         F.count(F.lit(1)).alias("t"), F.count_if(positive).alias("p"),
@@ -165,17 +166,17 @@ def filtered_sentiment(df: DataFrame, keywords: Sequence[str], group: Sequence[s
         *group,
         vl.safe_ratio(F.col("p"), F.col("t"), 4).alias("pos_ratio"),
         vl.safe_ratio(F.col("t") - F.col("p"), F.col("t"), 4).alias("neg_ratio"),
-        F.coalesce(vl.exact_mean(F.col("ps"), F.col("p"), 4), F.lit(0.0)).alias("pos_mean"),
-        F.coalesce(vl.exact_mean(F.col("ms"), F.col("t") - F.col("p"), 4), F.lit(0.0)).alias("neg_mean"),
+        F.coalesce(vl.mean_of_units(F.col("ps"), F.col("p"), UNITS, 4), F.lit(0.0)).alias("pos_mean"),
+        F.coalesce(vl.mean_of_units(F.col("ms"), F.col("t") - F.col("p"), UNITS, 4), F.lit(0.0)).alias("neg_mean"),
     )
 
 
 def group_mean_rating(df: DataFrame, item: str, rating: str, rules: Sequence[tuple[str, str]]) -> DataFrame:
-    """Mean rating per brand derived from the item name; 0 for a listed brand without rows."""
+    """Mean whole-number rating per brand derived from the item name; 0 for a listed brand without rows."""
     brand = vl.category_of(F.col(item), rules)
-    means = df.select(brand.alias("brand"), F.col(rating).cast(SCORE).alias("r")).where("brand IS NOT NULL") \
+    means = df.select(brand.alias("brand"), F.col(rating).cast("long").alias("r")).where("brand IS NOT NULL") \
         .groupBy("brand").agg(F.sum("r").alias("s"), F.count("r").alias("n")) \
-        .select("brand", vl.exact_mean(F.col("s"), F.col("n"), 2).alias("mean"))
+        .select("brand", vl.mean_of_units(F.col("s"), F.col("n"), 1, 2).alias("mean"))
     names = list(dict.fromkeys(label for _, label in rules))
     listed = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(b) for b in names])).alias("brand"))
     return listed.join(means, "brand", "left").select("brand", F.coalesce("mean", F.lit(0.0)).alias("mean_rating"))

@@ -14,7 +14,7 @@ from pulsegrain.streaming import streams
 
 
 def _split(spark, sf):
-    return reshape.explode_sentences(views.table(spark, sf, "documents").select("doc_id", "text"), "text")
+    return reshape.explode_sentences(views.texts(spark, sf, "documents", "doc_id", "text"), "text")
 
 
 # -- terms
@@ -40,13 +40,13 @@ ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY g ORDER BY score DESC,
 
 @query("tfidf_top_n", f"WITH {sql_tfidf('documents', 'doc_id', 'text', 'lang')} SELECT g AS lang, term, score, rank FROM ranked WHERE rank <= 20")
 def _(spark, sf):
-    return terms.tfidf_top_n(views.table(spark, sf, "documents"), "doc_id", "text", "lang")
+    return terms.tfidf_top_n(views.texts(spark, sf, "documents", "doc_id", "text", "lang"), "doc_id", "text", "lang")
 
 
 @query("term_frequency_top_n", f"""SELECT lang, term, n, CAST(row_number() OVER (PARTITION BY lang ORDER BY n DESC, term) AS INTEGER) AS rank FROM (
   SELECT lang, term, count(*) AS n FROM (SELECT lang, unnest({sql_tokens('text')}) AS term FROM documents) GROUP BY ALL) QUALIFY rank <= 20""")
 def _(spark, sf):
-    return terms.term_frequency_top_n(views.table(spark, sf, "documents"), "text", ["lang"])
+    return terms.term_frequency_top_n(views.texts(spark, sf, "documents", "text", "lang"), "text", ["lang"])
 
 
 SPLIT = f"s AS (SELECT list_distinct({sql_tokens('sentence')}) AS l FROM (SELECT unnest({sql_sentences('text')}) AS sentence FROM documents))"
@@ -78,7 +78,7 @@ MATCHING = "kept AS (SELECT * FROM documents WHERE regexp_matches(text, 'thou|ea
 
 @query("keyword_extract", f"WITH {MATCHING}, {sql_tfidf('kept', 'doc_id', 'text', 'lang')} SELECT g AS lang, term, score, rank FROM ranked WHERE rank <= 20")
 def _(spark, sf):
-    return terms.keyword_extract(views.table(spark, sf, "documents"), "doc_id", "text", "lang", ["thou", "eaux", "keit"])
+    return terms.keyword_extract(views.texts(spark, sf, "documents", "doc_id", "text", "lang"), "doc_id", "text", "lang", ["thou", "eaux", "keit"])
 
 
 # -- vectors
@@ -115,7 +115,7 @@ def _(spark, sf):
     SELECT doc_id AS key, 'documents' AS source, text FROM documents UNION ALL SELECT item_id, 'benchmark', text FROM benchmark))""")
 def _(spark, sf):
     def embedded(name, key):
-        return vectors.hashed_embedding(views.table(spark, sf, name).select(F.col(key).alias("key"), "text"), "text")
+        return vectors.hashed_embedding(views.texts(spark, sf, name, key, "text").withColumnRenamed(key, "key"), "text")
 
     built = vectors.vector_table([("documents", embedded("documents", "doc_id")), ("benchmark", embedded("benchmark", "item_id"))],
                                  "key", "text", "embedding", batch=100)
@@ -145,7 +145,7 @@ def sql_score(column: str) -> str:
 @query("sentiment_score", f"SELECT doc_id, {sql_label('text')} AS label, {sql_score('text')} AS score FROM documents")
 def _(spark, sf):
     label, score = models.lexicon_sentiment(F.col("text"), POSITIVE, NEGATIVE)
-    return views.table(spark, sf, "documents").select("doc_id", label.alias("label"), score.alias("score"))
+    return views.texts(spark, sf, "documents", "doc_id", "text").select("doc_id", label.alias("label"), score.alias("score"))
 
 
 def _labelled(spark, sf):
@@ -188,7 +188,7 @@ def _counting_model():
 @query("vectorised_udf_surface", """SELECT doc_id, CASE WHEN 3 * v > a THEN '1' ELSE '0' END AS label, CAST(v AS DOUBLE) AS score FROM (
   SELECT doc_id, length(regexp_replace(text, '[^aeiou]', '', 'g')) AS v, length(regexp_replace(text, '[^a-zA-Z]', '', 'g')) AS a FROM documents)""")
 def _(spark, sf):
-    return models.scored_by_model(views.table(spark, sf, "documents"), "text", _counting_model).select("doc_id", "label", "score")
+    return models.scored_by_model(views.texts(spark, sf, "documents", "doc_id", "text"), "text", _counting_model).select("doc_id", "label", "score")
 
 
 # -- streams

@@ -26,7 +26,7 @@ def _trend(spark, sf):
 @query("sentence_explode", f"""SELECT doc_id, CAST(unnest(range(len(l))) AS INTEGER) AS pos, unnest(l) AS sentence
   FROM (SELECT doc_id, {sql_sentences('text')} AS l FROM documents)""")
 def _(spark, sf):
-    return reshape.explode_sentences(views.table(spark, sf, "documents").select("doc_id", "text"), "text")
+    return reshape.explode_sentences(views.texts(spark, sf, "documents", "doc_id", "text"), "text")
 
 
 @query("line_explode", f"""SELECT doc_id, lang, CAST(unnest(range(len(l))) AS INTEGER) AS pos, unnest(l) AS line
@@ -149,7 +149,7 @@ def _(spark, sf):
   JOIN (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS keyword FROM part) ON contains(text, keyword)""")
 def _(spark, sf):
     lexicon = views.table(spark, sf, "part").select(F.explode(F.split("p_name", " ")).alias("keyword"))
-    documents = views.table(spark, sf, "documents").select("doc_id", "text")
+    documents = views.texts(spark, sf, "documents", "doc_id", "text")
     return match.match_keyword_table(documents, lexicon, "text", "doc_id").select("doc_id", "keyword")
 
 
@@ -163,7 +163,7 @@ w AS (SELECT DISTINCT unnest({sql_tokens('text')}) AS word FROM benchmark)
 SELECT token, count(*) AS n FROM t WHERE token NOT IN (SELECT word FROM w) GROUP BY token""")
 def _(spark, sf):
     stop = views.table(spark, sf, "benchmark").select(F.explode(tx.tokens_of(F.col("text"))).alias("word")).distinct()
-    tokens = views.table(spark, sf, "documents").select(F.explode(tx.tokens_of(F.col("text"))).alias("token"))
+    tokens = views.texts(spark, sf, "documents", "text").select(F.explode(tx.tokens_of(F.col("text"))).alias("token"))
     # Counted first, so a token is looked up once however often it occurs.
     return match.drop_stopwords(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")), stop)
 
@@ -209,7 +209,7 @@ def _(spark, sf):
 @query("top_k_terms", f"""SELECT term, count(*) AS n FROM (SELECT unnest({sql_tokens('text')}) AS term FROM documents)
   GROUP BY term ORDER BY n DESC, term LIMIT 30""")
 def _(spark, sf):
-    counts = views.table(spark, sf, "documents").select(F.explode(tx.tokens_of(F.col("text"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    counts = views.texts(spark, sf, "documents", "text").select(F.explode(tx.tokens_of(F.col("text"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     return ranking.top_rows(counts, 30, F.desc("n"), F.asc("term"))
 
 

@@ -13,7 +13,7 @@ from pulsegrain.sources import views
 
 
 def _documents(spark, sf):
-    return views.table(spark, sf, "documents")
+    return views.texts(spark, sf, "documents", "doc_id", "text")
 
 
 @query("strip_clock_times", r"""SELECT event_id, regexp_replace(event_type || ' ' || strftime(ts, '%H:%M') || ' ' || props, '\b\d{1,2}:\d{2}\b', '', 'g')

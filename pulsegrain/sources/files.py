@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from pulsegrain.functions import values as vl
 from pulsegrain.operators.numbering import number_rows
-from pulsegrain.session import new_path
+from pulsegrain.session import new_path, written
 
 VIDEOS = (
     "items array<struct<id:struct<videoId:string>,"
@@ -132,6 +132,8 @@ def insert_if_absent(target: DataFrame, new: DataFrame, keys: Sequence[str], id_
         new.groupBy(*keys).agg(F.min(order).alias(order))
         .join(target.select(*keys).distinct(), list(keys), "left_anti")
     )
+    # Numbering reads its input several times; the keys alone are stored for it.
+    absent = written(absent, "absent")
     highest = target.agg(F.coalesce(F.max(id_column), F.lit(0))).scalar()
     numbered = number_rows(absent, order, keys, name="_no")
     return numbered.withColumn(id_column, F.col("_no") + highest).select(*keys, id_column)

@@ -15,6 +15,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def texts(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a text table, with every core given a share of it.
+
+    A small file of one row group would be read and worked on by one task. A
+    table of a normal size has more splits than there are cores and passes
+    through without a shuffle.
+    """
+    scan = table(spark, folder, name).select(*columns)
+    cores = spark.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def sentences(spark: SparkSession, folder: str) -> DataFrame:
     """The sentence fact: one dated, labelled, liked sentence per line item."""
     items = table(spark, folder, "lineitem")
