@@ -4,26 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Rows that one task may number; larger tables are cut into ranges of the key.
+ROWS_PER_RANGE = 1_000_000
+MAX_RANGES = 10_000
 
-def _range_index(key: Column, bounds: Sequence[float]) -> Column:
-    """Index of the range that ``key`` falls into: a balanced tree of comparisons."""
 
-    def search(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(key <= bounds[middle], search(low, middle)).otherwise(search(middle + 1, high))
-
-    return search(0, len(bounds))
-
-
-def range_bounds(df: DataFrame, key: str, ranges: int) -> list:
-    """Upper bounds that cut ``key`` into about equal ranges, from a mergeable sketch."""
+def range_bounds(df: DataFrame, key: str, ranges: int) -> list[float]:
+    """Bounds that cut ``key`` into about equal ranges, from a mergeable sketch."""
     shares = [i / ranges for i in range(1, ranges)]
-    found = df.agg(F.percentile_approx(key, shares, 10000)).first()[0] if shares else None
+    found = df.agg(F.percentile_approx(F.col(key).cast("double"), shares, 10 * MAX_RANGES)).first()[0]
     return sorted(set(found or []))
 
 
@@ -33,16 +26,24 @@ def number_rows(
     then_by: Sequence[str] = (),
     groups: Sequence[str] = (),
     name: str = "row_no",
-    ranges: int | None = None,
+    rows_per_range: int | None = None,
 ) -> DataFrame:
     """Number rows 1, 2, … by ``key`` then ``then_by``, within ``groups`` if given.
 
-    ``key`` is numeric and close to unique. Rows are cut into ranges of it;
-    each range is numbered on its own and moved up by the rows in the ranges
-    before, so no task sees more than one range even if there is one group.
+    ``key`` is a number without NULLs and close to unique. A large table is cut
+    into ranges of the key; each range is numbered on its own and moved up by
+    the rows in the ranges before, so no task sees more than one range even if
+    there is only one group.
     """
-    ranges = ranges or min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 256)
-    cut = df.withColumn("_range", _range_index(F.col(key), range_bounds(df, key, ranges)))
+    ranges = min(-(-df.count() // (rows_per_range or ROWS_PER_RANGE)), MAX_RANGES)
+    bounds = range_bounds(df, key, ranges) if ranges > 1 else []
+    if not bounds:
+        number = F.row_number().over(Window.partitionBy(*groups).orderBy(key, *then_by))
+        return df.withColumn(name, number.cast("long"))
+    splits = [float("-inf"), *bounds, float("inf")]
+    cut = Bucketizer(splits=splits, inputCol="_at", outputCol="_range").transform(
+        df.withColumn("_at", F.col(key).cast("double"))
+    ).drop("_at")
     sizes = cut.groupBy(*groups, "_range").agg(F.count(F.lit(1)).alias("_size"))
     # At most one row per range and group here.
     earlier = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)

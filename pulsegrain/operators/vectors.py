@@ -16,7 +16,7 @@ from pulsegrain.operators.numbering import number_rows
 from pulsegrain.session import written
 
 # Query vectors held in one task may take this many numbers.
-MAX_QUERY_NUMBERS = 16_000_000
+MAX_QUERY_NUMBERS = 4_000_000
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -44,6 +44,8 @@ def _best_in_task(queries: list, filters: list, matrix: np.ndarray, k: int, filt
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         best: pd.DataFrame | None = None
         for batch in batches:
+            if batch.empty:
+                continue
             vectors = np.asarray(batch["embedding"].tolist(), dtype="float64")
             lengths = np.linalg.norm(vectors, axis=1)
             sims = matrix @ (vectors / np.where(lengths == 0, 1.0, lengths)[:, None]).T
@@ -90,7 +92,7 @@ def vector_topk(
         source = vectors.select(
             F.col(key).cast("long").alias("id"), F.col(embedding).alias("embedding"),
             *([F.col(same).alias("filter")] if same else []),
-        )
+        ).where("embedding IS NOT NULL")
         body = _best_in_task([r[query_id] for r in rows], [r[same] if same else None for r in rows], matrix, k, bool(same))
         near = source.mapInPandas(body, "query_id long, id long, similarity double")
         if slices > 1:

@@ -132,7 +132,10 @@ def _(spark, sf):
     return reshape.edge_list(top, F.col("brand"), "term", "n", "rank")
 
 
-@query("nested_result")
+@query("nested_result", f"""WITH {TREND},
+months AS (SELECT brand, month, '{{' || string_agg('"' || keyword || '":{{"ratio":' || ratio || ',"pos_ratio":' || pos_ratio
+  || ',"neg_ratio":' || neg_ratio || '}}', ',' ORDER BY keyword) || '}}' AS m FROM trend GROUP BY ALL)
+SELECT brand, '{{' || string_agg('"' || month || '":' || m, ',' ORDER BY month) || '}}' AS trend FROM months GROUP BY brand""")
 def _(spark, sf):
     return reshape.nested_trend(_trend(spark, sf))
 

@@ -62,7 +62,7 @@ def reviews(spark: SparkSession, folder: str) -> DataFrame:
 
 def comments(spark: SparkSession, folder: str) -> DataFrame:
     """Long comments with their labels where there are any."""
-    documents = table(spark, folder, "documents")
+    documents = texts(spark, folder, "documents", "doc_id", "text", "source", "lang")
     labels = table(spark, folder, "labels").withColumnRenamed("doc_id", "labelled_id")
     return documents.join(labels, F.col("doc_id") == F.col("labelled_id"), "left").select(
         F.col("doc_id").alias("comment_id"), F.col("text").alias("content"), "source", "lang",

@@ -147,20 +147,22 @@ def test_dedup_keeps_most_liked(spark, rows):
 
 # -- numbering
 
-@pytest.mark.parametrize("ranges", [1, 3, 16])
-def test_numbers_are_consecutive(spark, rows, ranges):
+@pytest.mark.parametrize("size", [1000, 200, 31])
+def test_numbers_are_consecutive(spark, rows, size):
     keys = random.Random(1).sample(range(-5000, 5000), 500)
     df = spark.createDataFrame([(k, "hot" if i % 3 else f"g{i % 7}") for i, k in enumerate(keys)], "k long, g string")
-    assert rows(numbering.number_rows(df, "k", ranges=ranges), "row_no", "k") == sorted(
+    assert rows(numbering.number_rows(df, "k", rows_per_range=size), "row_no", "k") == sorted(
         ((i, k) for i, k in enumerate(sorted(keys), 1)), key=repr)
     grouped = defaultdict(list)
-    for r in numbering.number_rows(df, "k", groups=["g"], ranges=ranges).collect():
+    for r in numbering.number_rows(df, "k", groups=["g"], rows_per_range=size).collect():
         grouped[r.g].append((r.row_no, r.k))
     for numbered in grouped.values():
         assert sorted(numbered) == list(enumerate(sorted(k for _, k in numbered), 1))
 
 
-def test_oversampling_fills_every_class(spark):
+@pytest.mark.parametrize("size", [1000, 4])
+def test_oversampling_fills_every_class(spark, monkeypatch, size):
+    monkeypatch.setattr(numbering, "ROWS_PER_RANGE", size)
     df = spark.createDataFrame([("a", i) for i in range(10)] + [("b", 100 + i) for i in range(3)], "label string, row_id long")
     out = models.oversample_classes(df, "label", "row_id").collect()
     assert Counter(r.label for r in out) == {"a": 10, "b": 10}
@@ -254,7 +256,7 @@ def test_token_top_n_with_a_stopword_table(spark, rows):
 
 # -- vectors
 
-@pytest.mark.parametrize("limit", [16_000_000, 30])
+@pytest.mark.parametrize("limit", [4_000_000, 30])
 def test_nearest_vectors_equal_brute_force(spark, monkeypatch, limit):
     monkeypatch.setattr(vectors, "MAX_QUERY_NUMBERS", limit)
     rng = np.random.default_rng(3)
