@@ -63,14 +63,19 @@ def keyword_percentage(df: DataFrame, keywords: Sequence[str], group: Sequence[s
     )
 
 
-def month_counts(df: DataFrame, keywords: Sequence[str], text: str, regex: bool = False) -> DataFrame:
+def month_counts(df: DataFrame, keywords: Sequence[str], text: str = "sentence", regex: bool = False) -> DataFrame:
+    """Per brand and month: hits ``_n<i>``, positive ``_p<i>`` and negative ``_m<i>`` ones, and their ``total``.
+
+    Rows are grouped by the first day of the month; the label is made of the result.
+    """
     n = range(len(keywords))
-    flags = _flagged(df, keywords, ["brand", vl.month_label(F.col("commented_at")).alias("month"), "sentiment_label"], text, regex)
-    return flags.groupBy("brand", "month").agg(
+    flags = _flagged(df, keywords, ["brand", vl.month_start(F.col("commented_at")).alias("month"), "sentiment_label"], text, regex)
+    counts = flags.groupBy("brand", "month").agg(
         *[F.count_if(f"_has{i}").alias(f"_n{i}") for i in n],
         *[F.count_if(F.col(f"_has{i}") & (F.col("sentiment_label") == "1")).alias(f"_p{i}") for i in n],
         *[F.count_if(F.col(f"_has{i}") & (F.col("sentiment_label") == "0")).alias(f"_m{i}") for i in n],
-    ).withColumn("total", total_of("n", len(keywords)))
+    )
+    return counts.withColumns({"month": vl.month_label(F.col("month")), "total": total_of("n", len(keywords))})
 
 
 def keyword_month_trend(df: DataFrame, keywords: Sequence[str], text: str = "sentence", regex: bool = False) -> DataFrame:
@@ -102,23 +107,24 @@ def keyword_occurrence_rate(df: DataFrame, keywords: Sequence[str], text: str =
     """
     n = len(keywords)
     hits = df.where(vl.contains_any(F.col(text), keywords)).select(
-        "brand", vl.month_label(F.col("commented_at")).alias("month"),
+        "brand", vl.month_start(F.col("commented_at")).alias("month"),
         *[vl.occurrence_count(F.col(text), k).alias(f"_has{i}") for i, k in enumerate(keywords)],
     )
     months = hits.groupBy("brand", "month").agg(
         F.count(F.lit(1)).alias("sentences"), *[F.sum(f"_has{i}").alias(f"_n{i}") for i in range(n)]
     )
     return unstacked(months, keywords, ["brand", "month"], ["n"]).select(
-        "brand", "month", "keyword", vl.safe_ratio(F.col("n"), F.col("sentences"), digits).alias("rate")
+        "brand", vl.month_label(F.col("month")).alias("month"), "keyword",
+        vl.safe_ratio(F.col("n"), F.col("sentences"), digits).alias("rate"),
     )
 
 
-def keyword_sentiment_score(df: DataFrame, keywords: Sequence[str], group: Sequence[str] = ("brand",),
-                            text: str = "sentence", regex: bool = False) -> DataFrame:
-    """Mean score of positive and of negative sentences per keyword; 0 for a missing label.
+def sentiment_sums(df: DataFrame, keywords: Sequence[str], group: Sequence[str] = ("brand",),
+                   text: str = "sentence", regex: bool = False) -> DataFrame:
+    """Per group: label counts, and per keyword hits and score sums by label.
 
-    A keyword without any sentence is absent. Sums are exact, so the result does
-    not depend on the order in which tasks finish.
+    Sums are of whole units, so the result does not depend on the order in
+    which tasks finish.
     """
     n = range(len(keywords))
     flags = _flagged(df, keywords, [*group, "sentiment_label", vl.in_units(F.col("sentiment_score"), UNITS).alias("_score")], text, regex)
@@ -126,18 +132,33 @@ def keyword_sentiment_score(df: DataFrame, keywords: Sequence[str], group: Seque
     def with_label(i: int, label: str) -> Column:
         return F.col(f"_has{i}") & (F.col("sentiment_label") == label) & F.col("_score").isNotNull()
 
-    sums = flags.groupBy(*group).agg(
+    return flags.groupBy(*group).agg(
+        F.count_if(F.col("sentiment_label") == "1").alias("positive"),
+        F.count_if(F.col("sentiment_label") == "0").alias("negative"),
         *[F.count_if(f"_has{i}").alias(f"_n{i}") for i in n],
         *[a for i in n for s, label in (("p", "1"), ("m", "0")) for a in (
             F.sum(F.when(with_label(i, label), F.col("_score"))).alias(f"_{s}sum{i}"),
             F.count_if(with_label(i, label)).alias(f"_{s}n{i}"),
         )],
     )
+
+
+def mean_score(total: Column, count: Column) -> Column:
+    """Mean of a score sum in units; 0 where nothing was summed."""
+    return F.coalesce(vl.mean_of_units(total, count, UNITS, 4), F.lit(0.0))
+
+
+def keyword_sentiment_score(df: DataFrame, keywords: Sequence[str], group: Sequence[str] = ("brand",),
+                            text: str = "sentence", regex: bool = False) -> DataFrame:
+    """Mean score of positive and of negative sentences per keyword; 0 for a missing label.
+
+    A keyword without any sentence is absent.
+    """
+    sums = sentiment_sums(df, keywords, group, text, regex)
     cells = unstacked(sums, keywords, group, ["n", "psum", "pn", "msum", "mn"]).where("n > 0")
     return cells.select(
         *group, "keyword",
-        F.coalesce(vl.mean_of_units(F.col("psum"), F.col("pn"), UNITS, 4), F.lit(0.0)).alias("pos"),
-        F.coalesce(vl.mean_of_units(F.col("msum"), F.col("mn"), UNITS, 4), F.lit(0.0)).alias("neg"),
+        mean_score(F.col("psum"), F.col("pn")).alias("pos"), mean_score(F.col("msum"), F.col("mn")).alias("neg"),
     )
 
 
@@ -166,8 +187,8 @@ def filtered_sentiment(df: DataFrame, keywords: Sequence[str], group: Sequence[s
         *group,
         vl.safe_ratio(F.col("p"), F.col("t"), 4).alias("pos_ratio"),
         vl.safe_ratio(F.col("t") - F.col("p"), F.col("t"), 4).alias("neg_ratio"),
-        F.coalesce(vl.mean_of_units(F.col("ps"), F.col("p"), UNITS, 4), F.lit(0.0)).alias("pos_mean"),
-        F.coalesce(vl.mean_of_units(F.col("ms"), F.col("t") - F.col("p"), UNITS, 4), F.lit(0.0)).alias("neg_mean"),
+        mean_score(F.col("ps"), F.col("p")).alias("pos_mean"),
+        mean_score(F.col("ms"), F.col("t") - F.col("p")).alias("neg_mean"),
     )
 
 

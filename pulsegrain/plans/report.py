@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegrain.functions import values as vl
@@ -16,50 +16,61 @@ from pulsegrain.operators import metrics, ranking, reshape, terms, vectors
 from pulsegrain.sources import files
 
 
-def _cells(df: DataFrame, section: str, fields: Sequence[str]) -> DataFrame:
-    def given(name: str) -> Column:
-        return F.col(name) if name in df.columns else F.lit("")
+def _cell(section: str, metric: str, value: Column, keyword: str = "", month: Column | None = None) -> Column:
+    return F.struct(
+        F.lit(section).alias("section"), (F.lit("") if month is None else month).alias("month"),
+        F.lit(keyword).alias("keyword"), F.lit(metric).alias("metric"), value.alias("value"),
+    )
+
 
-    cells = F.array(*[F.struct(F.lit(f).alias("metric"), F.col(f).cast("double").alias("value")) for f in fields])
-    return df.select(
-        F.lit(section).alias("section"), given("brand").alias("brand"), given("month").alias("month"),
-        given("keyword").alias("keyword"), F.inline(cells), F.lit("").alias("sentence"),
+def _report_rows(df: DataFrame, cells: Sequence[Column]) -> DataFrame:
+    """The cells that have a value as rows: one source row may feed several sections."""
+    held = F.filter(F.array(*cells), lambda c: c["value"].isNotNull())
+    return df.select("brand", F.inline(held)).select(
+        "section", "brand", "month", "keyword", "metric", "value", F.lit("").alias("sentence")
     )
 
 
 def report_keywords(sentences: DataFrame, keywords: Sequence[str]) -> DataFrame:
-    """Shares per brand and trends per month, out of one counting pass.
+    """Shares per brand and trends per month, out of one pass over the sentences.
 
-    The month cells hold everything, and the brand shares are added up from
-    them, so the sentences are read once.
+    The counted months hold everything: a window over a brand's months adds up
+    its shares, which go out with the first of them.
     """
-    months = metrics.month_counts(sentences, keywords, "sentence").drop("total")
     n = range(len(keywords))
-    cells = metrics.unstacked(
-        months.withColumn("total", metrics.total_of("n", len(keywords))), keywords, ["brand", "month"], ["n", "p", "m"]
-    )
-    trend = cells.where("n > 0").select(
-        "brand", "month", "keyword",
-        vl.safe_ratio(F.col("n"), F.col("total"), 4).alias("ratio"),
-        vl.safe_ratio(F.col("p"), F.col("n"), 4).alias("pos_ratio"),
-        vl.safe_ratio(F.col("m"), F.col("n"), 4).alias("neg_ratio"),
-    )
-    brands = months.groupBy("brand").agg(*[F.sum(f"_n{i}").alias(f"_n{i}") for i in n])
-    share = metrics.unstacked(
-        brands.withColumn("total", metrics.total_of("n", len(keywords))), keywords, ["brand"], ["n"]
-    ).select("brand", "keyword", vl.safe_ratio(F.col("n"), F.col("total"), 2, 100).alias("pct"))
-    return _cells(share, "share", ["pct"]).unionByName(_cells(trend, "trend", ["ratio", "pos_ratio", "neg_ratio"]))
+    brand = Window.partitionBy("brand")
+    months = metrics.month_counts(sentences, keywords).withColumns({
+        **{f"_all{i}": F.sum(f"_n{i}").over(brand) for i in n},
+        "_whole": F.sum("total").over(brand),
+        "_first": F.row_number().over(brand.orderBy("month")) == 1,
+    })
+    cells = []
+    for i, k in enumerate(keywords):
+        count = F.col(f"_n{i}")
+        share = F.when(F.col("_first"), vl.safe_ratio(F.col(f"_all{i}"), F.col("_whole"), 2, 100))
+        cells.append(_cell("share", "pct", share, k))
+        for metric, part, whole in (("ratio", count, F.col("total")), ("pos_ratio", F.col(f"_p{i}"), count), ("neg_ratio", F.col(f"_m{i}"), count)):
+            cells.append(_cell("trend", metric, F.when(count > 0, vl.safe_ratio(part, whole, 4)), k, F.col("month")))
+    return _report_rows(months, cells)
 
 
 def report_sentiment(sentences: DataFrame, brands: DataFrame, keywords: Sequence[str]) -> DataFrame:
     """Keyword scores, overall shares and the best sentence per cell."""
-    score = metrics.keyword_sentiment_score(sentences, keywords)
-    ratio = metrics.overall_sentiment_ratio(sentences)
+    sums = metrics.sentiment_sums(sentences, keywords)
+    labelled = F.col("positive") + F.col("negative")
+    cells = [
+        _cell("overall", metric, F.when(labelled > 0, vl.safe_ratio(F.col(column), labelled, 4)))
+        for metric, column in (("pos", "positive"), ("neg", "negative"))
+    ]
+    for i, k in enumerate(keywords):
+        for metric, side in (("pos", "p"), ("neg", "m")):
+            mean = metrics.mean_score(F.col(f"_{side}sum{i}"), F.col(f"_{side}n{i}"))
+            cells.append(_cell("score", metric, F.when(F.col(f"_n{i}") > 0, mean), k))
     best = ranking.top_comment_grid(sentences, brands, keywords).select(
         F.lit("comment").alias("section"), "brand", F.lit("").alias("month"), "keyword",
         F.col("sentiment").alias("metric"), F.lit(None).cast("double").alias("value"), "sentence",
     )
-    return _cells(score, "score", ["pos", "neg"]).unionByName(_cells(ratio, "overall", ["pos", "neg"])).unionByName(best)
+    return _report_rows(sums, cells).unionByName(best)
 
 
 def related_terms(
