@@ -127,13 +127,10 @@ def keywords_hash(keywords: Column) -> Column:
     return F.sha2(F.array_join(F.array_sort(keywords), "|"), 256)
 
 
-def csv_list(text: Column) -> Column:
-    """Comma-separated entries, trimmed, empty ones dropped."""
-    return F.filter(F.transform(F.split(text, ","), strip_whitespace), lambda s: s != "")
-
-
-def unquoted(text: Column) -> Column:
-    return F.regexp_replace(text, "^[\"']+|[\"']+$", "")
+def csv_list(text: Column, quotes: str = "") -> Column:
+    """Comma-separated entries, trimmed, empty ones and the given quote characters dropped."""
+    bare = F.translate(text, quotes, "") if quotes else text
+    return F.filter(F.transform(F.split(bare, ","), strip_whitespace), lambda s: s != "")
 
 
 def take_first(items: Column, n: int) -> Column:
@@ -142,6 +139,12 @@ def take_first(items: Column, n: int) -> Column:
 
 # -- JSON
 
+def unfenced(text: Column) -> Column:
+    """A JSON text without the backticks and the ``json`` tag around it."""
+    inner = strip_whitespace(F.regexp_replace(text, r"\A`+|`+\z", ""))
+    return strip_whitespace(F.regexp_replace(inner, r"\Ajson", ""))
+
+
 def json_get(text: Column, path: str, default: str | None = None) -> Column:
     """The value at a JSON path; the default where the path or the JSON is bad."""
     found = F.get_json_object(text, path)

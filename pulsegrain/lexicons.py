@@ -69,6 +69,8 @@ BRAND_IDS = {"samsung": 1, "apple": 2}
 # Hobbies offered when fewer are stored.
 DEFAULT_HOBBIES = ["음악 감상", "여행", "운동", "게임", "독서", "사진 촬영", "영상시청", "요리", "등산"]
 
+DEFAULT_TOP_HOBBIES = ["음악 감상", "여행", "운동"]
+
 # Allowed values of a user row.
 AGE_GROUPS = ["10s", "20s", "30s", "40s", "50s", "60s"]
 GENDERS = ["M", "F"]

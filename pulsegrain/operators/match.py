@@ -32,6 +32,27 @@ def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], spread_by:
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
+def hot_key_join(
+    big: DataFrame, small: DataFrame, on: Sequence[str], rows: str, spread_by: str, salts: int = 32, hottest: int = 1000
+) -> DataFrame:
+    """Equi-join that splits only the hot keys of ``big``.
+
+    ``small`` has one row per key, and its column ``rows`` tells how many rows
+    the key has in ``big``. A key is hot above 1/``hottest`` of all rows, so
+    there are fewer than ``hottest`` of them: that list is broadcast to mark
+    the rows to salt, and only those keys of ``small`` are repeated.
+    """
+    total = small.agg(F.sum(rows)).scalar()
+    is_hot = F.col(rows) * hottest > F.col("_total")
+    sized = small.withColumn("_total", total)
+    hot = F.broadcast(sized.where(is_hot).select(*on, F.lit(True).alias("_hot")))
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")).otherwise(0)
+    left = big.join(hot, list(on), "left").withColumn("_salt", salt).drop("_hot")
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    right = sized.withColumn("_salt", F.explode(copies)).drop("_total")
+    return left.join(right, [*on, "_salt"]).drop("_salt")
+
+
 def match_keyword_table(
     df: DataFrame, lexicon: DataFrame, text: str, key: str, gram: int = 3, salts: int = 8
 ) -> DataFrame:

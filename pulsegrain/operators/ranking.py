@@ -26,7 +26,7 @@ def top_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column],
 
 def top_comment(
     df: DataFrame, keywords: Sequence[str] | DataFrame, text: str = "sentence", key: str = "id",
-    by_score: bool = True, first_match: bool = False, carry: Sequence[str] = (),
+    by_score: bool = True, first_match: bool = False, carry: Sequence[str] = (), regex: bool = False,
 ) -> DataFrame:
     """The best sentence per brand, keyword and label.
 
@@ -39,7 +39,7 @@ def top_comment(
     elif isinstance(keywords, DataFrame):
         hits = match.match_keyword_table(labelled, keywords, text, key)
     else:
-        hits = match.match_keywords(labelled, text, keywords)
+        hits = match.match_keywords(labelled, text, keywords, regex)
     order = ([F.desc("sentiment_score")] if by_score else []) + [F.desc("like_count"), F.asc(text), F.asc(key)]
     best = top_per_group(hits, ["brand", "keyword", "sentiment_label"], order, 1)
     return best.select(
@@ -49,9 +49,9 @@ def top_comment(
 
 
 def top_comment_grid(df: DataFrame, brands: DataFrame, keywords: Sequence[str], text: str = "sentence", key: str = "id",
-                     placeholder: str = lexicons.NO_COMMENT) -> DataFrame:
+                     placeholder: str = lexicons.NO_COMMENT, regex: bool = False) -> DataFrame:
     """``top_comment`` over every listed brand, keyword and label; a placeholder where none fits."""
-    best = top_comment(df, keywords, text, key).select("brand", "keyword", "sentiment", "sentence")
+    best = top_comment(df, keywords, text, key, regex=regex).select("brand", "keyword", "sentiment", "sentence")
     grid = (
         brands.select("brand").distinct()
         .withColumn("keyword", F.explode(F.array(*[F.lit(k) for k in keywords])))
@@ -123,14 +123,27 @@ def head_tail(df: DataFrame, n: int, key: str) -> DataFrame:
     return head.unionByName(tail)
 
 
-def backfill_top(stored: DataFrame, item: str, order: str, defaults: Sequence[str], n: int = 9) -> DataFrame:
-    """The first ``n`` stored items, topped up from the defaults without repeats."""
-    spark = stored.sparkSession
+def _stored_and_spare(stored: DataFrame, item: str, order: str, defaults: Sequence[str], n: int) -> DataFrame:
+    """The first ``n`` stored items (p = 0) and all defaults (p = 1), each with its place ``o``."""
     first = stored.groupBy(item).agg(F.min(order).cast("double").alias("o")).orderBy("o", item).limit(n)
-    spare = spark.range(1).select(F.posexplode(F.array(*[F.lit(d) for d in defaults])).alias("o", "item"))
-    both = first.select(F.lit(0).alias("p"), "o", F.col(item).alias("item")).unionByName(
+    spare = stored.sparkSession.range(1).select(F.posexplode(F.array(*[F.lit(d) for d in defaults])).alias("o", "item"))
+    return first.select(F.lit(0).alias("p"), "o", F.col(item).alias("item")).unionByName(
         spare.select(F.lit(1).alias("p"), F.col("o").cast("double").alias("o"), "item")
     )
+
+
+def stored_or_default(stored: DataFrame, item: str, order: str, defaults: Sequence[str], n: int = 3) -> DataFrame:
+    """The first ``n`` stored items if there are that many, else the defaults."""
+    # At most n + len(defaults) rows.
+    both = _stored_and_spare(stored, item, order, defaults, n)
+    enough = F.count_if(F.col("p") == 0).over(Window.partitionBy()) >= n
+    kept = both.withColumn("_enough", enough).where(F.col("_enough") == (F.col("p") == 0))
+    return kept.select(F.row_number().over(Window.orderBy("o", "item")).alias("position"), "item")
+
+
+def backfill_top(stored: DataFrame, item: str, order: str, defaults: Sequence[str], n: int = 9) -> DataFrame:
+    """The first ``n`` stored items, topped up from the defaults without repeats."""
+    both = _stored_and_spare(stored, item, order, defaults, n)
     # At most n + len(defaults) rows from here on.
     once = both.groupBy("item").agg(F.min(F.struct("p", "o")).alias("at"))
     position = F.row_number().over(Window.orderBy("at.p", "at.o", "item"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,10 +11,19 @@ from pulsegrain.functions import text as tx
 from pulsegrain.functions import values as vl
 
 
-def explode_sentences(df: DataFrame, text: str, name: str = "sentence", position: str = "pos") -> DataFrame:
-    """One row per sentence, positions from 0, the other columns carried along."""
+def explode_sentences(
+    df: DataFrame, text: str, name: str = "sentence", position: str = "pos", each: Callable[[Column], Column] | None = None
+) -> DataFrame:
+    """One row per sentence, positions from 0, the other columns carried along.
+
+    ``each`` is applied to the sentences before they become rows, so that later
+    filters on the result do not compute it again.
+    """
     rest = [c for c in df.columns if c not in (text, name, position)]
-    return df.select(*rest, F.posexplode(tx.sentences_of(F.col(text))).alias(position, name))
+    sentences = tx.sentences_of(F.col(text))
+    if each is not None:
+        sentences = F.transform(sentences, each)
+    return df.select(*rest, F.posexplode(sentences).alias(position, name))
 
 
 def explode_lines(df: DataFrame, text: str, name: str = "line", position: str = "pos") -> DataFrame:

@@ -45,13 +45,13 @@ def keep_regex(df: DataFrame, text: str, terms: Sequence[str]) -> DataFrame:
 
 def tag_first_keyword(df: DataFrame, text: str, terms: Sequence[str]) -> DataFrame:
     """Add the first listed term found in the text; drop rows without one."""
-    return df.withColumn("keyword", vl.first_match(F.col(text), terms)).where(F.col("keyword").isNotNull())
+    return keep_any_keyword(df, text, terms).withColumn("keyword", vl.first_match(F.col(text), terms))
 
 
 def lexicon_hits(df: DataFrame, text: str, lexicons: Mapping[str, Sequence[str]]) -> DataFrame:
-    """One hit-count column per lexicon; rows without any hit are dropped."""
-    counted = df.withColumns({f"{n}_hits": vl.occurrence_total(F.col(text), t) for n, t in lexicons.items()})
-    return counted.where(reduce(lambda a, b: a | b, [F.col(f"{n}_hits") > 0 for n in lexicons]))
+    """One hit-count column per lexicon; rows without any hit are dropped before counting."""
+    kept = keep_any_keyword(df, text, [t for terms in lexicons.values() for t in terms])
+    return kept.withColumns({f"{n}_hits": vl.occurrence_total(F.col(text), t) for n, t in lexicons.items()})
 
 
 def check_rows(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:

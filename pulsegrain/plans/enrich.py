@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrain import lexicons
@@ -21,12 +21,13 @@ def clean_sentences(
     Cleaning drops the punctuation that the splitter needs, so splitting goes
     first by default.
     """
+
+    def cleaned(t: Column) -> Column:
+        return tx.normalize_entities(tx.clean_text(t, stopwords, keep))
+
     if split_first:
-        df = reshape.explode_sentences(df, text)
-        cleaned = tx.clean_text(F.col("sentence"), stopwords, keep)
-        return rows.drop_blank(df.withColumn("sentence", tx.normalize_entities(cleaned)), "sentence")
-    cleaned = tx.normalize_entities(tx.clean_text(F.col(text), stopwords, keep))
-    return reshape.explode_sentences(df.withColumn(text, cleaned), text)
+        return rows.drop_blank(reshape.explode_sentences(df, text, each=cleaned), "sentence")
+    return reshape.explode_sentences(df.withColumn(text, cleaned(F.col(text))), text)
 
 
 def comment_enrich(

@@ -235,3 +235,14 @@ r AS (SELECT row_number() OVER (ORDER BY p, o) AS position, item FROM b)
 SELECT position, item FROM r WHERE position <= 9""")
 def _(spark, sf):
     return ranking.backfill_top(views.table(spark, sf, "part"), "p_type", "p_partkey", lexicons.DEFAULT_HOBBIES)
+
+
+@query("stored_or_default", f"""WITH s AS (SELECT p_type AS item, min(p_partkey) AS o FROM part GROUP BY p_type ORDER BY o LIMIT 3)
+SELECT 'stored' AS source, row_number() OVER (ORDER BY o) AS position, item FROM s
+UNION ALL SELECT 'default', row_number() OVER (ORDER BY o), item FROM (SELECT unnest({sql_list(lexicons.DEFAULT_TOP_HOBBIES)}) AS item, unnest(range(3)) AS o)""")
+def _(spark, sf):
+    enough = ranking.stored_or_default(views.table(spark, sf, "part"), "p_type", "p_partkey", lexicons.DEFAULT_TOP_HOBBIES)
+    # The quality label has two values, too few to fill the list.
+    short = views.table(spark, sf, "labels").select(F.col("quality").cast("string").alias("q"), "doc_id")
+    too_few = ranking.stored_or_default(short, "q", "doc_id", lexicons.DEFAULT_TOP_HOBBIES)
+    return enough.withColumn("source", F.lit("stored")).unionByName(too_few.withColumn("source", F.lit("default")))

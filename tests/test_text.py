@@ -119,6 +119,8 @@ def test_keyword_hash(spark):
 
 def test_lists_and_json(apply):
     assert apply(values.csv_list, " a, ,b,", "") == [["a", "b"], []]
+    assert apply(lambda c: values.csv_list(c, "'"), "'카메라', '화질'") == [["카메라", "화질"]]
+    assert apply(values.unfenced, '```json\n{"a":1}\n```', '{"a":1}') == ['{"a":1}', '{"a":1}']
     assert apply(lambda c: values.json_get(c, "$.a.b", "no"), '{"a":{"b":"x"}}', '{"a":', "{}", None) == ["x", "no", "no", "no"]
     assert apply(values.json_map, '{"a":"1"}', "{bad", None) == [{"a": "1"}, {}, {}]
 
