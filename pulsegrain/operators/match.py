@@ -32,6 +32,16 @@ def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], spread_by:
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
+# A table up to this estimate is handed to every executor.
+BROADCAST_BYTES = 64 << 20
+
+
+def fits_broadcast(df: DataFrame, texts: Sequence[str]) -> bool:
+    """Whether a stored table is small enough to broadcast, by its rows and text lengths."""
+    length = sum((F.coalesce(F.octet_length(t), F.lit(0)) for t in texts), F.lit(64))
+    return (df.agg(F.sum(length.cast("long"))).first()[0] or 0) <= BROADCAST_BYTES
+
+
 def hot_key_join(
     big: DataFrame, small: DataFrame, on: Sequence[str], rows: str, spread_by: str, salts: int = 32, hottest: int = 1000
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegrain.functions import text as tx
-from pulsegrain.operators.match import hot_key_join, salted_join
+from pulsegrain.operators.match import fits_broadcast, hot_key_join, salted_join
 from pulsegrain.operators.ranking import top_per_group
 from pulsegrain.session import written
 
@@ -58,20 +58,26 @@ def tfidf_top_n(df: DataFrame, key: str, text: str, group: str, stopwords: Seque
 
     Per group of N documents: idf = ln((1+N)/(1+df)) + 1, a document's weights
     tf*idf are scaled to length 1 and added up per term. Document frequencies
-    come from each text's distinct terms and are stored, one row per term; they
-    also tell which terms are hot in the join. The counts stay spread by
-    document while the idf table fits a broadcast.
+    come from each text's distinct terms and are stored, one row per term. A
+    vocabulary of checked size is broadcast, and the counts then stay spread by
+    document; a larger one is joined with its hot terms split.
     """
+    # The empty term stands for the document itself, so its frequency is N.
+    own = F.array(F.lit(""))
+    marked = F.concat(own, F.coalesce(F.array_distinct(_tokens(text, stopwords)), F.array().cast("array<string>")))
     frequency = written(
-        df.select(group, F.explode(F.array_distinct(_tokens(text, stopwords))).alias("term"))
-        .groupBy(group, "term").agg(F.count(F.lit(1)).alias("df")), "frequency",
+        df.select(group, F.explode(marked).alias("term")).groupBy(group, "term").agg(F.count(F.lit(1)).alias("df")), "frequency",
     )
-    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("docs"))
-    idf = frequency.join(sizes, group).select(
+    sizes = frequency.where(F.col("term") == "").select(group, F.col("df").alias("docs"))
+    idf = frequency.where(F.col("term") != "").join(sizes, group).select(
         group, "term", "df", (F.log((1 + F.col("docs")) / (1 + F.col("df"))) + 1).alias("idf")
     )
     tf = term_counts(df, key, text, stopwords, [group])
-    weighted = hot_key_join(tf, idf, [group, "term"], "df", spread_by=key).withColumn("w", F.col("tf") * F.col("idf"))
+    if fits_broadcast(frequency, ["term"]):
+        joined = tf.join(F.broadcast(idf), [group, "term"])
+    else:
+        joined = hot_key_join(tf, idf, [group, "term"], "df", spread_by=key)
+    weighted = joined.withColumn("w", F.col("tf") * F.col("idf"))
     length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
     scores = (
         weighted.withColumn("unit", F.col("w") / length)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from pulsegrain.functions import values as vl
 from pulsegrain.operators import metrics, ranking, reshape, terms, vectors
+from pulsegrain.session import written
 from pulsegrain.sources import files
 
 
@@ -80,6 +81,8 @@ def related_terms(
     """Per query: the nearest texts, their key terms, and the edges query -> term."""
     near = vectors.vector_topk(vector_rows, queries, top, key, query_id=group, same=group)
     found = near.join(texts, F.col("id") == F.col(text_key)).select("query_id", F.col("id").alias("_doc"), text)
+    # A few texts per query, read twice from here on.
+    found = written(found, "related")
     scored = terms.tfidf_top_n(found, "_doc", text, "query_id", n=n)
     return reshape.edge_list(scored, F.col("query_id"), "term", "score", "rank")
 

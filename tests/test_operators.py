@@ -200,7 +200,7 @@ def test_empty_keyword_table(spark):
 DOCS = [(1, "g", "red ring red"), (2, "g", "blue ring"), (3, "g", "zz red ring blue"), (4, "h", "solo solo"), (5, "g", "!")]
 
 
-def test_tfidf_follows_the_formula(spark):
+def test_tfidf_follows_the_formula(spark, monkeypatch):
     df = spark.createDataFrame(DOCS, "id long, grp string, t string")
     expected = Counter()
     for grp in "gh":
@@ -211,11 +211,22 @@ def test_tfidf_follows_the_formula(spark):
             length = math.sqrt(sum(v * v for v in weight.values()))
             for w, v in weight.items():
                 expected[grp, w] += v / length
-    for broadcast in ("10485760", "-1"):
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    for limit in (match.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(match, "BROADCAST_BYTES", limit)
         got = {(r.grp, r.term): r.score for r in terms.tfidf_top_n(df, "id", "t", "grp").collect()}
         assert got == pytest.approx(dict(expected), abs=1e-6)
-    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_hot_keys_join_like_any_other(spark, rows):
+    rng = random.Random(5)
+    big = [(i, rng.choice(["hot", "hot", "warm", f"k{rng.randint(0, 30)}"])) for i in range(400)]
+    counts = Counter(k for _, k in big)
+    small = [(k, n, f"v{k}") for k, n in counts.items()] + [("unused", 0, "v")]
+    left = spark.createDataFrame(big, "id long, k string")
+    right = spark.createDataFrame(small, "k string, n long, v string")
+    for hottest in (2, 10, 1000):
+        got = match.hot_key_join(left, right, ["k"], "n", spread_by="id", hottest=hottest)
+        assert rows(got, "id", "k", "v") == sorted(((i, k, f"v{k}") for i, k in big), key=repr)
 
 
 def test_cooccurrence(spark, rows):
