@@ -76,13 +76,15 @@ def vector_topk(
     queries than fit one task are answered in slices of the query table.
     """
     wanted = [query_id, query] + ([same] if same and same != query_id else [])
+    # Stored first, since the size is read before the rows.
+    queries = written(queries.select(*wanted), "queries")
     size = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(query)).alias("d")).first()
     if not size["n"]:
         return vectors.sparkSession.createDataFrame([], "query_id long, id long, similarity double, rank int")
     slices = -(-size["n"] * size["d"] // MAX_QUERY_NUMBERS)
     results = None
     for s in range(slices):
-        part = queries.select(*wanted)
+        part = queries
         if slices > 1:
             part = part.where(F.pmod(F.xxhash64(query_id), F.lit(slices)) == s)
         rows = part.orderBy(query_id).collect()

@@ -3,10 +3,9 @@
 from pyspark.sql import functions as F
 
 from pulsegrain.functions import text as tx
-from pulsegrain.functions import values as vl
 from pulsegrain.operators import models, reshape, terms, vectors
 from pulsegrain.registry.base import (
-    COMMENTS, CLASSES, NEGATIVE, POSITIVE, SENTENCES, TEXT_TERMS, query, sql_any, sql_count, sql_list, sql_sentences, sql_text, sql_tokens,
+    COMMENTS, CLASSES, NEGATIVE, POSITIVE, TEXT_TERMS, query, sql_count, sql_list, sql_sentences, sql_tokens,
 )
 from pulsegrain.session import new_path
 from pulsegrain.sources import files, views

@@ -6,7 +6,7 @@ from pulsegrain.functions import text as tx
 from pulsegrain.functions import values as vl
 from pulsegrain.operators import models, rows
 from pulsegrain.registry.base import (
-    COMMENTS, KEYWORDS, SENTENCES, SPACE, TEXT_TERMS, query, sql_any, sql_count, sql_list, sql_text,
+    COMMENTS, KEYWORDS, SENTENCES, SPACE, query, sql_any, sql_count, sql_list,
 )
 from pulsegrain.sources import views
 

@@ -4,10 +4,10 @@ from pyspark.sql import functions as F
 
 from pulsegrain import lexicons
 from pulsegrain.functions import values as vl
-from pulsegrain.operators import match, metrics, ranking, reshape, rows
+from pulsegrain.operators import metrics, ranking, reshape, rows
 from pulsegrain.registry.base import (
-    BEST, COMMENTS, GRID, HITS, KEYWORDS, OVERALL, REQUESTS, SCORES, SENTENCES, SHARE, SPACE, TREND, keyword_table, query, sql_any,
-    sql_count, sql_list, sql_text,
+    BEST, GRID, HITS, KEYWORDS, OVERALL, REQUESTS, SCORES, SENTENCES, SHARE, SPACE, TREND, keyword_table, query, sql_any,
+    sql_list, sql_text,
 )
 from pulsegrain.registry.reshaping import COHORT_TOP
 from pulsegrain.sources import views

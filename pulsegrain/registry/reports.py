@@ -7,7 +7,7 @@ from pulsegrain.functions import values as vl
 from pulsegrain.operators import vectors
 from pulsegrain.plans import enrich, loads, report
 from pulsegrain.registry.base import (
-    ANY_LETTER, BEST, CLASSES, GRID, HITS, KEYWORDS, NEGATIVE, OVERALL, POSITIVE, REQUESTS, RUN_DATE, SCORES, SENTENCES, SHARE_STEPS, SPACE,
+    ANY_LETTER, BEST, CLASSES, GRID, KEYWORDS, NEGATIVE, OVERALL, POSITIVE, REQUESTS, RUN_DATE, SCORES, SENTENCES, SHARE_STEPS, SPACE,
     TEXT_TERMS, TREND, query, sql_any, sql_clean, sql_normalize, sql_sentences, sql_text, sql_tokens,
 )
 from pulsegrain.registry.corpus import CENTRES, sql_class, sql_label, sql_near, sql_score, sql_tfidf

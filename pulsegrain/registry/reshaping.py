@@ -8,7 +8,7 @@ from pulsegrain.functions import text as tx
 from pulsegrain.functions import values as vl
 from pulsegrain.operators import match, metrics, numbering, ranking, reshape, terms
 from pulsegrain.registry.base import (
-    AS_OF, KEYWORDS, REQUESTS, SENTENCES, SHARE, TEXT_TERMS, TREND, query, sql_lines, sql_list, sql_sentences, sql_text, sql_tokens,
+    AS_OF, KEYWORDS, REQUESTS, SENTENCES, SHARE, TREND, query, sql_lines, sql_list, sql_sentences, sql_text, sql_tokens,
 )
 from pulsegrain.sources import views
 

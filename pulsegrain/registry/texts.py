@@ -7,7 +7,7 @@ from pulsegrain.functions import html as hx
 from pulsegrain.functions import text as tx
 from pulsegrain.functions import values as vl
 from pulsegrain.registry.base import (
-    ANY_LETTER, REQUESTS, SPACE, TEXT_TERMS, query, sql_clean, sql_count, sql_list, sql_normalize, sql_strip, sql_text, sql_tokens,
+    ANY_LETTER, REQUESTS, SPACE, TEXT_TERMS, query, sql_clean, sql_count, sql_list, sql_normalize, sql_strip, sql_tokens,
 )
 from pulsegrain.sources import views
 

@@ -168,3 +168,18 @@ def test_trend_equals_batch(spark, feed, rows):
     streams.stream_trend(feed(("u", "a", at(1, 9)), ("u", "c", at(3))), "ts", "kind", "1 day", "10 days", target, state)
     got = rows(streams.read_trend(spark, target, "kind").select(F.dayofmonth("window_start").alias("d"), "kind", "n"))
     assert got == [(1, "a", 6), (1, "b", 5), (2, "a", 5), (2, "b", 5), (3, "c", 1)]
+
+
+def test_rows_behind_the_watermark_are_dropped(spark, feed, rows):
+    seen, seen_state, counts, count_state = (new_path(spark, n) for n in ("t", "s", "t", "s"))
+
+    def run(stream):
+        streams.stream_dedup(stream, ["user", "kind"], "ts", "1 hour", seen, seen_state)
+        streams.stream_trend(stream, "ts", "kind", "1 day", "1 hour", counts, count_state)
+
+    run(feed(("u", "a", at(1)), ("u", "b", at(5))))
+    run(feed(("w", "b", at(5, 1))))
+    run(feed(("late", "a", at(1, 1)), ("x", "b", at(5, 2))))
+    assert rows(spark.read.parquet(seen), "user", "kind") == [("u", "a"), ("u", "b"), ("w", "b"), ("x", "b")]
+    got = rows(streams.read_trend(spark, counts, "kind").select(F.dayofmonth("window_start").alias("d"), "kind", "n"))
+    assert got == [(1, "a", 1), (5, "b", 3)]
