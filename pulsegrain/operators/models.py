@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from pulsegrain.functions import values as vl
 from pulsegrain.operators.numbering import number_rows
 
+# Copies of one row that are made in one go.
+COPY_BLOCK = 10_000
+
 
 # -- sentiment and class by word lists
 
@@ -106,7 +109,13 @@ def oversample_classes(df: DataFrame, label: str, key: str) -> DataFrame:
     """
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_size"))
     largest = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).scalar()
-    numbered = number_rows(df, key, groups=[label], name="_no").join(sizes, label)
-    numbered = numbered.withColumn("_largest", largest)
-    copies = F.floor((F.col("_largest") - F.col("_no")) / F.col("_size")) + 1
-    return numbered.withColumn("copy_no", F.explode(F.sequence(F.lit(1), copies.cast("int")))).select(*df.columns, "copy_no")
+    numbered = number_rows(df, key, groups=[label], name="_no").join(sizes, label).withColumn("_largest", largest)
+    counted = numbered.withColumn("_copies", F.floor((F.col("_largest") - F.col("_no")) / F.col("_size")) + 1)
+    # The only row of a class may need as many copies as the largest class has
+    # rows: they are made block by block, and the blocks are spread over tasks.
+    blocks = counted.withColumn("_block", F.explode(F.sequence(F.lit(0), F.floor((F.col("_copies") - 1) / COPY_BLOCK))))
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    first = F.col("_block") * COPY_BLOCK + 1
+    last = F.least(F.col("_copies"), first + (COPY_BLOCK - 1))
+    return blocks.repartition(tasks, key, "_block").withColumn("copy_no", F.explode(F.sequence(first.cast("int"), last.cast("int")))) \
+        .select(*df.columns, "copy_no")

@@ -163,6 +163,7 @@ def test_numbers_are_consecutive(spark, rows, size):
 @pytest.mark.parametrize("size", [1000, 4])
 def test_oversampling_fills_every_class(spark, monkeypatch, size):
     monkeypatch.setattr(numbering, "ROWS_PER_RANGE", size)
+    monkeypatch.setattr(models, "COPY_BLOCK", size)
     df = spark.createDataFrame([("a", i) for i in range(10)] + [("b", 100 + i) for i in range(3)], "label string, row_id long")
     out = models.oversample_classes(df, "label", "row_id").collect()
     assert Counter(r.label for r in out) == {"a": 10, "b": 10}
@@ -302,6 +303,13 @@ def test_lexicon_class_and_sentiment(spark, rows):
     assert rows(got) == [("a b", "A", None, 0.0), ("aa b", "A", "1", 0.333333), ("b b a", "B", "0", 0.333333), ("x", "none", None, None)]
 
 
+def test_a_single_row_is_copied_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(models, "COPY_BLOCK", 7)
+    df = spark.createDataFrame([("a", i) for i in range(50)] + [("b", 99)], "label string, row_id long")
+    out = models.oversample_classes(df, "label", "row_id").where("label = 'b'").collect()
+    assert sorted(r.copy_no for r in out) == list(range(1, 51))
+
+
 def test_trained_classifier_beats_the_floor(spark):
     rng = random.Random(4)
     words = {"samsung": ["galaxy", "fold", "note"], "apple": ["iphone", "siri", "mac"], "none": ["weather", "lunch", "song"]}
