@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrain.functions import values as vl
 
+try:
+    import ahocorasick
+except ImportError:
+    ahocorasick = None
+
 
 def match_keywords(df: DataFrame, text: str, keywords: Sequence[str], regex: bool = False) -> DataFrame:
     """One row per text and listed keyword it contains.
@@ -32,6 +38,12 @@ def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], spread_by:
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
+# Keyword tables up to this length are written into the expression.
+SHORT_LEXICON = 64
+
+# Keyword tables up to this length are searched by an automaton in each task.
+LONG_LEXICON = 100_000
+
 # A table up to this estimate is handed to every executor.
 BROADCAST_BYTES = 64 << 20
 
@@ -63,22 +75,47 @@ def hot_key_join(
     return left.join(right, [*on, "_salt"]).drop("_salt")
 
 
+def _found_in_one_pass(text: Column, keywords: list[str]) -> Column:
+    """The distinct keywords in a text, by an automaton built once per task."""
+
+    @F.pandas_udf("array<string>")
+    def find(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        machine = ahocorasick.Automaton()
+        for keyword in keywords:
+            machine.add_word(keyword, keyword)
+        machine.make_automaton()
+        for part in parts:
+            yield part.map(lambda t: sorted({k for _, k in machine.iter(t)}) if t else [])
+
+    return find(text)
+
+
 def match_keyword_table(
     df: DataFrame, lexicon: DataFrame, text: str, key: str, gram: int = 3, salts: int = 8
 ) -> DataFrame:
     """As ``match_keywords`` with the keywords in column ``keyword`` of a table.
 
-    Each keyword is filed under its first characters (at most ``gram``); each
-    text offers the distinct character runs of those lengths. An equi-join on
-    the run finds candidates and a containment test settles them, so the work
-    follows the matches, not texts times keywords. Only ``key``, the id of a
-    text, travels with the runs; it also spreads common runs over tasks.
+    A table of at most ``SHORT_LEXICON`` keywords becomes part of the
+    expression. Up to ``LONG_LEXICON`` keywords of bounded size, each task builds one automaton
+    that finds all of them in a single pass over a text. Of a longer table, each
+    keyword is filed under its first characters (at most ``gram``); each text
+    offers the distinct character runs of those lengths. An equi-join on the run
+    finds candidates and a containment test settles them, so the work follows
+    the matches, not texts times keywords. Only ``key``, the id of a text,
+    travels with the runs; it also spreads common runs over tasks.
     """
     terms = lexicon.select("keyword").where(F.length("keyword") > 0).distinct()
+    size = terms.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("keyword")).alias("bytes")).first()
+    if not size["n"]:
+        return df.withColumn("keyword", F.lit(None).cast("string")).where(F.lit(False))
+    longest = max(SHORT_LEXICON, LONG_LEXICON if ahocorasick else 0)
+    if size["n"] <= longest and size["bytes"] <= BROADCAST_BYTES:
+        known = sorted(r[0] for r in terms.collect())
+        if len(known) <= SHORT_LEXICON:
+            return match_keywords(df, text, known)
+        return df.withColumn("keyword", F.explode(_found_in_one_pass(F.col(text), known)))
     filed = terms.withColumn("_run", F.left("keyword", F.lit(gram)))
     sizes = sorted(r[0] for r in filed.select(F.length("_run")).distinct().collect())  # at most ``gram`` rows
-    if not sizes:
-        return df.withColumn("keyword", F.lit(None).cast("string")).where(F.lit(False))
     subject = F.col(text)
 
     def runs(size: int):

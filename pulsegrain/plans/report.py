@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegrain.functions import values as vl
-from pulsegrain.operators import metrics, ranking, reshape, terms, vectors
+from pulsegrain.operators import match, metrics, ranking, reshape, terms, vectors
 from pulsegrain.session import written
 from pulsegrain.sources import files
 
@@ -55,6 +55,32 @@ def report_keywords(sentences: DataFrame, keywords: Sequence[str]) -> DataFrame:
     return _report_rows(months, cells)
 
 
+def request_trends(sentences: DataFrame, requests: DataFrame, request: str = "request_id") -> DataFrame:
+    """The monthly trend of every request at once; a request has its own ``keywords``.
+
+    Sentences are matched once against the keywords of all requests and counted
+    per brand, month and keyword. Requests meet only those stored counts, and
+    shares are taken within the keywords of the request.
+    """
+    wanted = requests.select(request, F.explode(F.array_distinct("keywords")).alias("keyword"))
+    dated = sentences.select("id", "brand", "sentence", "sentiment_label", vl.month_start(F.col("commented_at")).alias("month"))
+    hits = match.match_keyword_table(dated, wanted, "sentence", "id")
+    counts = written(
+        hits.groupBy("brand", "month", "keyword").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count_if(F.col("sentiment_label") == "1").alias("p"),
+            F.count_if(F.col("sentiment_label") == "0").alias("m"),
+        ), "keyword-months",
+    )
+    whole = F.sum("n").over(Window.partitionBy(request, "brand", "month"))
+    return wanted.join(counts, "keyword").select(
+        request, "brand", vl.month_label(F.col("month")).alias("month"), "keyword",
+        vl.safe_ratio(F.col("n"), whole, 4).alias("ratio"),
+        vl.safe_ratio(F.col("p"), F.col("n"), 4).alias("pos_ratio"),
+        vl.safe_ratio(F.col("m"), F.col("n"), 4).alias("neg_ratio"),
+    )
+
+
 def report_sentiment(sentences: DataFrame, brands: DataFrame, keywords: Sequence[str]) -> DataFrame:
     """Keyword scores, overall shares and the best sentence per cell."""
     sums = metrics.sentiment_sums(sentences, keywords)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from pulsegrain import lexicons
 from pulsegrain.functions import values as vl
-from pulsegrain.operators import vectors
+from pulsegrain.operators import ranking, vectors
 from pulsegrain.plans import enrich, loads, report
 from pulsegrain.registry.base import (
     ANY_LETTER, BEST, CLASSES, GRID, KEYWORDS, NEGATIVE, OVERALL, POSITIVE, REQUESTS, RUN_DATE, SCORES, SENTENCES, SHARE_STEPS, SPACE,
@@ -105,6 +105,21 @@ def _(spark, sf):
     return report.report_keywords(views.sentences(spark, sf), KEYWORDS)
 
 
+@query("report_request_trends", f"""WITH {SENTENCES},
+first AS (SELECT p_size AS request_id, p_name FROM part QUALIFY row_number() OVER (PARTITION BY p_size ORDER BY p_partkey) <= 2),
+wanted AS (SELECT DISTINCT request_id, unnest(string_split(p_name, ' ')) AS keyword FROM first),
+cells AS (SELECT brand, strftime(commented_at, '%Y-%m') AS month, keyword, count(*) AS n, count(*) FILTER (sentiment_label = '1') AS p,
+                 count(*) FILTER (sentiment_label = '0') AS m
+          FROM sentences JOIN (SELECT DISTINCT keyword FROM wanted) ON contains(sentence, keyword) GROUP BY ALL)
+SELECT request_id, brand, month, keyword, round(n / sum(n) OVER (PARTITION BY request_id, brand, month), 4) AS ratio,
+       round(p / n, 4) AS pos_ratio, round(m / n, 4) AS neg_ratio FROM wanted JOIN cells USING (keyword)""")
+def _(spark, sf):
+    # A request asks for the words of two product names, so its list is short.
+    names = ranking.top_per_group(views.table(spark, sf, "part"), ["p_size"], [F.asc("p_partkey")], 2)
+    requests = names.groupBy(F.col("p_size").alias("request_id")).agg(F.flatten(F.collect_list(F.split("p_name", " "))).alias("keywords"))
+    return report.request_trends(views.sentences(spark, sf), requests)
+
+
 @query("report_sentiment", f"""WITH {SCORES}, {OVERALL}, {BEST}, {GRID}
 SELECT 'score' AS section, brand, '' AS month, keyword, 'pos' AS metric, pos AS value, '' AS sentence FROM scores
 UNION ALL SELECT 'score', brand, '', keyword, 'neg', neg, '' FROM scores

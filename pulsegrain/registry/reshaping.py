@@ -156,6 +156,15 @@ def _(spark, sf):
     return match.match_keyword_table(documents, lexicon, "text", "doc_id").select("doc_id", "keyword")
 
 
+@query("keyword_table_join", f"""SELECT doc_id, keyword FROM documents
+  JOIN (SELECT DISTINCT unnest({sql_sentences('text')}) AS keyword FROM benchmark) ON contains(text, keyword)""")
+def _(spark, sf):
+    # Whole sentences as keywords: too many for one expression.
+    lexicon = views.table(spark, sf, "benchmark").select(F.explode(tx.sentences_of(F.col("text"))).alias("keyword"))
+    documents = views.texts(spark, sf, "documents", "doc_id", "text")
+    return match.match_keyword_table(documents, lexicon, "text", "doc_id").select("doc_id", "keyword")
+
+
 @query("exists_semi", "SELECT doc_id, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)")
 def _(spark, sf):
     return match.exists_semi(views.table(spark, sf, "documents").select("doc_id", "lang"), views.table(spark, sf, "labels"), ["doc_id"])

@@ -70,6 +70,37 @@ def test_mean_rating(spark, rows):
     assert rows(metrics.group_mean_rating(df, "item", "rating", rules)) == [("apple", 0.0), ("samsung", 4.5)]
 
 
+def test_shares_add_up(fact):
+    rng = random.Random(6)
+    df = fact(*[
+        {"s": " ".join(rng.choices(["k1", "k2", "k3", "x"], k=3)), "brand": rng.choice("bc"), "label": rng.choice(["1", "0", None]),
+         "score": rng.random(), "at": datetime(2025, rng.randint(1, 3), 1)} for _ in range(200)
+    ])
+    keys = ["k1", "k2", "k3"]
+    for frame, group, column, whole, slack in (
+        (metrics.keyword_month_trend(df, keys), ["brand", "month"], "ratio", 1, 3e-4),
+        (metrics.keyword_percentage(df, keys), ["brand"], "pct", 100, 3e-2),
+        (metrics.overall_sentiment_ratio(df).withColumn("both", F.col("pos") + F.col("neg")), ["brand"], "both", 1, 2e-4),
+    ):
+        for r in frame.groupBy(*group).agg(F.sum(column).alias("t")).collect():
+            assert r.t == pytest.approx(whole, abs=slack)
+
+
+def test_requests_are_answered_like_one_by_one(spark, fact, rows, monkeypatch):
+    from pulsegrain.plans import report
+
+    rng = random.Random(7)
+    df = fact(*[{"s": " ".join(rng.choices(["k1", "k2", "k3", "k4"], k=2)), "label": rng.choice("10"), "at": datetime(2025, rng.randint(1, 2), 1)}
+                for _ in range(60)])
+    asked = {1: ["k1", "k2"], 2: ["k2", "k3", "k3"], 3: ["absent"]}
+    requests = spark.createDataFrame(list(asked.items()), "request_id long, keywords array<string>")
+    single = sorted(((i, *r) for i, ks in asked.items() for r in map(tuple, metrics.keyword_month_trend(df, list(dict.fromkeys(ks))).collect())), key=repr)
+    for short, long in ((64, 100), (1, 100), (1, 1)):
+        monkeypatch.setattr(match, "SHORT_LEXICON", short)
+        monkeypatch.setattr(match, "LONG_LEXICON", long)
+        assert rows(report.request_trends(df, requests)) == single
+
+
 # -- ranking
 
 def test_top_comment(fact, spark, rows):
@@ -174,7 +205,7 @@ def test_oversampling_fills_every_class(spark, monkeypatch, size):
 
 # -- matching
 
-def test_keyword_table_equals_brute_force(spark, rows):
+def test_keyword_table_equals_brute_force(spark, rows, monkeypatch):
     rng = random.Random(2)
     texts = ["".join(rng.choice("ab 가나😀") for _ in range(rng.randint(0, 30))) for _ in range(60)] + ["hot aab 가나"] * 40
     words = sorted({"".join(rng.choice("ab가나😀 ") for _ in range(rng.randint(1, 5))) for _ in range(40)})
@@ -182,6 +213,10 @@ def test_keyword_table_equals_brute_force(spark, rows):
     lexicon = spark.createDataFrame([(w,) for w in words] + [("",), ("ab",)], "keyword string")
     brute = sorted(((i, w) for i, t in enumerate(texts) for w in set(words) | {"ab"} if w in t), key=repr)
     assert rows(match.match_keyword_table(df, lexicon, "t", "id"), "id", "keyword") == brute
+    monkeypatch.setattr(match, "SHORT_LEXICON", 3)
+    assert rows(match.match_keyword_table(df, lexicon, "t", "id"), "id", "keyword") == brute
+    monkeypatch.setattr(match, "LONG_LEXICON", 3)
+    assert rows(match.match_keyword_table(df, lexicon, "t", "id"), "id", "keyword") == brute
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         assert rows(match.match_keyword_table(df, lexicon, "t", "id"), "id", "keyword") == brute
