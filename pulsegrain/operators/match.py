@@ -96,13 +96,13 @@ def match_keyword_table(
     """As ``match_keywords`` with the keywords in column ``keyword`` of a table.
 
     A table of at most ``SHORT_LEXICON`` keywords becomes part of the
-    expression. Up to ``LONG_LEXICON`` keywords of bounded size, each task builds one automaton
-    that finds all of them in a single pass over a text. Of a longer table, each
-    keyword is filed under its first characters (at most ``gram``); each text
-    offers the distinct character runs of those lengths. An equi-join on the run
-    finds candidates and a containment test settles them, so the work follows
-    the matches, not texts times keywords. Only ``key``, the id of a text,
-    travels with the runs; it also spreads common runs over tasks.
+    expression. Up to ``LONG_LEXICON`` keywords of bounded size, each task
+    builds one automaton that finds all of them in a single pass over a text.
+    Of a longer table, each keyword is filed under its first characters (at most
+    ``gram``); each text offers the distinct character runs of those lengths. An
+    equi-join on the run finds candidates and a containment test settles them,
+    so the work follows the matches, not texts times keywords. Only ``key``, the
+    id of a text, travels with the runs; it also spreads common runs over tasks.
     """
     terms = lexicon.select("keyword").where(F.length("keyword") > 0).distinct()
     size = terms.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("keyword")).alias("bytes")).first()
