@@ -260,11 +260,11 @@ def more_than_chance(toxic: int, clean: int, units: int) -> int:
     return math.ceil(math.log(max(units, 2)) / -math.log(max(toxic, 1) / max(toxic + clean, 2))) if clean else 1
 
 
-def fit_curve(found: np.ndarray, toxic: np.ndarray) -> tuple[tuple[float, float], float]:
-    """Slopes and shift of the logistic curve, both labels weighing the same; a column that would count against is left out."""
+def fit_curve(found: np.ndarray, toxic: np.ndarray, rate: float) -> tuple[tuple[float, float], float]:
+    """Slopes and shift of the logistic curve where ``rate`` of the documents are toxic; a column that would count against is left out."""
     known = np.isfinite(found[:, 0])
     x, y = found[known], toxic[known].astype(float)
-    weight = np.where(y > 0, 1 / max(y.sum(), 1), 1 / max((1 - y).sum(), 1))
+    weight = np.where(y > 0, rate / max(y.sum(), 1), (1 - rate) / max((1 - y).sum(), 1))
     # As in Platt's fit, the targets stay off 0 and 1, so the curve keeps a finite slope.
     target = np.where(y > 0, (y.sum() + 1) / (y.sum() + 2), 1 / ((1 - y).sum() + 2))
     used = [0, 1]
@@ -284,9 +284,11 @@ def fit_curve(found: np.ndarray, toxic: np.ndarray) -> tuple[tuple[float, float]
         used = [used[1 - int(w[:-1].argmin())]]
 
 
-def learn(labelled: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic", sample_docs: int = SAMPLE_DOCS) -> Machine:
+def learn(labelled: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic", sample_docs: int = SAMPLE_DOCS,
+          rate: float | None = None) -> Machine:
     """The machine from about ``sample_docs`` labelled documents of each label, picked by a hash of the id.
 
+    ``rate`` is the share of toxic documents, by default that of ``labelled``.
     The driver receives the bounded candidates and, for each document of the
     sample, its worst unit.
     """
@@ -323,7 +325,8 @@ def learn(labelled: DataFrame, id: str = "doc_id", text: str = "text", label: st
             break
         negative += hard
         machine = train_units(disguised, negative)
-    machine.slope, machine.shift = fit_curve(np.array([(r["worst"], r["total"]) for r in worst]), np.array([r["toxic"] for r in worst]))
+    machine.slope, machine.shift = fit_curve(np.array([(r["worst"], r["total"]) for r in worst]), np.array([r["toxic"] for r in worst]),
+                                             counts[1] / (counts[0] + counts[1]) if rate is None else rate)
     return machine
 
 
@@ -372,7 +375,7 @@ def learn_from_tables(docs: DataFrame, labels: DataFrame, sample_docs: int = SAM
     share = F.when(F.col("toxic") == 1, 2 * sample_docs / counts.get(1, 1)).otherwise(2 * sample_docs / counts.get(0, 1))
     some = known.where(chance < share).select("doc_id", "toxic")
     near = marked(docs.select("doc_id", "text"), F.col("doc_id"), bitmap(some, F.col("doc_id"))).where("_hit").drop("_hit")
-    return learn(labelled_documents(near, some), sample_docs=sample_docs)
+    return learn(labelled_documents(near, some), sample_docs=sample_docs, rate=counts.get(1, 0) / max(1, sum(counts.values())))
 
 
 def drop_toxic(docs: DataFrame, machine: Machine, text: str = "text") -> DataFrame:
