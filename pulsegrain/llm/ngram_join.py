@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulsegrain.llm.batches import bound_batches
 from pulsegrain.llm.bitmaps import bitmap, marked, without_ids
 from pulsegrain.llm.components import components
 from pulsegrain.llm.words import batch_words, mix, shingles
@@ -219,6 +220,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wor
     ``class_id`` is the smallest id of the documents that links connect,
     ``n_links`` the number of other documents at the threshold or above.
     """
+    bound_batches(docs.sparkSession)
     bands, rows = choose_bands(threshold, recall, hashes)
     source = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
     kind = source.schema["id"].dataType.simpleString()

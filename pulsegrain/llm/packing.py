@@ -26,6 +26,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulsegrain.llm.batches import bound_batches
+
 WINDOW = 2048
 END_ID = 1
 CACHE_WORDS = 1_000_000  # a task's memory for known words; when full it starts anew
@@ -152,6 +154,7 @@ def _pack_split(path: str, size: int, end_id: int) -> Callable[[Iterator[pa.Reco
 
 def pack(docs: DataFrame, ranks: str, size: int = WINDOW, end_id: int = END_ID, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per piece. ``ranks`` is the path of a vocabulary file that every executor has."""
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return rows.mapInArrow(_pack_split(ranks, size, end_id), SCHEMA)
 

@@ -36,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulsegrain.llm.batches import bound_batches
 from pulsegrain.llm.bitmaps import bitmap, marked
 from pulsegrain.llm.words import slices, text_bytes
 from pulsegrain.session import written
@@ -292,6 +293,7 @@ def learn(labelled: DataFrame, id: str = "doc_id", text: str = "text", label: st
     The driver receives the bounded candidates and, for each document of the
     sample, its worst unit.
     """
+    bound_batches(labelled.sparkSession)
     rows = labelled.select(F.col(id).alias("doc"), F.col(label).cast("int").alias("toxic"), F.col(text).alias("text"))
     rows = rows.where("toxic IN (0, 1) AND text IS NOT NULL")
     counts = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
@@ -355,6 +357,7 @@ def _scores(machine: Machine):
 
 def score(docs: DataFrame, machine: Machine, id: str = "doc_id", text: str = "text") -> DataFrame:
     """id, held_out, score, predicted of every row."""
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.col(id), held_out(F.col(id)).alias("held_out"), F.col(text).alias("text"))
     kind = rows.schema[id].dataType.simpleString()
     scored = rows.mapInArrow(_scores(machine), f"`{id}` {kind}, held_out boolean, score double")
@@ -383,11 +386,11 @@ def drop_toxic(docs: DataFrame, machine: Machine, text: str = "text") -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            clean = machine.score(machine.worst(batch.column(batch.num_columns - 1))[0]) < CUT
-            yield batch.filter(pa.array(clean)).select(list(range(batch.num_columns - 1)))
+            yield batch.filter(pa.array(machine.score(machine.worst(batch.column(place))[0]) < CUT))
 
-    whole = docs.select(*[F.col(f"`{c}`") for c in docs.columns], F.col(text).alias("_scored_text_"))
-    return whole.mapInArrow(run, docs.schema)
+    place = docs.columns.index(text)
+    bound_batches(docs.sparkSession)
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
