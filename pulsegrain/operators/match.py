@@ -103,6 +103,7 @@ def match_keyword_table(
     equi-join on the run finds candidates and a containment test settles them,
     so the work follows the matches, not texts times keywords. Only ``key``, the
     id of a text, travels with the runs; it also spreads common runs over tasks.
+    Texts without an id are kept: candidates of the same id are settled by the text.
     """
     terms = lexicon.select("keyword").where(F.length("keyword") > 0).distinct()
     size = terms.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("keyword")).alias("bytes")).first()
@@ -127,7 +128,7 @@ def match_keyword_table(
     )
     candidates = salted_join(offered, filed, ["_run"], spread_by="_key", salts=salts) \
         .select("_key", "keyword").distinct()
-    found = df.join(candidates, F.col(key) == F.col("_key"))
+    found = df.join(candidates, F.col(key).eqNullSafe(F.col("_key")))
     return found.where(subject.contains(F.col("keyword"))).select(*df.columns, "keyword")
 
 

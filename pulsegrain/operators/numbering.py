@@ -8,15 +8,14 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows that one task may number; larger tables are cut into ranges of the key.
+# Rows that one task may number; the key is cut into ranges of about so many.
 ROWS_PER_RANGE = 1_000_000
-MAX_RANGES = 10_000
 
 
 def range_bounds(df: DataFrame, key: str, ranges: int) -> list[float]:
     """Bounds that cut ``key`` into about equal ranges, from a mergeable sketch."""
     shares = [i / ranges for i in range(1, ranges)]
-    found = df.agg(F.percentile_approx(F.col(key).cast("double"), shares, 10 * MAX_RANGES)).first()[0]
+    found = df.agg(F.percentile_approx(F.col(key).cast("double"), shares, 10 * ranges)).first()[0]
     return sorted(set(found or []))
 
 
@@ -30,20 +29,19 @@ def number_rows(
 ) -> DataFrame:
     """Number rows 1, 2, … by ``key`` then ``then_by``, within ``groups`` if given.
 
-    ``key`` is a number without NULLs and close to unique. A large table is cut
-    into ranges of the key; each range is numbered on its own and moved up by
-    the rows in the ranges before, so no task sees more than one range even if
-    there is only one group.
+    ``key`` is a number, close to unique; rows without one come first, in a
+    range of their own. The key is cut into ranges; each range is numbered on
+    its own and moved up by the rows in the ranges before, so no task sees more
+    than one range even if there is only one group.
     """
-    ranges = min(-(-df.count() // (rows_per_range or ROWS_PER_RANGE)), MAX_RANGES)
+    ranges = max(1, -(-df.count() // (rows_per_range or ROWS_PER_RANGE)))
     bounds = range_bounds(df, key, ranges) if ranges > 1 else []
-    if not bounds:
-        number = F.row_number().over(Window.partitionBy(*groups).orderBy(key, *then_by))
-        return df.withColumn(name, number.cast("long"))
-    splits = [float("-inf"), *bounds, float("inf")]
-    cut = Bucketizer(splits=splits, inputCol="_at", outputCol="_range").transform(
-        df.withColumn("_at", F.col(key).cast("double"))
-    ).drop("_at")
+    if bounds:
+        bucketizer = Bucketizer(splits=[float("-inf"), *bounds, float("inf")], inputCol="_at", outputCol="_found", handleInvalid="keep")
+        cut, found = bucketizer.transform(df.withColumn("_at", F.col(key).cast("double"))), F.col("_found")
+    else:
+        cut, found = df, F.lit(0.0)
+    cut = cut.withColumn("_range", F.when(F.col(key).isNull(), -1.0).otherwise(found)).drop("_at", "_found")
     sizes = cut.groupBy(*groups, "_range").agg(F.count(F.lit(1)).alias("_size"))
     # At most one row per range and group here.
     earlier = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)

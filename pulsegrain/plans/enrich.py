@@ -44,6 +44,19 @@ def comment_enrich(
     })
 
 
+MAX_STOPWORDS = 10_000
+
+
+def word_list(words: Sequence[str] | DataFrame) -> list[str]:
+    """A list of words, also from a table with column ``word``, which may hold MAX_STOPWORDS of them."""
+    if not isinstance(words, DataFrame):
+        return list(words)
+    found = sorted(r["word"] for r in words.select("word").where("word IS NOT NULL").distinct().limit(MAX_STOPWORDS + 1).collect())
+    if len(found) > MAX_STOPWORDS:
+        raise ValueError(f"more than {MAX_STOPWORDS} stop words; drop them from the tokens with an anti-join instead")
+    return found
+
+
 def review_enrich(
     reviews: DataFrame, item: str, text: str, rating: str, brands: Sequence[tuple[str, str]], brand_ids: Mapping[str, int],
     terms: Sequence[str], positive: Sequence[str], negative: Sequence[str], stopwords: Sequence[str] | DataFrame = (),
@@ -54,7 +67,7 @@ def review_enrich(
     The brand is read from the item name by containment; an unknown brand is NULL.
     """
     df = rows.drop_blank(rows.drop_nulls(reviews, [text]), text)
-    df = clean_sentences(df, text, list(stopwords), keep)
+    df = clean_sentences(df, text, word_list(stopwords), keep)
     df = rows.keep_any_keyword(df, "sentence", terms)
     label, score = models.lexicon_sentiment(F.col("sentence"), positive, negative)
     brand = vl.category_of(F.col(item), brands)

@@ -48,7 +48,7 @@ def _(spark, sf):
 @query("csv_roundtrip", "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part")
 def _(spark, sf):
     part = views.table(spark, sf, "part")
-    return files.read_csv(spark, files.write_csv(part, new_path(spark, "csv")), part.schema)
+    return files.read_csv(spark, files.write_csv(part, new_path(spark, "csv")), part.schema, multi_line=False)
 
 
 @query("catalogue_load", """SELECT p_partkey, p_brand || '의 ' || p_name || '은 ' || p_size ||

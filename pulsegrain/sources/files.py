@@ -39,8 +39,9 @@ def read_filtered(df: DataFrame, condition: Column, columns: Sequence[str]) -> D
     return df.where(condition).select(*columns)
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    return spark.read.csv(path, schema=schema, header=True, multiLine=True, escape='"')
+def read_csv(spark: SparkSession, path: str, schema: StructType | str, multi_line: bool = True) -> DataFrame:
+    """A CSV table. Without line ends in its values, ``multi_line=False`` lets many tasks read one file."""
+    return spark.read.csv(path, schema=schema, header=True, multiLine=multi_line, escape='"')
 
 
 def read_wordlist(spark: SparkSession, path: str) -> DataFrame:
@@ -107,9 +108,19 @@ def full_refresh(df: DataFrame, path: str) -> str:
 # -- load rules
 
 def replace_from_date(target: DataFrame, new: DataFrame, ts: str, run_date: str) -> DataFrame:
-    """Target rows before the run date and new rows from it on; loading twice changes nothing."""
+    """Target rows before the run date and new rows from it on; loading twice changes nothing.
+
+    Stored rows without a time stay. New rows without one, or from before the
+    run date, do not fit the rule; ``rejected_from_date`` gives them.
+    """
     day = F.lit(run_date).cast("timestamp_ntz")
-    return target.where(F.col(ts) < day).unionByName(new.where(F.col(ts) >= day))
+    stays = F.coalesce(F.col(ts) < day, F.lit(True))
+    return target.where(stays).unionByName(new.where(F.col(ts) >= day))
+
+
+def rejected_from_date(new: DataFrame, ts: str, run_date: str) -> DataFrame:
+    """The new rows that ``replace_from_date`` does not load: undated, or dated before the run date."""
+    return new.where(~F.coalesce(F.col(ts) >= F.lit(run_date).cast("timestamp_ntz"), F.lit(False)))
 
 
 def load_from_date(spark: SparkSession, path: str, new: DataFrame, ts: str, run_date: str) -> str:

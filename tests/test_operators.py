@@ -372,3 +372,18 @@ def test_model_hook_sees_whole_texts_in_batches(spark, rows):
 def test_sample_is_stable(spark, rows):
     df = spark.range(100).withColumnRenamed("id", "k")
     assert rows(models.sample_rows(df, "k", 10)) == rows(models.sample_rows(df.repartition(7), "k", 10))
+
+
+def test_numbers_keep_rows_without_a_key(spark, rows):
+    df = spark.createDataFrame([(None, "n"), (3, "c"), (1, "a"), (2, "b")], "k int, v string")
+    want = [("a", 2), ("b", 3), ("c", 4), ("n", 1)]
+    for per_range in (None, 1):
+        assert rows(numbering.number_rows(df, "k", ["v"], name="no", rows_per_range=per_range), "v", "no") == want
+
+
+def test_run_join_keeps_texts_without_an_id(spark, rows, monkeypatch):
+    monkeypatch.setattr(match, "SHORT_LEXICON", 0)
+    monkeypatch.setattr(match, "LONG_LEXICON", 0)
+    texts = spark.createDataFrame([(None, "red hot"), (None, "cold"), (1, "red")], "id int, t string")
+    words = spark.createDataFrame([("red",), ("cold",)], "keyword string")
+    assert rows(match.match_keyword_table(texts, words, "t", "id")) == sorted([(None, "red hot", "red"), (None, "cold", "cold"), (1, "red", "red")], key=repr)

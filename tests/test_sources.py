@@ -183,3 +183,17 @@ def test_rows_behind_the_watermark_are_dropped(spark, feed, rows):
     assert rows(spark.read.parquet(seen), "user", "kind") == [("u", "a"), ("u", "b"), ("w", "b"), ("x", "b")]
     got = rows(streams.read_trend(spark, counts, "kind").select(F.dayofmonth("window_start").alias("d"), "kind", "n"))
     assert got == [(1, "a", 1), (5, "b", 3)]
+
+
+def test_loads_keep_undated_rows_and_name_the_rejected(spark, rows):
+    schema = "id int, ts timestamp_ntz"
+    day = __import__("datetime").datetime
+    target = spark.createDataFrame([(1, day(2024, 1, 1)), (2, None), (3, day(2024, 2, 2))], schema)
+    new = spark.createDataFrame([(4, day(2024, 2, 1)), (5, None), (6, day(2024, 1, 31))], schema)
+    assert rows(files.replace_from_date(target, new, "ts", "2024-02-01"), "id") == [(1,), (2,), (4,)]
+    assert rows(files.rejected_from_date(new, "ts", "2024-02-01"), "id") == [(5,), (6,)]
+
+
+def test_stop_words_may_come_from_a_table(spark):
+    words = spark.createDataFrame([("the",), (None,), ("a",), ("a",)], "word string")
+    assert enrich.word_list(words) == ["a", "the"] and enrich.word_list(["x"]) == ["x"]
