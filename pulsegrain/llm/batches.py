@@ -1,10 +1,14 @@
-"""The size of Arrow batches, which is what a task holds of long texts at once."""
+"""The size of Arrow and scan batches, which is what a task holds of long texts at once."""
 
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-MOST = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1_000, "spark.sql.execution.arrow.maxBytesPerBatch": 8 << 20}
+MOST = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": 1_000,
+    "spark.sql.execution.arrow.maxBytesPerBatch": 8 << 20,
+    "spark.sql.parquet.columnarReaderBatchSize": 512,
+}
 
 
 def bound_batches(spark: SparkSession) -> None:

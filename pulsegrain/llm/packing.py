@@ -30,7 +30,7 @@ from pulsegrain.llm.batches import bound_batches
 
 WINDOW = 2048
 END_ID = 1
-CACHE_WORDS = 1_000_000  # a task's memory for known words; when full it starts anew
+CACHE_WORDS = 250_000  # a task's memory for known words; when full it starts anew
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _TWO_SPACES = re.compile(r"\s\s")
 _tokenizers: dict[str, Callable[[str], bytes]] = {}

@@ -66,6 +66,22 @@ def slices(offsets: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int,
         first = last
 
 
+def _hashes(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The hash of each word, in parts of at most SLICE_BYTES cut between words, one word at least."""
+    out = np.empty(len(starts), np.uint64)
+    first = 0
+    while first < len(starts):
+        last = max(int(np.searchsorted(ends, starts[first] + SLICE_BYTES, "right")), first + 1)
+        begin = starts[first]
+        part = low[begin:ends[last - 1]].astype(np.uint64) + np.uint64(1)
+        base, inverse = _up_to(len(part))
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(part * base[:len(part)], out=sums[1:])
+        out[first:last] = (sums[ends[first:last] - begin] - sums[starts[first:last] - begin]) * inverse[starts[first:last] - begin]
+        first = last
+    return mix(out)
+
+
 def batch_words(texts: pa.Array) -> Iterator[Words]:
     data, offsets = text_bytes(texts)
     for first, last in slices(offsets):
@@ -82,10 +98,7 @@ def batch_words(texts: pa.Array) -> Iterator[Words]:
         before = inner[inner > 0] - 1
         closes[before] = inside[before]
         starts, ends = np.flatnonzero(opens), np.flatnonzero(closes) + 1
-        base, inverse = _up_to(len(low))
-        sums = np.zeros(len(low) + 1, np.uint64)
-        np.cumsum((low.astype(np.uint64) + np.uint64(1)) * base[:len(low)], out=sums[1:])
-        yield Words(first, mix((sums[ends] - sums[starts]) * inverse[starts]), np.searchsorted(starts, borders))
+        yield Words(first, _hashes(low, starts, ends), np.searchsorted(starts, borders))
 
 
 def shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
