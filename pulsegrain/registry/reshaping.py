@@ -98,17 +98,13 @@ def _(spark, sf):
 
 
 @query("parse_numbered_list", """
-SELECT part_size AS p_size, CAST(rank - 1 AS INTEGER) AS pos,
-       CASE WHEN rank = 2 THEN 'C - ' || p_name || ' - y' ELSE p_name END AS name,
-       CASE WHEN rank = 1 THEN p_type ELSE '' END AS reason FROM (
-  SELECT p_size AS part_size, p_name, p_type, row_number() OVER (PARTITION BY p_size ORDER BY p_partkey) AS rank FROM part
-  QUALIFY rank <= 3)""")
+SELECT p_partkey, pos, CASE pos WHEN 1 THEN 'C - ' || p_name || ' - y' ELSE p_name END AS name,
+       CASE WHEN pos = 0 THEN p_type ELSE '' END AS reason
+FROM part CROSS JOIN (SELECT CAST(unnest(range(3)) AS INTEGER) AS pos)""")
 def _(spark, sf):
-    best = ranking.top_per_group(views.table(spark, sf, "part"), ["p_size"], [F.asc("p_partkey")], 3)
-    line = F.when(F.col("rank") == 1, F.concat(F.lit("1. "), "p_name", F.lit(" - "), "p_type")) \
-        .when(F.col("rank") == 2, F.concat(F.lit("2. C - "), "p_name", F.lit(" - y"))).otherwise(F.concat(F.lit("  "), "p_name"))
-    lists = best.groupBy("p_size").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", line.alias("l")))), lambda e: e["l"]), "\n").alias("t"))
-    return reshape.parse_numbered_list(lists, "t")
+    # Each product gives a list of three lines: with a reason, with too many dashes, and without a number.
+    lines = F.concat(F.lit("1. "), "p_name", F.lit(" - "), "p_type", F.lit("\n2. C - "), "p_name", F.lit(" - y\n  "), "p_name")
+    return reshape.parse_numbered_list(views.table(spark, sf, "part").select("p_partkey", lines.alias("t")), "t")
 
 
 @query("assign_ids", "SELECT doc_id, lang, source || '_' || (row_number() OVER (ORDER BY doc_id) - 1) AS id FROM documents")

@@ -27,11 +27,21 @@ def _(spark, sf):
 
 def _profile_sql():
     columns = {
-        "documents": ["doc_id", "text", "lang", "source", "n_chars"],
+        "region": ["r_regionkey", "r_name"],
+        "nation": ["n_nationkey", "n_name", "n_regionkey"],
+        "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
+        "supplier": ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"],
+        "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"],
+        "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
+        "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+                     "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"],
         "events": ["event_id", "ts", "user_id", "event_type", "value", "props"],
+        "documents": ["doc_id", "text", "lang", "source", "n_chars"],
+        "embeddings": ["vec_id", "embedding", "label"],
+        "pages": ["page_id", "url", "html"],
+        "benchmark": ["item_id", "text"],
         "labels": ["doc_id", "quality", "toxic"],
-        "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
-        "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"],
+        "conversations": ["conv_id", "turn", "role", "text"],
     }
     return " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS n_rows, '{c}' AS column_name, {i} AS position, "
@@ -42,7 +52,7 @@ def _profile_sql():
 
 @query("table_profile", _profile_sql())
 def _(spark, sf):
-    return files.table_profile({t: views.table(spark, sf, t) for t in ("documents", "events", "labels", "orders", "part")})
+    return files.table_profile({t: views.table(spark, sf, t) for t in views.TABLES})
 
 
 @query("csv_roundtrip", "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part")
