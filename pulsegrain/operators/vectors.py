@@ -73,14 +73,16 @@ def vector_topk(
     ``same`` names a column of both tables that must be equal (a metadata
     filter). Each task scans its vectors once against all queries as one matrix
     product and passes on k rows per query; the ranking sees only those. More
-    queries than fit one task are answered in slices of the query table.
+    queries than fit one task are answered in slices of the query table. A
+    query without a vector has no neighbours.
     """
     wanted = [query_id, query] + ([same] if same and same != query_id else [])
     # Stored first, since the size is read before the rows.
-    queries = written(queries.select(*wanted), "queries")
+    queries = written(queries.select(*wanted).where(F.col(query).isNotNull()), "queries")
+    kind = queries.schema[query_id].dataType.simpleString()
     size = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(query)).alias("d")).first()
     if not size["n"]:
-        return vectors.sparkSession.createDataFrame([], "query_id long, id long, similarity double, rank int")
+        return vectors.sparkSession.createDataFrame([], f"query_id {kind}, id long, similarity double, rank int")
     slices = -(-size["n"] * size["d"] // MAX_QUERY_NUMBERS)
     results = None
     for s in range(slices):
@@ -96,7 +98,7 @@ def vector_topk(
             *([F.col(same).alias("filter")] if same else []),
         ).where("embedding IS NOT NULL")
         body = _best_in_task([r[query_id] for r in rows], [r[same] if same else None for r in rows], matrix, k, bool(same))
-        near = source.mapInPandas(body, "query_id long, id long, similarity double")
+        near = source.mapInPandas(body, f"query_id {kind}, id long, similarity double")
         if slices > 1:
             near = written(near, "topk")
         results = near if results is None else results.unionAll(near)

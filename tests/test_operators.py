@@ -387,3 +387,10 @@ def test_run_join_keeps_texts_without_an_id(spark, rows, monkeypatch):
     texts = spark.createDataFrame([(None, "red hot"), (None, "cold"), (1, "red")], "id int, t string")
     words = spark.createDataFrame([("red",), ("cold",)], "keyword string")
     assert rows(match.match_keyword_table(texts, words, "t", "id")) == sorted([(None, "red hot", "red"), (None, "cold", "cold"), (1, "red", "red")], key=repr)
+
+
+def test_vector_queries_by_name_and_without_a_vector(spark):
+    table = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], "id long, embedding array<double>")
+    asked = spark.createDataFrame([("a", [2.0, 0.0]), ("b", None)], "query_id string, query array<double>")
+    assert [tuple(r) for r in vectors.vector_topk(table, asked, 1, "id").collect()] == [("a", 1, 1.0, 1)]
+    assert vectors.vector_topk(table, asked.where("query_id = 'b'"), 1, "id").collect() == []
