@@ -5,14 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF, IDF, IndexToString, RegexTokenizer, StringIndexer
+from pyspark.ml.feature import HashingTF, IDF, IndexToString, RegexTokenizer, SQLTransformer, StringIndexer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrain.functions import values as vl
 from pulsegrain.operators.numbering import number_rows
+from pulsegrain.session import written
 
 # Copies of one row that are made in one go.
 COPY_BLOCK = 10_000
@@ -73,24 +74,42 @@ def mapped_text(text: Column, fn: Callable[[str], str]) -> Column:
 
 # -- trained classifier
 
-def train_text_classifier(df: DataFrame, text: str, label: str, features: int = 1 << 14, iterations: int = 20) -> PipelineModel:
-    """Word-count TF-IDF features and a multinomial logistic regression."""
-    index = StringIndexer(inputCol=label, outputCol="_y", stringOrderType="alphabetAsc").fit(df)
-    steps = [
-        index,
-        RegexTokenizer(inputCol=text, outputCol="_words", pattern=r"[\p{L}\p{N}_]{2,}", gaps=False),
-        HashingTF(inputCol="_words", outputCol="_tf", numFeatures=features),
-        IDF(inputCol="_tf", outputCol="_features"),
-        LogisticRegression(featuresCol="_features", labelCol="_y", predictionCol="_p", maxIter=iterations, regParam=0.01),
-        IndexToString(inputCol="_p", outputCol="predicted", labels=index.labels),
-    ]
-    return Pipeline(stages=steps).fit(df)
+def train_text_classifier(
+    df: DataFrame, text: str, label: str, features: int = 1 << 14, iterations: int = 20, key: str | None = None, most: int = 50_000,
+) -> PipelineModel:
+    """Word-count TF-IDF features and a multinomial logistic regression.
+
+    At most ``most`` labelled rows teach it, drawn by ``key``; without a key all
+    do. Their hashed counts are stored once, and all steps are fitted on those.
+    Rows without a label teach nothing; a null text counts as empty.
+    """
+    known = df.where(F.col(label).isNotNull())
+    if key is not None:
+        known = known.join(sample_rows(known.select(key).where(F.col(key).isNotNull()).distinct(), key, most), key, "left_semi")
+    words = RegexTokenizer(inputCol="_text", outputCol="_words", pattern=r"[\p{L}\p{N}_]{2,}", gaps=False)
+    counts = HashingTF(inputCol="_words", outputCol="_tf", numFeatures=features)
+    texts = known.select(F.coalesce(text, F.lit("")).alias("_text"), F.col(label).alias("_label"))
+    hashed = written(counts.transform(words.transform(texts)).select("_label", "_tf"), "features")
+    index = StringIndexer(inputCol="_label", outputCol="_y", stringOrderType="alphabetAsc").fit(hashed)
+    weights = IDF(inputCol="_tf", outputCol="_features").fit(hashed)
+    taught = weights.transform(index.transform(hashed))
+    machine = LogisticRegression(featuresCol="_features", labelCol="_y", predictionCol="_p", maxIter=iterations, regParam=0.01).fit(taught)
+    given = SQLTransformer(statement=f"SELECT *, coalesce(`{text}`, '') AS _text FROM __THIS__")
+    return PipelineModel([given, words, counts, weights, machine, IndexToString(inputCol="_p", outputCol="predicted", labels=index.labels)])
+
+
+def save_classifier(model: PipelineModel, path: str) -> str:
+    model.write().overwrite().save(path)
+    return path
+
+
+def load_classifier(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
 
 
 def classify_text(df: DataFrame, model: PipelineModel, name: str = "predicted") -> DataFrame:
     """Add the predicted class; every model step runs inside Spark."""
-    steps = PipelineModel(model.stages[1:])
-    return steps.transform(df).select(*df.columns, F.col("predicted").alias(name))
+    return model.transform(df).select(*df.columns, F.col("predicted").alias(name))
 
 
 # -- samples

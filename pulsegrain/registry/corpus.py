@@ -57,19 +57,28 @@ def _(spark, sf):
     return terms.cooccurrence_top_n(_split(spark, sf), "sentence")
 
 
+# Terms whose partners are asked for.
+NAMED = ["the", "and", "de", "der", "thou", "license"]
+
+
 @query("cooccurrence_pairs", f"""WITH {SPLIT}, t AS (SELECT row_number() OVER () AS i, l FROM s), u AS (SELECT i, unnest(l) AS term FROM t)
-SELECT a.term AS term_a, b.term AS term_b, count(*) AS n FROM u a JOIN u b ON a.i = b.i AND a.term < b.term GROUP BY ALL""")
+SELECT a.term AS term_a, b.term AS term_b, count(*) AS n FROM u a JOIN u b ON a.i = b.i AND a.term <> b.term
+WHERE list_contains({sql_list(NAMED)}, a.term) GROUP BY ALL""")
 def _(spark, sf):
-    return terms.cooccurrence_pairs(_split(spark, sf), "sentence")
+    return terms.cooccurrence_pairs(_split(spark, sf), "sentence", NAMED)
+
+
+# The cosine from which two texts count as similar.
+LEAST = 0.5
 
 
 @query("count_vector_cosine", f"""WITH a AS (SELECT doc_id, term, count(*) AS n FROM (SELECT doc_id, unnest({sql_tokens('text')}) AS term FROM documents) GROUP BY ALL),
 b AS (SELECT item_id, term, count(*) AS n FROM (SELECT item_id, unnest({sql_tokens('text')}) AS term FROM benchmark) GROUP BY ALL),
 na AS (SELECT doc_id, CAST(sum(n * n) AS BIGINT) AS s FROM a GROUP BY ALL), nb AS (SELECT item_id, CAST(sum(n * n) AS BIGINT) AS s FROM b GROUP BY ALL),
 d AS (SELECT doc_id, item_id, CAST(sum(a.n * b.n) AS BIGINT) AS ab FROM a JOIN b USING (term) GROUP BY ALL)
-SELECT doc_id, item_id, round(ab / sqrt(CAST(na.s AS DOUBLE) * nb.s), 6) AS cosine FROM d JOIN na USING (doc_id) JOIN nb USING (item_id)""")
+SELECT doc_id, item_id, round(ab / sqrt(CAST(na.s AS DOUBLE) * nb.s), 6) AS cosine FROM d JOIN na USING (doc_id) JOIN nb USING (item_id) WHERE cosine >= {LEAST}""")
 def _(spark, sf):
-    return terms.count_vector_cosine(views.table(spark, sf, "documents"), views.table(spark, sf, "benchmark"), "doc_id", "item_id", "text")
+    return terms.count_vector_cosine(views.table(spark, sf, "documents"), views.table(spark, sf, "benchmark"), "doc_id", "item_id", "text", LEAST)
 
 
 MATCHING = "kept AS (SELECT * FROM documents WHERE regexp_matches(text, 'thou|eaux|keit'))"
@@ -154,20 +163,34 @@ def _labelled(spark, sf):
     )
 
 
-@query("train_text_classifier")
+#: Where the classifier of a session and a folder of tables is stored; it is fitted once.
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def _classifier(spark, sf):
+    place = (spark.sparkContext.applicationId, sf)
+    if place not in _STORED:
+        model = models.train_text_classifier(_labelled(spark, sf), "content", "class", key="comment_id")
+        _STORED[place] = models.save_classifier(model, new_path(spark, "classifier"))
+    return models.load_classifier(_STORED[place])
+
+
+CLASS_FLOOR = 0.5
+
+
+@query("train_text_classifier", """SELECT CASE WHEN toxic = 1 THEN 'second' WHEN label = 1 THEN 'first' ELSE 'none' END AS class, count(*) AS n, true AS above_floor
+FROM (SELECT l.quality AS label, l.toxic FROM documents d JOIN labels l ON d.doc_id = l.doc_id) WHERE label IS NOT NULL GROUP BY ALL""")
 def _(spark, sf):
-    labelled = _labelled(spark, sf)
-    model = models.train_text_classifier(labelled, "content", "class")
-    scored = models.classify_text(labelled, model)
-    return scored.groupBy("class").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("class") == F.col("predicted")).alias("correct")
-    )
+    # Of every class at least CLASS_FLOOR of the rows must be told right.
+    scored = models.classify_text(_labelled(spark, sf), _classifier(spark, sf))
+    right = F.count_if(F.col("class") == F.col("predicted"))
+    return scored.groupBy("class").agg(F.count(F.lit(1)).alias("n"), (right >= F.count(F.lit(1)) * CLASS_FLOOR).alias("above_floor"))
 
 
-@query("text_classify")
+@query("text_classify", "SELECT doc_id AS comment_id, true AS classified FROM documents")
 def _(spark, sf):
-    model = models.train_text_classifier(_labelled(spark, sf), "content", "class")
-    return models.classify_text(views.comments(spark, sf), model).select("comment_id", "predicted")
+    scored = models.classify_text(views.comments(spark, sf), _classifier(spark, sf))
+    return scored.select("comment_id", F.col("predicted").isin("first", "second", "none").alias("classified"))
 
 
 @query("vectorised_udf_surface", """SELECT doc_id, CASE WHEN 3 * v > a THEN '1' ELSE '0' END AS label, CAST(v AS DOUBLE) AS score FROM (

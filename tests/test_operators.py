@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulsegrain.operators import match, metrics, models, numbering, ranking, reshape, rows as ops, terms, vectors
+from pulsegrain.session import new_path
 
 FACT = "id string, brand string, sentence string, sentiment_label string, sentiment_score double, like_count int, commented_at timestamp_ntz"
 
@@ -271,7 +272,10 @@ def test_cooccurrence(spark, rows):
     for _, _, t in DOCS + DOCS[:1] * 3:
         words = sorted(set(w for w in t.split() if len(w) > 1))
         pairs.update((a, b) for i, a in enumerate(words) for b in words[i + 1:])
-    assert {(r.term_a, r.term_b): r.n for r in terms.cooccurrence_pairs(df, "t").collect()} == pairs
+    both = pairs + Counter({(b, a): n for (a, b), n in pairs.items()})
+    named = [*sorted({a for a, _ in both})[:3], "absent"]
+    got = {(r.term_a, r.term_b): r.n for r in terms.cooccurrence_pairs(df, "t", named).collect()}
+    assert got and got == {k: n for k, n in both.items() if k[0] in named}
     sums = Counter()
     for (a, b), n in pairs.items():
         sums[a] += n
@@ -280,16 +284,20 @@ def test_cooccurrence(spark, rows):
     assert {k: v for k, v in got.items() if v} == sums
 
 
-def test_count_vector_cosine(spark):
-    df = spark.createDataFrame(DOCS, "a long, grp string, t string")
+@pytest.mark.parametrize("least", [0.05, 0.5, 0.8, 1.0])
+def test_count_vector_cosine(spark, least):
+    rng = random.Random(5)
+    docs = DOCS + [(100 + i, "g", " ".join(rng.choices(["aa", "bb", "cc", "dd", "ee"], weights=[9, 4, 2, 1, 1], k=rng.randint(1, 9)))) for i in range(25)]
+    df = spark.createDataFrame(docs, "a long, grp string, t string")
     other = df.withColumnRenamed("a", "b")
-    got = {(r.a, r.b): r.cosine for r in terms.count_vector_cosine(df, other, "a", "b", "t").collect()}
-    vecs = {i: Counter(w for w in t.split() if len(w) > 1) for i, _, t in DOCS}
+    nulls = spark.createDataFrame([(None, "g", "aa"), (999, "g", None)], "a long, grp string, t string")
+    got = {(r.a, r.b): r.cosine for r in terms.count_vector_cosine(df.unionAll(nulls), other, "a", "b", "t", least).collect()}
+    vecs = {i: Counter(w for w in t.split() if len(w) > 1) for i, _, t in docs}
     for i, a in vecs.items():
         for j, b in vecs.items():
             dot = sum(a[w] * b[w] for w in a)
-            if dot:
-                norm = math.sqrt(sum(v * v for v in a.values()) * sum(v * v for v in b.values()))
+            norm = math.sqrt(sum(v * v for v in a.values()) * sum(v * v for v in b.values()))
+            if dot and round(dot / norm, 6) >= least:
                 assert got.pop((i, j)) == pytest.approx(dot / norm, abs=1e-6)
     assert not got
 
@@ -351,9 +359,12 @@ def test_trained_classifier_beats_the_floor(spark):
     data = [(i, " ".join(rng.choices(words[c], k=3) + rng.choices(["good", "bad", "the"], k=2)), c)
             for i, c in enumerate(rng.choices(list(words), k=300))]
     df = spark.createDataFrame(data, "id long, t string, y string")
-    model = models.train_text_classifier(df, "t", "y", features=256)
-    scored = models.classify_text(df, model)
+    model = models.train_text_classifier(df, "t", "y", features=256, key="id", most=200)
+    loaded = models.load_classifier(models.save_classifier(model, new_path(spark, "model")))
+    scored = models.classify_text(df, loaded)
     assert scored.where("y = predicted").count() / 300 > 0.95
+    none = spark.createDataFrame([(1, None), (2, "")], "id long, t string")
+    assert {r.predicted for r in models.classify_text(none, loaded).collect()} <= set(words)
 
 
 def test_model_hook_sees_whole_texts_in_batches(spark, rows):
