@@ -31,11 +31,21 @@ def prepared_reviews(staged: DataFrame) -> DataFrame:
     return rows.dedup_subset(df, lexicons.REVIEW_KEY, [F.desc("rating")])
 
 
-def comment_load(staged: DataFrame, target: DataFrame, run_date: str) -> DataFrame:
-    """The raw comment table after loading one staged partition."""
-    return files.replace_from_date(target, prepared_comments(staged), "commented_at", run_date)
+def _load_day(prepared: DataFrame, root: str, day: str, partition: str) -> DataFrame:
+    files.overwrite_partitions(prepared.withColumn(partition, F.lit(day).cast("date")), root, partition)
+    return files.read_partitions(prepared.sparkSession, root)
 
 
-def review_load(staged: DataFrame, target: DataFrame, run_date: str) -> DataFrame:
-    """The raw review table after loading one staged partition."""
-    return files.replace_from_date(target, prepared_reviews(staged), "purchased_at", run_date)
+def comment_load(staged: DataFrame, root: str, day: str, partition: str = "ds") -> DataFrame:
+    """The raw comment table at ``root`` after loading what was staged on one day.
+
+    The rows replace that day's partition, so loading twice changes nothing.
+    Late rows and rows without a time are kept; other days are not touched.
+    Where nothing was staged, the day stays as it was.
+    """
+    return _load_day(prepared_comments(staged), root, day, partition)
+
+
+def review_load(staged: DataFrame, root: str, day: str, partition: str = "ds") -> DataFrame:
+    """As ``comment_load`` for the raw review table."""
+    return _load_day(prepared_reviews(staged), root, day, partition)

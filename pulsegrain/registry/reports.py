@@ -15,48 +15,62 @@ from pulsegrain.session import new_path
 from pulsegrain.sources import files, views
 
 
-def _staged_comments(spark, sf):
-    """Comments as the collector stages them: texts and dates as strings."""
-    s = views.sentences(spark, sf)
-    return s.select(
-        F.col("order_id").cast("string").alias("video_id"),
-        F.when(F.col("sentiment_label").isNotNull(), F.col("sentence")).alias("comment"),
-        "like_count",
-        F.date_format("commented_at", lexicons.ISO_FORMAT).alias("comment_publish_date"),
-    )
+# The load before, and how far back a collector looks.
+EARLIER_DATE = "1998-05-25"
+
+
+def _staged(df, ts):
+    """What a collector finds on the run date: the last seven days, later rows, and rows without a time."""
+    since = (F.lit(RUN_DATE).cast("timestamp_ntz") - F.expr("INTERVAL 7 DAYS"))
+    return df.where(F.coalesce(F.col(ts) >= since, F.lit(True)))
 
 
-STAGED = f"""{SENTENCES},
-staged AS (SELECT CAST(order_id AS VARCHAR) AS video_id, CASE WHEN sentiment_label IS NULL THEN 'MISSING' ELSE sentence END AS content,
-                  like_count, commented_at FROM sentences),
-fresh AS (SELECT video_id, content, commented_at, max(like_count) AS like_count FROM staged GROUP BY ALL),
-target AS (SELECT video_id, content, like_count, commented_at FROM staged)"""
+def _loaded_before(df, ts, root):
+    """The stored table: rows from before the run date under the earlier load date."""
+    stored = df.where(F.col(ts) < F.lit(RUN_DATE).cast("timestamp_ntz"))
+    return files.overwrite_partitions(stored.withColumn("ds", F.lit(EARLIER_DATE).cast("date")), root)
 
 
-@query("comment_load", f"""WITH {STAGED}
-SELECT video_id, content, like_count, commented_at FROM target WHERE commented_at < TIMESTAMP '{RUN_DATE}'
-UNION ALL SELECT video_id, content, like_count, commented_at FROM fresh WHERE commented_at >= TIMESTAMP '{RUN_DATE}'""")
+def sql_loaded(rows: str, ts: str, columns: str, key: str, best: str) -> str:
+    """The stored rows, and one row per key of the staged ones under the run date."""
+    return f"""SELECT {columns}, '{EARLIER_DATE}' AS ds FROM {rows} WHERE {ts} < TIMESTAMP '{RUN_DATE}'
+UNION ALL SELECT {columns.replace(best, f'max({best}) AS {best}')}, '{RUN_DATE}' FROM {rows}
+WHERE {ts} IS NULL OR {ts} >= TIMESTAMP '{RUN_DATE}' - INTERVAL 7 DAY GROUP BY {key}"""
+
+
+@query("comment_load", f"""WITH {SENTENCES},
+target AS (SELECT CAST(order_id AS VARCHAR) AS video_id, CASE WHEN sentiment_label IS NULL THEN 'MISSING' ELSE sentence END AS content,
+                  like_count, commented_at FROM sentences)
+{sql_loaded('target', 'commented_at', 'video_id, content, like_count, commented_at', 'video_id, content, commented_at', 'like_count')}""")
 def _(spark, sf):
-    staged = _staged_comments(spark, sf)
-    target = views.sentences(spark, sf).select(
+    raw = views.sentences(spark, sf).select(
         F.col("order_id").cast("string").alias("video_id"),
-        F.when(F.col("sentiment_label").isNotNull(), F.col("sentence")).otherwise("MISSING").alias("content"),
-        "like_count", "commented_at",
+        F.when(F.col("sentiment_label").isNotNull(), F.col("sentence")).alias("content"), "like_count", "commented_at",
+    )
+    root = _loaded_before(raw.fillna(lexicons.MISSING_TEXT, ["content"]), "commented_at", new_path(spark, "comments"))
+    # As the collector stages them: texts and dates as strings.
+    staged = _staged(raw, "commented_at").select(
+        "video_id", F.col("content").alias("comment"), "like_count",
+        F.date_format("commented_at", lexicons.ISO_FORMAT).alias("comment_publish_date"),
     )
-    return loads.comment_load(staged, target, RUN_DATE)
+    for _run in range(2):
+        loaded = loads.comment_load(staged, root, RUN_DATE)
+    return loaded.withColumn("ds", F.date_format("ds", "yyyy-MM-dd"))
 
 
 @query("review_load", f"""WITH r AS (SELECT p_name AS item_name, p_type AS content, p_size AS rating, l_shipdate AS purchased_at FROM lineitem JOIN part ON l_partkey = p_partkey)
-SELECT item_name, content, rating, purchased_at FROM r WHERE purchased_at < TIMESTAMP '{RUN_DATE}'
-UNION ALL SELECT item_name, content, max(rating) AS rating, purchased_at FROM r WHERE purchased_at >= TIMESTAMP '{RUN_DATE}' GROUP BY ALL""")
+{sql_loaded('r', 'purchased_at', 'item_name, content, rating, purchased_at', 'item_name, content, purchased_at', 'rating')}""")
 def _(spark, sf):
     reviews = views.reviews(spark, sf)
-    staged = reviews.select(
+    root = _loaded_before(reviews, "purchased_at", new_path(spark, "reviews"))
+    staged = _staged(reviews, "purchased_at").select(
         F.col("item_name").alias("item"), F.col("content").alias("review_content"),
         F.concat(F.col("rating").cast("string"), F.lit("점")).alias("scoring"),
         F.date_format("purchased_at", "yyyy.MM.dd").alias("purchasing_date"),
     )
-    return loads.review_load(staged, reviews, RUN_DATE)
+    for _run in range(2):
+        loaded = loads.review_load(staged, root, RUN_DATE)
+    return loaded.withColumn("ds", F.date_format("ds", "yyyy-MM-dd"))
 
 
 def sql_cleaned(rows: str, carried: str, text: str, stopwords: list) -> str:

@@ -25,13 +25,17 @@ def staged(spark):
     ], STAGED)
 
 
-def test_comment_load_is_idempotent(spark, staged, rows):
-    target = spark.createDataFrame(
-        [("v0", "kept", 1, datetime(2024, 12, 1)), ("v0", "gone", 1, datetime(2025, 1, 5))],
-        "video_id string, content string, like_count int, commented_at timestamp_ntz")
-    once = loads.comment_load(staged, target, "2025-01-02")
-    assert rows(once, "video_id", "content", "like_count") == [("v0", "kept", 1), ("v1", "MISSING", 0), ("v1", "좋다", 9)]
-    assert rows(loads.comment_load(staged, once, "2025-01-02")) == rows(once)
+def test_comment_load_replaces_its_day(spark, staged, rows):
+    root = new_path(spark, "comments")
+    undated = staged.limit(1).withColumn("comment", F.lit("undated")).withColumn("comment_publish_date", F.lit("?"))
+    loads.comment_load(staged.where("video_id = 'v2'"), root, "2025-01-02")
+    loads.comment_load(staged.where("video_id = 'v2'"), root, "2025-01-03")
+    for _run in range(2):
+        once = loads.comment_load(staged.unionByName(undated), root, "2025-01-03")
+    assert rows(once.select("video_id", "content", "like_count", F.col("ds").cast("string"))) == sorted([
+        ("v2", "old", 0, "2025-01-02"), ("v1", "MISSING", 0, "2025-01-03"), ("v1", "undated", 1, "2025-01-03"),
+        ("v1", "좋다", 9, "2025-01-03"), ("v2", "old", 0, "2025-01-03")], key=repr)
+    assert loads.comment_load(staged.limit(0), root, "2025-01-03").count() == 5
 
 
 def test_review_load(spark, rows):
