@@ -116,32 +116,21 @@ def cooccurrence_pairs(df: DataFrame, text: str, named: Sequence[str], stopwords
 def count_vector_cosine(left: DataFrame, right: DataFrame, left_key: str, right_key: str, text: str, least: float = 0.8) -> DataFrame:
     """Pairs of ``left`` and ``right`` texts whose term-count vectors have a cosine of ``least`` or more.
 
-    Prefix filtering: terms are put in one order, rare ones first. What follows
-    a text's prefix is shorter than ``least`` of its length, so two texts that
-    share no prefix term cannot reach it. Only prefixes are joined, and only
-    the pairs found are settled on their whole vectors. Texts without terms
-    have no partner.
+    ``right`` is a set of questions put to the texts of ``left``. The products
+    are joined on the term, spread over tasks by the left id. Texts without a
+    term or without an id have no partner.
     """
-    def counted(df: DataFrame, key: str, side: str) -> DataFrame:
+    def vector(df: DataFrame, key: str, side: str) -> DataFrame:
         squares = F.sum(F.col("tf") * F.col("tf")).over(Window.partitionBy(key))
-        return written(term_counts(df, key, text).where(F.col(key).isNotNull()).withColumn("sq", squares)
-                       .select(F.col(key).alias(side), "term", "tf", "sq"), f"counts-{side}")
-
-    def prefix(vector: DataFrame, side: str) -> DataFrame:
-        rest = Window.partitionBy(side).orderBy(F.desc("df"), F.desc("term"))
-        ordered = hot_key_join(vector, frequency, ["term"], "df", spread_by=side)
-        tail = ordered.withColumn("tail", F.sum(F.col("tf") * F.col("tf")).over(rest.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        return tail.where(F.col("tail") >= F.col("sq") * (least * least * (1 - 1e-9))).select(side, "term")
-
-    a, b = counted(left, left_key, "_a"), counted(right, right_key, "_b")
-    frequency = written(a.select("term").unionAll(b.select("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df")), "frequency")
-    pairs = salted_join(prefix(a, "_a"), prefix(b, "_b"), ["term"], spread_by="_a").select("_a", "_b").distinct()
-    sides = pairs.join(a, "_a").join(b.select("_b", "term", F.col("tf").alias("tf_b"), F.col("sq").alias("sq_b")), ["_b", "term"])
-    dots = sides.groupBy("_a", "_b").agg(
-        F.sum(F.col("tf") * F.col("tf_b")).alias("ab"), F.max("sq").alias("aa"), F.max("sq_b").alias("bb")
+        counts = term_counts(df.where(F.col(key).isNotNull()), key, text)
+        return counts.select(key, "term", F.col("tf").alias(f"tf_{side}"), squares.alias(f"sq_{side}"))
+
+    pairs = salted_join(vector(left, left_key, "a"), vector(right, right_key, "b"), ["term"], spread_by=left_key)
+    dots = pairs.groupBy(left_key, right_key).agg(
+        F.sum(F.col("tf_a") * F.col("tf_b")).alias("ab"), F.max("sq_a").alias("aa"), F.max("sq_b").alias("bb")
     )
-    cosine = F.round(F.col("ab") / F.sqrt(F.col("aa").cast("double") * F.col("bb")), 6)
-    return dots.select(F.col("_a").alias(left_key), F.col("_b").alias(right_key), cosine.alias("cosine")).where(F.col("cosine") >= least)
+    length = F.sqrt(F.col("aa").cast("double") * F.col("bb"))
+    return dots.select(left_key, right_key, F.round(F.col("ab") / length, 6).alias("cosine")).where(F.col("cosine") >= least)
 
 
 def keyword_extract(df: DataFrame, key: str, text: str, group: str, terms: Sequence[str], n: int = 20) -> DataFrame:

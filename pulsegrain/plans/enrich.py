@@ -33,9 +33,16 @@ def clean_sentences(
 def comment_enrich(
     comments: DataFrame, text: str, classes: Mapping[str, Sequence[str]], positive: Sequence[str], negative: Sequence[str],
     stopwords: Sequence[str] = tuple(lexicons.COMMENT_STOPWORDS), keep: str = lexicons.KEPT_CHARACTERS, split_first: bool = True,
+    same: Sequence[str] = (), survivor: Sequence[Column] = (),
 ) -> DataFrame:
-    """Comments to classified, scored sentences; sentences without a class term are dropped."""
-    df = rows.drop_blank(rows.drop_latin_only(rows.dedup_rows(comments), text), text)
+    """Comments to classified, scored sentences; sentences without a class term are dropped.
+
+    Every other column (id, time, likes) goes with its sentences. Comments are
+    copies when all their columns are equal, or those in ``same``; of copies
+    the first in the order ``survivor`` stays.
+    """
+    df = rows.drop_blank(rows.drop_latin_only(comments, text), text)
+    df = rows.dedup_subset(df, same, survivor) if same else rows.dedup_rows(df)
     df = clean_sentences(df, text, stopwords, keep, split_first)
     df = rows.keep_any_keyword(df, "sentence", [t for terms in classes.values() for t in terms])
     label, score = models.lexicon_sentiment(F.col("sentence"), positive, negative)

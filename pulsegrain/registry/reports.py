@@ -84,15 +84,16 @@ cleaned AS (SELECT {carried}, pos, {clean} AS sentence FROM split)"""
 CLASS_TERMS = [t for terms in CLASSES.values() for t in terms]
 
 
-@query("comment_enrich", f"""WITH kept AS (SELECT DISTINCT text, lang FROM documents
-  WHERE NOT regexp_full_match(text, '([a-zA-Z]|{SPACE})+') AND NOT regexp_full_match(text, '{SPACE}*')),
-{sql_cleaned('kept', 'lang', 'text', TEXT_TERMS)}
-SELECT lang, pos, sentence, {sql_class('sentence')} AS brand, {sql_label('sentence')} AS sentiment_label, {sql_score('sentence')} AS sentiment_score
+@query("comment_enrich", f"""WITH kept AS (SELECT min(doc_id) AS doc_id, text, lang, arg_min(n_chars, doc_id) AS like_count FROM documents
+  WHERE NOT regexp_full_match(text, '([a-zA-Z]|{SPACE})+') AND NOT regexp_full_match(text, '{SPACE}*') GROUP BY text, lang),
+{sql_cleaned('kept', 'doc_id, like_count, lang', 'text', TEXT_TERMS)}
+SELECT doc_id, like_count, lang, pos, sentence, {sql_class('sentence')} AS brand, {sql_label('sentence')} AS sentiment_label, {sql_score('sentence')} AS sentiment_score
 FROM cleaned WHERE sentence <> '' AND {sql_any('sentence', CLASS_TERMS)}""")
 def _(spark, sf):
-    comments = views.table(spark, sf, "documents").select("text", "lang")
-    done = enrich.comment_enrich(comments, "text", CLASSES, POSITIVE, NEGATIVE, TEXT_TERMS, ANY_LETTER)
-    return done.select("lang", "pos", "sentence", "brand", "sentiment_label", "sentiment_score")
+    comments = views.table(spark, sf, "documents").select("doc_id", "text", "lang", F.col("n_chars").alias("like_count"))
+    done = enrich.comment_enrich(comments, "text", CLASSES, POSITIVE, NEGATIVE, TEXT_TERMS, ANY_LETTER,
+                                 same=["text", "lang"], survivor=[F.asc("doc_id")])
+    return done.select("doc_id", "like_count", "lang", "pos", "sentence", "brand", "sentiment_label", "sentiment_score")
 
 
 @query("review_enrich", f"""WITH kept AS (SELECT conv_id, turn, role, text FROM conversations WHERE NOT regexp_full_match(text, '{SPACE}*')),
