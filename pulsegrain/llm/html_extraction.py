@@ -1,10 +1,13 @@
 """Visible text of HTML pages, laid out.
 
 A tree is built with the tags that HTML lets authors leave out: open paragraphs,
-list items, table cells, rows and options end where the next one begins, cells
-get a row, and stray end tags are passed over. Elements are invisible by their
+list items, table cells, rows and options end where the next one begins, the
+head ends at the first thing it may not hold, cells get a row, and stray end
+tags are passed over. Elements are invisible by their
 kind, by ``hidden``, by ``display:none`` or ``visibility:hidden`` in their style
-or in simple rules of the page's style sheets, or inside closed ``details`` and
+or in simple rules of the page's style sheets (comments and the blocks of at-rules
+apart; of media blocks those for all media or the screen count, without looking
+at their conditions on size), or inside closed ``details`` and
 ``dialog``. The visible tree is laid out as lines: blocks begin new lines,
 paragraphs, headings, lists and tables stand apart by an empty line, list items
 have bullets or numbers and are indented by their depth, table cells are aligned
@@ -30,14 +33,17 @@ from pyspark.sql import functions as F
 PAD = 40
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
-_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
+_CSS = re.compile(r"([^{};]*)([{};])")
+_CSS_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)|<!--|-->", re.S)
 _HIDES = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)")
 _SPACES = re.compile(r"[ \t\n\r\f]+")
 
 # Fixed values of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-UNSEEN = frozenset("head script style template noscript title datalist iframe noembed noframes object audio video canvas svg math area param rp".split())
+UNSEEN = frozenset("head script style template noscript title datalist iframe noembed noframes object audio video canvas area param rp".split())
+UNDRAWN = frozenset("defs desc metadata symbol clippath annotation annotation-xml".split())  # of svg and math
+IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 APART = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre hr figure fieldset menu form".split())
 BLOCKS = APART | frozenset("address article aside body caption center details dialog dd div dt figcaption footer header hgroup html legend li main nav option optgroup section summary tbody td tfoot th thead tr".split())
 ENDS_PARAGRAPH = APART | frozenset("address article aside center details dialog dd div dt figcaption footer header hgroup main nav section summary li".split())
@@ -84,27 +90,40 @@ class Open:
                 return
 
 
+def _add_text(stack: Open, text: str) -> None:
+    """Text of a page; one that is not blank ends the head it stands in."""
+    if stack.nodes[-1].tag == "head" and text.strip(" \t\n\r\f"):
+        stack.close(("head",), ())
+    stack.nodes[-1].children.append(html.unescape(text))
+
+
 def parse(page: str) -> Node:
     root = Node("#root", {})
     stack, at = Open(root), 0
     while at < len(page):
         found = _TOKEN.search(page, at)
         if found is None:
-            stack.nodes[-1].children.append(html.unescape(page[at:]))
+            _add_text(stack, page[at:])
             break
         if found.start() > at:
-            stack.nodes[-1].children.append(html.unescape(page[at:found.start()]))
+            _add_text(stack, page[at:found.start()])
         at = found.end()
         if found[2] is None:
             continue
         tag = found[2].lower()
         if found[1]:
             if tag == "br":
+                if stack.nodes[-1].tag == "head":
+                    stack.close(("head",), ())
                 stack.nodes[-1].children.append(Node("br", {}))
+            elif tag in ("body", "html") and stack.count["head"] and not stack.count["body"]:
+                stack.close(("head",), ("template",))
             elif tag not in VOID:
                 limits = () if tag in ("table", "body", "html") else ("td", "th", "caption") if tag not in ("td", "th", "tr", "caption", "tbody", "thead", "tfoot") else ("table",)
                 stack.close((tag,), limits)
             continue
+        if tag == "body" or (tag not in IN_HEAD and stack.nodes[-1].tag == "head"):
+            stack.close(("head",), ("template",))
         if tag in ENDS_PARAGRAPH:
             stack.close(("p",), ("td", "th", "caption", "button", "table"))
         if tag in ENDS:
@@ -114,6 +133,8 @@ def parse(page: str) -> Node:
             stack.nodes[-1].children.append(row)
             stack.push(row)
         node = Node(tag, _attributes(found[3]))
+        if tag in UNDRAWN and (stack.count["svg"] or stack.count["math"]):
+            node.attributes["hidden"] = ""
         stack.nodes[-1].children.append(node)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
@@ -135,12 +156,44 @@ def _walk(root: Node) -> Iterator[Node]:
         todo += [c for c in reversed(node.children) if isinstance(c, Node)]
 
 
+def _for_screen(condition: str) -> bool:
+    """Whether a media list names all media or the screen; conditions on size are not looked at."""
+    for one in condition.lower().split(","):
+        kind = re.match(r"\s*(not\s+|only\s+)?([a-z-]*)", one)
+        if (kind[2] in ("", "all", "screen")) != ((kind[1] or "").strip() == "not"):
+            return True
+    return False
+
+
+def css_rules(sheet: str) -> Iterator[tuple[str, str]]:
+    """Selectors and declarations of the rules that hold on a screen."""
+    sheet = _CSS_COMMENT.sub(" ", sheet)
+    # One entry for each open brace: the selectors of a rule, or None for a block of rules; whether it holds; its declarations.
+    opened: list[tuple[str | None, bool, list[str]]] = [(None, True, [])]
+    for part in _CSS.finditer(sheet):
+        before, mark = part[1].strip(), part[2]
+        outer, holds, body = opened[-1]
+        if mark == "{":
+            at = before.lower()
+            holds = holds and outer is None  # what is nested in a rule has no simple selector
+            if at.startswith("@"):
+                opened.append((None, holds and (_for_screen(at[6:]) if at.startswith("@media") else at.startswith(("@layer", "@supports"))), []))
+            else:
+                opened.append((before, holds, []))
+            continue
+        body.append(before)
+        if mark == "}" and len(opened) > 1:
+            opened.pop()
+            if outer is not None and holds:
+                yield outer, ";".join(body)
+
+
 def hidden_selectors(root: Node) -> set[str]:
     """Simple selectors (tag, .class, #id or tag.class) that the style sheets hide."""
     found = set()
     for node in _walk(root):
-        if node.tag == "style":
-            for selectors, rules in _RULE.findall("".join(c for c in node.children if isinstance(c, str))):
+        if node.tag == "style" and _for_screen(node.attributes.get("media", "")):
+            for selectors, rules in css_rules("".join(c for c in node.children if isinstance(c, str))):
                 if _HIDES.search(rules.lower()):
                     found |= {s.strip() for s in selectors.split(",") if re.fullmatch(r"\s*[\w-]*(?:[.#][\w-]+)?\s*", s) and s.strip()}
     return found

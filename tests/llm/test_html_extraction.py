@@ -47,6 +47,23 @@ def test_layout(page, text):
     assert visible_text(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<html><head><title>t</title><body><p>text", "text"), ("<head><title>t</title><p>text", "text"), ("<head><title>t</title>\n text", "text"),
+    ("<html><head><meta charset=x><link rel=y><script>no</script><style>p{}</style><div>a</div><p>b", "a\n\nb"),
+    ("<head><title>t</title></html>after", "after"), ("<head><noscript><p>no</noscript></head><body>b", "b"),
+    ("<head><template><p>no</p></template><title>t</title></head><body>b", "b"),
+    ("<style>@media print{.content{display:none}}</style><p class=content>article", "article"),
+    ("<style>@media print{.a{color:red} .content{display:none}} .ad{display:none}</style><p class=content>article<p class=ad>no", "article"),
+    ("<style>/* .content{display:none} */ .ad{display:none}</style><p class=content>article<p class=ad>no", "article"),
+    ("<style>@media screen and (min-width:1px){.ad{display:none}}@import 'x';.b{display:none}</style><p class=ad>no<p class=b>no<p>yes", "yes"),
+    ("<style media=print>.content{display:none}</style><p class=content>article", "article"),
+    ("<style>.ad{display:none; .content{display:none}}</style><p class=content>article<p class=ad>no", "article"),
+    ("a <svg><desc>no</desc><defs><text>no</text></defs><text>label</text></svg> <math><mi>x</mi></math>", "a label x"),
+])
+def test_heads_without_end_and_rules_that_do_not_hold(page, text):
+    assert visible_text(page) == text
+
+
 def test_depth_and_length_are_no_limit():
     assert visible_text("<div>" * 20_000 + "deep") == "deep"
     assert len(visible_text("<p>word</p>" * 50_000).split()) == 50_000
