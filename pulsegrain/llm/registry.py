@@ -13,6 +13,7 @@ from pulsegrain.llm.language_id import op1_language_id
 from pulsegrain.llm.license_scan import op10_license_scan
 from pulsegrain.llm.ngram_join import op3_ngram_join
 from pulsegrain.llm.packing import op4_packing
+from pulsegrain.llm.periodic_runs import op11_periodic_runs
 from pulsegrain.llm.pii_surrogates import op2_pii_surrogates
 from pulsegrain.llm.sharding import op6_sharding
 from pulsegrain.llm.toxicity import op7_toxicity
@@ -28,5 +29,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_license_scan": op10_license_scan,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 SQL: dict[str, str] = {"op9_exact_dedup": OP9_SQL}
