@@ -31,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrain.llm.batches import bound_batches
@@ -49,15 +49,19 @@ _KINDS = [pa.int64()] * 6 + [pa.string()] * 2 + [_RUN]
 
 def _numbered(words: list[bytes]) -> np.ndarray:
     seen: dict[bytes, int] = {}
-    return np.fromiter((seen.setdefault(w, len(seen)) for w in words), np.int64, len(words))
+    number = seen.setdefault
+    return np.array([number(w, len(seen)) for w in words], np.int64)
 
 
 def _seed_names(word: np.ndarray) -> np.ndarray:
     """A number for the last SEED words at each position from SEED - 1; equal numbers, equal words."""
-    name = word
+    name, size, held = word, int(word.max()) + 1, int(word.max()) + 1
     for step in range(1, SEED):
-        pair = name[:-1] * (int(word.max()) + 1) + word[step:]
-        name = np.unique(pair, return_inverse=True)[1]
+        if held > (1 << 62) // size:
+            name = np.unique(name, return_inverse=True)[1]
+            held = int(name.max()) + 1
+        name = name[:-1] * size + word[step:]
+        held *= size
     return name
 
 
@@ -70,52 +74,48 @@ def runs_of(words: list[bytes]) -> list[tuple[int, int, int]]:
     if len(word) < SEED + 1 or int(word.max()) == n - 1:
         return []
     names = _seed_names(word)
-    repeated = np.bincount(names)[names] > 1
-    if not repeated.any():
+    order = np.sort(names)
+    twice = order[1:][order[1:] == order[:-1]]
+    if not len(twice):
         return []
+    repeated = np.isin(names, twice)
     found: list[tuple[int, int, int]] = []
     earlier: dict[int, dict[int, list[int]]] = {}
-    lags = np.empty(0, np.int64)
-    begun = np.empty(0, np.int64)
+    active: dict[int, int] = {}  # lag -> first word of its stretch
+    at = word.tolist()
 
-    def emit(ended: np.ndarray, at: int) -> None:
-        for lag, first in zip(lags[ended].tolist(), begun[ended].tolist()):
-            length = at - first
-            if length >= max(MIN_WORDS, MIN_PERIODS * lag):
-                found.append((first, length, lag))
+    def grow(i: int) -> None:
+        """Active lags whose word i does not match end and leave their run, if it is one."""
+        now = at[i]
+        for lag in [q for q in active if at[i - q] != now]:
+            first = active.pop(lag)
+            if i - first >= max(MIN_WORDS, MIN_PERIODS * lag):
+                found.append((first, i - first, lag))
 
     places = np.flatnonzero(repeated) + SEED - 1
     last = -1
     for i, name in zip(places.tolist(), names[repeated].tolist()):
-        # A gap between repeated places ends every active lag at the first word that does not match.
-        while len(lags) and last < i:
+        while active and last < i:
             last += 1
-            ended = word[last - lags] != word[last]
-            if ended.any():
-                emit(ended, last)
-                lags, begun = lags[~ended], begun[~ended]
+            grow(last)
         last = i
-        before = int(word[i - SEED]) if i >= SEED else -1
+        before = at[i - SEED] if i >= SEED else -1
         same = earlier.setdefault(name, {})
         for other, positions in same.items():
             if other == before and before >= 0:
                 continue
-            lag = i - np.array(positions, np.int64)
-            first = i - SEED + 1 - lag
-            fits = first + MIN_PERIODS * lag <= n
-            lag, first = lag[fits], first[fits]
-            order = np.argsort(lag)
-            for q, s in zip(lag[order].tolist(), first[order].tolist()):
-                if not ((q % lags == 0) & (begun <= s)).any():
-                    lags, begun = np.append(lags, q), np.append(begun, s)
+            for j in reversed(positions):
+                lag = i - j
+                first = j - SEED + 1
+                if first + MIN_PERIODS * lag > n:
+                    break
+                if not any(lag % q == 0 and s <= first for q, s in active.items()):
+                    active[lag] = first
         same.setdefault(before, []).append(i)
-    while len(lags) and last < n - 1:
+    while active and last < n - 1:
         last += 1
-        ended = word[last - lags] != word[last]
-        if ended.any():
-            emit(ended, last)
-            lags, begun = lags[~ended], begun[~ended]
-    emit(np.ones(len(lags), bool), n)
+        grow(last)
+    found += [(first, n - first, lag) for lag, first in active.items() if n - first >= max(MIN_WORDS, MIN_PERIODS * lag)]
     found.sort(key=lambda r: (r[0], r[2]))
     return found
 
@@ -155,25 +155,23 @@ def find_runs(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFr
     return docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, SCHEMA)
 
 
-def with_planted_period(id: Column, text: Column) -> Column:
-    """The text with a periodic tail for ids whose crc32 ends in 0: with h the crc32 of the decimal id and
+def with_planted_period(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Ids and texts, with a periodic tail for ids whose crc32 ends in 0: with h the crc32 of the decimal id and
     g = h div 10, words from a = g mod n repeat the p = 1 + (n - a) div (3 + g mod 8) words that start there.
 
     Other texts, those without words and those with a null id stay as they are.
     """
-    h = F.crc32(id.cast("string"))
-    words = F.filter(F.split(text, _BLANK), lambda w: w != "")
-    g, n = F.floor(h / 10).cast("long"), F.size(words).cast("long")
-    a = g % n
-    p = F.floor((n - a) / (g % 8 + 3)).cast("long") + 1
-    tail = F.transform(
-        F.sequence(F.lit(0).cast("long"), n - a - 1),
-        lambda i: F.get(words, (a + i % p).cast("int")))
-    periodic = F.array_join(F.concat(F.slice(words, F.lit(1), a.cast("int")), tail), " ")
-    return F.when((h % 10 == 0) & (n > 0), periodic).otherwise(text)
+    h = F.crc32(F.col(id).cast("string"))
+    words = F.when(h % 10 == 0, F.filter(F.split(F.col(text), _BLANK), lambda w: w != ""))
+    rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"), F.floor(h / 10).alias("_g"), words.alias("_words"))
+    rows = rows.withColumn("_n", F.size("_words").cast("long")).withColumn("_a", F.when(F.col("_n") > 0, F.col("_g") % F.col("_n")))
+    left = F.col("_n") - F.col("_a")
+    rows = rows.withColumn("_p", F.floor(left / (F.col("_g") % 8 + 3)) + 1)
+    a, p = F.col("_a").cast("int"), F.col("_p").cast("int")
+    copies = F.flatten(F.array_repeat(F.slice("_words", a + 1, p), F.ceil(left / F.col("_p")).cast("int")))
+    periodic = F.array_join(F.concat(F.slice("_words", F.lit(1), a), F.slice(copies, F.lit(1), left.cast("int"))), " ")
+    return rows.select("doc_id", F.when(F.col("_n") > 0, periodic).otherwise(F.col("text")).alias("text"))
 
 
 def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    planted = docs.select("doc_id", with_planted_period(F.col("doc_id"), F.col("text")).alias("text"))
-    return find_runs(planted).drop("runs")
+    return find_runs(with_planted_period(spark.read.parquet(f"{sf_dir}/documents.parquet"))).drop("runs")

@@ -100,8 +100,7 @@ def test_query_equals_brute_force(spark, sf_dir, rows):
 
 def test_odd_rows(odd, nothing, rows):
     source = odd.select("doc_id", "text").collect()
-    planted_rows = odd.withColumn("text", pr.with_planted_period(odd.doc_id, odd.text))
-    got = rows(pr.find_runs(planted_rows).drop("runs"))
+    got = rows(pr.find_runs(pr.with_planted_period(odd)).drop("runs"))
     assert got == sorted((expected(*r) for r in source), key=repr)
     assert pr.find_runs(nothing).count() == 0
 
