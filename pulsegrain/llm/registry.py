@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pulsegrain.llm.collocations import OP13_SQL, op13_collocations
 from pulsegrain.llm.decontamination import op8_decontamination
 from pulsegrain.llm.exact_dedup import OP9_SQL, op9_exact_dedup
 from pulsegrain.llm.html_extraction import op5_html_extraction
@@ -16,6 +17,7 @@ from pulsegrain.llm.packing import op4_packing
 from pulsegrain.llm.periodic_runs import op11_periodic_runs
 from pulsegrain.llm.pii_surrogates import op2_pii_surrogates
 from pulsegrain.llm.sharding import op6_sharding
+from pulsegrain.llm.suffix_dedup import OP12_SQL, op12_suffix_dedup
 from pulsegrain.llm.toxicity import op7_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -30,5 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_license_scan": op10_license_scan,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_suffix_dedup": op12_suffix_dedup,
+    "op13_collocations": op13_collocations,
 }
-SQL: dict[str, str] = {"op9_exact_dedup": OP9_SQL}
+SQL: dict[str, str] = {"op9_exact_dedup": OP9_SQL, "op12_suffix_dedup": OP12_SQL, "op13_collocations": OP13_SQL}
