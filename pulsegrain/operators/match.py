@@ -2,18 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrain.functions import values as vl
-
-try:
-    import ahocorasick
-except ImportError:
-    ahocorasick = None
+from pulsegrain.session import written
 
 
 def match_keywords(df: DataFrame, text: str, keywords: Sequence[str], regex: bool = False) -> DataFrame:
@@ -26,24 +21,6 @@ def match_keywords(df: DataFrame, text: str, keywords: Sequence[str], regex: boo
     return df.withColumn("keyword", F.explode(F.array_compact(hits)))
 
 
-def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], spread_by: str, salts: int = 8, how: str = "inner") -> DataFrame:
-    """Equi-join that splits each key of ``big`` over ``salts`` tasks.
-
-    ``small`` is repeated per salt. A key with a third of all rows is then
-    handled by several tasks; where Spark sees that ``small`` is below the
-    broadcast limit it broadcasts it instead.
-    """
-    left = big.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
-    right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [*on, "_salt"], how).drop("_salt")
-
-
-# Keyword tables up to this length are written into the expression.
-SHORT_LEXICON = 64
-
-# Keyword tables up to this length are searched by an automaton in each task.
-LONG_LEXICON = 100_000
-
 # A table up to this estimate is handed to every executor.
 BROADCAST_BYTES = 64 << 20
 
@@ -75,61 +52,117 @@ def hot_key_join(
     return left.join(right, [*on, "_salt"]).drop("_salt")
 
 
-def _found_in_one_pass(text: Column, keywords: list[str]) -> Column:
-    """The distinct keywords in a text, by an automaton built once per task."""
+def split_hot_join(
+    big: DataFrame, small: DataFrame, on: str, counts: DataFrame, spread_by: str, salts: int = 32, always: str | None = None,
+) -> DataFrame:
+    """Equi-join on one column that splits the hot keys of ``big`` over ``salts`` tasks; both sides may repeat a key.
+
+    ``counts`` tells the rows ``n`` of each key in ``big``. Fewer than HOTTEST
+    keys hold more than 1/HOTTEST of all rows: that list is broadcast to both
+    sides. ``always`` names a key that is hot without a count.
+    """
+    whole = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
+    hot = counts.withColumn("_all", whole).where(F.col("n") * HOTTEST > F.col("_all")).select(on)
+    if always is not None:
+        hot = hot.unionAll(big.sparkSession.range(1).select(F.lit(always).alias(on)))
+    hot = written(hot, "hot-keys").withColumn("_hot", F.lit(True))
+    left = big.join(F.broadcast(hot), on, "left")
+    left = left.withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")).otherwise(0)).drop("_hot")
+    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    right = small.join(F.broadcast(hot), on, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    return left.join(right, [on, "_salt"]).drop("_salt")
+
+
+# Bits of the set of runs that is written into a scan, in words of 64; it does not grow with the keywords.
+SET_WORDS = 4096
+
+# A run is hot above 1/HOTTEST of all texts that offer a filed run, so there are fewer than HOTTEST of them.
+HOTTEST = 1000
 
-    @F.pandas_udf("array<string>")
-    def find(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        machine = ahocorasick.Automaton()
-        for keyword in keywords:
-            machine.add_word(keyword, keyword)
-        machine.make_automaton()
-        for part in parts:
-            yield part.map(lambda t: sorted({k for _, k in machine.iter(t)}) if t else [])
 
-    return find(text)
+def _place(run: Column) -> Column:
+    return F.pmod(F.xxhash64(run), F.lit(SET_WORDS * 64))
+
+
+def set_of(runs: DataFrame) -> Column:
+    """The ``run`` values of a table as an array of SET_WORDS longs; it may hold others, never lacks one."""
+    place = _place(F.col("run"))
+    words = runs.groupBy(F.floor(place / 64).alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))).alias("bits"))
+    # One row of at most SET_WORDS entries.
+    whole = words.agg(F.map_from_entries(F.collect_list(F.struct("w", "bits"))).alias("m"))
+    return whole.select(F.transform(
+        F.sequence(F.lit(0).cast("long"), F.lit(SET_WORDS - 1).cast("long")), lambda w: F.coalesce(F.element_at("m", w), F.lit(0).cast("long")))).scalar()
+
+
+def in_set(run: Column, bits: Column) -> Column:
+    place = _place(run)
+    return F.getbit(F.get(bits, F.floor(place / 64).cast("int")), (place % 64).cast("int")) == 1
+
+
+def _runs_of(text: Column, size: int) -> Column:
+    """All runs of ``size`` characters; a look-ahead finds overlapping ones in one pass."""
+    return F.regexp_extract_all(text, F.lit(rf"(?s)(?=(.{{{size}}}))"), F.lit(1))
+
+
+def _offered(df: DataFrame, text: str, gram: int, runs: DataFrame, every: bool = False) -> DataFrame:
+    """Each row with the distinct runs ``_run`` of its text that a table with column ``run`` may hold.
+
+    With ``every``, the empty run is one of them.
+    """
+    sizes = runs.agg(F.collect_set(F.length("run"))).scalar()  # at most ``gram`` entries
+    none = F.array().cast("array<string>")
+    parts = [F.when(F.array_contains(sizes, n), _runs_of(F.col(text), n)).otherwise(none) for n in range(1, gram + 1)]
+    found = F.array_distinct(F.concat(*parts))
+    if every:
+        found = F.array_append(found, F.lit(""))
+    kept = in_set(F.col("_run"), set_of(runs))
+    return df.withColumn("_run", F.explode(found)).where(kept | (F.col("_run") == "") if every else kept)
+
+
+def keyword_index(df: DataFrame, lexicon: DataFrame, text: str, gram: int = 5) -> DataFrame:
+    """Each keyword under the rarest of its character runs: keyword, run, n.
+
+    Runs have ``gram`` characters; a shorter keyword is its own run. ``n`` is the
+    number of texts that hold the run, counted over ``df``. A keyword with a run
+    that no text holds cannot be found and has no entry.
+    """
+    words = lexicon.select("keyword").where(F.length("keyword") > 0).distinct()
+    longer = F.length("keyword") > gram
+    own = F.when(longer, _runs_of(F.col("keyword"), gram)).otherwise(F.array("keyword"))
+    parts = words.select("keyword", F.explode(F.array_distinct(own)).alias("run"))
+    asked = parts.select("run").distinct()
+    counts = _offered(df.select(text), text, gram, asked).groupBy(F.col("_run").alias("run")).agg(F.count(F.lit(1)).alias("n"))
+    found = parts.join(counts, "run", "left").groupBy("keyword").agg(
+        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "run")).alias("rarest"))
+    return found.where("rarest.n > 0").select("keyword", "rarest.run", "rarest.n")
 
 
 def match_keyword_table(
-    df: DataFrame, lexicon: DataFrame, text: str, key: str, gram: int = 3, salts: int = 8
+    df: DataFrame, lexicon: DataFrame, text: str, gram: int = 5, salts: int = 32, also: str | None = None
 ) -> DataFrame:
-    """As ``match_keywords`` with the keywords in column ``keyword`` of a table.
-
-    A table of at most ``SHORT_LEXICON`` keywords becomes part of the
-    expression. Up to ``LONG_LEXICON`` keywords of bounded size, each task
-    builds one automaton that finds all of them in a single pass over a text.
-    Of a longer table, each keyword is filed under its first characters (at most
-    ``gram``); each text offers the distinct character runs of those lengths. An
-    equi-join on the run finds candidates and a containment test settles them,
-    so the work follows the matches, not texts times keywords. Only ``key``, the
-    id of a text, travels with the runs; it also spreads common runs over tasks.
-    Texts without an id are kept: candidates of the same id are settled by the text.
+    """As ``match_keywords`` with the keywords in column ``keyword`` of a table of any size.
+
+    Every keyword is filed under its rarest run of characters (``keyword_index``).
+    A text offers the runs that are filed, an equi-join on the run finds
+    candidates, and a containment test settles them, so the work follows the
+    matches and not texts times keywords. The filed runs go into the scan as a
+    set of fixed size, which holds back most others before the join; the runs
+    with the most texts, by the index's own counts, are split over ``salts``
+    tasks. Null texts and empty keywords match nothing. With ``also``, every row
+    that has a text comes once more under that name, so one scan gives both
+    what matches and what there is.
     """
-    terms = lexicon.select("keyword").where(F.length("keyword") > 0).distinct()
-    size = terms.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("keyword")).alias("bytes")).first()
-    if not size["n"]:
-        return df.withColumn("keyword", F.lit(None).cast("string")).where(F.lit(False))
-    longest = max(SHORT_LEXICON, LONG_LEXICON if ahocorasick else 0)
-    if size["n"] <= longest and size["bytes"] <= BROADCAST_BYTES:
-        known = sorted(r[0] for r in terms.collect())
-        if len(known) <= SHORT_LEXICON:
-            return match_keywords(df, text, known)
-        return df.withColumn("keyword", F.explode(_found_in_one_pass(F.col(text), known)))
-    filed = terms.withColumn("_run", F.left("keyword", F.lit(gram)))
-    sizes = sorted(r[0] for r in filed.select(F.length("_run")).distinct().collect())  # at most ``gram`` rows
-    subject = F.col(text)
-
-    def runs(size: int):
-        # A look-ahead finds overlapping runs in one pass over the text.
-        return F.regexp_extract_all(subject, F.lit(rf"(?s)(?=(.{{{size}}}))"), F.lit(1))
-
-    offered = df.select(
-        F.col(key).alias("_key"), F.explode(F.array_distinct(F.flatten(F.array(*[runs(n) for n in sizes])))).alias("_run")
-    )
-    candidates = salted_join(offered, filed, ["_run"], spread_by="_key", salts=salts) \
-        .select("_key", "keyword").distinct()
-    found = df.join(candidates, F.col(key).eqNullSafe(F.col("_key")))
-    return found.where(subject.contains(F.col("keyword"))).select(*df.columns, "keyword")
+    index = written(keyword_index(df, lexicon, text, gram), "keyword-index")
+    runs = index.select("run", "n").distinct()
+    if also is not None:
+        # The empty run is every text's; it is hot by definition.
+        entry = df.sparkSession.range(1).select(F.lit(also).alias("keyword"), F.lit("").alias("run"), F.lit(0).cast("long").alias("n"))
+        index = index.unionByName(entry)
+    offered = _offered(df, text, gram, runs, also is not None)
+    found = split_hot_join(offered, index.select("keyword", F.col("run").alias("_run")), "_run", runs.withColumnRenamed("run", "_run"),
+                           spread_by=text, salts=salts, always=None if also is None else "")
+    fits = F.col(text).contains(F.col("keyword")) | (F.col("_run") == "")
+    return found.where(fits).select(*df.columns, "keyword")
 
 
 def dimension_lookup(fact: DataFrame, dimension: DataFrame, fact_key: str, dimension_key: str) -> DataFrame:

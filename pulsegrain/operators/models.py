@@ -8,10 +8,12 @@ import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, IDF, IndexToString, RegexTokenizer, SQLTransformer, StringIndexer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pulsegrain.functions import text as tx
 from pulsegrain.functions import values as vl
+from pulsegrain.operators.match import hot_key_join
 from pulsegrain.operators.numbering import number_rows
 from pulsegrain.session import written
 
@@ -28,6 +30,43 @@ def lexicon_sentiment(text: Column, positive: Sequence[str], negative: Sequence[
     return label, F.round(F.try_divide(F.abs(p - n).cast("double"), p + n), 6)
 
 
+def learn_lexicon(df: DataFrame, text: str, label: str) -> DataFrame:
+    """Signed word weights from labelled texts: term, units, n.
+
+    A weight is the log odds of a term between texts of label 1 and of label 0,
+    every term of the vocabulary counted once more, in millionths. Rows with
+    another label or none teach nothing.
+    """
+    known = df.where(F.col(label).isin(0, 1)).select(F.col(label).alias("_y"), F.explode(tx.tokens_of(F.col(text))).alias("term"))
+    positive = F.col("_y") == 1
+    counts = written(known.groupBy("term").agg(F.count_if(positive).alias("p"), F.count_if(~positive).alias("m")), "lexicon-counts")
+    whole = counts.agg(F.struct(F.coalesce(F.sum("p"), F.lit(0)).alias("p"), F.coalesce(F.sum("m"), F.lit(0)).alias("m"), F.count(F.lit(1)).alias("v"))).scalar()
+    odds = F.log((F.col("p") + 1.0) / (F.col("_w.p") + F.col("_w.v"))) - F.log((F.col("m") + 1.0) / (F.col("_w.m") + F.col("_w.v")))
+    return counts.withColumn("_w", whole).select("term", F.round(odds * 1_000_000).cast("long").alias("units"), (F.col("p") + F.col("m")).alias("n"))
+
+
+def weighted_sentiment(df: DataFrame, key: str, text: str, lexicon: DataFrame, negations: Sequence[str], window: int = 2) -> DataFrame:
+    """Label ('1', '0' or NULL) and confidence of each text by a table of signed word weights: key, label, score.
+
+    A word after a negation, ``window`` words at most, counts the other way
+    round. The label is the sign of the summed weights, the score their share of
+    all weight met. Weights are whole numbers, so sums do not depend on their
+    order. Ids are unique; a text without a known word has neither.
+    """
+    tokens = df.select(F.col(key).alias("_key"), tx.tokens_of(F.col(text)).alias("_l"))
+    no = F.array(*[F.lit(n) for n in negations]) if negations else F.array().cast("array<string>")
+    marked = tokens.select("_key", F.posexplode("_l").alias("_i", "term"), "_l")
+    before = F.slice("_l", F.greatest(F.col("_i") - window + 1, F.lit(1)), F.least(F.col("_i"), F.lit(window)))
+    signed = marked.select("_key", "term", F.when(F.arrays_overlap(before, no), -1).otherwise(1).alias("sign"))
+    counts = signed.groupBy("_key", "term").agg(F.sum("sign").alias("sign"), F.count(F.lit(1)).alias("tf"))
+    met = hot_key_join(counts, lexicon, ["term"], "n", spread_by="_key")
+    sums = met.groupBy("_key").agg(F.sum(F.col("sign") * F.col("units")).alias("s"), F.sum(F.col("tf") * F.abs("units")).alias("w"))
+    ids = df.select(F.col(key).alias("_id"))
+    found = ids.join(sums, F.col("_id").eqNullSafe(F.col("_key")), "left")
+    label = F.when(F.col("s") > 0, "1").when(F.col("s") < 0, "0")
+    return found.select(F.col("_id").alias(key), label.alias("label"), F.round(F.try_divide(F.abs("s").cast("double"), F.col("w")), 6).alias("score"))
+
+
 def lexicon_class(text: Column, classes: Mapping[str, Sequence[str]], none: str = "none") -> Column:
     """The class whose terms occur most; the earlier one on a tie; ``none`` without any hit."""
     counts = {name: vl.occurrence_total(text, terms) for name, terms in classes.items()}
@@ -98,6 +137,59 @@ def train_text_classifier(
     return PipelineModel([given, words, counts, weights, machine, IndexToString(inputCol="_p", outputCol="predicted", labels=index.labels)])
 
 
+# -- naive Bayes from count tables
+
+def fold_of(key: Column) -> Column:
+    """The fold of a row, one of 16, by its id alone: the first hexadecimal digit of the id's MD5."""
+    return F.left(F.md5(key.cast("string").cast("binary")), F.lit(1))
+
+
+def bayes_model(df: DataFrame, key: str, text: str, label: str) -> tuple[DataFrame, DataFrame]:
+    """A multinomial naive Bayes model as two tables, counted from the rows that have a label.
+
+    Terms: term, df (rows that hold it) and weights, a map from class to
+    ln(1 + occurrences) for the classes that have the term. Classes: class,
+    prior (log share of the rows) and scale, ln of the class's occurrences plus
+    the vocabulary; every term counts once more than it occurs. A null text has no terms.
+    """
+    known = df.where(F.col(label).isNotNull()).select(F.col(key).alias("_key"), F.col(text).alias("_text"), F.col(label).alias("class"))
+    counts = known.select("class", F.explode(tx.tokens_of(F.col("_text"))).alias("term")).groupBy("class", "term").agg(F.count(F.lit(1)).alias("n"))
+    counts = written(counts, "class-terms")
+    # One entry per class.
+    terms = counts.groupBy("term").agg(
+        F.map_from_entries(F.collect_list(F.struct("class", F.log(F.col("n") + 1.0)))).alias("weights"), F.sum("n").alias("df"))
+    size = terms.agg(F.count(F.lit(1))).scalar()
+    rows = known.groupBy("class").agg(F.count(F.lit(1)).alias("rows"))
+    totals = rows.join(counts.groupBy("class").agg(F.sum("n").alias("n")), "class", "left")
+    classes = totals.select(
+        "class", F.log(F.col("rows") / F.sum("rows").over(Window.partitionBy())).alias("prior"),
+        F.log(F.coalesce("n", F.lit(0)) + size.cast("double")).alias("scale"))
+    return written(terms, "bayes-terms"), written(classes, "bayes-classes")
+
+
+def bayes_classify(df: DataFrame, key: str, text: str, terms: DataFrame, classes: DataFrame) -> DataFrame:
+    """The most likely class of each row: key, predicted, score (log likelihood, rounded to 6).
+
+    Terms that the model has not seen tell nothing. The counts of a text meet the
+    terms in a join whose hot terms are split; ties go to the first class by
+    name, and a text without a known term gets the most frequent class. Rows that repeat an id are one text.
+    """
+    rows = df.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+    counts = rows.select("_key", F.explode(tx.tokens_of(F.col("_text"))).alias("term")).groupBy("_key", "term").agg(F.count(F.lit(1)).alias("tf"))
+    known = hot_key_join(counts, terms, ["term"], "df", spread_by="_key")
+    told = known.select("_key", "tf", F.explode_outer("weights").alias("class", "w"))
+    size = known.groupBy(F.col("_key").alias("_of")).agg(F.sum("tf").alias("_known"))
+    sums = told.groupBy(F.col("_key").alias("_for"), F.col("class").alias("_class")).agg(F.sum(F.col("tf") * F.col("w")).alias("_sum"))
+    # A few classes for every row.
+    one = F.lit(1).alias("_one")
+    grid = rows.select("_key").distinct().select("*", one).join(F.broadcast(classes.select("*", one)), "_one").drop("_one")
+    full = grid.join(size, F.col("_key").eqNullSafe(F.col("_of")), "left") \
+        .join(sums, F.col("_key").eqNullSafe(F.col("_for")) & (F.col("class") == F.col("_class")), "left")
+    score = F.col("prior") + F.coalesce("_sum", F.lit(0.0)) - F.coalesce("_known", F.lit(0)) * F.col("scale")
+    best = full.groupBy("_key").agg(F.min(F.struct((-F.round(score, 6)).alias("s"), F.col("class"))).alias("b"))
+    return best.select(F.col("_key").alias(key), F.col("b.class").alias("predicted"), (-F.col("b.s")).alias("score"))
+
+
 def save_classifier(model: PipelineModel, path: str) -> str:
     model.write().overwrite().save(path)
     return path

@@ -4,19 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows that one task may number; the key is cut into ranges of about so many.
-ROWS_PER_RANGE = 1_000_000
-
+from pulsegrain.session import written
 
-def range_bounds(df: DataFrame, key: str, ranges: int) -> list[float]:
-    """Bounds that cut ``key`` into about equal ranges, from a mergeable sketch."""
-    shares = [i / ranges for i in range(1, ranges)]
-    found = df.agg(F.percentile_approx(F.col(key).cast("double"), shares, 10 * ranges)).first()[0]
-    return sorted(set(found or []))
+# Rows that one task may number; the rows are cut into ranges of about so many.
+ROWS_PER_RANGE = 1_000_000
 
 
 def number_rows(
@@ -29,37 +23,37 @@ def number_rows(
 ) -> DataFrame:
     """Number rows 1, 2, … by ``key`` then ``then_by``, within ``groups`` if given.
 
-    ``key`` is a number, close to unique; rows without one come first, in a
-    range of their own. The key is cut into ranges; each range is numbered on
-    its own and moved up by the rows in the ranges before, so no task sees more
-    than one range even if there is only one group.
+    Keys are of any type that has an order; rows without one come first. The
+    rows are range-partitioned by groups, key, ``then_by`` and a hash of the
+    row, then by chance, so rows that share a key or lack one, and even rows
+    that are equal in every column, spread over several ranges: rows that are
+    equal up to ``then_by`` get consecutive numbers in an order of no meaning.
+    The sorted ranges are stored once, their sizes are counted, and each row's
+    place in its range is moved up by the ranges before. No range is numbered as a whole by a window.
     """
-    ranges = max(1, -(-df.count() // (rows_per_range or ROWS_PER_RANGE)))
-    bounds = range_bounds(df, key, ranges) if ranges > 1 else []
-    if bounds:
-        bucketizer = Bucketizer(splits=[float("-inf"), *bounds, float("inf")], inputCol="_at", outputCol="_found", handleInvalid="keep")
-        cut, found = bucketizer.transform(df.withColumn("_at", F.col(key).cast("double"))), F.col("_found")
-    else:
-        cut, found = df, F.lit(0.0)
-    cut = cut.withColumn("_range", F.when(F.col(key).isNull(), -1.0).otherwise(found)).drop("_at", "_found")
-    sizes = cut.groupBy(*groups, "_range").agg(F.count(F.lit(1)).alias("_size"))
-    # At most one row per range and group here.
-    earlier = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(
-        *[F.col(g).alias(f"_g_{g}") for g in groups],
-        F.col("_range").alias("_r"),
-        F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"),
-    )
-    inside = Window.partitionBy(*groups, "_range").orderBy(key, *then_by)
-    same = F.col("_range") == F.col("_r")
-    for g in groups:
-        same = same & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
-    return (
-        cut.withColumn("_inside", F.row_number().over(inside))
-        .join(starts, same)
-        .withColumn(name, (F.col("_start") + F.col("_inside")).cast("long"))
-        .select(*df.columns, name)
-    )
+    rows = df.count()
+    ranges = max(1, -(-rows // (rows_per_range or ROWS_PER_RANGE)))
+    # Columns of any name may be there already.
+    whole = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"))
+    fields = [f"_row.`{c}`" for c in (*groups, key, *then_by)]
+    mixed = whole.withColumn("_hash", F.xxhash64("_row")).withColumn("_chance", F.rand(42))
+    order = [F.col(f).asc_nulls_first() for f in fields] + [F.col("_hash"), F.col("_chance")]
+    ranged = mixed.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    # A row's place: its range in the upper bits, its position there in the lower 33.
+    placed = written(ranged.select("_row", F.monotonically_increasing_id().alias("_at")), "ranges")
+    part = F.shiftright("_at", 33)
+    names = [f"_g{i}" for i in range(len(groups))]
+    grouped = placed.withColumns({n: F.col(f"_row.`{g}`") for n, g in zip(names, groups)}).withColumn("_part", part)
+    sizes = grouped.groupBy(*names, "_part").agg(F.count(F.lit(1)).alias("_size"), F.min("_at").alias("_first"))
+    # One row per range and group.
+    before = F.sum("_size").over(Window.partitionBy(*names).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.withColumn("_start", F.coalesce(before, F.lit(0))).select(
+        *[F.col(n).alias(f"_s{n}") for n in names], F.col("_part").alias("_p"), "_first", "_start")
+    same = F.col("_part") == F.col("_p")
+    for n in names:
+        same = same & F.col(n).eqNullSafe(F.col(f"_s{n}"))
+    numbered = grouped.join(starts, same).withColumn("_no", F.col("_start") + F.col("_at") - F.col("_first") + 1)
+    return numbered.select("_row.*", F.col("_no").cast("long").alias(name))
 
 
 def assign_ids(df: DataFrame, key: str, prefix: str | Column, then_by: Sequence[str] = (), name: str = "id") -> DataFrame:

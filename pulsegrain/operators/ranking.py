@@ -37,7 +37,7 @@ def top_comment(
     if first_match:
         hits = labelled.withColumn("keyword", vl.first_match(F.col(text), keywords)).where("keyword IS NOT NULL")
     elif isinstance(keywords, DataFrame):
-        hits = match.match_keyword_table(labelled, keywords, text, key)
+        hits = match.match_keyword_table(labelled, keywords, text)
     else:
         hits = match.match_keywords(labelled, text, keywords, regex)
     order = ([F.desc("sentiment_score")] if by_score else []) + [F.desc("like_count"), F.asc(text), F.asc(key)]

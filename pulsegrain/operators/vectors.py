@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
-import pandas as pd
-from pyspark.ml.feature import HashingTF, Normalizer
-from pyspark.ml.functions import vector_to_array
+import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from pulsegrain.functions.text import tokens_of
 from pulsegrain.operators.numbering import number_rows
 from pulsegrain.session import written
 
-# Query vectors held in one task may take this many numbers.
-MAX_QUERY_NUMBERS = 4_000_000
+# Vectors and queries of one cell of the search grid, and queries whose products are held at once.
+VECTOR_BLOCK = 50_000
+QUERY_BLOCK = 10_000
+QUERIES_AT_ONCE = 100
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -29,39 +33,58 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def mean_vectors(df: DataFrame, group: str, embedding: str) -> DataFrame:
-    """The mean vector per group, from per-dimension means."""
-    flat = df.select(group, F.posexplode(embedding).alias("dim", "x"))
-    means = flat.groupBy(group, "dim").agg(F.avg(F.col("x").cast("double")).alias("mean"))
-    # One entry per dimension is collected, not one per row.
-    return means.groupBy(group).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("dim", "mean"))), lambda e: e["mean"]).alias("query")
-    )
-
-
-def _best_in_task(queries: list, filters: list, matrix: np.ndarray, k: int, filtered: bool):
-    """A task body: the k best rows per query among the rows the task sees."""
-
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best: pd.DataFrame | None = None
-        for batch in batches:
-            if batch.empty:
+    """The mean vector per group, added up vector by vector in each task; null vectors do not count."""
+    known = df.where(F.col(embedding).isNotNull()).select(group, array_to_vector(embedding).alias("_v"))
+    return known.groupBy(group).agg(vector_to_array(Summarizer.mean(F.col("_v"))).alias("query"))
+
+
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    """Vectors of one length as rows of length 1; a zero vector stays zero."""
+    values = column.combine_chunks()
+    if isinstance(values, pa.ChunkedArray):
+        values = pa.concat_arrays(values.chunks)
+    rows = values.flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(len(values), -1)
+    lengths = np.linalg.norm(rows, axis=1)
+    return rows / np.where(lengths == 0, 1.0, lengths)[:, None]
+
+
+def _cell(k: int, schema: pa.Schema) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """A cell of the grid: the k best vectors of a block for each query of a block."""
+
+    def best(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return schema.empty_table()
+        vectors, queries = _matrix(left.column("embedding")), _matrix(right.column("query"))
+        ids = left.column("id").to_numpy()
+        kinds, groups = left.column("filter").to_pylist(), right.column("filter").to_pylist()
+        of_kind: dict = {}
+        for i, value in enumerate(kinds):
+            of_kind.setdefault(value, []).append(i)
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for value in sorted(set(groups), key=repr):
+            rows = np.array(of_kind.get(value, []), np.int64)
+            asked = np.array([q for q, g in enumerate(groups) if g == value], np.int64)
+            if value is None or not len(rows):
                 continue
-            vectors = np.asarray(batch["embedding"].tolist(), dtype="float64")
-            lengths = np.linalg.norm(vectors, axis=1)
-            sims = matrix @ (vectors / np.where(lengths == 0, 1.0, lengths)[:, None]).T
-            ids = batch["id"].to_numpy()
-            found = [] if best is None else [best]
-            for q, query in enumerate(queries):
-                rows = np.flatnonzero(batch["filter"].to_numpy() == filters[q]) if filtered else np.arange(len(ids))
-                rounded = np.round(sims[q, rows], 6)
-                order = np.lexsort((ids[rows], -rounded))[:k]
-                found.append(pd.DataFrame({"query_id": query, "id": ids[rows][order], "similarity": rounded[order]}))
-            best = pd.concat(found).sort_values(["query_id", "similarity", "id"], ascending=[True, False, True])
-            best = best.groupby("query_id").head(k)
-        if best is not None and len(best):
-            yield best
-
-    return scan
+            for first in range(0, len(asked), QUERIES_AT_ONCE):
+                part = asked[first:first + QUERIES_AT_ONCE]
+                sims = np.round(queries[part] @ vectors[rows].T, 6) + 0.0
+                if len(rows) > k:
+                    least = np.partition(sims, -k, axis=1)[:, -k]
+                    q, v = np.nonzero(sims >= least[:, None])
+                else:
+                    q, v = np.nonzero(np.ones_like(sims, bool))
+                order = np.lexsort((ids[rows[v]], -sims[q, v], q))
+                q, v = q[order], v[order]
+                starts = np.searchsorted(q, np.arange(len(part)))
+                keep = np.arange(len(q)) - starts[q] < k
+                found.append((part[q[keep]], ids[rows[v[keep]]], sims[q[keep], v[keep]]))
+        if not found:
+            return schema.empty_table()
+        at, near, similarity = (np.concatenate(c) for c in zip(*found))
+        return pa.table([right.column("query_id").take(pa.array(at)), pa.array(near, pa.int64()), pa.array(similarity)], schema=schema)
+
+    return best
 
 
 def vector_topk(
@@ -71,39 +94,36 @@ def vector_topk(
     """The ``k`` nearest vectors per query by cosine, similarity rounded to 6, ties by id.
 
     ``same`` names a column of both tables that must be equal (a metadata
-    filter). Each task scans its vectors once against all queries as one matrix
-    product and passes on k rows per query; the ranking sees only those. More
-    queries than fit one task are answered in slices of the query table. A
-    query without a vector has no neighbours.
+    filter). Vectors and queries are dealt into blocks of bounded size by a hash
+    of their id, and every pair of blocks is a cell of a grid: a matrix product
+    that passes on k rows per query, ranked over all cells in the end. The
+    vectors are read once whatever the number of queries, and nothing passes
+    through the driver. A query or a row without a vector has no neighbours; all vectors have one length.
     """
-    wanted = [query_id, query] + ([same] if same and same != query_id else [])
-    # Stored first, since the size is read before the rows.
-    queries = written(queries.select(*wanted).where(F.col(query).isNotNull()), "queries")
-    kind = queries.schema[query_id].dataType.simpleString()
-    size = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(query)).alias("d")).first()
-    if not size["n"]:
-        return vectors.sparkSession.createDataFrame([], f"query_id {kind}, id long, similarity double, rank int")
-    slices = -(-size["n"] * size["d"] // MAX_QUERY_NUMBERS)
-    results = None
-    for s in range(slices):
-        part = queries
-        if slices > 1:
-            part = part.where(F.pmod(F.xxhash64(query_id), F.lit(slices)) == s)
-        rows = part.orderBy(query_id).collect()
-        matrix = np.asarray([r[query] for r in rows], dtype="float64")
-        lengths = np.linalg.norm(matrix, axis=1)
-        matrix = matrix / np.where(lengths == 0, 1.0, lengths)[:, None]
-        source = vectors.select(
-            F.col(key).cast("long").alias("id"), F.col(embedding).alias("embedding"),
-            *([F.col(same).alias("filter")] if same else []),
-        ).where("embedding IS NOT NULL")
-        body = _best_in_task([r[query_id] for r in rows], [r[same] if same else None for r in rows], matrix, k, bool(same))
-        near = source.mapInPandas(body, f"query_id {kind}, id long, similarity double")
-        if slices > 1:
-            near = written(near, "topk")
-        results = near if results is None else results.unionAll(near)
+    spark = vectors.sparkSession
+    asked = queries.where(F.col(query).isNotNull()).select(
+        F.col(query_id).alias("query_id"), F.col(query).cast("array<double>").alias("query"),
+        (F.col(same) if same else F.lit(0)).cast("string").alias("filter"))
+    rows = vectors.where(F.col(embedding).isNotNull()).select(
+        F.col(key).cast("long").alias("id"), F.col(embedding).alias("embedding"), (F.col(same) if same else F.lit(0)).cast("string").alias("filter"))
+    asked = written(asked, "queries")
+    query_blocks = max(1, -(-asked.count() // QUERY_BLOCK))
+    vector_blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-vectors.select(key).count() // VECTOR_BLOCK))
+
+    def blocks(id: Column, n: int) -> Column:
+        return F.pmod(F.xxhash64(id), F.lit(n)).cast("int")
+
+    def every(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    left = rows.withColumn("_vector_block", blocks(F.col("id"), vector_blocks)).withColumn("_query_block", every(query_blocks))
+    right = asked.withColumn("_query_block", blocks(F.col("query_id"), query_blocks)).withColumn("_vector_block", every(vector_blocks))
+    kind = asked.schema["query_id"]
+    schema = to_arrow_schema(StructType([StructField("query_id", kind.dataType), StructField("id", LongType()), StructField("similarity", DoubleType())]))
+    cell = ["_vector_block", "_query_block"]
+    near = left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInArrow(_cell(k, schema), f"query_id {kind.dataType.simpleString()}, id long, similarity double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("similarity"), F.asc("id")))
-    return results.withColumn("rank", rank).where(F.col("rank") <= k)
+    return near.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
 def vector_table(
@@ -122,10 +142,18 @@ def vector_table(
     )
 
 
-def hashed_embedding(df: DataFrame, text: str, name: str = "embedding", dimensions: int = 64) -> DataFrame:
-    """Add a unit vector of hashed term counts, for texts that come without an embedding."""
-    counted = HashingTF(inputCol="_terms", outputCol="_counts", numFeatures=dimensions).transform(
-        df.withColumn("_terms", tokens_of(F.col(text)))
-    )
-    scaled = Normalizer(inputCol="_counts", outputCol="_unit", p=2.0).transform(counted)
-    return scaled.withColumn(name, vector_to_array("_unit", "float32")).select(*df.columns, name)
+def hashed_embedding(df: DataFrame, key: str, text: str, name: str = "embedding", dimensions: int = 64) -> DataFrame:
+    """Add a vector of length 1 of hashed term counts, for texts that come without an embedding.
+
+    A term's dimension is the first four hexadecimal digits of its MD5, modulo
+    ``dimensions``. Ids are unique; a text without a term has the zero vector.
+    """
+    place = F.conv(F.left(F.md5(F.col("_term").cast("binary")), F.lit(4)), 16, 10).cast("int") % dimensions
+    found = df.select(F.col(key).alias("_id"), F.explode(tokens_of(F.col(text))).alias("_term")).select("_id", place.alias("_dim"))
+    counts = found.groupBy("_id", "_dim").agg(F.count(F.lit(1)).alias("_n"))
+    # At most ``dimensions`` entries.
+    vectors = counts.groupBy("_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("_dim", "_n"))).alias("_m"), F.sqrt(F.sum(F.col("_n") * F.col("_n"))).alias("_length"))
+    joined = df.join(vectors, F.col(key).eqNullSafe(F.col("_id")), "left")
+    values = F.transform(F.sequence(F.lit(0), F.lit(dimensions - 1)), lambda d: F.coalesce(F.element_at("_m", d) / F.col("_length"), F.lit(0.0)))
+    return joined.withColumn(name, values).select(*df.columns, name)

@@ -11,6 +11,7 @@ from pulsegrain import lexicons
 from pulsegrain.functions import text as tx
 from pulsegrain.functions import values as vl
 from pulsegrain.operators import models, reshape, rows
+from pulsegrain.session import written
 
 
 def clean_sentences(
@@ -51,17 +52,29 @@ def comment_enrich(
     })
 
 
-MAX_STOPWORDS = 10_000
+def without_words(df: DataFrame, text: str, words: DataFrame) -> DataFrame:
+    """Rows whose space-separated words in ``text`` lose those in column ``word`` of a table of any size.
+
+    Words meet the table in an anti-join and find back to their row by its
+    number in the stored table, so rows may repeat. A text that loses all its words is ''.
+    """
+    placed = written(df.withColumn("_at", F.monotonically_increasing_id()), "rows")
+    parts = placed.select("_at", F.posexplode(F.split(text, " ")).alias("_pos", "_word"))
+    kept = parts.join(words.select(F.col("word").alias("_word")), "_word", "left_anti")
+    # The words of one text.
+    joined = kept.groupBy("_at").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_pos", "_word"))), lambda e: e["_word"]), " ").alias("_kept"))
+    found = placed.join(joined, "_at", "left").withColumn(text, F.coalesce("_kept", F.lit("")))
+    return found.select(*df.columns)
 
 
-def word_list(words: Sequence[str] | DataFrame) -> list[str]:
-    """A list of words, also from a table with column ``word``, which may hold MAX_STOPWORDS of them."""
-    if not isinstance(words, DataFrame):
-        return list(words)
-    found = sorted(r["word"] for r in words.select("word").where("word IS NOT NULL").distinct().limit(MAX_STOPWORDS + 1).collect())
-    if len(found) > MAX_STOPWORDS:
-        raise ValueError(f"more than {MAX_STOPWORDS} stop words; drop them from the tokens with an anti-join instead")
-    return found
+def _cleaned_sentences(df: DataFrame, text: str, stopwords: Sequence[str] | DataFrame, keep: str) -> DataFrame:
+    """``clean_sentences`` with the stop words as a list or as a table."""
+    if not isinstance(stopwords, DataFrame):
+        return clean_sentences(df, text, stopwords, keep)
+    split = reshape.explode_sentences(df, text, each=lambda t: tx.clean_text(t, (), keep))
+    bare = without_words(split, "sentence", stopwords)
+    return rows.drop_blank(bare.withColumn("sentence", tx.normalize_entities(F.col("sentence"))), "sentence")
 
 
 def review_enrich(
@@ -71,10 +84,11 @@ def review_enrich(
 ) -> DataFrame:
     """Reviews to scored sentences with nouns, brand id and rating.
 
-    The brand is read from the item name by containment; an unknown brand is NULL.
+    The brand is read from the item name by containment; an unknown brand is
+    NULL. Stop words come as a list or as a table with column ``word``, whose size does not matter.
     """
     df = rows.drop_blank(rows.drop_nulls(reviews, [text]), text)
-    df = clean_sentences(df, text, word_list(stopwords), keep)
+    df = _cleaned_sentences(df, text, stopwords, keep)
     df = rows.keep_any_keyword(df, "sentence", terms)
     label, score = models.lexicon_sentiment(F.col("sentence"), positive, negative)
     brand = vl.category_of(F.col(item), brands)

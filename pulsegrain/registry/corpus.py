@@ -7,7 +7,7 @@ from pulsegrain.operators import models, reshape, terms, vectors
 from pulsegrain.registry.base import (
     COMMENTS, CLASSES, NEGATIVE, POSITIVE, TEXT_TERMS, query, sql_count, sql_list, sql_sentences, sql_tokens,
 )
-from pulsegrain.session import new_path
+from pulsegrain.session import new_path, written
 from pulsegrain.sources import files, views
 from pulsegrain.streaming import streams
 
@@ -57,28 +57,24 @@ def _(spark, sf):
     return terms.cooccurrence_top_n(_split(spark, sf), "sentence")
 
 
-# Terms whose partners are asked for.
-NAMED = ["the", "and", "de", "der", "thou", "license"]
-
-
-@query("cooccurrence_pairs", f"""WITH {SPLIT}, t AS (SELECT row_number() OVER () AS i, l FROM s), u AS (SELECT i, unnest(l) AS term FROM t)
-SELECT a.term AS term_a, b.term AS term_b, count(*) AS n FROM u a JOIN u b ON a.i = b.i AND a.term <> b.term
-WHERE list_contains({sql_list(NAMED)}, a.term) GROUP BY ALL""")
+@query("cooccurrence_pairs", f"""WITH {SPLIT}, t AS (SELECT row_number() OVER () AS i, l FROM s), u AS (SELECT i, unnest(l) AS term FROM t),
+c AS (SELECT a.term AS term_a, b.term AS term_b, count(*) AS n FROM u a JOIN u b ON a.i = b.i AND a.term <> b.term GROUP BY ALL)
+SELECT term_a, term_b, n, CAST(row_number() OVER (PARTITION BY term_a ORDER BY n DESC, term_b) AS INTEGER) AS rank FROM c QUALIFY rank <= 20""")
 def _(spark, sf):
-    return terms.cooccurrence_pairs(_split(spark, sf), "sentence", NAMED)
+    return terms.cooccurrence_pairs(_split(spark, sf), "sentence")
 
 
 # The cosine from which two texts count as similar.
-LEAST = 0.5
+LEAST = 0.9
 
 
 @query("count_vector_cosine", f"""WITH a AS (SELECT doc_id, term, count(*) AS n FROM (SELECT doc_id, unnest({sql_tokens('text')}) AS term FROM documents) GROUP BY ALL),
-b AS (SELECT item_id, term, count(*) AS n FROM (SELECT item_id, unnest({sql_tokens('text')}) AS term FROM benchmark) GROUP BY ALL),
-na AS (SELECT doc_id, CAST(sum(n * n) AS BIGINT) AS s FROM a GROUP BY ALL), nb AS (SELECT item_id, CAST(sum(n * n) AS BIGINT) AS s FROM b GROUP BY ALL),
-d AS (SELECT doc_id, item_id, CAST(sum(a.n * b.n) AS BIGINT) AS ab FROM a JOIN b USING (term) GROUP BY ALL)
-SELECT doc_id, item_id, round(ab / sqrt(CAST(na.s AS DOUBLE) * nb.s), 6) AS cosine FROM d JOIN na USING (doc_id) JOIN nb USING (item_id) WHERE cosine >= {LEAST}""")
+na AS (SELECT doc_id, CAST(sum(n * n) AS BIGINT) AS s FROM a GROUP BY ALL),
+d AS (SELECT a.doc_id, b.doc_id AS doc_id_b, CAST(sum(a.n * b.n) AS BIGINT) AS ab FROM a JOIN a b ON a.term = b.term AND a.doc_id < b.doc_id GROUP BY ALL)
+SELECT d.doc_id, doc_id_b, round(ab / sqrt(CAST(x.s AS DOUBLE) * y.s), 6) AS cosine
+FROM d JOIN na x ON x.doc_id = d.doc_id JOIN na y ON y.doc_id = doc_id_b WHERE cosine >= {LEAST}""")
 def _(spark, sf):
-    return terms.count_vector_cosine(views.table(spark, sf, "documents"), views.table(spark, sf, "benchmark"), "doc_id", "item_id", "text", LEAST)
+    return terms.count_vector_cosine(views.table(spark, sf, "documents"), None, "doc_id", "doc_id", "text", LEAST)
 
 
 MATCHING = "kept AS (SELECT * FROM documents WHERE regexp_matches(text, 'thou|eaux|keit'))"
@@ -118,19 +114,23 @@ def _(spark, sf):
     return near.join(embeddings.select(F.col("vec_id").alias("id"), "label"), "id")
 
 
-@query("vector_table_build", """SELECT source || '_' || no AS id, digest, source AS brand, no // 100 AS batch, 64 AS dimensions FROM (
-  SELECT source, md5(text) AS digest, row_number() OVER (ORDER BY key, source) - 1 AS no FROM (
-    SELECT doc_id AS key, 'documents' AS source, text FROM documents UNION ALL SELECT item_id, 'benchmark', text FROM benchmark))""")
+@query("vector_table_build", f"""WITH stacked AS (SELECT doc_id AS key, 'documents' AS source, text FROM documents UNION ALL SELECT item_id, 'benchmark', text FROM benchmark),
+terms AS (SELECT key, source, CAST('0x' || left(md5(unnest({sql_tokens('text')})), 4) AS INTEGER) % 64 AS dim FROM stacked),
+counts AS (SELECT key, source, dim, count(*) AS n FROM terms GROUP BY ALL),
+maps AS (SELECT key, source, map_from_entries(list((dim, n))) AS m, sqrt(sum(n * n)) AS length FROM counts GROUP BY ALL)
+SELECT source || '_' || no AS id, digest, source AS brand, no // 100 AS batch, dim, value FROM (
+  SELECT source, md5(text) AS digest, no, unnest(range(64))::INTEGER AS dim, unnest(list_transform(range(64), lambda d: round(coalesce(m[d::INTEGER] / length, 0.0), 6))) AS value FROM (
+    SELECT s.*, m, length, row_number() OVER (ORDER BY s.key, s.source) - 1 AS no FROM stacked s LEFT JOIN maps USING (key, source)))""")
 def _(spark, sf):
     def embedded(name, key):
-        return vectors.hashed_embedding(views.texts(spark, sf, name, key, "text").withColumnRenamed(key, "key"), "text")
+        return vectors.hashed_embedding(views.texts(spark, sf, name, key, "text").withColumnRenamed(key, "key"), "key", "text")
 
     built = vectors.vector_table([("documents", embedded("documents", "doc_id")), ("benchmark", embedded("benchmark", "item_id"))],
                                  "key", "text", "embedding", batch=100)
     path = files.full_refresh(built, new_path(spark, "vectors"))
     return spark.read.parquet(path).select(
-        "id", F.md5(F.col("text").cast("binary")).alias("digest"), "brand", "batch", F.size("embedding").alias("dimensions")
-    )
+        "id", F.md5(F.col("text").cast("binary")).alias("digest"), "brand", "batch", F.posexplode("embedding").alias("dim", "value")
+    ).withColumn("value", F.round("value", 6))
 
 
 # -- models
@@ -150,10 +150,27 @@ def sql_score(column: str) -> str:
     return f"round(CAST(abs({p} - {n}) AS DOUBLE) / nullif({p} + {n}, 0), 6)"
 
 
-@query("sentiment_score", f"SELECT doc_id, {sql_label('text')} AS label, {sql_score('text')} AS score FROM documents")
+# Folds that teach nothing: a quarter of the rows.
+UNSEEN = ["0", "1", "2", "3"]
+
+NEGATIONS = ["not", "no", "ne", "pas", "nicht", "kein", "ist"]
+
+@query("sentiment_score", f"""WITH t AS (SELECT d.doc_id, {sql_tokens('text')} AS l, quality, left(md5(CAST(d.doc_id AS VARCHAR)), 1) IN {tuple(UNSEEN)} AS unseen
+  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
+counts AS (SELECT term, count(*) FILTER (quality = 1) AS p, count(*) FILTER (quality = 0) AS m
+  FROM (SELECT quality, unnest(l) AS term FROM t WHERE quality IN (0, 1) AND NOT unseen) GROUP BY term),
+w AS (SELECT sum(p) AS p, sum(m) AS m, count(*) AS v FROM counts),
+lexicon AS (SELECT term, CAST(round((ln((c.p + 1.0) / (w.p + w.v)) - ln((c.m + 1.0) / (w.m + w.v))) * 1000000) AS BIGINT) AS units FROM counts c CROSS JOIN w),
+u AS (SELECT doc_id, l[i] AS term, CASE WHEN list_has_any(l[greatest(i - 2, 1):i - 1], {sql_list(NEGATIONS)}) AND i > 1 THEN -1 ELSE 1 END AS sign
+  FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM t)),
+sums AS (SELECT doc_id, sum(sign * units) AS s, sum(abs(units)) AS w FROM u JOIN lexicon USING (term) GROUP BY doc_id)
+SELECT doc_id, CASE WHEN s > 0 THEN '1' WHEN s < 0 THEN '0' END AS label, round(CAST(abs(s) AS DOUBLE) / nullif(w, 0), 6) AS score
+FROM documents LEFT JOIN sums USING (doc_id)""")
 def _(spark, sf):
-    label, score = models.lexicon_sentiment(F.col("text"), POSITIVE, NEGATIVE)
-    return views.texts(spark, sf, "documents", "doc_id", "text").select("doc_id", label.alias("label"), score.alias("score"))
+    comments = views.comments(spark, sf)
+    taught = comments.where(~models.fold_of(F.col("comment_id")).isin(UNSEEN))
+    lexicon = written(models.learn_lexicon(taught, "content", "label"), "lexicon")
+    return models.weighted_sentiment(comments, "comment_id", "content", lexicon, NEGATIONS).withColumnRenamed("comment_id", "doc_id")
 
 
 def _labelled(spark, sf):
@@ -163,34 +180,37 @@ def _labelled(spark, sf):
     )
 
 
-#: Where the classifier of a session and a folder of tables is stored; it is fitted once.
-_STORED: dict[tuple[str, str], str] = {}
-
-
-def _classifier(spark, sf):
-    place = (spark.sparkContext.applicationId, sf)
-    if place not in _STORED:
-        model = models.train_text_classifier(_labelled(spark, sf), "content", "class", key="comment_id")
-        _STORED[place] = models.save_classifier(model, new_path(spark, "classifier"))
-    return models.load_classifier(_STORED[place])
+BAYES = f"""rows AS (SELECT d.doc_id, text, left(md5(CAST(d.doc_id AS VARCHAR)), 1) IN {tuple(UNSEEN)} AS unseen,
+  CASE WHEN quality IS NULL THEN NULL WHEN toxic = 1 THEN 'second' WHEN quality = 1 THEN 'first' ELSE 'none' END AS class
+  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
+tokens AS MATERIALIZED (SELECT doc_id, class, unseen, term, count(*) AS tf FROM (SELECT doc_id, class, unseen, unnest({sql_tokens('text')}) AS term FROM rows) GROUP BY ALL),
+taught AS (SELECT class, term, sum(tf) AS n FROM tokens WHERE class IS NOT NULL AND NOT unseen GROUP BY ALL),
+prior AS (SELECT class, count(*) AS r FROM rows WHERE class IS NOT NULL AND NOT unseen GROUP BY ALL),
+classes AS (SELECT class, ln(r / sum(r) OVER ()) AS prior, ln((SELECT coalesce(sum(n), 0) FROM taught t WHERE t.class = p.class)
+            + (SELECT count(DISTINCT term) FROM taught)) AS scale FROM prior p),
+known AS (SELECT doc_id, sum(tf) AS k FROM tokens WHERE term IN (SELECT term FROM taught) GROUP BY ALL),
+sums AS (SELECT doc_id, t.class, sum(tf * ln(n + 1.0)) AS w FROM tokens JOIN taught t USING (term) GROUP BY ALL),
+scored AS (SELECT r.doc_id, c.class, round(prior + coalesce(w, 0) - coalesce(k, 0) * scale, 6) AS s FROM (SELECT DISTINCT doc_id FROM rows) r CROSS JOIN classes c
+  LEFT JOIN known USING (doc_id) LEFT JOIN sums ON sums.doc_id = r.doc_id AND sums.class = c.class),
+predicted AS (SELECT doc_id, class AS predicted FROM scored QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY s DESC, class) = 1)"""
 
 
-CLASS_FLOOR = 0.5
+def _bayes(spark, sf):
+    taught = _labelled(spark, sf).where(~models.fold_of(F.col("comment_id")).isin(UNSEEN))
+    return models.bayes_model(taught, "comment_id", "content", "class")
 
 
-@query("train_text_classifier", """SELECT CASE WHEN toxic = 1 THEN 'second' WHEN label = 1 THEN 'first' ELSE 'none' END AS class, count(*) AS n, true AS above_floor
-FROM (SELECT l.quality AS label, l.toxic FROM documents d JOIN labels l ON d.doc_id = l.doc_id) WHERE label IS NOT NULL GROUP BY ALL""")
+@query("train_text_classifier", f"""WITH {BAYES} SELECT class, predicted, count(*) AS n FROM rows JOIN predicted USING (doc_id) WHERE class IS NOT NULL AND unseen GROUP BY ALL""")
 def _(spark, sf):
-    # Of every class at least CLASS_FLOOR of the rows must be told right.
-    scored = models.classify_text(_labelled(spark, sf), _classifier(spark, sf))
-    right = F.count_if(F.col("class") == F.col("predicted"))
-    return scored.groupBy("class").agg(F.count(F.lit(1)).alias("n"), (right >= F.count(F.lit(1)) * CLASS_FLOOR).alias("above_floor"))
+    # The confusion matrix of the rows that taught nothing.
+    unseen = _labelled(spark, sf).where(models.fold_of(F.col("comment_id")).isin(UNSEEN))
+    scored = models.bayes_classify(unseen, "comment_id", "content", *_bayes(spark, sf))
+    return unseen.select("comment_id", "class").join(scored, "comment_id").groupBy("class", "predicted").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("text_classify", "SELECT doc_id AS comment_id, true AS classified FROM documents")
+@query("text_classify", f"WITH {BAYES} SELECT doc_id AS comment_id, predicted FROM predicted")
 def _(spark, sf):
-    scored = models.classify_text(views.comments(spark, sf), _classifier(spark, sf))
-    return scored.select("comment_id", F.col("predicted").isin("first", "second", "none").alias("classified"))
+    return models.bayes_classify(views.comments(spark, sf), "comment_id", "content", *_bayes(spark, sf)).select("comment_id", "predicted")
 
 
 @query("vectorised_udf_surface", """SELECT doc_id, CASE WHEN 3 * v > a THEN '1' ELSE '0' END AS label, CAST(v AS DOUBLE) AS score FROM (

@@ -149,7 +149,7 @@ def _(spark, sf):
 def _(spark, sf):
     lexicon = views.table(spark, sf, "part").select(F.explode(F.split("p_name", " ")).alias("keyword"))
     documents = views.texts(spark, sf, "documents", "doc_id", "text")
-    return match.match_keyword_table(documents, lexicon, "text", "doc_id").select("doc_id", "keyword")
+    return match.match_keyword_table(documents, lexicon, "text").select("doc_id", "keyword")
 
 
 @query("keyword_table_join", f"""SELECT doc_id, keyword FROM documents
@@ -158,7 +158,7 @@ def _(spark, sf):
     # Whole sentences as keywords: too many for one expression.
     lexicon = views.table(spark, sf, "benchmark").select(F.explode(tx.sentences_of(F.col("text"))).alias("keyword"))
     documents = views.texts(spark, sf, "documents", "doc_id", "text")
-    return match.match_keyword_table(documents, lexicon, "text", "doc_id").select("doc_id", "keyword")
+    return match.match_keyword_table(documents, lexicon, "text").select("doc_id", "keyword")
 
 
 @query("exists_semi", "SELECT doc_id, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)")

@@ -7,6 +7,7 @@ from pulsegrain.functions import values as vl
 from pulsegrain.registry.base import EVENT_DATE, RUN_DATE, query
 from pulsegrain.session import new_path
 from pulsegrain.sources import files, views
+from pulsegrain.streaming import streams
 
 
 def _staged_events(spark, sf):
@@ -154,11 +155,20 @@ def _(spark, sf):
     return files.merge_fields(events.select("event_id", "props"), fresh, "event_id", "props")
 
 
-@query("incremental_since", "SELECT event_id, ts, event_type FROM events WHERE ts > (SELECT max(ts) FROM events) - INTERVAL 7 DAY")
+# The times up to which the first runs find events.
+RUN_ENDS = ["2024-01-11", "2024-01-21"]
+
+
+@query("incremental_since", f"""SELECT event_id, ts, event_type,
+  CAST(CASE WHEN ts <= TIMESTAMP '{RUN_ENDS[0]}' THEN 0 WHEN ts <= TIMESTAMP '{RUN_ENDS[1]}' THEN 1 ELSE 2 END AS INTEGER) AS batch FROM events""")
 def _(spark, sf):
+    # Every run finds all events so far, and the second one comes twice.
     events = views.table(spark, sf, "events").select("event_id", "ts", "event_type")
-    mark = events.agg(F.max("ts") - F.expr("INTERVAL 7 DAYS")).scalar()
-    return files.collected_since(events, "ts", mark)
+    slices = [events.where(F.col("ts") <= F.lit(end).cast("timestamp_ntz")) for end in RUN_ENDS] + [events]
+    root = new_path(spark, "since")
+    for batch in (0, 1, 1, 2):
+        streams.ingest_batch(slices[batch], batch, "ts", root)
+    return spark.read.parquet(f"{root}/rows")
 
 
 @query("date_filter", f"SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate FROM lineitem WHERE CAST(l_shipdate AS DATE) >= DATE '{RUN_DATE}'")

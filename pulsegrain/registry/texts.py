@@ -5,10 +5,12 @@ from pyspark.sql import functions as F
 from pulsegrain import lexicons
 from pulsegrain.functions import html as hx
 from pulsegrain.functions import text as tx
+from pulsegrain.functions.tables import register_table_functions
 from pulsegrain.functions import values as vl
 from pulsegrain.registry.base import (
-    ANY_LETTER, REQUESTS, SPACE, TEXT_TERMS, query, sql_clean, sql_count, sql_list, sql_normalize, sql_strip, sql_tokens,
+    ANY_LETTER, REQUESTS, SPACE, TEXT_TERMS, query, sql_clean, sql_count, sql_list, sql_normalize, sql_sentences, sql_strip, sql_tokens,
 )
+from pulsegrain.operators import terms
 from pulsegrain.sources import views
 
 
@@ -158,10 +160,20 @@ def _(spark, sf):
     return views.table(spark, sf, "pages").select("page_id", vl.url_param(url, "page", "1").alias("page"), vl.url_param(url, "ref", "none").alias("ref"))
 
 
-@query("noun_tokens", f"""SELECT doc_id, array_to_string(list_filter({sql_tokens('text')},
-  lambda w: NOT list_contains({sql_list(TEXT_TERMS)}, w)), ' ') AS nouns FROM documents""")
+@query("noun_tokens", f"""WITH t AS (SELECT doc_id, {sql_tokens('text')} AS l FROM documents),
+counts AS (SELECT token, count(*) AS n FROM (SELECT unnest(l) AS token FROM t) GROUP BY token),
+parts AS (SELECT token, n, unnest(range(1, length(token) + 1)) AS k FROM counts WHERE length(token) <= {terms.MAX_STEM}),
+held AS (SELECT left(token, k) AS part, sum(n) AS f FROM parts GROUP BY ALL),
+stems AS (SELECT token, part AS stem FROM (
+    SELECT token, k, h.part, round(pow(h.f / g.f, 1.0 / (k - 1)), 6) AS c FROM parts JOIN held h ON h.part = left(token, k) JOIN held g ON g.part = left(token, 1)
+    WHERE k > 1) QUALIFY row_number() OVER (PARTITION BY token ORDER BY c DESC, k DESC) = 1
+  UNION ALL SELECT token, token FROM counts WHERE length(token) > {terms.MAX_STEM}),
+u AS (SELECT doc_id, unnest(range(1, len(l) + 1)) AS pos, unnest(l) AS token FROM t),
+joined AS (SELECT doc_id, string_agg(stem, ' ' ORDER BY pos) AS nouns FROM u JOIN stems USING (token) WHERE NOT list_contains({sql_list(TEXT_TERMS)}, stem) GROUP BY doc_id)
+SELECT doc_id, coalesce(nouns, '') AS nouns FROM documents LEFT JOIN joined USING (doc_id)""")
 def _(spark, sf):
-    return _documents(spark, sf).select("doc_id", tx.noun_tokens(F.col("text"), TEXT_TERMS).alias("nouns"))
+    documents = _documents(spark, sf).select("doc_id", "text")
+    return terms.stemmed_nouns(documents, "doc_id", "text", terms.token_stems(documents, "text"), TEXT_TERMS)
 
 
 @query("html_fields", r"""SELECT page_id, regexp_extract(html, '(?is)<title(?:\s[^>]*)?>(.*?)</title>', 1) AS title,
@@ -185,3 +197,30 @@ def _(spark, sf):
 @query("array_slice_take", f"SELECT doc_id, array_to_string({sql_tokens('text')}[1:5], ' ') AS head FROM documents")
 def _(spark, sf):
     return _documents(spark, sf).select("doc_id", F.array_join(vl.take_first(tx.tokens_of(F.col("text")), 5), " ").alias("head"))
+
+
+# -- table functions in SQL
+
+@query("sentence_rows", f"""SELECT doc_id, CAST(unnest(range(len(l))) AS INTEGER) AS pos, unnest(l) AS sentence
+  FROM (SELECT doc_id, {sql_sentences('text')} AS l FROM documents)""")
+def _(spark, sf):
+    register_table_functions(spark)
+    return spark.sql("SELECT d.doc_id, s.pos, s.sentence FROM {docs} d, LATERAL sentence_rows(d.text) s", docs=_documents(spark, sf))
+
+
+@query("numbered_rows", """SELECT p_partkey, pos, CASE pos WHEN 1 THEN 'C - ' || p_name || ' - y' ELSE p_name END AS name,
+       CASE WHEN pos = 0 THEN p_type ELSE '' END AS reason
+FROM part CROSS JOIN (SELECT CAST(unnest(range(3)) AS INTEGER) AS pos)""")
+def _(spark, sf):
+    register_table_functions(spark)
+    lines = F.concat(F.lit("1. "), "p_name", F.lit(" - "), "p_type", F.lit("\n2. C - "), "p_name", F.lit(" - y\n  "), "p_name")
+    parts = views.table(spark, sf, "part").select("p_partkey", lines.alias("t"))
+    return spark.sql("SELECT p.p_partkey, r.pos, r.name, r.reason FROM {parts} p, LATERAL numbered_rows(p.t) r", parts=parts)
+
+
+@query("letter_counts", """SELECT source AS part, count(*) AS texts, CAST(sum(length(regexp_replace(text, '[^a-zA-Z]', '', 'g'))) AS BIGINT) AS letters,
+  CAST(sum(length(regexp_replace(text, '[^aeiou]', '', 'g'))) AS BIGINT) AS vowels FROM documents GROUP BY source""")
+def _(spark, sf):
+    register_table_functions(spark)
+    documents = views.table(spark, sf, "documents").select(F.col("source").alias("part"), "text")
+    return spark.sql("SELECT * FROM letter_counts(TABLE(SELECT part, text FROM {docs}) PARTITION BY part)", docs=documents)

@@ -169,6 +169,41 @@ def merge_json(json: Column, changes: Column) -> Column:
     return F.to_json(F.map_concat(kept, changes))
 
 
+def json_fields(df: DataFrame, key: str, json: str) -> DataFrame:
+    """One row per entry of a JSON object: key, field, and the value as JSON text, whatever its type.
+
+    Bad JSON, missing JSON and JSON that is no object have no entries.
+    """
+    rows = df.select(F.col(key).alias("_id"), F.col(json).alias("_json"))
+    entries = df.sparkSession.tvf.variant_explode(F.try_parse_json(F.col("_json").outer()))
+    found = rows.lateralJoin(entries).where(F.col("key").isNotNull())
+    return found.select(F.col("_id").alias(key), F.col("key").alias("field"), F.to_json("value").alias("value"))
+
+
+def merge_results(stored: DataFrame, steps: Sequence[DataFrame], key: str, json: str = "result") -> DataFrame:
+    """Stored JSON objects with the entries of the steps' objects set or replaced: key, json.
+
+    Every step has one object per key and entries of its own. Entries that no
+    step has stay as they are, nested values included, so merging the same
+    steps again changes nothing. Keys of either side stay.
+    """
+    new = None
+    for step in steps:
+        fields = json_fields(step, key, json)
+        new = fields if new is None else new.unionByName(fields)
+    old = json_fields(stored, key, json).withColumnRenamed("value", "old_value")
+    merged = old.join(new, [key, "field"], "full").select(key, "field", F.coalesce("value", "old_value").alias("value"))
+    name = F.expr("substring(to_json(array(field)), 2, length(to_json(array(field))) - 2)")
+    # The entries of one object.
+    entries = F.array_sort(F.collect_list(F.struct("field", F.concat(name, F.lit(":"), F.col("value")).alias("entry"))))
+    objects = merged.groupBy(key).agg(F.array_join(F.transform(entries, lambda e: e["entry"]), ",").alias("_inner"))
+    keys = stored.select(key)
+    for step in steps:
+        keys = keys.unionByName(step.select(key))
+    whole = keys.distinct().join(objects, key, "left")
+    return whole.select(key, F.concat(F.lit("{"), F.coalesce("_inner", F.lit("")), F.lit("}")).alias(json))
+
+
 def collected_since(df: DataFrame, ts: str, mark: Column) -> DataFrame:
     """Rows newer than the stored mark."""
     return df.where(F.col(ts) > mark)

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from pulsegrain.sources import files
+
 
 def stream_files(spark: SparkSession, path: str, schema: StructType, per_trigger: int = 1000) -> DataFrame:
     """New Parquet files under ``path`` as a stream."""
@@ -27,6 +29,43 @@ def stream_ingest(stream: DataFrame, ts: str, target: str, checkpoint: str) -> N
     )
 
 
+def stored_mark(spark: SparkSession, root: str, before: int | None = None):
+    """The newest time that the batches before ``before`` have taken in, None without one."""
+    if not _exists(spark, f"{root}/marks"):
+        return None
+    marks = spark.read.schema("mark timestamp_ntz, batch long").option("recursiveFileLookup", "false").parquet(f"{root}/marks")
+    return (marks if before is None else marks.where(F.col("batch") < before)).agg(F.max("mark")).first()[0]
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether the file system of the path holds it."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
+def ingest_batch(rows: DataFrame, batch: int, ts: str, root: str) -> None:
+    """Take in the rows that are newer than the stored mark, and move the mark.
+
+    Rows and mark of a batch lie under its id, and the mark it starts from is
+    that of the batches before it, so a repeated batch writes the same again.
+    Rows without a time are never newer.
+    """
+    mark = stored_mark(rows.sparkSession, root, batch)
+    fresh = rows.where(F.col(ts).isNotNull()) if mark is None else files.collected_since(rows, ts, F.lit(mark))
+    fresh.write.mode("overwrite").parquet(f"{root}/rows/batch={batch}")
+    taken = rows.sparkSession.read.schema(fresh.schema).parquet(f"{root}/rows/batch={batch}")
+    newest = taken.agg(F.max(F.col(ts).cast("timestamp_ntz")).alias("mark"))
+    newest.where("mark IS NOT NULL").write.mode("overwrite").parquet(f"{root}/marks/batch={batch}")
+
+
+def stream_since(stream: DataFrame, ts: str, root: str, checkpoint: str) -> None:
+    """``ingest_batch`` on the micro-batches of a stream."""
+    (
+        stream.writeStream.foreachBatch(lambda rows, batch: ingest_batch(rows, batch, ts, root)).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start().awaitTermination()
+    )
+
+
 def stream_dedup(stream: DataFrame, keys: Sequence[str], ts: str, delay: str, target: str, checkpoint: str) -> None:
     """Append the first row per key; keys older than the watermark are forgotten."""
     (

@@ -10,7 +10,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulsegrain.operators import match, metrics, models, numbering, ranking, reshape, rows as ops, terms, vectors
+from pulsegrain.plans import report
 from pulsegrain.session import new_path
+from pulsegrain.sources import files
 
 FACT = "id string, brand string, sentence string, sentiment_label string, sentiment_score double, like_count int, commented_at timestamp_ntz"
 
@@ -87,19 +89,71 @@ def test_shares_add_up(fact):
             assert r.t == pytest.approx(whole, abs=slack)
 
 
-def test_requests_are_answered_like_one_by_one(spark, fact, rows, monkeypatch):
-    from pulsegrain.plans import report
-
+def _report_rows(fact):
     rng = random.Random(7)
-    df = fact(*[{"s": " ".join(rng.choices(["k1", "k2", "k3", "k4"], k=2)), "label": rng.choice("10"), "at": datetime(2025, rng.randint(1, 2), 1)}
-                for _ in range(60)])
-    asked = {1: ["k1", "k2"], 2: ["k2", "k3", "k3"], 3: ["absent"]}
-    requests = spark.createDataFrame(list(asked.items()), "request_id long, keywords array<string>")
-    single = sorted(((i, *r) for i, ks in asked.items() for r in map(tuple, metrics.keyword_month_trend(df, list(dict.fromkeys(ks))).collect())), key=repr)
-    for short, long in ((64, 100), (1, 100), (1, 1)):
-        monkeypatch.setattr(match, "SHORT_LEXICON", short)
-        monkeypatch.setattr(match, "LONG_LEXICON", long)
-        assert rows(report.request_trends(df, requests)) == single
+    return [{"s": " ".join(rng.choices(["k1", "k2", "k3", "k4", "zz"], k=2)), "label": rng.choice(["1", "0", None]), "brand": rng.choice("xy"),
+             "score": rng.randint(1, 4) / 4, "likes": rng.randint(0, 3), "at": datetime(2025, rng.randint(1, 2), 1)} for _ in range(80)]
+
+
+ASKED = {1: ["k1", "k2"], 2: ["k2", "k3", "k3"], 3: ["absent"]}
+
+
+def test_requests_are_answered_like_one_by_one(spark, fact, rows, monkeypatch):
+    df = fact(*_report_rows(fact))
+    comments = report.as_comments(df.withColumn("pos", F.lit(0)), "id", ["like_count", "commented_at"])
+    requests = spark.createDataFrame(list(ASKED.items()), "request_id long, keywords array<string>")
+    single = sorted(((i, *r) for i, ks in ASKED.items() for r in map(tuple, metrics.keyword_month_trend(df, list(dict.fromkeys(ks))).collect())), key=repr)
+    for words in (4096, 1):
+        monkeypatch.setattr(match, "SET_WORDS", words)
+        assert rows(report.request_trends(comments, requests)) == single
+
+
+def test_report_steps_equal_single_measures(spark, fact):
+    df = fact(*_report_rows(fact), {"s": "zz", "brand": "alone"})
+    comments = report.as_comments(df.withColumn("pos", F.lit(0)), "id", ["like_count", "commented_at"])
+    requests = spark.createDataFrame(list(ASKED.items()), "request_id long, keywords array<string>")
+    sums = report.cell_sums(report.keyword_cells(comments, requests))
+    steps = [*report.report_keywords(sums, requests), *report.report_sentiment(sums, requests)]
+    stored = requests.select("request_id", F.lit('{"old": {"a": [1, "x"]}, "overall": 3}').alias("result"))
+    once = files.merge_results(stored, steps, "request_id")
+    twice = files.merge_results(once, steps, "request_id")
+    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect()))
+    assert all('"old":{"a":[1,"x"]}' in r.result for r in once.collect())
+    got = defaultdict(set)
+    for r in report.step_rows(twice).collect():
+        got[r.request_id, r.section].add((r.brand, r.month, r.keyword, r.metric, r.value, r.sentence))
+    for i, ks in ASKED.items():
+        ks = list(dict.fromkeys(ks))
+        assert got[i, "share"] == {(r.brand, "", r.keyword, "pct", r.pct, "") for r in metrics.keyword_percentage(df, ks).collect()}
+        scores = metrics.keyword_sentiment_score(df, ks).collect()
+        assert got[i, "score"] == {(r.brand, "", r.keyword, m, r[m], "") for r in scores for m in ("pos", "neg")}
+        overall = metrics.overall_sentiment_ratio(df).collect()
+        assert got[i, "overall"] == {(r.brand, "", "", m, r[m], "") for r in overall for m in ("pos", "neg")}
+        best = ranking.top_comment_grid(df, df.select("brand"), ks).collect()
+        assert got[i, "comment"] == {(r.brand, "", r.keyword, r.sentiment, None, r.sentence) for r in best}
+
+
+def test_merged_results(spark):
+    stored = spark.createDataFrame([(1, '{"a": 1, "b": {"c": [1.5, null]}, "q\\"": "t"}'), (2, "not json"), (3, None), (4, "[1]"), (5, "{}")], "k long, result string")
+    step = spark.createDataFrame([(1, '{"a": "new"}'), (2, '{"x": {"y": 0.25}}'), (9, '{"z": true}')], "k long, result string")
+    got = {r.k: r.result for r in files.merge_results(stored, [step], "k").collect()}
+    assert got == {1: '{"a":"new","b":{"c":[1.5,null]},"q\\"":"t"}', 2: '{"x":{"y":0.25}}', 3: "{}", 4: "{}", 5: "{}", 9: '{"z":true}'}
+
+
+def test_only_missing_recommendations_are_searched(spark, rows):
+    stored = spark.createDataFrame([(1, 7, "1. old - kept")], "query_id long, recommendation_id long, recommendation string")
+    queries = spark.createDataFrame([(1,), (2,), (3,)], "query_id long")
+    searched = []
+
+    def search(missing):
+        searched.extend(r.query_id for r in missing.collect())
+        return missing.where("query_id <> 3").withColumn("recommendation", F.concat(F.lit("1. new - "), "query_id"))
+
+    every, fresh = report.recommend_once(stored, queries, search)
+    assert rows(every) == [(1, 7, "1. old - kept"), (2, 8, "1. new - 2")] and rows(fresh) == [(2, 8, "1. new - 2")]
+    assert sorted(searched) == [2, 3]
+    again, none = report.recommend_once(stored.unionAll(fresh), queries.where("query_id < 3"), search)
+    assert rows(again) == rows(every) and none.count() == 0
 
 
 # -- ranking
@@ -213,14 +267,13 @@ def test_keyword_table_equals_brute_force(spark, rows, monkeypatch):
     df = spark.createDataFrame(list(enumerate(texts)), "id long, t string")
     lexicon = spark.createDataFrame([(w,) for w in words] + [("",), ("ab",)], "keyword string")
     brute = sorted(((i, w) for i, t in enumerate(texts) for w in set(words) | {"ab"} if w in t), key=repr)
-    assert rows(match.match_keyword_table(df, lexicon, "t", "id"), "id", "keyword") == brute
-    monkeypatch.setattr(match, "SHORT_LEXICON", 3)
-    assert rows(match.match_keyword_table(df, lexicon, "t", "id"), "id", "keyword") == brute
-    monkeypatch.setattr(match, "LONG_LEXICON", 3)
-    assert rows(match.match_keyword_table(df, lexicon, "t", "id"), "id", "keyword") == brute
+    for gram, words_of_set, hottest in ((5, 4096, 1000), (1, 4096, 5), (3, 1, 1000), (2, 4096, 1)):
+        monkeypatch.setattr(match, "SET_WORDS", words_of_set)
+        monkeypatch.setattr(match, "HOTTEST", hottest)
+        assert rows(match.match_keyword_table(df, lexicon, "t", gram), "id", "keyword") == brute
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert rows(match.match_keyword_table(df, lexicon, "t", "id"), "id", "keyword") == brute
+        assert rows(match.match_keyword_table(df, lexicon, "t", 2), "id", "keyword") == brute
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert rows(match.match_keywords(df, "t", words + (["ab"] if "ab" not in words else [])), "id", "keyword") == brute
@@ -229,7 +282,24 @@ def test_keyword_table_equals_brute_force(spark, rows, monkeypatch):
 def test_empty_keyword_table(spark):
     df = spark.createDataFrame([(1, "a")], "id long, t string")
     none = spark.createDataFrame([], "keyword string")
-    assert match.match_keyword_table(df, none, "t", "id").count() == 0
+    assert match.match_keyword_table(df, none, "t").count() == 0
+
+
+def test_keywords_are_filed_under_their_rarest_run(spark, rows):
+    texts = spark.createDataFrame([(i, t) for i, t in enumerate(["aaaa"] * 30 + ["aaab", "xaab", None, "b"])], "id long, t string")
+    words = spark.createDataFrame([("aaa",), ("aaab",), ("b",), ("zz",), ("aaaz",)], "keyword string")
+    index = rows(match.keyword_index(texts, words, "t", 2))
+    # A keyword made of the most common run has no other; one with an absent run has no entry.
+    assert index == [("aaa", "aa", 32), ("aaab", "ab", 2), ("b", "b", 3)]
+    found = Counter(r.keyword for r in match.match_keyword_table(texts, words, "t", 2).collect())
+    assert found == {"aaa": 31, "aaab": 1, "b": 3}
+
+
+def test_keyword_table_plan_has_no_collect_and_no_nested_loop(spark):
+    texts = spark.range(1000).selectExpr("id", "concat('text ', id) as t")
+    words = spark.range(500).selectExpr("concat('t ', id) as keyword")
+    plan = match.match_keyword_table(texts, words, "t")._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "Python" not in plan
 
 
 # -- terms
@@ -273,9 +343,13 @@ def test_cooccurrence(spark, rows):
         words = sorted(set(w for w in t.split() if len(w) > 1))
         pairs.update((a, b) for i, a in enumerate(words) for b in words[i + 1:])
     both = pairs + Counter({(b, a): n for (a, b), n in pairs.items()})
-    named = [*sorted({a for a, _ in both})[:3], "absent"]
-    got = {(r.term_a, r.term_b): r.n for r in terms.cooccurrence_pairs(df, "t", named).collect()}
-    assert got and got == {k: n for k, n in both.items() if k[0] in named}
+    for n, head in ((3, 2), (2, 1), (1000, 3), (2, 512), (1, 4)):
+        got = {(r.term_a, r.rank): (r.term_b, r.n) for r in terms.cooccurrence_pairs(df, "t", n, head).collect()}
+        want = {}
+        for a in {a for a, _ in both}:
+            ranked = sorted(((-c, y) for (x, y), c in both.items() if x == a))[:n]
+            want.update({(a, i): (y, -c) for i, (c, y) in enumerate(ranked, 1)})
+        assert got == want
     sums = Counter()
     for (a, b), n in pairs.items():
         sums[a] += n
@@ -300,6 +374,9 @@ def test_count_vector_cosine(spark, least):
             if dot and round(dot / norm, 6) >= least:
                 assert got.pop((i, j)) == pytest.approx(dot / norm, abs=1e-6)
     assert not got
+    own = {(r.a, r.a_b): r.cosine for r in terms.count_vector_cosine(df.unionAll(nulls), None, "a", "a", "t", least).collect()}
+    both = {(r.a, r.b): r.cosine for r in terms.count_vector_cosine(df, other, "a", "b", "t", least).collect()}
+    assert own == {pair: c for pair, c in both.items() if pair[0] < pair[1]}
 
 
 def test_token_top_n_with_a_stopword_table(spark, rows):
@@ -311,9 +388,10 @@ def test_token_top_n_with_a_stopword_table(spark, rows):
 
 # -- vectors
 
-@pytest.mark.parametrize("limit", [4_000_000, 30])
-def test_nearest_vectors_equal_brute_force(spark, monkeypatch, limit):
-    monkeypatch.setattr(vectors, "MAX_QUERY_NUMBERS", limit)
+@pytest.mark.parametrize("block", [10_000, 3])
+def test_nearest_vectors_equal_brute_force(spark, monkeypatch, block):
+    for name in ("VECTOR_BLOCK", "QUERY_BLOCK", "QUERIES_AT_ONCE"):
+        monkeypatch.setattr(vectors, name, block if name != "VECTOR_BLOCK" else block * 5)
     rng = np.random.default_rng(3)
     base = rng.normal(size=(200, 8)).astype("float32")
     base[150:] = base[0]  # a third of the table is one vector
@@ -385,6 +463,24 @@ def test_sample_is_stable(spark, rows):
     assert rows(models.sample_rows(df, "k", 10)) == rows(models.sample_rows(df.repartition(7), "k", 10))
 
 
+def test_rows_with_one_key_or_none_are_spread(spark):
+    keys = [None] * 400 + ["same"] * 400 + [f"k{i}" for i in range(200)]
+    df = spark.createDataFrame([(k, i % 7) for i, k in enumerate(keys)], "k string, _row int").repartition(3)
+    out = numbering.number_rows(df, "k", name="no", rows_per_range=100).orderBy("no").collect()
+    assert [r.no for r in out] == list(range(1, 1001))
+    assert [r.k for r in out] == [None] * 400 + sorted(keys[400:])
+    ordered = df.select(F.struct("k", "_row").alias("r"))
+    sizes = Counter(r.p for r in ordered.repartitionByRange(
+        10, F.col("r.k"), F.xxhash64("r"), F.rand(42)).select(F.spark_partition_id().alias("p")).collect())
+    assert max(sizes.values()) < 300
+
+
+def test_equal_rows_are_numbered_once_each(spark, rows):
+    df = spark.createDataFrame([("a", 1)] * 50 + [("b", 1)] * 30 + [(None, None)] * 20, "g string, k int")
+    out = rows(numbering.number_rows(df, "k", groups=["g"], rows_per_range=7), "g", "row_no")
+    assert out == sorted([("a", i) for i in range(1, 51)] + [("b", i) for i in range(1, 31)] + [(None, i) for i in range(1, 21)], key=repr)
+
+
 def test_numbers_keep_rows_without_a_key(spark, rows):
     df = spark.createDataFrame([(None, "n"), (3, "c"), (1, "a"), (2, "b")], "k int, v string")
     want = [("a", 2), ("b", 3), ("c", 4), ("n", 1)]
@@ -392,12 +488,49 @@ def test_numbers_keep_rows_without_a_key(spark, rows):
         assert rows(numbering.number_rows(df, "k", ["v"], name="no", rows_per_range=per_range), "v", "no") == want
 
 
-def test_run_join_keeps_texts_without_an_id(spark, rows, monkeypatch):
-    monkeypatch.setattr(match, "SHORT_LEXICON", 0)
-    monkeypatch.setattr(match, "LONG_LEXICON", 0)
+def test_run_join_keeps_texts_without_an_id(spark, rows):
     texts = spark.createDataFrame([(None, "red hot"), (None, "cold"), (1, "red")], "id int, t string")
     words = spark.createDataFrame([("red",), ("cold",)], "keyword string")
-    assert rows(match.match_keyword_table(texts, words, "t", "id")) == sorted([(None, "red hot", "red"), (None, "cold", "cold"), (1, "red", "red")], key=repr)
+    assert rows(match.match_keyword_table(texts, words, "t")) == sorted([(None, "red hot", "red"), (None, "cold", "cold"), (1, "red", "red")], key=repr)
+
+
+def test_left_parts_of_korean_words(spark, rows):
+    said = ["갤럭시는 좋다", "갤럭시가 좋다", "갤럭시를 샀다", "갤럭시 화면이 좋다", "화면은 크다", "화면 화면도", "x" * 40, None]
+    df = spark.createDataFrame(list(enumerate(said)), "id long, t string")
+    stems = {r.token: r.stem for r in terms.token_stems(df, "t").collect()}
+    assert {stems[w] for w in ("갤럭시는", "갤럭시가", "갤럭시를", "갤럭시")} == {"갤럭시"}
+    assert {stems[w] for w in ("화면이", "화면은", "화면", "화면도")} == {"화면"} and stems["x" * 40] == "x" * 40
+    nouns = dict(rows(terms.stemmed_nouns(df, "id", "t", terms.token_stems(df, "t"), ["좋다"])))
+    assert nouns[0] == "갤럭시" and nouns[3] == "갤럭시 화면" and nouns[5] == "화면 화면" and nouns[7] == ""
+
+
+def test_weighted_sentiment_by_hand(spark):
+    taught = spark.createDataFrame([("good good fine", 1), ("bad fine", 0), ("bad", 0), ("zz", None)], "t string, y int")
+    lexicon = models.learn_lexicon(taught, "t", "y")
+    weight = {r.term: r.units for r in lexicon.collect()}
+    p, m = Counter("good good fine".split()), Counter("bad fine bad".split())
+    for w in ("good", "bad", "fine"):
+        assert weight[w] == round(1e6 * (math.log((p[w] + 1) / 6) - math.log((m[w] + 1) / 6)))
+    asked = {1: "good", 2: "not good", 3: "not very good", 4: "not so very good", 5: "unknown", 6: None, 7: "good bad bad"}
+    got = {r.id: (r.label, r.score) for r in models.weighted_sentiment(
+        spark.createDataFrame(list(asked.items()), "id long, t string"), "id", "t", lexicon, ["not"]).collect()}
+    total = weight["good"] + 2 * weight["bad"]
+    assert got == {1: ("1", 1.0), 2: ("0", 1.0), 3: ("0", 1.0), 4: ("1", 1.0), 5: (None, None), 6: (None, None),
+                   7: ("1" if total > 0 else "0", round(abs(total) / (weight["good"] + 2 * abs(weight["bad"])), 6))}
+
+
+def test_naive_bayes_by_hand(spark, rows):
+    docs = [(1, "aa aa bb", "x"), (2, "bb cc", "y"), (3, "cc cc cc", "y"), (4, None, "x"), (5, "aa", None)]
+    df = spark.createDataFrame(docs, "id long, t string, y string")
+    model = models.bayes_model(df, "id", "t", "y")
+    seen = {"x": Counter({"aa": 2, "bb": 1}), "y": Counter({"bb": 1, "cc": 4})}
+    asked = [(1, "aa bb"), (2, "cc"), (3, "unknown words"), (4, None), (None, "cc bb"), (6, "bb")]
+    got = {r.id: (r.predicted, r.score) for r in models.bayes_classify(spark.createDataFrame(asked, "id long, t string"), "id", "t", *model).collect()}
+    for i, t in asked:
+        known = [w for w in (t or "").split() if w in ("aa", "bb", "cc")]
+        scores = {c: math.log(0.5) + sum(math.log((n[w] + 1) / (sum(n.values()) + 3)) for w in known) for c, n in seen.items()}
+        best = min(scores, key=lambda c: (-round(scores[c], 6), c))
+        assert got[i] == (best, pytest.approx(scores[best], abs=1e-6))
 
 
 def test_vector_queries_by_name_and_without_a_vector(spark):

@@ -198,6 +198,48 @@ def test_loads_keep_undated_rows_and_name_the_rejected(spark, rows):
     assert rows(files.rejected_from_date(new, "ts", "2024-02-01"), "id") == [(5,), (6,)]
 
 
-def test_stop_words_may_come_from_a_table(spark):
-    words = spark.createDataFrame([("the",), (None,), ("a",), ("a",)], "word string")
-    assert enrich.word_list(words) == ["a", "the"] and enrich.word_list(["x"]) == ["x"]
+def test_stop_words_may_come_from_a_table(spark, rows):
+    words = spark.createDataFrame([("화면",), (None,), ("좋다",), ("좋다",)], "word string")
+    df = spark.createDataFrame([("갤럭시", "삼성 화면 정말 좋다. 화면 좋다", "5"), ("갤럭시", "삼성 화면 정말 좋다. 화면 좋다", "5"), ("기타", "삼성 별로", None)], "item string, t string, r string")
+    given = ["item", "t", "r", lexicons.REVIEW_BRANDS, lexicons.BRAND_IDS, ["삼성"], ["정말"], ["별로"]]
+    from_table, from_list = (rows(enrich.review_enrich(df, *given, stopwords=s)) for s in (words, ["화면", "좋다"]))
+    assert from_table == from_list and len(from_table) == 3
+
+
+def test_marks_move_once_per_batch(spark, rows):
+    from pulsegrain.session import new_path
+
+    day = __import__("datetime").datetime
+    table = spark.createDataFrame([(i, day(2024, 1, i) if i else None) for i in range(9)], "id int, ts timestamp_ntz")
+    root = new_path(spark, "since")
+    for last, batch, mark in ((3, 0, 3), (6, 1, 6), (6, 1, 6), (6, 2, 6), (8, 3, 8), (4, 4, 8)):
+        streams.ingest_batch(table.where(f"id <= {last}"), batch, "ts", root)
+        assert streams.stored_mark(spark, root) == day(2024, 1, mark)
+    got = rows(spark.read.parquet(f"{root}/rows"), "id", "batch")
+    assert got == [(1, 0), (2, 0), (3, 0), (4, 1), (5, 1), (6, 1), (7, 3), (8, 3)]
+
+
+def test_a_stream_keeps_its_mark(spark, rows):
+    from pulsegrain.session import new_path
+
+    day = __import__("datetime").datetime
+    source, root, state = (new_path(spark, n) for n in ("in", "since", "state"))
+    for first, last in ((1, 4), (3, 6), (5, 7)):
+        spark.createDataFrame([(i, day(2024, 1, i)) for i in range(first, last + 1)], "id int, ts timestamp_ntz").write.mode("append").parquet(source)
+        streams.stream_since(streams.stream_files(spark, source, spark.read.parquet(source).schema), "ts", root, state)
+    assert rows(spark.read.parquet(f"{root}/rows"), "id") == [(i,) for i in range(1, 8)]
+
+
+def test_table_functions_equal_columns(spark, rows):
+    from pulsegrain.functions.tables import register_table_functions
+    from pulsegrain.operators import reshape
+
+    register_table_functions(spark)
+    texts = ["One. Two!  Three?", None, "", " \u00a0\n.", "1. a - b\nplain\n2. x - y - z", "3. solo\t\n- "]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, t string")
+    lateral = spark.sql("SELECT d.id, s.* FROM {df} d, LATERAL sentence_rows(d.t) s", df=df)
+    assert rows(lateral) == rows(reshape.explode_sentences(df, "t").select("id", "pos", "sentence"))
+    lateral = spark.sql("SELECT d.id, s.* FROM {df} d, LATERAL numbered_rows(d.t) s", df=df)
+    assert rows(lateral) == rows(reshape.parse_numbered_list(df, "t").select("id", "pos", "name", "reason"))
+    counts = spark.sql("SELECT * FROM letter_counts(TABLE(SELECT CASE WHEN id < 3 THEN 'a' END AS part, t AS text FROM {df}) PARTITION BY part)", df=df)
+    assert rows(counts, "part", "texts") == [("a", 3), (None, 3)]
