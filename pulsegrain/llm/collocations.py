@@ -10,8 +10,9 @@ reach it.
 Leading words are counted globally before routing, first words, then pairs, and
 suffixes end before the first word or pair that is too rare. The counts reach
 the scan as bitmaps of fixed size, which may let a rare one through and never
-hold a frequent one back, so counts stay exact. Tasks add up equal suffixes
-before the shuffle. A pair with more than its share of all places is hot: its
+hold a frequent one back, so counts stay exact. Within a slice of texts words are
+64-bit hashes of their bytes and language in numpy, and only what is different
+becomes a string. Tasks add up equal suffixes before the shuffle. A pair with more than its share of all places is hot: its
 suffixes are dealt by the whole suffix instead, nothing below it is abandoned,
 and its partial counts are added up afterwards.
 
@@ -27,16 +28,17 @@ piece border or a row. Other columns are never looked at.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pulsegrain.llm.batches import bound_batches
+from pulsegrain.llm.words import mix, run_hashes, slices, text_bytes
 from pulsegrain.session import written
 
 MOST_WORDS = 5
@@ -46,123 +48,174 @@ UNKNOWN = "und"
 #: Bits of the two bitmaps, broadcast as 512 KB and 4 MB whatever the corpus.
 WORD_BITS = 1 << 22
 PAIR_BITS = 1 << 25
-#: Different keys a task adds up before it passes them on.
+#: Bytes of text that are worked on at once, one text at least.
+SLICE_BYTES = 2 << 20
+#: Different keys, and places of pairs, that a task adds up before it passes them on.
 HELD_KEYS = 150_000
+HELD_PAIRS = 4_000_000
 #: Suffixes a task sorts at once, unless the pointers of one leading pair are more.
 BLOCK_ROWS = 200_000
 #: A pair with more than this share of a partition's fair part of all places is hot.
 HOT_SHARE = 0.25
 
 _PIECE, _GAP = 0x0A, 0x20
-_TABLE = bytes(
+_TABLE = np.array([
     _PIECE if chr(i) in ".,;:!?" or 0x0A <= i <= 0x0D else _GAP if i in (0x09, 0x20) else i + 32 if 0x41 <= i <= 0x5A else i
-    for i in range(256))
-
-
-def pieces(text: str | None) -> list[list[bytes]]:
-    """The words of each piece that has any."""
-    plain = (text or "").encode("utf-8", "surrogatepass").translate(_TABLE)
-    return [words for part in plain.split(b"\n") if (words := [w for w in part.split(b" ") if w])]
-
-
-class _Known:
-    """Whether a bitmap holds a key of a language; answers are kept for a bounded number of keys."""
-
-    def __init__(self, bits: bytes, size: int):
-        self.bits, self.size, self.held = bits, size, {}
-
-    def __call__(self, lang: bytes, keys: list[bytes]) -> list[bool]:
-        held = self.held.setdefault(lang, {})
-        if len(held) > HELD_KEYS:
-            held.clear()
-        out = []
-        start = zlib.crc32(lang + b"\t")
-        for key in keys:
-            hit = held.get(key)
-            if hit is None:
-                place = zlib.crc32(key, start) % self.size
-                hit = held[key] = bool(self.bits[place >> 3] >> (place & 7) & 1)
-            out.append(hit)
-        return out
-
-
-def _all_words(lang: bytes, words: list[bytes]) -> list[bytes]:
-    return words
-
-
-def _pairs(frequent: _Known) -> Callable[[bytes, list[bytes]], list[bytes]]:
-    def pairs(lang: bytes, words: list[bytes]) -> list[bytes]:
-        ok = frequent(lang, words)
-        return [a + b" " + b for a, b, x, y in zip(words, words[1:], ok, ok[1:]) if x and y]
-    return pairs
-
-
-def _suffixes(frequent_word: _Known, frequent_pair: _Known, most: int) -> Callable[[bytes, list[bytes]], list[bytes]]:
-    def suffixes(lang: bytes, words: list[bytes]) -> list[bytes]:
-        ok = frequent_word(lang, words)
-        joined = [a + b" " + b if x and y else b"" for a, b, x, y in zip(words, words[1:], ok, ok[1:])]
-        wanted = [p for p in joined if p]
-        if not wanted:
-            return []
-        hits = iter(frequent_pair(lang, wanted))
-        good = [bool(p) and next(hits) for p in joined]
-        found, run = [], 0
-        for i in range(len(good) - 1, -1, -1):
-            run = min(run + 1, most - 1) if good[i] else 0
-            if run == 1:
-                found.append(joined[i])
-            elif run:
-                found.append(b" ".join(words[i:i + run + 1]))
-        return found
-    return suffixes
-
-
-def _added_up(docs: DataFrame, make: Callable[[], Callable[[bytes, list[bytes]], list[bytes]]]) -> DataFrame:
-    """What ``make()`` finds in the pieces, added up in each task: lang, phrase, places."""
+    for i in range(256)], np.uint8)
+_STEP = np.uint64(0xC2B2AE3D27D4EB4F)
+
+
+class Slice:
+    """The words of some texts: where each stands, its language's number, and a 64-bit key of language and word.
+
+    ``next`` tells whether the following word stands in the same piece.
+    """
+
+    def __init__(self, data: np.ndarray, borders: np.ndarray, langs: np.ndarray, seeds: np.ndarray):
+        low = _TABLE[data]
+        inside = (low != _PIECE) & (low != _GAP)
+        opens, closes = inside.copy(), inside.copy()
+        opens[1:] &= ~inside[:-1]
+        closes[:-1] &= ~inside[1:]
+        inner = borders[1:-1]
+        at, before = inner[inner < len(low)], inner[inner > 0] - 1
+        opens[at] = inside[at]
+        closes[before] = inside[before]
+        self.starts, self.ends = np.flatnonzero(opens), np.flatnonzero(closes) + 1
+        text = np.searchsorted(borders, self.starts, "right") - 1
+        piece = np.cumsum(low == _PIECE, dtype=np.int64)[self.starts]
+        self.next = (text[1:] == text[:-1]) & (piece[1:] == piece[:-1])
+        self.lang = langs[text]
+        self.keys = mix(run_hashes(low, self.starts, self.ends) ^ seeds[self.lang])
+        self.bytes = low.tobytes()
+
+    def pairs(self, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of two words of a piece in a row that are both ``known``, and the key of each pair."""
+        at = np.flatnonzero(self.next & known[:-1] & known[1:])
+        return at, mix(self.keys[at] * _STEP + self.keys[at + 1])
+
+    def phrase(self, at: int, size: int) -> bytes:
+        """The words from ``at`` on, with one space between them."""
+        first, last = self.starts[at], self.ends[at + size - 1]
+        if last - first == (self.ends[at:at + size] - self.starts[at:at + size]).sum() + size - 1:
+            return self.bytes[first:last]
+        return b" ".join(self.bytes[s:e] for s, e in zip(self.starts[at:at + size].tolist(), self.ends[at:at + size].tolist()))
+
+
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Slice, list[str]]]:
+    """The words of columns lang and text in slices of bounded size, with the names of the languages."""
+    for batch in batches:
+        coded = batch.column(0).fill_null(UNKNOWN).dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        seeds = mix(np.array([zlib.crc32(n.encode("utf-8", "surrogatepass")) for n in names], np.uint64) * _STEP)
+        langs = coded.indices.to_numpy()
+        data, offsets = text_bytes(batch.column(1))
+        for first, last in slices(offsets, SLICE_BYTES):
+            if offsets[last] > offsets[first]:
+                yield Slice(data[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first], langs[first:last], seeds), names
+
+
+class _Held:
+    """Phrases added up in a task: language and phrase with their places and a key."""
+
+    def __init__(self) -> None:
+        self.counts: dict[tuple[str, bytes], list[int]] = {}
+
+    def add(self, name: tuple[str, bytes], places: int, key: int) -> None:
+        found = self.counts.get(name)
+        if found is None:
+            self.counts[name] = [places, key]
+        else:
+            found[0] += places
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        names = sorted(self.counts)
+        for first in range(0, len(names), 20_000):
+            part = names[first:first + 20_000]
+            held = [self.counts[n] for n in part]
+            yield pa.record_batch([
+                pa.array([n[0] for n in part], pa.string()), pa.array([n[1] for n in part], pa.binary()).cast(pa.string()),
+                pa.array([h[0] for h in held], pa.int64()), pa.array([h[1] for h in held], pa.int64())], names=["lang", "phrase", "places", "key"])
+        self.counts.clear()
+
+
+_PHRASES = "lang string, phrase string, places long, key long"
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All words of the task; ``key`` is the word's."""
+    held = _Held()
+    for part, names in _sliced(batches):
+        keys, first, places = np.unique(part.keys, return_index=True, return_counts=True)
+        starts, ends, langs = (a[first].tolist() for a in (part.starts, part.ends, part.lang))
+        for key, start, end, lang, n in zip(keys.view(np.int64).tolist(), starts, ends, langs, places.tolist()):
+            held.add((names[lang], part.bytes[start:end]), n, key)
+        if len(held.counts) > HELD_KEYS:
+            yield from held.rows()
+    yield from held.rows()
+
+
+def _count_pairs(word_bits: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """All pairs of frequent words of the task, by key alone: a key that two pairs share lets more through, never less."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent = np.unpackbits(np.frombuffer(word_bits.value, np.uint8), bitorder="little").view(bool)
+        held: list[np.ndarray] = []
+        size = 0
+
+        def rows() -> pa.RecordBatch:
+            keys, places = np.unique(np.concatenate([np.empty(0, np.uint64), *held]), return_counts=True)
+            return pa.record_batch([pa.array(keys.view(np.int64)), pa.array(places, pa.int64())], names=["key", "places"])
+
+        for part, _names in _sliced(batches):
+            held.append(part.pairs(frequent[part.keys & np.uint64(WORD_BITS - 1)])[1])
+            size += len(held[-1])
+            if size > HELD_PAIRS:
+                yield rows()
+                held, size = [], 0
+        yield rows()
+
+    return run
+
+
+def _suffixes(word_bits: Broadcast, pair_bits: Broadcast, most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The suffixes that begin with a frequent pair, up to the first word or pair that is too rare; ``key`` is the pair's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = make()
-        counts: dict[bytes, Counter] = {}
-        held = 0
-
-        def rows() -> Iterator[pa.RecordBatch]:
-            for lang, counter in counts.items():
-                keys = sorted(counter)
-                for first in range(0, len(keys), 20_000):
-                    part = keys[first:first + 20_000]
-                    yield pa.record_batch([
-                        pa.array([lang] * len(part), pa.binary()).cast(pa.string()),
-                        pa.array(part, pa.binary()).cast(pa.string()),
-                        pa.array([counter[k] for k in part], pa.int64())], names=["lang", "phrase", "places"])
-            counts.clear()
-
-        for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                key = (UNKNOWN if lang is None else lang).encode("utf-8", "surrogatepass")
-                counter = counts.setdefault(key, Counter())
-                held -= len(counter)
-                for words in pieces(text.as_py()):
-                    counter.update(find(key, words))
-                held += len(counter)
-                if held > HELD_KEYS:
-                    yield from rows()
-                    held = 0
-        yield from rows()
-
-    return docs.mapInArrow(run, "lang string, phrase string, places long")
-
-
-def _held(docs: DataFrame, keys: DataFrame, size: int) -> Callable[[], _Known]:
-    """The keys of a table with lang and phrase as a broadcast bitmap of ``size`` bits."""
-    place = F.crc32(F.concat(F.col("lang"), F.lit("\t"), F.col("phrase")).cast("binary")) % size + 1
+        word, pair = (np.unpackbits(np.frombuffer(b.value, np.uint8), bitorder="little").view(bool) for b in (word_bits, pair_bits))
+        held = _Held()
+        for part, names in _sliced(batches):
+            at, lead = part.pairs(word[part.keys & np.uint64(WORD_BITS - 1)])
+            keep = pair[lead & np.uint64(PAIR_BITS - 1)]
+            at, lead = at[keep], lead[keep]
+            good = np.zeros(len(part.keys) + most, bool)
+            good[at] = True
+            size, on = np.full(len(at), 2), np.ones(len(at), bool)
+            name = lead
+            for step in range(1, most - 1):
+                on = on & good[at + step]
+                size += on
+                name = np.where(on, mix(name * _STEP + part.keys[np.minimum(at + step + 1, len(part.keys) - 1)]), name)
+            _, first, places = np.unique(name, return_index=True, return_counts=True)
+            for i, n, words, key, lang in zip(at[first].tolist(), places.tolist(), size[first].tolist(), lead[first].view(np.int64).tolist(), part.lang[at[first]].tolist()):
+                held.add((names[lang], part.phrase(i, words)), n, key)
+            if len(held.counts) > HELD_KEYS:
+                yield from held.rows()
+        yield from held.rows()
+
+    return run
+
+
+def _bitmap(keys: DataFrame, size: int) -> Broadcast:
+    """The column ``key`` of a table as a broadcast bitmap of ``size`` bits, whatever the number of keys."""
+    place = F.col("key").bitwiseAND(F.lit(size - 1)) + 1
     rows = keys.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect()
     whole = bytearray(size // 8)
     for row in rows:
         first = (row.bucket - 1) * 4096
         whole[first:first + 4096] = row.bits[:max(0, len(whole) - first)]
-    shared = docs.sparkSession.sparkContext.broadcast(bytes(whole))
-    return lambda: _Known(shared.value, size)
+    return keys.sparkSession.sparkContext.broadcast(bytes(whole))
 
 
 def quicksort_counts(words: np.ndarray, places: np.ndarray, partial: np.ndarray, least: int) -> Iterator[tuple[int, int, int]]:
@@ -247,28 +300,28 @@ def phrase_counts(docs: DataFrame, lang: str = "lang", text: str = "text", most:
     spark = docs.sparkSession
     bound_batches(spark)
     rows = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
-    words = written(_summed(_added_up(rows, lambda: _all_words)), "words")
+    words = rows.mapInArrow(_count_words, _PHRASES).groupBy("lang", "phrase", "key").agg(F.sum("places").alias("places"))
+    words = written(words, "words")
     frequent = words.where(F.col("places") >= least)
-    word_bits = _held(rows, frequent, WORD_BITS)
+    word_bits = _bitmap(frequent, WORD_BITS)
 
-    pairs = written(_summed(_added_up(rows, lambda: _pairs(word_bits()))).where(F.col("places") >= least), "pairs")
-    pair_bits = _held(rows, pairs, PAIR_BITS)
+    pairs = rows.mapInArrow(_count_pairs(word_bits), "key long, places long").groupBy("key").agg(F.sum("places").alias("places"))
+    pairs = written(pairs.where(F.col("places") >= least), "pairs")
+    pair_bits = _bitmap(pairs, PAIR_BITS)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     total = pairs.agg(F.sum("places")).first()[0] or 0
     # At most parts / HOT_SHARE pairs can be above this, so the broadcast is bounded.
-    hot = pairs.where(F.col("places") > HOT_SHARE * total / parts).select(F.col("lang").alias("_lang"), F.col("phrase").alias("_pair"))
+    hot = pairs.where(F.col("places") > HOT_SHARE * total / parts).select(F.col("key").alias("_hot"))
 
-    suffixes = _added_up(rows, lambda: _suffixes(word_bits(), pair_bits(), most))
-    lead = F.substring_index("phrase", " ", 2)
-    joined = suffixes.join(F.broadcast(hot), (F.col("lang") == F.col("_lang")) & (lead == F.col("_pair")), "left")
-    partial = F.col("_pair").isNotNull()
+    suffixes = rows.mapInArrow(_suffixes(word_bits, pair_bits, most), _PHRASES)
+    joined = suffixes.join(F.broadcast(hot), F.col("key") == F.col("_hot"), "left")
+    partial = F.col("_hot").isNotNull()
     routed = joined.select(
-        "lang", "phrase", "places", partial.alias("partial"),
-        F.when(partial, F.xxhash64("lang", "phrase")).otherwise(F.xxhash64("lang", lead)).alias("route"))
+        "lang", "phrase", "places", partial.alias("partial"), F.when(partial, F.xxhash64("lang", "phrase")).otherwise(F.col("key")).alias("route"))
     routed = routed.repartition("route").sortWithinPartitions("route")
     counted = _summed(_sorted_counts(routed, most, least)).where(F.col("places") >= least)
     n = words.groupBy("lang").agg(F.sum("places").alias("n"))
-    return written(frequent.unionByName(counted), "phrases"), n
+    return written(frequent.drop("key").unionByName(counted), "phrases"), n
 
 
 def scored(counts: DataFrame, n: DataFrame) -> DataFrame:

@@ -66,7 +66,7 @@ def slices(offsets: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int,
         first = last
 
 
-def _hashes(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def run_hashes(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """The hash of each word, in parts of at most SLICE_BYTES cut between words, one word at least."""
     out = np.empty(len(starts), np.uint64)
     first = 0
@@ -98,7 +98,7 @@ def batch_words(texts: pa.Array) -> Iterator[Words]:
         before = inner[inner > 0] - 1
         closes[before] = inside[before]
         starts, ends = np.flatnonzero(opens), np.flatnonzero(closes) + 1
-        yield Words(first, _hashes(low, starts, ends), np.searchsorted(starts, borders))
+        yield Words(first, run_hashes(low, starts, ends), np.searchsorted(starts, borders))
 
 
 def shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
