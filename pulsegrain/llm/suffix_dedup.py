@@ -296,7 +296,8 @@ def _in_chunks(docs: DataFrame, id: str, text: str, chunk_bytes: int) -> DataFra
     value = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(id).cast("long").alias("id"), value.alias("text"), F.octet_length(value).alias("size"))
     table = f"chunks_{uuid.uuid4().hex}"
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # As many buckets as the scan has splits, so a task's share does not grow with the corpus.
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows.rdd.getNumPartitions())
     rows.mapInArrow(cut, "chunk long, id long, text string").write.bucketBy(parts, "chunk").sortBy("chunk").option(
         "path", new_path(spark, "chunks")).option("compression", "zstd").saveAsTable(table)
     return spark.table(table)
