@@ -53,8 +53,8 @@ SLICE_BYTES = 2 << 20
 #: Different keys, and places of pairs, that a task adds up before it passes them on.
 HELD_KEYS = 150_000
 HELD_PAIRS = 4_000_000
-#: Suffixes a task sorts at once, unless the pointers of one leading pair are more.
-BLOCK_ROWS = 200_000
+#: Places whose suffixes a bucket holds on average, which are sorted at once.
+BUCKET_PLACES = 500_000
 #: A pair with more than this share of a partition's fair part of all places is hot.
 HOT_SHARE = 0.25
 
@@ -178,8 +178,25 @@ def _count_pairs(word_bits: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], I
     return run
 
 
-def _suffixes(word_bits: Broadcast, pair_bits: Broadcast, most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The suffixes that begin with a frequent pair, up to the first word or pair that is too rare; ``key`` is the pair's."""
+def _suffixes(word_bits: Broadcast, pair_bits: Broadcast, hot: np.ndarray, buckets: int, most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The suffixes that begin with a frequent pair, up to the first word or pair that is too rare, packed by bucket.
+
+    A bucket holds whole leading pairs, but for the hot ones, whose suffixes are dealt by the whole suffix and marked ``partial``.
+    """
+
+    def packed(held: _Held) -> Iterator[pa.RecordBatch]:
+        names = sorted(held.counts, key=lambda n: (abs(held.counts[n][1]), n))
+        keys = [held.counts[n] for n in names]
+        bucket = np.array([abs(k[1]) - 1 for k in keys], np.int32)
+        first = np.flatnonzero(np.diff(bucket, prepend=-1))
+        offsets = pa.array(np.append(first, len(names)), pa.int32())
+        columns = [pa.array([n[0] for n in names], pa.string()), pa.array([n[1] for n in names], pa.binary()).cast(pa.string()),
+                   pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] < 0 for k in keys], pa.bool_())]
+        lists = [pa.ListArray.from_arrays(offsets, c) for c in columns]
+        for start in range(0, len(first), 200):
+            yield pa.record_batch([pa.array(bucket[first[start:start + 200]]), *[c.slice(start, 200) for c in lists]],
+                                  names=["bucket", "langs", "phrases", "places", "partial"])
+        held.counts.clear()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         word, pair = (np.unpackbits(np.frombuffer(b.value, np.uint8), bitorder="little").view(bool) for b in (word_bits, pair_bits))
@@ -197,11 +214,17 @@ def _suffixes(word_bits: Broadcast, pair_bits: Broadcast, most: int) -> Callable
                 size += on
                 name = np.where(on, mix(name * _STEP + part.keys[np.minimum(at + step + 1, len(part.keys) - 1)]), name)
             _, first, places = np.unique(name, return_index=True, return_counts=True)
-            for i, n, words, key, lang in zip(at[first].tolist(), places.tolist(), size[first].tolist(), lead[first].view(np.int64).tolist(), part.lang[at[first]].tolist()):
+            at, lead, size, name = at[first], lead[first], size[first], name[first]
+            partial = np.isin(lead, hot)
+            bucket = (mix(np.where(partial, name, lead) + _STEP) % np.uint64(buckets)).astype(np.int64) + 1
+            # A partial suffix has its bucket below zero.
+            bucket = np.where(partial, -bucket, bucket)
+            for i, n, words, key, lang in zip(at.tolist(), places.tolist(), size.tolist(), bucket.tolist(), part.lang[at].tolist()):
                 held.add((names[lang], part.phrase(i, words)), n, key)
             if len(held.counts) > HELD_KEYS:
-                yield from held.rows()
-        yield from held.rows()
+                yield from packed(held)
+        if held.counts:
+            yield from packed(held)
 
     return run
 
@@ -250,44 +273,25 @@ def quicksort_counts(words: np.ndarray, places: np.ndarray, partial: np.ndarray,
             waiting.append((same, depth + 1))
 
 
-def _sorted_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Rows that come in order of ``route``, in blocks that never cut a route."""
-    held: list[pa.RecordBatch] = []
-    rows = 0
-    for batch in batches:
-        if rows >= BLOCK_ROWS and batch.num_rows:
-            route = batch.column("route").to_numpy()
-            end = int(np.searchsorted(route, held[-1].column("route")[-1].as_py(), "right"))
-            if end < batch.num_rows:
-                yield pa.Table.from_batches([*held, batch.slice(0, end)])
-                held, rows, batch = [], 0, batch.slice(end)
-        if batch.num_rows:
-            held.append(batch)
-            rows += batch.num_rows
-    if held:
-        yield pa.Table.from_batches(held)
-
-
-def _sorted_counts(routed: DataFrame, most: int, least: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _sorted_blocks(batches):
-            langs = table.column("lang").to_pylist()
-            suffixes = table.column("phrase").to_pylist()
-            number: dict[tuple[str, str] | str, int] = {}
-            words = np.full((len(suffixes), most), -1, np.int32)
-            for i, (lang, suffix) in enumerate(zip(langs, suffixes)):
-                split = suffix.split(" ")
-                split[0] = (lang, split[0])  # the first word tells languages apart
-                words[i, :len(split)] = [number.setdefault(w, len(number)) for w in split]
-            found = list(quicksort_counts(words, table.column("places").to_numpy(), table.column("partial").to_numpy(), least))
-            for first in range(0, len(found), 20_000):
-                part = found[first:first + 20_000]
-                yield pa.record_batch([
-                    pa.array([langs[p] for p, _, _ in part], pa.string()),
-                    pa.array([" ".join(suffixes[p].split(" ")[:d]) for p, d, _ in part], pa.string()),
-                    pa.array([c for _, _, c in part], pa.int64())], names=["lang", "phrase", "places"])
-
-    return routed.mapInArrow(run, "lang string, phrase string, places long")
+def _bucket_counts(most: int, least: int) -> Callable[[pa.Table], pa.Table]:
+    """The phrases of two words or more of one bucket of suffixes."""
+
+    def run(table: pa.Table) -> pa.Table:
+        langs, suffixes, places, partial = (pa.concat_arrays([c.flatten() for c in table.column(n).chunks]) for n in ("langs", "phrases", "places", "partial"))
+        langs, suffixes = langs.to_pylist(), suffixes.to_pylist()
+        number: dict[tuple[str, str] | str, int] = {}
+        words = np.full((len(suffixes), most), -1, np.int32)
+        for i, (lang, suffix) in enumerate(zip(langs, suffixes)):
+            split = suffix.split(" ")
+            split[0] = (lang, split[0])  # the first word tells languages apart
+            words[i, :len(split)] = [number.setdefault(w, len(number)) for w in split]
+        found = list(quicksort_counts(words, places.to_numpy(), partial.to_numpy(zero_copy_only=False), least))
+        return pa.table([
+            pa.array([langs[p] for p, _, _ in found], pa.string()),
+            pa.array([" ".join(suffixes[p].split(" ")[:d]) for p, d, _ in found], pa.string()),
+            pa.array([c for _, _, c in found], pa.int64())], names=["lang", "phrase", "places"])
+
+    return run
 
 
 def _summed(rows: DataFrame) -> DataFrame:
@@ -310,16 +314,15 @@ def phrase_counts(docs: DataFrame, lang: str = "lang", text: str = "text", most:
     pair_bits = _bitmap(pairs, PAIR_BITS)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     total = pairs.agg(F.sum("places")).first()[0] or 0
-    # At most parts / HOT_SHARE pairs can be above this, so the broadcast is bounded.
-    hot = pairs.where(F.col("places") > HOT_SHARE * total / parts).select(F.col("key").alias("_hot"))
-
-    suffixes = rows.mapInArrow(_suffixes(word_bits, pair_bits, most), _PHRASES)
-    joined = suffixes.join(F.broadcast(hot), F.col("key") == F.col("_hot"), "left")
-    partial = F.col("_hot").isNotNull()
-    routed = joined.select(
-        "lang", "phrase", "places", partial.alias("partial"), F.when(partial, F.xxhash64("lang", "phrase")).otherwise(F.col("key")).alias("route"))
-    routed = routed.repartition("route").sortWithinPartitions("route")
-    counted = _summed(_sorted_counts(routed, most, least)).where(F.col("places") >= least)
+    # Fewer than parts / HOT_SHARE pairs can be above this.
+    hot = pairs.where(F.col("places") > HOT_SHARE * total / parts).select("key").toArrow().column("key").to_numpy()
+    buckets = max(parts, -(-total // BUCKET_PLACES))
+
+    suffixes = rows.mapInArrow(
+        _suffixes(word_bits, pair_bits, hot.astype(np.int64).view(np.uint64), buckets, most),
+        "bucket int, langs array<string>, phrases array<string>, places array<long>, partial array<boolean>")
+    sorted_counts = suffixes.groupBy("bucket").applyInArrow(_bucket_counts(most, least), "lang string, phrase string, places long")
+    counted = _summed(sorted_counts).where(F.col("places") >= least)
     n = words.groupBy("lang").agg(F.sum("places").alias("n"))
     return written(frequent.drop("key").unionByName(counted), "phrases"), n
 

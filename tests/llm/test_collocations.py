@@ -59,10 +59,10 @@ def invented(seed, rows=60):
     return out + [("en", None), ("en", ""), (None, " .,;"), ("fr", "new york")] * 2
 
 
-@pytest.mark.parametrize("seed,least,top,hot,block", [(0, 5, 2000, 0.25, 200_000), (1, 3, 7, 0.001, 40), (2, 2, 2000, 50.0, 3)])
-def test_equals_plain_count(spark, rows, monkeypatch, seed, least, top, hot, block):
+@pytest.mark.parametrize("seed,least,top,hot,bucket", [(0, 5, 2000, 0.25, 500_000), (1, 3, 7, 0.001, 40), (2, 2, 2000, 50.0, 3)])
+def test_equals_plain_count(spark, rows, monkeypatch, seed, least, top, hot, bucket):
     monkeypatch.setattr(co, "HOT_SHARE", hot)
-    monkeypatch.setattr(co, "BLOCK_ROWS", block)
+    monkeypatch.setattr(co, "BUCKET_PLACES", bucket)
     monkeypatch.setattr(co, "HELD_KEYS", 50 if seed else 150_000)
     docs = invented(seed)
     frame = spark.createDataFrame(docs, "lang string, text string").repartition(3)
