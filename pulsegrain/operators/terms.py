@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegrain.functions import text as tx
-from pulsegrain.operators.match import fits_broadcast, hot_key_join, in_set, set_of, split_hot_join
+from pulsegrain.operators.match import fits_broadcast, hot_key_join, in_set, salted_join, set_of
 from pulsegrain.operators.ranking import top_per_group
 from pulsegrain.session import written
 
@@ -104,12 +104,12 @@ def cooccurrence_top_n(df: DataFrame, text: str, stopwords: Sequence[str] = (),
 def cooccurrence_pairs(df: DataFrame, text: str, n: int = 20, head: int = 512, stopwords: Sequence[str] = ()) -> DataFrame:
     """For every term the ``n`` terms that share most texts with it: term_a, term_b, n, rank; ties by name.
 
-    The whole matrix is never counted. First every term is counted against the
-    ``head`` most frequent terms only. A term outside the head cannot share more
-    texts than it has itself, so where a term's last place is above the count of
-    the most frequent term outside, its list is proven. That holds for the
-    frequent terms, whose rows are the long ones. The terms that fail the proof
-    are counted against all their partners.
+    The whole matrix is never counted. First the ``head`` most frequent terms
+    are counted against each other only. A term outside the head cannot share
+    more texts than it has itself, so where the last place of a term's list is
+    above the count of the most frequent term outside, the list is proven. Only
+    terms of the head can pass, and theirs are the long rows. The terms that
+    fail are counted against all their partners.
     """
     sets = written(df.select(F.array_distinct(_tokens(text, stopwords)).alias("terms")).where(F.size("terms") > 1), "term-sets")
     frequency = written(sets.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df")), "frequency")
@@ -125,7 +125,9 @@ def cooccurrence_pairs(df: DataFrame, text: str, n: int = 20, head: int = 512, s
 
     own = sets.select("terms", F.explode("terms").alias("term_a"))
     order = [F.desc("n"), F.asc("term_b")]
-    by_head = written(top_per_group(counted(own, F.array_intersect("terms", common)), ["term_a"], order, n), "partners")
+    heads = sets.select(F.array_intersect("terms", common).alias("terms")).where(F.size("terms") > 1)
+    among = counted(heads.select("terms", F.explode("terms").alias("term_a")), F.col("terms"))
+    by_head = written(top_per_group(among, ["term_a"], order, n), "partners")
     last = by_head.where(F.col("rank") == n).select("term_a", F.col("n").alias("_last"))
     checked = frequency.select(F.col("term").alias("term_a")).join(last, "term_a", "left") \
         .withColumn("_proven", (outside == 0) | F.coalesce(F.col("_last") > outside, F.lit(False)))
@@ -138,73 +140,24 @@ def cooccurrence_pairs(df: DataFrame, text: str, n: int = 20, head: int = 512, s
     return proven.unionByName(top_per_group(rest, ["term_a"], order, n)).select("term_a", "term_b", "n", "rank")
 
 
-def _weighted(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Term counts of the texts that have an id, with the squared length of their vector."""
-    counts = term_counts(df.where(F.col(key).isNotNull()).select(F.col(key).alias("_key"), text), "_key", text)
-    return counts.withColumn("sq", F.sum(F.col("tf") * F.col("tf")).over(Window.partitionBy("_key")))
+def count_vector_cosine(left: DataFrame, right: DataFrame, left_key: str, right_key: str, text: str, least: float = 0.8) -> DataFrame:
+    """Pairs of ``left`` and ``right`` texts whose term-count vectors have a cosine of ``least`` or more.
 
-
-def _indexed(vectors: DataFrame, frequency: DataFrame, least: float) -> DataFrame:
-    """The rarer terms of each vector, from where the commoner ones reach ``least`` of its length.
-
-    ``edge`` is the place of the first indexed term in the order of terms and
-    ``rest`` the squared length of all terms before it.
-    """
-    ranked = hot_key_join(vectors, frequency, ["term"], "df", spread_by="_key")
-    place = F.struct((-F.col("df")).alias("df"), F.col("term").alias("term"))
-    upto = Window.partitionBy("_key").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
-    square = F.col("tf") * F.col("tf")
-    cut = ranked.withColumn("place", place).withColumn("_sum", F.sum(square).over(upto)) \
-        .where(F.col("_sum") >= F.lit(least * least) * F.col("sq"))
-    whole = Window.partitionBy("_key")
-    return cut.select("_key", "term", "tf", "sq", F.min("place").over(whole).alias("edge"), F.min(F.col("_sum") - square).over(whole).alias("rest"))
-
-
-def similar_pairs(left: DataFrame, right: DataFrame | None, least: float) -> tuple[DataFrame, DataFrame]:
-    """Pairs of vectors that may reach a cosine of ``least``, and the index rows they come from.
-
-    Terms are ordered from common to rare and each vector files only the terms
-    after its edge. Two vectors without a common filed term are below ``least``:
-    what they share lies before the later edge, where one of them has less than
-    that part of its length. Of pairs with common filed terms, those stay whose
-    products there plus that rest can reach it. ``right`` None pairs ``left`` with itself, each pair once.
+    ``right`` is a set of questions put to the texts of ``left``. The products
+    are joined on the term, spread over tasks by the left id. Texts without a
+    term or without an id have no partner.
     """
-    both = left.select("term") if right is None else left.select("term").unionAll(right.select("term"))
-    frequency = written(both.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "frequency")
-    a = written(_indexed(left, frequency, least), "index")
-    b = a if right is None else written(_indexed(right, frequency, least), "index")
-    filed = a.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    sides = [side.select("term", *[F.col(c).alias(f"{c}_{name}") for c in ("_key", "tf", "sq", "edge", "rest")]) for side, name in ((a, "a"), (b, "b"))]
-    shared = split_hot_join(sides[0], sides[1], "term", filed, spread_by="_key_a")
-    if right is None:
-        shared = shared.where("_key_a < _key_b")
-    group = [f"{c}_{name}" for c in ("_key", "sq", "edge", "rest") for name in "ab"]
-    dots = shared.groupBy(*group).agg(F.sum(F.col("tf_a") * F.col("tf_b")).alias("ab"))
-    later_a = F.col("edge_a") >= F.col("edge_b")
-    rest = F.when(later_a, F.col("rest_a").cast("double") * F.col("sq_b")).otherwise(F.col("rest_b").cast("double") * F.col("sq_a"))
-    length = F.sqrt(F.col("sq_a").cast("double") * F.col("sq_b"))
-    return dots.where(F.col("ab") + F.sqrt(rest) >= F.lit(least) * length).select("_key_a", "_key_b", "sq_a", "sq_b"), a
-
-
-def count_vector_cosine(left: DataFrame, right: DataFrame | None, left_key: str, right_key: str, text: str, least: float = 0.8) -> DataFrame:
-    """Pairs of texts whose term-count vectors have a cosine of ``least`` or more, rounded to 6.
-
-    ``right`` None compares ``left`` with itself and gives each pair once, the
-    smaller id first. Only pairs that pass the bounds of ``similar_pairs`` are
-    multiplied out. Texts without a term or without an id have no partner.
-    """
-    vectors_a = written(_weighted(left, left_key, text), "vectors")
-    vectors_b = vectors_a if right is None else written(_weighted(right, right_key, text), "vectors")
-    # Rounding may lift a cosine to the limit.
-    near, _ = similar_pairs(vectors_a, None if right is None else vectors_b, least - 1e-6)
-    near = written(near, "near")
-    terms_a = vectors_a.select(F.col("_key").alias("_key_a"), "term", F.col("tf").alias("tf_a"))
-    terms_b = vectors_b.select(F.col("_key").alias("_key_b"), "term", F.col("tf").alias("tf_b"))
-    products = near.join(terms_a, "_key_a").join(terms_b, ["_key_b", "term"])
-    dots = products.groupBy("_key_a", "_key_b", "sq_a", "sq_b").agg(F.sum(F.col("tf_a") * F.col("tf_b")).alias("ab"))
-    cosine = F.round(F.col("ab") / F.sqrt(F.col("sq_a").cast("double") * F.col("sq_b")), 6)
-    names = (left_key, f"{left_key}_b" if right is None else right_key)
-    return dots.select(F.col("_key_a").alias(names[0]), F.col("_key_b").alias(names[1]), cosine.alias("cosine")).where(F.col("cosine") >= least)
+    def vector(df: DataFrame, key: str, side: str) -> DataFrame:
+        squares = F.sum(F.col("tf") * F.col("tf")).over(Window.partitionBy(key))
+        counts = term_counts(df.where(F.col(key).isNotNull()), key, text)
+        return counts.select(key, "term", F.col("tf").alias(f"tf_{side}"), squares.alias(f"sq_{side}"))
+
+    pairs = salted_join(vector(left, left_key, "a"), vector(right, right_key, "b"), ["term"], spread_by=left_key)
+    dots = pairs.groupBy(left_key, right_key).agg(
+        F.sum(F.col("tf_a") * F.col("tf_b")).alias("ab"), F.max("sq_a").alias("aa"), F.max("sq_b").alias("bb")
+    )
+    length = F.sqrt(F.col("aa").cast("double") * F.col("bb"))
+    return dots.select(left_key, right_key, F.round(F.col("ab") / length, 6).alias("cosine")).where(F.col("cosine") >= least)
 
 
 def keyword_extract(df: DataFrame, key: str, text: str, group: str, terms: Sequence[str], n: int = 20) -> DataFrame:
