@@ -35,20 +35,41 @@ _BSD_CLAUSES = (
     "copyright notice this list of conditions and the following disclaimer <<var;name=bullet;words=0-1>> redistributions "
     "in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in "
     "the documentation and or other materials provided with the distribution ")
+_BSD_DISCLAIMER = (
+    "this software is provided by <<var;name=holder;words=1-12>> as is and any express or implied warranties including but not "
+    "limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall "
+    "<<var;name=holder;words=1-12>> be liable for any direct indirect incidental special exemplary or consequential damages "
+    "including but not limited to procurement of substitute goods or services loss of use data or profits or business "
+    "interruption however caused and on any theory of liability whether in contract strict liability or tort including "
+    "negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage")
 TEMPLATES = {
     "apache-2.0-notice": "licensed under <<beginOptional>>the<<endOptional>> apache license <<beginOptional>>version<<endOptional>> 2.0",
-    "bsd-2-clause": _COPYRIGHT + _BSD_CLAUSES + "this software is provided by",
+    "bsd-2-clause": _COPYRIGHT + _BSD_CLAUSES + _BSD_DISCLAIMER,
     "bsd-3-clause": _COPYRIGHT + _BSD_CLAUSES + (
         "<<var;name=bullet;words=0-1>> neither the name of <<var;name=holder;words=1-12>> nor the names of its contributors "
-        "may be used to endorse or promote products derived from this software without specific prior written permission"),
+        "may be used to endorse or promote products derived from this software without specific prior written permission ") + _BSD_DISCLAIMER,
     "cc-by-4.0-notice": "licensed under <<beginOptional>>a<<endOptional>> <<beginOptional>>the<<endOptional>> creative commons attribution 4.0 international <<beginOptional>>public<<endOptional>> license",
     "gpl-2.0-notice": "licensed under <<beginOptional>>the<<endOptional>> <<beginOptional>>terms of the<<endOptional>> gnu general public license <<beginOptional>>version<<endOptional>> 2",
     "gpl-3.0-notice": "licensed under <<beginOptional>>the<<endOptional>> <<beginOptional>>terms of the<<endOptional>> gnu general public license <<beginOptional>>version<<endOptional>> 3",
-    "isc": "permission to use copy modify and <<beginOptional>>or<<endOptional>> distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    "isc": (
+        "permission to use copy modify and <<beginOptional>>or<<endOptional>> distribute this software for any purpose with or "
+        "without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies "
+        "the software is provided as is and <<var;name=holder;words=1-8>> disclaims all warranties with regard to this software "
+        "including all implied warranties of merchantability and fitness in no event shall <<var;name=holder;words=1-8>> be liable "
+        "for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or "
+        "profits whether in an action of contract negligence or other tortious action arising out of or in connection with the use "
+        "or performance of this software"),
     "mit": (
         "permission is hereby granted free of charge to any person obtaining a copy of <<var;name=subject;words=1-6>> and associated "
         "documentation files the <<var;name=software;words=1-2>> to deal in the <<var;name=software;words=1-2>> without restriction "
         "including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the "
+        "<<var;name=software;words=1-2>> and to permit persons to whom the <<var;name=software;words=1-2>> is furnished to do so "
+        "subject to the following conditions the above copyright notice and this permission notice <<beginOptional>>including the "
+        "next paragraph<<endOptional>> shall be included in all copies or substantial portions of the <<var;name=software;words=1-2>> "
+        "the <<var;name=software;words=1-2>> is provided as is without warranty of any kind express or implied including but not "
+        "limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall "
+        "<<var;name=holder;words=1-8>> be liable for any claim damages or other liability whether in an action of contract tort or "
+        "otherwise arising from out of or in connection with the <<var;name=software;words=1-2>> or the use or other dealings in the "
         "<<var;name=software;words=1-2>>"),
     "mit-notice": "<<var;name=verb;words=1-1>> under <<beginOptional>>the<<endOptional>> <<beginOptional>>terms of the<<endOptional>> mit license",
 }

@@ -16,6 +16,39 @@ def by_hand(doc, text):
     return doc, len(tokens), len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted({b for _, b in places}))
 
 
+# The full wording of public licences.
+NOTICE = "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. "
+MIT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
+    "(the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, "
+    "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
+    "subject to the following conditions: " + NOTICE + "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR "
+    "IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO "
+    "EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, "
+    "TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.")
+ISC = (
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that "
+    "the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS "
+    "ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE "
+    "AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA "
+    "OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR "
+    "PERFORMANCE OF THIS SOFTWARE.")
+_CLAUSES = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions "
+    "are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+    "documentation and/or other materials provided with the distribution. ")
+_DISCLAIMER = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT "
+    "LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT "
+    "HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT "
+    "LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY "
+    "THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF "
+    "THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+BSD2 = _CLAUSES + _DISCLAIMER
+BSD3 = _CLAUSES + "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products " \
+    "derived from this software without specific prior written permission. " + _DISCLAIMER
+
 BASE = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels"]
 
 
@@ -35,9 +68,9 @@ def test_base_columns_of_documents(spark, sf_dir, rows):
     ("Licensed under the Apache License, Version 2.0", "apache-2.0-notice"),
     ("Licensed under Apache License 2.0", "apache-2.0-notice"),
     ("is licensed under the GNU General Public License, version 3.", "gpl-3.0-notice"),
-    ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation "
-     "files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, "
-     "modify, merge, publish, distribute, sublicense, and/or sell copies of the Software", "mit"),
+    (MIT, "mit"), (MIT.replace("permission notice", "permission notice (including the next paragraph)").replace("AUTHORS OR COPYRIGHT HOLDERS", "X CONSORTIUM"), "mit"),
+    (ISC, "isc"), (ISC.replace("and/or", "and"), "isc"), (BSD2, "bsd-2-clause"), (BSD3, "bsd-3-clause"),
+    ("Copyright (c) 2024 Ann Onymous. All rights reserved. " + BSD2, "bsd-2-clause"),
 ])
 def test_templates_accept(text, label):
     made = license_scan.compile_template(label, license_scan.TEMPLATES[label])
@@ -49,6 +82,13 @@ def test_templates_accept(text, label):
     ("Licensed under the Apache License, Version 1.1", "apache-2.0-notice"),
     ("licensed under the GNU Lesser General Public License, version 3", "gpl-3.0-notice"),
     ("", "mit"),
+    (MIT.split("and to permit")[0], "mit"),
+    (MIT.split("and to permit")[0] + "but never on Tuesdays and only for Good, not Evil", "mit"),
+    (MIT.replace("THE SOFTWARE IS PROVIDED", "The Software shall be used for Good, not Evil. THE SOFTWARE IS PROVIDED"), "mit"),
+    (MIT.replace(NOTICE, ""), "mit"), (MIT.replace("ANY CLAIM", "SOME CLAIM"), "mit"),
+    (ISC.split("THE SOFTWARE")[0], "isc"), (ISC.replace("NEGLIGENCE ", ""), "isc"),
+    (BSD2.split("THIS SOFTWARE")[0] + "THIS SOFTWARE IS PROVIDED BY", "bsd-2-clause"), (BSD3, "bsd-2-clause"), (BSD2, "bsd-3-clause"),
+    (BSD3.replace("EVEN IF ADVISED", "IF ADVISED"), "bsd-3-clause"),
 ])
 def test_changed_mandatory_wording_is_refused(text, label):
     assert not license_scan.compile_template(label, license_scan.TEMPLATES[label]).accepts(license_scan.words(text))
