@@ -31,11 +31,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PAD = 40
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/<>]*+)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
 _CSS = re.compile(r"([^{};]*)([{};])")
 _CSS_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)|<!--|-->", re.S)
 _HIDES = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)")
+_LONG_REFERENCE = re.compile(r"&#(?:([0-9]{8,})|([xX][0-9a-fA-F]{8,}));?")
 _SPACES = re.compile(r"[ \t\n\r\f]+")
 
 # Fixed values of the HTML standard.
@@ -63,8 +64,19 @@ class Node:
         self.tag, self.attributes, self.children = tag, attributes, []
 
 
+def _unescaped(text: str) -> str:
+    """Character references replaced; a number of any length is read, and one beyond all characters is U+FFFD."""
+
+    def short(found: re.Match) -> str:
+        mark, digits = ("", found[1]) if found[1] else (found[2][0], found[2][1:])
+        digits = digits.lstrip("0") or "0"
+        return f"&#{mark}{digits};" if len(digits) < 8 else "\ufffd"
+
+    return html.unescape(_LONG_REFERENCE.sub(short, text) if "&#" in text else text)
+
+
 def _attributes(source: str) -> dict[str, str]:
-    return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(source)}
+    return {m[1].lower(): _unescaped(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(source)}
 
 
 class Open:
@@ -94,7 +106,7 @@ def _add_text(stack: Open, text: str) -> None:
     """Text of a page; one that is not blank ends the head it stands in."""
     if stack.nodes[-1].tag == "head" and text.strip(" \t\n\r\f"):
         stack.close(("head",), ())
-    stack.nodes[-1].children.append(html.unescape(text))
+    stack.nodes[-1].children.append(_unescaped(text))
 
 
 def parse(page: str) -> Node:
@@ -139,7 +151,7 @@ def parse(page: str) -> Node:
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
             inner = page[at:end.start() if end else len(page)]
-            node.children.append(html.unescape(inner) if tag in ("textarea", "title") else inner)
+            node.children.append(_unescaped(inner) if tag in ("textarea", "title") else inner)
             at = end.end() if end else len(page)
         elif tag not in VOID and not found[3].rstrip().endswith("/"):
             stack.push(node)
@@ -277,7 +289,8 @@ def _width(text: str) -> int:
 
 
 def _number(value: str | None, default: int, most: int = 1000) -> int:
-    return min(int(value), most) if value and value.isascii() and value.isdigit() and int(value[:9]) > 0 else default
+    digits = value.lstrip("0") if value and value.isascii() and value.isdigit() else ""
+    return min(int(digits[:12]), most) if digits else default
 
 
 def table_lines(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:

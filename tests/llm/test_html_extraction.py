@@ -1,3 +1,4 @@
+import time
 from html.parser import HTMLParser
 
 import pytest
@@ -88,3 +89,15 @@ def test_odd_rows(spark):
     pages = spark.createDataFrame(rows, "page_id long, html string, text string")
     assert sorted(map(tuple, extract(pages).collect()), key=repr) == sorted([(1, ""), (2, ""), (None, "x"), (3, "y"), (3, "y")], key=repr)
     assert extract(pages.where("page_id > 9")).count() == 0
+
+
+def test_long_numbers_and_hostile_tags():
+    digits = "9" * 5_000
+    table = f"<table><tr><td colspan={digits}>a</td><td rowspan='000{digits}'>b</td></tr></table>"
+    assert visible_text(table).split() == ["a", "b"]
+    assert visible_text(f"<p>x&#{digits};y &#{'0' * 5_000}65; &#x{'0' * 9}41;</p>") == "x\ufffdy A A"
+    assert visible_text(f"<ol start={digits}><li>one</ol>").endswith("one")
+    began = time.perf_counter()
+    for part in ("<a ", "<a", "<a b=c ", "< ", "<!", "</", "<a b='c' "):
+        visible_text(part * (1_000_000 // len(part)))
+    assert time.perf_counter() - began < 30
