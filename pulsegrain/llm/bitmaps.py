@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pulsegrain.session import written
+
 BITS = 1 << 22  # 128 rows of 4 KB are broadcast
 
 
@@ -40,12 +42,29 @@ def whole_rows(rows: DataFrame, **keys: Column) -> DataFrame:
     return rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("_row"), *[v.alias(k) for k, v in keys.items()])
 
 
-def without_ids(rows: DataFrame, id: str, dropped: DataFrame) -> DataFrame:
-    """Rows whose id is not in ``dropped``, a one-column table of ids; null ids match null ids.
+def row_key(id: Column, text: Column) -> Column:
+    """64 bits that tell a row by its id and its text; null ids and texts count as such."""
+    return F.xxhash64(id, F.coalesce(text, F.lit("")), id.isNull())
+
 
-    Rows that the bitmap clears pass without a shuffle.
+def without_rows(rows: DataFrame, key: Column, dropped: DataFrame) -> DataFrame:
+    """Rows whose key is not in ``dropped``, a one-column table of keys that are never null.
+
+    The keys are stored once, and rows that the bitmap clears pass without a shuffle.
     """
-    gone = dropped.select(F.col(dropped.columns[0]).alias("_gone"))
-    sides = marked(whole_rows(rows, _id=F.col(id)), F.col("_id"), bitmap(gone, F.col("_gone")))
-    checked = sides.where("_hit").join(gone, F.col("_id").eqNullSafe(F.col("_gone")), "left_anti")
+    gone = written(dropped.select(F.col(dropped.columns[0]).alias("_gone")).distinct(), "gone")
+    sides = marked(whole_rows(rows, _id=key), F.col("_id"), bitmap(gone, F.col("_gone")))
+    checked = sides.where("_hit").join(gone, F.col("_id") == F.col("_gone"), "left_anti")
     return sides.where(~F.col("_hit")).select("_row.*").unionByName(checked.select("_row.*"))
+
+
+def once_each(rows: DataFrame, key: Column) -> DataFrame:
+    """One row of those that share a key.
+
+    Keys that repeat are counted without the rows; only rows that may have such
+    a key are gathered, after each task has put its own together.
+    """
+    repeated = rows.select(key.alias("_key")).groupBy("_key").count().where("count > 1").select("_key")
+    sides = marked(whole_rows(rows, _key=key), F.col("_key"), bitmap(repeated, F.col("_key")))
+    one = sides.where("_hit").groupBy("_key").agg(F.first("_row").alias("_row"))
+    return sides.where(~F.col("_hit")).select("_row.*").unionByName(one.select("_row.*"))

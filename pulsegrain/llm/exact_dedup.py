@@ -89,6 +89,8 @@ def drop_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     suspects = sides.where("_hit").select("_row", "_id", _digest(F.col("_text")).alias("_sha"))
     stay = duplicate_groups(docs, id, text).select(F.col("_sha").alias("_stay"), F.col("keep_id").alias("_keep"))
     kept = suspects.join(stay, (F.col("_sha") == F.col("_stay")) & F.col("_id").eqNullSafe(F.col("_keep")), "left_semi")
+    # Rows that repeat id and text of the row that stays: one of them is kept.
+    kept = kept.groupBy("_sha").agg(F.first("_row").alias("_row"))
     return sides.where(~F.col("_hit")).select("_row.*").unionByName(kept.select("_row.*"))
 
 

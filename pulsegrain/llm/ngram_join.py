@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrain.llm.batches import bound_batches
-from pulsegrain.llm.bitmaps import bitmap, marked, without_ids
+from pulsegrain.llm.bitmaps import bitmap, marked, once_each, row_key, without_rows
 from pulsegrain.llm.components import components
 from pulsegrain.llm.words import batch_words, mix, shingles
 from pulsegrain.session import written
@@ -249,9 +249,15 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wor
 
 
 def drop_near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id names their class, with all their columns."""
-    found = near_duplicates(docs, id, text)
-    return without_ids(docs, id, found.where(~F.col(id).eqNullSafe(F.col("class_id"))).select(id))
+    """One row of each class, with all its columns: one with the smallest id, then the smallest key of id and text.
+
+    Null ids are the smallest. A row that repeats id and text of the row that stays goes too.
+    """
+    key = row_key(F.col(id), F.col(text))
+    named = docs.select(F.struct(F.col(id).alias("id"), key.alias("key")).alias("id"), F.col(text).alias("text"))
+    found = near_duplicates(named, "id", "text")
+    left = without_rows(docs, key, found.where(~F.col("id").eqNullSafe(F.col("class_id"))).select("id.key"))
+    return once_each(left, row_key(F.col(id), F.col(text)))
 
 
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -59,3 +59,21 @@ def test_odd_rows_pass_every_stage(spark, odd, nothing):
         for name, stage in corpus_pipeline.STAGES:
             docs = corpus_pipeline.written(stage(spark, docs, FOLDER), "odd-stage")
             assert name == "packing" or docs.columns == odd.columns
+
+
+def test_rows_are_dropped_by_their_own_text(spark, rows):
+    """Null ids, repeated ids with other texts and repeated rows: every decision is about one row."""
+    bench = spark.read.parquet(f"{FOLDER}/benchmark.parquet")
+    item = max((r.text for r in bench.collect()), key=len)
+    near = " ".join(f"word{i} other{i % 7}" for i in range(120))
+    clean = [f"clean text {c} " + " ".join(f"{c}{i}" for i in range(40)) for c in "pqrs"]
+    docs = spark.createDataFrame(
+        [(None, item), (None, clean[0]), (5, item), (5, clean[1]), (7, near), (None, near + " more"), (7, clean[2]), (8, near), (8, near), (None, clean[3]), (None, clean[3])],
+        "doc_id long, text string").repartition(3)
+    left = rows(corpus_pipeline.remove_benchmark(spark, docs, FOLDER))
+    assert left == sorted([(i, t) for i, t in map(tuple, docs.collect()) if t != item], key=repr)
+    left = rows(corpus_pipeline.remove_copies(spark, docs, FOLDER))
+    assert [t for _, t in left].count(near) == 1 and [t for _, t in left].count(clean[3]) == 1 and len(left) == 7
+    left = rows(corpus_pipeline.remove_near_copies(spark, docs, FOLDER))
+    assert (None, near + " more") in left and not any(t == near for _, t in left)
+    assert sorted(t for _, t in left) == sorted([item, *clean, near + " more"])
