@@ -8,8 +8,11 @@ letters of their case at the same places, separators stay, addresses keep their
 parts in range, and names keep the title and come from a list that matches its
 gender and the name's script. Two entities must not share a surrogate and no
 surrogate may be an entity of the corpus; those that clash are keyed anew with
-the next attempt until none does. Only entities with a later attempt are kept
-in a table; all others need none.
+the next attempt until none does. From attempt LONGER on, a surrogate made of
+digits or letters also gets a keyed tail that grows with the attempts, so masks
+(``********``), letters of scripts that are not poured and shapes with fewer
+surrogates than entities come to an end too. Only entities with a later attempt
+are kept in a table; all others need none.
 
 Defined cases: null text stays null, and text without entities stays as it is;
 repeated rows are treated alike; ids may be null or repeat; an empty table gives
@@ -24,7 +27,8 @@ from pyspark.sql import functions as F
 from pulsegrain.session import written
 
 KEY = "surrogates-1"  # give a secret of your own
-MAX_LETTERS = 120
+#: The attempt from which surrogates get longer.
+LONGER = 3
 
 # Titles by gender, and the lists that surrogate names come from.
 MALE_TITLES = ["Mr", "Herr", "Monsieur", "Señor", "Господин"]
@@ -38,15 +42,18 @@ NAMES = {
     ("cyrillic", "family"): ["Антоненко", "Бондарь", "Вороненко", "Гончар", "Дорошенко", "Ефименко", "Жук", "Зинченко", "Исаенко", "Коваленко", "Лысенко", "Мельник", "Никитенко", "Остапенко", "Петренко", "Руденко"],
 }
 
+#: A name with inner capitals, apostrophes and hyphens.
+NAME = r"\p{Lu}(?:[\p{L}\p{M}]++|(?=['’]\p{L}))(?:['’-][\p{L}\p{M}]++)*+"
+
 PATTERNS = {
     "mail": r"(?<![\w.%+-])[\w.%+-]{1,64}+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
-    "secret": r"(?<=password=|passwd=|secret=|token=|api_key=)[^\s\"',;]{6,120}|(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|(?=[a-f]{0,64}[0-9])(?=[0-9]{0,64}[a-f])[0-9a-f]{16,64}|(?:sk|pk|ghp)_[A-Za-z0-9_]{16,100})(?![A-Za-z0-9])",
+    "secret": r"(?<=password=|passwd=|secret=|token=|api_key=)[^\s\"',;]{6,}+|(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|(?=[a-f]*+[0-9])(?=[0-9]*+[a-f])[0-9a-f]{16,}+|(?:sk|pk|ghp)_[A-Za-z0-9_]{16,}+)(?![A-Za-z0-9])",
     "address": r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d)",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "phone": r"(?<![\w+])\+?\d{1,3}[ .-]?\(\d{2,4}\)[ .-]?\d{3}[ .-]?\d{3,4}(?!\d)|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<![\w-])\d{3}-\d{3}-\d{4}(?![\w-])",
     "card": r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])",
     "social": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
-    "person": r"(?<!\p{L})(?:" + "|".join(MALE_TITLES + FEMALE_TITLES) + r")\.? \p{Lu}\p{Ll}{1,30}(?: \p{Lu}\p{Ll}{1,30})?",
+    "person": r"(?<!\p{L})(?:" + "|".join(MALE_TITLES + FEMALE_TITLES) + r")\.? " + NAME + "(?: " + NAME + "){0,2}+",
 }
 PATTERN = "(?U)" + "|".join(PATTERNS.values())
 _QUICK = r"[0-9@]|password=|passwd=|secret=|token=|api_key=|" + "|".join(MALE_TITLES + FEMALE_TITLES)
@@ -116,9 +123,14 @@ def surrogate(key: str, entity: Column, kind: Column, plain: Column, attempt: Co
                     F.lower(F.substring(stream, 201, 8)), F.lit(".example.com"))
     octets = [(_byte(stream, F.lit(0)) % 223 + 1), *(_byte(stream, F.lit(i)) for i in (1, 2)), _byte(stream, F.lit(3)) % 254 + 1]
     address = F.concat_ws(".", *[o.cast("string") for o in octets])
-    numbered = F.concat(F.regexp_extract(entity, r"^(\+\d{1,3}(?=\D)|[A-Z]{2}(?=\d\d)|)", 1), _poured(F.regexp_replace(entity, r"^(\+\d{1,3}(?=\D)|[A-Z]{2}(?=\d\d)|)", ""), stream))
-    return (F.when(kind == "mail", mail).when(kind == "address", address).when(kind == "person", _person(entity, stream, attempt))
-            .when(kind.isin("phone", "iban"), numbered).otherwise(_poured(entity, stream)))
+    # Whatever the spelling, a phone number keeps its plus and the first digit after it, an account its country.
+    kept = r"^(\+\d|[A-Z]{2}(?=\d\d)|)"
+    numbered = F.concat(F.regexp_extract(entity, kept, 1), _poured(F.regexp_replace(entity, kept, ""), stream))
+    tail = F.substring(stream, F.lit(129), F.least((attempt - LONGER + 1) * 4, F.lit(64)))
+    digits = F.translate(tail, "abcdef", "012345")
+    later = F.when(attempt < LONGER, F.lit("")).when(kind.isin("phone", "card", "social", "iban"), digits).otherwise(tail)
+    poured = F.concat(F.when(kind.isin("phone", "iban"), numbered).otherwise(_poured(entity, stream)), later)
+    return F.when(kind == "mail", mail).when(kind == "address", address).when(kind == "person", _person(entity, stream, attempt)).otherwise(poured)
 
 
 def found_entities(text: Column) -> Column:

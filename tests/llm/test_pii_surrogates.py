@@ -60,6 +60,32 @@ def test_clashing_entities_get_surrogates_of_their_own(spark):
     assert len(set(new)) == len(names) and not set(new) & set(names)
 
 
+def replaced(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [r.text for r in p.replace_entities(docs).orderBy("doc_id").collect()]
+
+
+def test_masks_other_scripts_and_full_shapes_come_to_an_end(spark):
+    texts = ["password=******** ok", "password=секрет1 ok", "password=密码密码密码 ok", *[f"password=1****{c} ok" for c in "abcdefghij"],
+             *[f"password=*****{d} ok" for d in range(10)]]
+    new = replaced(spark, texts)
+    assert len(set(new)) == len(texts) and not set(new) & set(texts)
+    assert all(t.startswith("password=") and t.endswith(" ok") for t in new)
+
+
+def test_whole_secrets_and_names_go(spark):
+    token = "ab1." * 150
+    texts = [f"token={token}", "0123456789abcdef" * 8, "sk_" + "a1" * 90, "Mr McDonald came", "Frau Anne-Marie Lang kam", "Mr John Ronald Tolkien wrote", "Mrs O'Neil left"]
+    new = " | ".join(replaced(spark, texts))
+    for real in ("ab1.ab1", "0123456789abcdef", "a1a1a1", "Donald", "Marie", "Lang kam", "Tolkien", "Neil"):
+        assert real not in new
+
+
+def test_phone_spellings_agree(spark):
+    new = replaced(spark, ["call +1 (988) 555-2485", "call +19885552485"])
+    assert re.sub(r"\D", "", new[0]) == re.sub(r"\D", "", new[1]) != "19885552485"
+
+
 def test_keys_differ(docs, got):
     other = {r.doc_id: r.text for r in p.replace_entities(docs, key="another").collect()}
     assert other[3] != got[3][0] and other[8] == got[8][0]
