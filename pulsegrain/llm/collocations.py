@@ -48,6 +48,9 @@ UNKNOWN = "und"
 #: Bits of the two bitmaps, broadcast as 512 KB and 4 MB whatever the corpus.
 WORD_BITS = 1 << 22
 PAIR_BITS = 1 << 25
+#: Bits of a pair's key that are counted, and the ranges of keys that are counted at once.
+KEY_BITS = 48
+PAIR_BUCKETS = 1024
 #: Bytes of text that are worked on at once, one text at least.
 SLICE_BYTES = 2 << 20
 #: Different keys, and places of pairs, that a task adds up before it passes them on.
@@ -156,7 +159,10 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _count_pairs(word_bits: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """All pairs of frequent words of the task, by key alone: a key that two pairs share lets more through, never less."""
+    """All pairs of frequent words of the task as KEY_BITS of their key: a key that two pairs share lets more through, never less.
+
+    Keys are sent in order as steps, byte by byte and compressed, a row for each of PAIR_BUCKETS.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = np.unpackbits(np.frombuffer(word_bits.value, np.uint8), bitorder="little").view(bool)
@@ -165,10 +171,15 @@ def _count_pairs(word_bits: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], I
 
         def rows() -> pa.RecordBatch:
             keys, places = np.unique(np.concatenate([np.empty(0, np.uint64), *held]), return_counts=True)
-            return pa.record_batch([pa.array(keys.view(np.int64)), pa.array(places, pa.int64())], names=["key", "places"])
+            cuts = np.searchsorted(keys, np.arange(PAIR_BUCKETS + 1).astype(np.uint64) * np.uint64((1 << KEY_BITS) // PAIR_BUCKETS))
+            some = [(b, s, e) for b, (s, e) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())) if e > s]
+            return pa.record_batch([
+                pa.array([b for b, _, _ in some], pa.int32()), pa.array([e - s for _, s, e in some], pa.int64()),
+                pa.array([_packed(np.diff(keys[s:e], prepend=np.uint64(0))) for _, s, e in some], pa.binary()),
+                pa.array([_packed(places[s:e].astype(np.uint64)) for _, s, e in some], pa.binary())], names=["bucket", "n", "keys", "places"])
 
         for part, _names in _sliced(batches):
-            held.append(part.pairs(frequent[part.keys & np.uint64(WORD_BITS - 1)])[1])
+            held.append(part.pairs(frequent[part.keys & np.uint64(WORD_BITS - 1)])[1] & np.uint64((1 << KEY_BITS) - 1))
             size += len(held[-1])
             if size > HELD_PAIRS:
                 yield rows()
@@ -178,6 +189,30 @@ def _count_pairs(word_bits: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], I
     return run
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Whole numbers as compressed planes of their bytes."""
+    return pa.compress(np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T).tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(blob: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(blob, decompressed_size=n * 8, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, n).T).view(np.uint64).ravel()
+
+
+def _frequent_pairs(least: int) -> Callable[[pa.Table], pa.Table]:
+    """The keys of a bucket that reach ``least`` places over all tasks."""
+
+    def run(table: pa.Table) -> pa.Table:
+        sent = list(zip(*(table.column(c).to_pylist() for c in ("n", "keys", "places"))))
+        keys, entry = np.unique(np.concatenate([np.cumsum(_unpacked(k, n)) for n, k, _ in sent]), return_inverse=True)
+        places = np.zeros(len(keys), np.uint64)
+        np.add.at(places, entry, np.concatenate([_unpacked(p, n) for n, _, p in sent]))
+        enough = places >= least
+        return pa.table([pa.array(keys[enough].view(np.int64)), pa.array(places[enough].astype(np.int64))], names=["key", "places"])
+
+    return run
+
+
 def _suffixes(word_bits: Broadcast, pair_bits: Broadcast, hot: np.ndarray, buckets: int, most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """The suffixes that begin with a frequent pair, up to the first word or pair that is too rare, packed by bucket.
 
@@ -203,6 +238,7 @@ def _suffixes(word_bits: Broadcast, pair_bits: Broadcast, hot: np.ndarray, bucke
         held = _Held()
         for part, names in _sliced(batches):
             at, lead = part.pairs(word[part.keys & np.uint64(WORD_BITS - 1)])
+            lead = lead & np.uint64((1 << KEY_BITS) - 1)
             keep = pair[lead & np.uint64(PAIR_BITS - 1)]
             at, lead = at[keep], lead[keep]
             good = np.zeros(len(part.keys) + most, bool)
@@ -309,8 +345,8 @@ def phrase_counts(docs: DataFrame, lang: str = "lang", text: str = "text", most:
     frequent = words.where(F.col("places") >= least)
     word_bits = _bitmap(frequent, WORD_BITS)
 
-    pairs = rows.mapInArrow(_count_pairs(word_bits), "key long, places long").groupBy("key").agg(F.sum("places").alias("places"))
-    pairs = written(pairs.where(F.col("places") >= least), "pairs")
+    sent = rows.mapInArrow(_count_pairs(word_bits), "bucket int, n long, keys binary, places binary")
+    pairs = written(sent.groupBy("bucket").applyInArrow(_frequent_pairs(least), "key long, places long"), "pairs")
     pair_bits = _bitmap(pairs, PAIR_BITS)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     total = pairs.agg(F.sum("places")).first()[0] or 0
