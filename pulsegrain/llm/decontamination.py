@@ -2,17 +2,18 @@
 
 Passages are TF-IDF vectors over DIMS hashed words. Document frequencies come
 from all documents. A randomised SVD, done as distributed matrix products over
-a bounded sample of passages and all benchmark items, gives the latent space;
-the driver only sees tables of DIMS x RANK numbers. Every passage of every
-document is folded in and compared with the benchmark items by cosine; the
-items stand in blocks, so one task holds BLOCK items at most. A short or much
-changed item fills little of a passage and may have any cosine; so every pair
-of which the document holds as many of the item's words as the lowest share
-takes is a candidate too, at each passage that has so many around it. That
-count bounds the subsequence from above, so no pair that meets the rules is
-lost. Candidates are settled on words: the longest common subsequence of the
-item with the words around the passage, as a share of the item, and whether the
-item's answer, its last sentence, stands there too.
+the passages of all documents and benchmark items, gives the latent space; the
+driver only sees tables of DIMS x RANK numbers, and a task sends one such table
+for up to SPLITS_A_TASK splits. Every passage of every document is folded in
+and compared with the benchmark items by cosine; the items stand in blocks, so
+one task holds BLOCK items at most. A short or much changed item fills little
+of a passage and may have any cosine, so the cosine is given with a pair and
+does not rule it out: a pair is settled at each passage that has as many of the
+item's words around it as the lowest share takes. That count bounds the
+subsequence from above, so no pair that meets the rules is lost. Pairs are
+settled on words: the longest common subsequence of the item with the words
+around the passage, as a share of the item, and whether the item's answer, its
+last sentence, stands there too.
 
 A document is contaminated by an item where that share reaches SHARE, or reaches
 ANSWERED_SHARE with the answer. Passages are WINDOW words long, one beginning
@@ -46,15 +47,16 @@ DIMS = 1 << BITS
 RANK = 128
 EXTRA = 8
 POWER_STEPS = 2
-SAMPLE_DOCS = 4_000
+SPLITS_A_TASK = 16  # splits whose passages one task multiplies, as its table of results is as large for one split
 WINDOW, STRIDE = 32, 16
 PHASE = 8  # an item's windows begin every PHASE words, since a document's may begin anywhere in it
-COSINE = 0.45
 SHARE = 0.7
 ANSWERED_SHARE = 0.55
 ANSWER_FOUND = 0.8
 BLOCK = 10_000
-GATHER = 256  # half windows, or passages of the sample, whose words' vectors are held at once
+GATHER = 256  # half windows whose words' vectors are held at once
+PASSAGES = 1024  # passages that are multiplied at once
+OFTEN = 16  # words of a dimension, among those passages, above which a matrix product adds them up
 COSINES = 1 << 21  # cosines held at once
 COUNTS = 1 << 18  # counts of common words held at once
 SCHEMA = "doc_id long, item_id long, cosine double, lcs_share double, answer_share double, answer_found boolean"
@@ -144,30 +146,71 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
 
 
+def _passage_dims(words: Words) -> np.ndarray:
+    """The dimensions of the words of each passage in order, a row for each; places beyond its end hold DIMS."""
+    starts = passages(words, WINDOW)[0]
+    dims = np.append(_dims(words.hashes), DIMS).astype(np.uint16)
+    places = starts[:, None] + np.arange(WINDOW)
+    ends = np.append(starts[1:], len(dims) - 1)
+    return np.sort(dims[np.where(places < ends[:, None], places, len(dims) - 1)], axis=1)
+
+
+def _lengths(rows: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """The length of each passage's TF-IDF vector."""
+    new = np.ones(rows.shape, bool)
+    new[:, 1:] = rows[:, 1:] != rows[:, :-1]
+    heads = np.flatnonzero(new)
+    value = np.diff(np.append(heads, rows.size)) * idf[rows.ravel()[heads]]
+    return np.sqrt(np.bincount(heads // WINDOW, value ** 2))
+
+
+def _add_product(rows: np.ndarray, scale: np.ndarray, table: np.ndarray, total: np.ndarray) -> None:
+    """Adds C'(S^2 (C T)) to ``total``, C being the word counts of the passages and S their scale.
+
+    A word's row of the table is added place by place, so a passage's sum is all
+    that is held. On the way back, dimensions with more than OFTEN words meet
+    the passages in a matrix product, the others word by word.
+    """
+    held = table[rows[:, 0]]
+    for place in range(1, WINDOW):
+        held += table[rows[:, place]]
+    held *= scale[:, None] ** 2
+    flat = rows.ravel()
+    order = np.argsort(flat, kind="stable")
+    heads = np.flatnonzero(np.append(True, flat[order][1:] != flat[order][:-1]))
+    dims, counts, owner = flat[order[heads]], np.diff(np.append(heads, len(flat))), order // WINDOW
+    real = dims < DIMS
+    many = np.flatnonzero(real & (counts > OFTEN))
+    if len(many):
+        of_many = np.repeat(np.arange(len(many)), counts[many])
+        at = np.concatenate([owner[heads[m]:heads[m] + counts[m]] for m in many])
+        dense = np.bincount(of_many * len(rows) + at, minlength=len(many) * len(rows)).reshape(len(many), -1).astype(table.dtype)
+        total[dims[many]] += dense @ held
+    few = np.flatnonzero(real & (counts <= OFTEN))
+    few = few[np.argsort(-counts[few], kind="stable")]
+    sums = np.zeros((len(few), table.shape[1]), table.dtype)
+    for place in range(int(counts[few].max(initial=0))):
+        some = few[:int(np.searchsorted(-counts[few], -place, "left"))]
+        sums[:len(some)] += held[owner[heads[some] + place]]
+    total[dims[few]] += sums
+
+
 def _product(weights: Broadcast, basis: Broadcast):
     """A'(A Q) for the passages of a task: the rows of A are unit TF-IDF vectors, Q is DIMS x l."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        idf, q = weights.value, basis.value
+        idf, q = np.append(weights.value, 0.0), basis.value
+        table = np.vstack([q * idf[:-1, None].astype(q.dtype), np.zeros((1, q.shape[1]), q.dtype)])
         total = np.zeros(q.shape)
         for batch in batches:
             for words in batch_words(batch.column(0)):
-                starts, found = passages(words, WINDOW)
-                if not len(starts):
+                if not len(words.hashes):
                     continue
-                dims = _dims(words.hashes)
-                ends = np.append(starts[1:], len(dims))
-                row = np.repeat(np.arange(len(starts)), ends - starts)
-                pair, count = np.unique(row << BITS | dims, return_counts=True)
-                row, dims = pair >> BITS, pair & (DIMS - 1)
-                value = count * idf[dims]
-                value /= np.sqrt(np.bincount(row, value ** 2))[row]
-                for first in range(0, len(starts), GATHER):
-                    here = slice(*np.searchsorted(row, (first, first + GATHER)))
-                    own, at, weight = row[here] - first, dims[here], value[here, None]
-                    heads = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
-                    projected = np.add.reduceat(q[at] * weight, heads, axis=0)
-                    np.add.at(total, at, projected[own] * weight)
+                rows = _passage_dims(words)
+                scale = (1 / _lengths(rows, idf)).astype(q.dtype)
+                for first in range(0, len(rows), PASSAGES):
+                    _add_product(rows[first:first + PASSAGES], scale[first:first + PASSAGES], table, total)
+        total *= idf[:-1, None]
         some = np.flatnonzero(total.any(axis=1))
         yield pa.record_batch([pa.array(some), *[pa.array(total[some, i]) for i in range(q.shape[1])]],
                               names=["dim", *[f"y{i}" for i in range(q.shape[1])]])
@@ -175,12 +218,12 @@ def _product(weights: Broadcast, basis: Broadcast):
     return run
 
 
-def _times(sample: DataFrame, weights: Broadcast, q: np.ndarray) -> np.ndarray:
+def _times(texts: DataFrame, weights: Broadcast, q: np.ndarray) -> np.ndarray:
     """A'A Q by one Spark job; its result has DIMS x l numbers at most."""
-    spark, width = sample.sparkSession, q.shape[1]
+    spark, width = texts.sparkSession, q.shape[1]
     basis = spark.sparkContext.broadcast(q.astype(np.float32))
     columns = [f"y{i}" for i in range(width)]
-    rows = sample.mapInArrow(_product(weights, basis), "dim long, " + ", ".join(f"{c} double" for c in columns))
+    rows = texts.mapInArrow(_product(weights, basis), "dim long, " + ", ".join(f"{c} double" for c in columns))
     found = rows.groupBy("dim").agg(*[F.sum(c).alias(c) for c in columns]).toArrow()
     out = np.zeros(q.shape)
     if found.num_rows:
@@ -189,18 +232,20 @@ def _times(sample: DataFrame, weights: Broadcast, q: np.ndarray) -> np.ndarray:
     return out
 
 
-def latent_space(sample: DataFrame, idf: np.ndarray, rank: int = RANK, seed: int = 7) -> np.ndarray:
+def latent_space(texts: DataFrame, idf: np.ndarray, rank: int = RANK, seed: int = 7) -> np.ndarray:
     """The table that folds a passage's word counts into the latent space: a row for each dimension, and a zero row.
 
     Randomised subspace iteration on A'A. The columns are right singular
     vectors over their singular values, times the words' weights.
     """
-    spark = sample.sparkSession
+    spark = texts.sparkSession
+    splits = texts.rdd.getNumPartitions()
+    texts = texts.coalesce(min(splits, max(spark.sparkContext.defaultParallelism, -(-splits // SPLITS_A_TASK))))
     weights = spark.sparkContext.broadcast(idf)
     q = np.linalg.qr(np.random.default_rng(seed).standard_normal((DIMS, rank + EXTRA)))[0]
     for _ in range(POWER_STEPS):
-        q = np.linalg.qr(_times(sample, weights, q))[0]
-    values, turn = np.linalg.eigh(q.T @ _times(sample, weights, q))
+        q = np.linalg.qr(_times(texts, weights, q))[0]
+    values, turn = np.linalg.eigh(q.T @ _times(texts, weights, q))
     weights.destroy()
     values, turn = values[::-1][:rank], turn[:, ::-1][:, :rank]
     keep = values > 1e-6 * max(values[0], 1e-12)
@@ -232,6 +277,7 @@ class Items:
     owner: np.ndarray
     vocabulary: np.ndarray  # the distinct words of all items, sorted
     places: list[np.ndarray]  # each item's distinct words, as places of the vocabulary
+    often: list[np.ndarray]  # how often the item has each of them
     first: np.ndarray  # word i stands in holders[first[i]:first[i + 1]], as often as times tells
     holders: np.ndarray
     times: np.ndarray
@@ -246,7 +292,7 @@ def answer_of(text: str) -> str:
 
 def prepare_items(ids: list, texts: list[str | None], fold: np.ndarray) -> Items:
     none = np.empty(0, np.int64)
-    items = Items([], [], [], np.empty((0, fold.shape[1]), np.float32), none, np.empty(0, np.uint64), [], np.zeros(1, np.int64), none, none, none)
+    items = Items([], [], [], np.empty((0, fold.shape[1]), np.float32), none, np.empty(0, np.uint64), [], [], np.zeros(1, np.int64), none, none, none)
     vectors, owner = [], []
     answers = [a for part in batch_words(pa.array([answer_of(t or "") for t in texts], pa.string()))
                for a in np.split(part.hashes, part.bounds[1:-1])]
@@ -269,7 +315,10 @@ def prepare_items(ids: list, texts: list[str | None], fold: np.ndarray) -> Items
         pair, items.times = np.unique(word * len(sizes) + np.repeat(np.arange(len(sizes)), sizes), return_counts=True)
         items.holders = pair % len(sizes)
         items.first = np.searchsorted(pair // len(sizes), np.arange(len(items.vocabulary) + 1))
-        items.places = [np.unique(w) for w in np.split(word, np.cumsum(sizes)[:-1])]
+        for own in np.split(word, np.cumsum(sizes)[:-1]):
+            distinct, often = np.unique(own, return_counts=True)
+            items.places.append(distinct)
+            items.often.append(often)
     return items
 
 
@@ -308,16 +357,49 @@ def held_words(words: Words, windows: Passages, items: Items) -> Iterator[tuple[
             t = int(t) + low
             inside[items.places[item]] = True
             here = slice(hits[t], hits[t + 1])
-            own = at[here][inside[word[here]]] - words.bounds[t]
+            own = np.flatnonzero(inside[word[here]]) + hits[t]
             inside[items.places[item]] = False
             starts = windows.start[begun[t]:begun[t + 1]]
-            length = len(items.words[item])
-            enough = np.searchsorted(own, starts + WINDOW + length) - np.searchsorted(own, starts - length) >= items.need[item]
+            around = common_words(at[own] - words.bounds[t], np.searchsorted(items.places[item], word[own]), items.often[item], starts, len(items.words[item]))
+            enough = around >= items.need[item]
             if enough.any():
                 yield t, int(item), starts[enough].tolist()
 
 
-def _search(space: Broadcast, block: Broadcast, cosine: float):
+def common_words(places: np.ndarray, word: np.ndarray, often: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+    """How many of an item's words stand in the region of each passage, which reaches ``length`` words beyond it.
+
+    ``places`` are where the text has words of the item, in order, and ``word``
+    which ones; a word of the item counts as ``often`` as the item has it,
+    wherever the region has it at all.
+    """
+    order = np.argsort(word, kind="stable")
+    places, word = places[order], word[order]
+    first = np.searchsorted(starts, places - WINDOW - length, "right")
+    last = np.searchsorted(starts, places + length, "right")
+    # The regions that a word's place before has reached already do not count it again.
+    same = np.flatnonzero(word[1:] == word[:-1]) + 1
+    first[same] = np.maximum(first[same], last[same - 1])
+    weight = np.where(last > first, often[word], 0)
+    return np.cumsum(np.bincount(first, weight, len(starts) + 1) - np.bincount(last, weight, len(starts) + 1))[:-1]
+
+
+def nearest_cosines(vectors: np.ndarray, windows: Passages, items: Items, texts: int) -> np.ndarray:
+    """The highest cosine of each text's passages with each item's windows; -1 for a text without passages."""
+    best = np.full((texts, len(items.ids)), -1, np.float32)
+    if not len(items.vectors):
+        return best
+    of_item = np.flatnonzero(np.append(True, items.owner[1:] != items.owner[:-1]))
+    step = max(1, COSINES // len(items.vectors))
+    for at in range(0, len(vectors), step):
+        near = np.maximum.reduceat(vectors[at:at + step] @ items.vectors.T, of_item, axis=1)
+        text = windows.text[at:at + step]
+        begun = np.flatnonzero(np.append(True, text[1:] != text[:-1]))
+        best[text[begun]] = np.maximum(best[text[begun]], np.maximum.reduceat(near, begun, axis=0))
+    return best
+
+
+def _search(space: Broadcast, block: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fold, items = space.value, block.value
         names = [c.split()[0] for c in SCHEMA.split(", ")]
@@ -325,27 +407,12 @@ def _search(space: Broadcast, block: Broadcast, cosine: float):
             ids, out = batch.column(0).to_pylist(), []
             for words in batch_words(batch.column(1)):
                 vectors, windows = _window_vectors(words, fold, STRIDE)
-                vectors = _unit(vectors)
-                best: dict[tuple[int, int], list] = {}
-                step = max(1, COSINES // max(1, len(items.vectors)))
-                for at in range(0, len(vectors), step):
-                    near = vectors[at:at + step] @ items.vectors.T
-                    for w, v in np.argwhere(near >= cosine):
-                        key = (int(windows.text[at + w]), int(items.owner[v]))
-                        best.setdefault(key, []).append((int(windows.start[at + w]), float(near[w, v])))
-                starts = {key: [p for p, _ in places] for key, places in best.items()}
+                nearest = nearest_cosines(_unit(vectors), windows, items, len(words.bounds) - 1)
                 for text, item, begun in held_words(words, windows, items):
-                    starts.setdefault((text, item), []).extend(begun)
-                for (text, item), begun in starts.items():
                     own = words.hashes[words.bounds[text]:words.bounds[text + 1]]
                     shares = _settle(own, items.words[item], items.answers[item], begun)
-                    if shares[0] < ANSWERED_SHARE:
-                        continue
-                    if (text, item) in best:
-                        nearest = max(c for _, c in best[text, item])
-                    else:
-                        nearest = float((vectors[windows.text == text] @ items.vectors[items.owner == item].T).max())
-                    out.append((ids[words.first + text], items.ids[item], nearest, *shares))
+                    if shares[0] >= ANSWERED_SHARE:
+                        out.append((ids[words.first + text], items.ids[item], float(nearest[text, item]), *shares))
             kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.bool_()]
             yield pa.record_batch([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=names)
 
@@ -374,25 +441,20 @@ def _settle(own: np.ndarray, item: list[int], answer: list[int], starts: list[in
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text", item_id: str = "item_id",
-                       item_text: str = "text", rank: int = RANK, sample_docs: int = SAMPLE_DOCS, cosine: float = COSINE,
-                       block: int = BLOCK) -> DataFrame:
+                       item_text: str = "text", rank: int = RANK, block: int = BLOCK) -> DataFrame:
     """One row for every document and item that contaminates it."""
     spark = docs.sparkSession
     bound_batches(spark)
     source = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     items = written(benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).alias("text")), "items")
     blocks = max(1, -(-items.count() // block))
-    idf = inverse_frequencies(source)
-    share = sample_docs / max(1, source.count())
-    chance = F.pmod(F.xxhash64(F.lit("passage"), "doc_id"), F.lit(1_000_000)) / 1_000_000
-    sample = written(source.where(chance < share).select("text").unionByName(items.select("text")), "passages")
-    fold = latent_space(sample.repartition(spark.sparkContext.defaultParallelism), idf, rank)
+    fold = latent_space(source.select("text").unionByName(items.select("text")), inverse_frequencies(source), rank)
     space = spark.sparkContext.broadcast(fold)
     found = None
     for number in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == number).orderBy("item_id", "text").collect() if blocks > 1 else items.orderBy("item_id", "text").collect()
         held = spark.sparkContext.broadcast(prepare_items([r["item_id"] for r in part], [r["text"] for r in part], fold))
-        hits = source.mapInArrow(_search(space, held, cosine), SCHEMA)
+        hits = source.mapInArrow(_search(space, held), SCHEMA)
         found = hits if found is None else found.unionByName(hits)
     sure = (F.col("lcs_share") >= SHARE) | ((F.col("lcs_share") >= ANSWERED_SHARE) & F.col("answer_found"))
     return found.where(sure).distinct()

@@ -165,3 +165,56 @@ def test_odd_rows(spark, odd, nothing):
     assert left.columns == odd.columns and left.count() == odd.count() - 2
     assert d.find_contamination(nothing, items).count() == 0
     assert d.find_contamination(odd, items.where("item_id > 9")).count() == 0
+
+
+def test_the_space_is_made_from_every_document(spark, monkeypatch):
+    """It came from a sample of 4,000 documents."""
+    seen = []
+    monkeypatch.setattr(d, "latent_space", lambda texts, idf, rank: seen.append(texts.count()) or np.zeros((d.DIMS + 1, 2), np.float32))
+    docs = spark.range(6_000).selectExpr("id AS doc_id", "concat('some words of document ', id) AS text")
+    items = spark.createDataFrame([(1, "an item of the benchmark")], "item_id long, text string")
+    assert d.find_contamination(docs, items).count() == 0
+    assert seen == [6_001]
+
+
+def test_the_product_matches_a_dense_one():
+    class Held:
+        def __init__(self, value):
+            self.value = value
+
+    rng = np.random.default_rng(6)
+    texts = pa.array([None, "", *[" ".join(f"w{int(x)}" for x in rng.zipf(1.4, n) % 90) for n in (1, 31, 32, 33, 700, 2000)]], pa.string())
+    idf, q = rng.random(d.DIMS) + 0.1, rng.standard_normal((d.DIMS, 3))
+    rows = []
+    for part in batch_words(texts):
+        for t in range(len(part.bounds) - 1):
+            own = d._dims(part.hashes[part.bounds[t]:part.bounds[t + 1]])
+            rows += [np.bincount(own[at:at + d.WINDOW], minlength=d.DIMS) * idf for at in range(0, len(own), d.WINDOW)]
+    dense = d._unit(np.array(rows))
+    out, = d._product(Held(idf), Held(q))(iter([pa.record_batch([texts], names=["text"])]))
+    got = np.zeros(q.shape)
+    got[out.column(0).to_numpy()] = np.stack([c.to_numpy() for c in out.columns[1:]], axis=1)
+    assert np.allclose(got, dense.T @ (dense @ q))
+
+
+def test_common_words_match_by_hand():
+    rng = np.random.default_rng(8)
+    for _ in range(60):
+        item = rng.integers(0, 9, rng.integers(1, 12))
+        own = rng.integers(0, 40, rng.integers(1, 200))
+        names, often = np.unique(item, return_counts=True)
+        at = np.flatnonzero(np.isin(own, names))
+        starts = np.arange(0, len(own), d.STRIDE)
+        got = d.common_words(at, np.searchsorted(names, own[at]), often, starts, len(item))
+        want = [sum(w in set(own[max(0, s - len(item)):s + d.WINDOW + len(item)].tolist()) for w in item.tolist()) for s in starts.tolist()]
+        assert got.tolist() == want
+
+
+def test_a_long_text_settles_few_passages(monkeypatch):
+    """Every passage of a text that has enough of an item's words somewhere was settled one by one."""
+    item = [f"i{k}" for k in range(30)]
+    own = [w for k in range(30) for w in (*["the"] * 200, item[k])]
+    items = d.prepare_items([1], [" ".join(["the", *item])], np.zeros((d.DIMS + 1, 2), np.float32))
+    for part in batch_words(pa.array([" ".join([*own, *item, *own])])):
+        found = list(d.held_words(part, d.passages(part)[1], items))
+        assert len(found) == 1 and 0 < len(found[0][2]) < 12
