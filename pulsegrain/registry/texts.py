@@ -214,7 +214,7 @@ FROM part CROSS JOIN (SELECT CAST(unnest(range(3)) AS INTEGER) AS pos)""")
 def _(spark, sf):
     register_table_functions(spark)
     lines = F.concat(F.lit("1. "), "p_name", F.lit(" - "), "p_type", F.lit("\n2. C - "), "p_name", F.lit(" - y\n  "), "p_name")
-    parts = views.table(spark, sf, "part").select("p_partkey", lines.alias("t"))
+    parts = views.texts(spark, sf, "part", "p_partkey", "p_name", "p_type").select("p_partkey", lines.alias("t"))
     return spark.sql("SELECT p.p_partkey, r.pos, r.name, r.reason FROM {parts} p, LATERAL numbered_rows(p.t) r", parts=parts)
 
 

@@ -32,3 +32,8 @@ def test_entry_has_rows(spark):
     import __spark_entry__
 
     assert __spark_entry__.entry(spark).count() > 0
+
+
+def test_numbered_rows_uses_every_core(spark):
+    """A small table of products is one split, so one task worked on all of it."""
+    assert QUERIES["numbered_rows"](spark, FOLDER).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
