@@ -535,3 +535,14 @@ def test_vector_queries_by_name_and_without_a_vector(spark):
     asked = spark.createDataFrame([("a", [2.0, 0.0]), ("b", None)], "query_id string, query array<double>")
     assert [tuple(r) for r in vectors.vector_topk(table, asked, 1, "id").collect()] == [("a", 1, 1.0, 1)]
     assert vectors.vector_topk(table, asked.where("query_id = 'b'"), 1, "id").collect() == []
+
+
+def test_long_rows_make_more_ranges(spark, rows, monkeypatch):
+    """Ranges went by rows alone, so a task read any number of bytes."""
+    df = spark.range(400).selectExpr("id AS k", "repeat('x', 1000) AS t", "array(1.0D, 2.0D) AS v", "named_struct('a', 1) AS m", "CAST(NULL AS string) AS none")
+    monkeypatch.setattr(numbering, "BYTES_PER_RANGE", 50_000)
+    stored = []
+    real = numbering.written
+    monkeypatch.setattr(numbering, "written", lambda d, name: stored.append(d.rdd.getNumPartitions()) or real(d, name))
+    assert rows(numbering.number_rows(df, "k", name="no"), "k", "no") == sorted(((i, i + 1) for i in range(400)), key=repr)
+    assert stored[0] >= 8
