@@ -44,3 +44,19 @@ def test_cosine_by_blocks_keeps_no_pair_table(spark, monkeypatch):
                 expected[i, j] = c
     assert got == pytest.approx(expected, abs=1e-6)
     assert "Aggregate(keys=[a#" not in _plan(found)
+
+
+def test_tfidf_sorts_no_occurrences(spark, monkeypatch):
+    _small_chunks(monkeypatch)
+    docs = [(i, "g" if i % 3 else None if i % 2 else "h", t) for i, (_, t) in enumerate(_texts())]
+    found = terms.tfidf_top_n(spark.createDataFrame(docs, "id long, grp string, t string"), "id", "t", "grp")
+    expected = Counter()
+    for grp in "gh":
+        mine = [Counter(t.split()) for _, g, t in docs if g == grp]
+        df = Counter(w for d in mine for w in d)
+        for d in mine:
+            weight = {w: c * (math.log((1 + len(mine)) / (1 + df[w])) + 1) for w, c in d.items()}
+            for w, v in weight.items():
+                expected[grp, w] += v / math.sqrt(sum(x * x for x in weight.values()))
+    assert {(r.grp, r.term): r.score for r in found.collect()} == pytest.approx(dict(expected), abs=1e-6)
+    assert "windowspecdefinition(id#" not in _plan(found)
