@@ -60,3 +60,19 @@ def test_tfidf_sorts_no_occurrences(spark, monkeypatch):
                 expected[grp, w] += v / math.sqrt(sum(x * x for x in weight.values()))
     assert {(r.grp, r.term): r.score for r in found.collect()} == pytest.approx(dict(expected), abs=1e-6)
     assert "windowspecdefinition(id#" not in _plan(found)
+
+
+def test_classes_without_a_row_per_token(spark, monkeypatch):
+    _small_chunks(monkeypatch)
+    taught = spark.createDataFrame([(1, "aa aa bb", "x"), (2, "bb cc", "y"), (3, "cc cc dd", "z")], "id long, t string, y string")
+    model = models.bayes_model(taught, "id", "t", "y")
+    asked = _texts() + [(90, "unknown"), (91, None), (None, "cc cc")]
+    found = models.bayes_classify(spark.createDataFrame(asked, "id long, t string"), "id", "t", *model)
+    seen = {"x": Counter(aa=2, bb=1), "y": Counter(bb=1, cc=1), "z": Counter(cc=2, dd=1)}
+    expected = {}
+    for i, words in _merged([(i, t or "") for i, t in asked]).items():
+        known = [w for w in words.elements() if w in ("aa", "bb", "cc", "dd")]
+        scores = {c: math.log(1 / 3) + sum(math.log((n[w] + 1) / (sum(n.values()) + 4)) for w in known) for c, n in seen.items()}
+        expected[i] = min(scores, key=lambda c: (-round(scores[c], 6), c))
+    assert {r.id: r.predicted for r in found.collect()} == expected
+    assert "explode(regexp_extract_all" not in _plan(found)
