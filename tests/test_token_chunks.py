@@ -76,3 +76,19 @@ def test_classes_without_a_row_per_token(spark, monkeypatch):
         expected[i] = min(scores, key=lambda c: (-round(scores[c], 6), c))
     assert {r.id: r.predicted for r in found.collect()} == expected
     assert "explode(regexp_extract_all" not in _plan(found)
+
+
+def test_sentiment_without_a_row_per_token(spark, monkeypatch):
+    _small_chunks(monkeypatch)
+    lexicon = spark.createDataFrame([("aa", 5, 1), ("bb", -3, 1), ("cc", 2, 1)], "term string, units long, n long")
+    asked = [(i, t) for i, (_, t) in enumerate(_texts())] + [(90, "dd"), (91, None)]
+    found = models.weighted_sentiment(spark.createDataFrame(asked, "id long, t string"), "id", "t", lexicon, ["ee", "ff"])
+    units = {"aa": 5, "bb": -3, "cc": 2}
+    expected = {}
+    for i, t in asked:
+        words = (t or "").split()
+        sums = [units.get(w, 0) * (-1 if {"ee", "ff"} & set(words[max(p - 2, 0):p]) else 1) for p, w in enumerate(words)]
+        s, w = sum(sums), sum(map(abs, sums))
+        expected[i] = ("1" if s > 0 else "0" if s < 0 else None, round(abs(s) / w, 6) if w else None)
+    assert {r.id: (r.label, r.score) for r in found.collect()} == expected
+    assert "posexplode(" not in _plan(found)
