@@ -92,3 +92,13 @@ def test_sentiment_without_a_row_per_token(spark, monkeypatch):
         expected[i] = ("1" if s > 0 else "0" if s < 0 else None, round(abs(s) / w, 6) if w else None)
     assert {r.id: (r.label, r.score) for r in found.collect()} == expected
     assert "posexplode(" not in _plan(found)
+
+
+def test_nouns_without_a_row_per_token(spark, monkeypatch):
+    _small_chunks(monkeypatch)
+    stems = spark.createDataFrame([("aa", "a", 1), ("bb", "bb", 1), ("cc", "c", 1), ("dd", "dd", 1), ("ee", "ee", 1), ("ff", "bb", 1)], "token string, stem string, n long")
+    asked = [(i, t) for i, (_, t) in enumerate(_texts())] + [(91, None)]
+    found = terms.stemmed_nouns(spark.createDataFrame(asked, "id long, t string"), "id", "t", stems, ["bb"])
+    stem = {"aa": "a", "cc": "c", "dd": "dd", "ee": "ee"}
+    assert {r.id: r.nouns for r in found.collect()} == {i: " ".join(stem[w] for w in (t or "").split() if w in stem) for i, t in asked}
+    assert "posexplode" not in _plan(found)
