@@ -141,3 +141,18 @@ def test_links(apply):
 def test_ratio_without_whole(spark):
     df = spark.createDataFrame([(1, 0), (1, 3)], "a int, b int")
     assert [r[0] for r in df.select(values.safe_ratio(F.col("a"), F.col("b"), 2, 100)).collect()] == [0.0, 33.33]
+
+
+def test_cleaning_skips_regexes_that_cannot_match(spark):
+    said = ["plain words", "at 3:45 or 12:30", "see HTTP://a.b now", "WWW.a.com", "갤럭시s24 프로맥스 se", "ratio 1:2", "", None]
+    df = spark.createDataFrame(list(enumerate(said)), "id int, t string")
+    clock, urls = F.regexp_replace("t", r"(?U)\b\d{1,2}:\d{2}\b", ""), F.regexp_replace("t", r"(?iU)(https?://|www\.)\S+|https\S+|http\S+", "")
+    found = df.select(text.strip_clock_times(F.col("t")).alias("clock"), text.strip_urls(F.col("t")).alias("urls"))
+    assert found.collect() == df.select(clock.alias("clock"), urls.alias("urls")).collect()
+    each = F.lower("t")
+    for pattern, name in lexicons.ENTITY_RULES:
+        each = F.regexp_replace(each, rf"(?U)\b{pattern}", name)
+    rules = text._all_replaced(F.lower("t"), lexicons.ENTITY_RULES)
+    assert df.select(rules).collect() == df.select(each).collect()
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("contains(") >= 3
