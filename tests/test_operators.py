@@ -546,3 +546,14 @@ def test_long_rows_make_more_ranges(spark, rows, monkeypatch):
     monkeypatch.setattr(numbering, "written", lambda d, name: stored.append(d.rdd.getNumPartitions()) or real(d, name))
     assert rows(numbering.number_rows(df, "k", name="no"), "k", "no") == sorted(((i, i + 1) for i in range(400)), key=repr)
     assert stored[0] >= 8
+
+
+def test_small_keyword_index_shuffles_no_text(spark, rows, monkeypatch):
+    texts = spark.createDataFrame([(i, f"text {i % 7} of {i}") for i in range(60)], "id long, t string")
+    words = spark.createDataFrame([("text 3",), ("of 1",), ("5",), ("zz",)], "keyword string")
+    found = match.match_keyword_table(texts, words, "t", also="all")
+    assert "hashpartitioning(_run" not in found._jdf.queryExecution().executedPlan().toString()
+    got = rows(found, "id", "keyword")
+    assert got == sorted([(i, k) for i in range(60) for k in ("text 3", "of 1", "5") if k in f"text {i % 7} of {i}"] + [(i, "all") for i in range(60)], key=repr)
+    monkeypatch.setattr(match, "BROADCAST_BYTES", 0)
+    assert rows(match.match_keyword_table(texts, words, "t", also="all"), "id", "keyword") == got
