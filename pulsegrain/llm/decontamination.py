@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from pulsegrain.llm.batches import bound_batches
 from pulsegrain.llm.bitmaps import row_key, without_rows
-from pulsegrain.llm.words import Words, batch_words
+from pulsegrain.llm.words import Words, batch_words, text_bytes
 from pulsegrain.session import written
 
 BITS = 14
@@ -54,9 +54,13 @@ SHARE = 0.7
 ANSWERED_SHARE = 0.55
 ANSWER_FOUND = 0.8
 BLOCK = 10_000
+MARKED = 64  # texts whose words are marked at once
+STORED = 64  # passages of a stored row
 GATHER = 256  # half windows whose words' vectors are held at once
-PASSAGES = 1024  # passages that are multiplied at once
-OFTEN = 16  # words of a dimension, among those passages, above which a matrix product adds them up
+ADDED = 1024  # sums of rows held at once
+PASSAGES = 16384  # passages that are multiplied at once
+DENSE = 1024  # of them, those in one matrix product
+OFTEN = 32  # passages for each word that a dimension has among them, up to which a matrix product adds its words up
 COSINES = 1 << 21  # cosines held at once
 COUNTS = 1 << 18  # counts of common words held at once
 SCHEMA = "doc_id long, item_id long, cosine double, lcs_share double, answer_share double, answer_found boolean"
@@ -73,10 +77,14 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batch_words(batch.column(0)):
             n = np.diff(part.bounds)
             docs += int(np.count_nonzero(n))
-            keys = np.sort((np.repeat(np.arange(len(n)), n) << BITS | _dims(part.hashes)).astype(np.uint64 if len(n) >> BITS else np.uint32))
-            new = np.ones(len(keys), bool)
-            new[1:] = keys[1:] != keys[:-1]
-            total += np.bincount(keys[new] & (DIMS - 1), minlength=DIMS)
+            dims = _dims(part.hashes)
+            some = np.flatnonzero(n)
+            for first in range(0, len(some), MARKED):
+                own = some[first:first + MARKED]
+                held = np.zeros((len(own), DIMS), bool)
+                low, high = part.bounds[own[0]], part.bounds[own[-1] + 1]
+                held[np.repeat(np.arange(len(own)), n[own]), dims[low:high]] = True
+                total += np.count_nonzero(held, axis=0)
     some = np.flatnonzero(total)
     yield pa.record_batch([pa.array(np.append(some, -1)), pa.array(np.append(total[some], docs))], names=["dim", "n"])
 
@@ -155,6 +163,26 @@ def _passage_dims(words: Words) -> np.ndarray:
     return np.sort(dims[np.where(places < ends[:, None], places, len(dims) - 1)], axis=1)
 
 
+def _store_passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of ``_passage_dims`` as bytes, STORED of them in a row."""
+    for batch in batches:
+        for words in batch_words(batch.column(0)):
+            if len(words.hashes):
+                rows = _passage_dims(words)
+                offsets = np.append(np.arange(0, len(rows), STORED), len(rows)).astype(np.int32) * rows[0].nbytes
+                yield pa.record_batch([pa.BinaryArray.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(rows)])],
+                                      names=["passages"])
+
+
+def _passage_rows(column: pa.Array) -> Iterator[np.ndarray]:
+    """The rows of ``_passage_dims`` for texts, or as ``_store_passages`` stored them."""
+    if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type):
+        data, offsets = text_bytes(column)
+        yield data[offsets[0]:offsets[-1]].view(np.uint16).reshape(-1, WINDOW)
+    else:
+        yield from (_passage_dims(words) for words in batch_words(column) if len(words.hashes))
+
+
 def _lengths(rows: np.ndarray, idf: np.ndarray) -> np.ndarray:
     """The length of each passage's TF-IDF vector."""
     new = np.ones(rows.shape, bool)
@@ -164,35 +192,58 @@ def _lengths(rows: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return np.sqrt(np.bincount(heads // WINDOW, value ** 2))
 
 
+def _add_rows(out: np.ndarray, into: np.ndarray, counts: np.ndarray, table: np.ndarray, at: np.ndarray) -> None:
+    """Adds to row ``into[i]`` of ``out`` the next ``counts[i]`` rows of the table that ``at`` names.
+
+    The first of every run are added at once, then the second, and so on, so a
+    row for each run is all that is held.
+    """
+    heads = np.cumsum(counts) - counts
+    order = np.argsort(-counts, kind="stable")
+    heads, falling, into = heads[order], -counts[order], into[order]
+    held = np.empty((min(len(order), ADDED), table.shape[1]), table.dtype)
+    for low in range(0, len(order), ADDED):
+        here = slice(low, low + ADDED)
+        sums = table[at[heads[here]]]
+        for place in range(1, -int(falling[low])):
+            some = int(np.searchsorted(falling[here], -place, "left"))
+            np.take(table, at[heads[low:low + some] + place], axis=0, out=held[:some], mode="clip")
+            sums[:some] += held[:some]
+        out[into[here]] += sums
+
+
 def _add_product(rows: np.ndarray, scale: np.ndarray, table: np.ndarray, total: np.ndarray) -> None:
     """Adds C'(S^2 (C T)) to ``total``, C being the word counts of the passages and S their scale.
 
-    A word's row of the table is added place by place, so a passage's sum is all
-    that is held. On the way back, dimensions with more than OFTEN words meet
-    the passages in a matrix product, the others word by word.
+    Dimensions with many words among the passages meet them in a matrix product
+    on both ways, the words of the others are added one by one.
     """
-    held = table[rows[:, 0]]
-    for place in range(1, WINDOW):
-        held += table[rows[:, place]]
-    held *= scale[:, None] ** 2
+    n = len(rows)
     flat = rows.ravel()
     order = np.argsort(flat, kind="stable")
-    heads = np.flatnonzero(np.append(True, flat[order][1:] != flat[order][:-1]))
-    dims, counts, owner = flat[order[heads]], np.diff(np.append(heads, len(flat))), order // WINDOW
-    real = dims < DIMS
-    many = np.flatnonzero(real & (counts > OFTEN))
-    if len(many):
-        of_many = np.repeat(np.arange(len(many)), counts[many])
-        at = np.concatenate([owner[heads[m]:heads[m] + counts[m]] for m in many])
-        dense = np.bincount(of_many * len(rows) + at, minlength=len(many) * len(rows)).reshape(len(many), -1).astype(table.dtype)
-        total[dims[many]] += dense @ held
-    few = np.flatnonzero(real & (counts <= OFTEN))
-    few = few[np.argsort(-counts[few], kind="stable")]
-    sums = np.zeros((len(few), table.shape[1]), table.dtype)
-    for place in range(int(counts[few].max(initial=0))):
-        some = few[:int(np.searchsorted(-counts[few], -place, "left"))]
-        sums[:len(some)] += held[owner[heads[some] + place]]
-    total[dims[few]] += sums
+    counts = np.bincount(flat, minlength=DIMS + 1)[:DIMS]
+    many = np.flatnonzero(counts * OFTEN > n)
+    column = np.full(DIMS + 1, -1, np.int32)
+    column[many] = np.arange(len(many))
+    column[DIMS] = len(many)
+    where = column[rows]
+    often = where >= 0
+    dense = np.empty((n, len(many)), np.uint8)
+    held = np.empty((n, table.shape[1]), table.dtype)
+    for low in range(0, n, DENSE):
+        some = often[low:low + DENSE]
+        cells = (np.arange(len(some))[:, None] * (len(many) + 1) + where[low:low + DENSE])[some]
+        dense[low:low + DENSE] = np.bincount(cells, minlength=len(some) * (len(many) + 1)).reshape(len(some), -1)[:, :-1]
+        held[low:low + DENSE] = dense[low:low + DENSE].astype(table.dtype) @ table[many]
+    alone = rows.shape[1] - np.count_nonzero(often, axis=1)
+    often = often.ravel()
+    some = np.flatnonzero(alone)
+    _add_rows(held, some, alone[some], table, flat[~often])
+    held *= scale[:, None] ** 2
+    for low in range(0, n, DENSE):
+        total[many] += dense[low:low + DENSE].T.astype(table.dtype) @ held[low:low + DENSE]
+    few = np.flatnonzero((counts > 0) & (column[:-1] < 0))
+    _add_rows(total, few, counts[few], held, (order // rows.shape[1])[~often[order]])
 
 
 def _product(weights: Broadcast, basis: Broadcast):
@@ -202,14 +253,19 @@ def _product(weights: Broadcast, basis: Broadcast):
         idf, q = np.append(weights.value, 0.0), basis.value
         table = np.vstack([q * idf[:-1, None].astype(q.dtype), np.zeros((1, q.shape[1]), q.dtype)])
         total = np.zeros(q.shape)
+        waiting: list[np.ndarray] = []
+
+        def add(least: int) -> None:
+            while sum(map(len, waiting)) >= least:
+                rows = np.concatenate(waiting)
+                _add_product(rows[:PASSAGES], (1 / _lengths(rows[:PASSAGES], idf)).astype(q.dtype), table, total)
+                waiting[:] = [rows[PASSAGES:]]
+
         for batch in batches:
-            for words in batch_words(batch.column(0)):
-                if not len(words.hashes):
-                    continue
-                rows = _passage_dims(words)
-                scale = (1 / _lengths(rows, idf)).astype(q.dtype)
-                for first in range(0, len(rows), PASSAGES):
-                    _add_product(rows[first:first + PASSAGES], scale[first:first + PASSAGES], table, total)
+            for rows in _passage_rows(batch.column(0)):
+                waiting.append(rows)
+                add(PASSAGES)
+        add(1)
         total *= idf[:-1, None]
         some = np.flatnonzero(total.any(axis=1))
         yield pa.record_batch([pa.array(some), *[pa.array(total[some, i]) for i in range(q.shape[1])]],
@@ -218,16 +274,17 @@ def _product(weights: Broadcast, basis: Broadcast):
     return run
 
 
-def _times(texts: DataFrame, weights: Broadcast, q: np.ndarray) -> np.ndarray:
+def _times(passages: DataFrame, weights: Broadcast, q: np.ndarray) -> np.ndarray:
     """A'A Q by one Spark job; its result has DIMS x l numbers at most."""
-    spark, width = texts.sparkSession, q.shape[1]
+    spark, width = passages.sparkSession, q.shape[1]
     basis = spark.sparkContext.broadcast(q.astype(np.float32))
     columns = [f"y{i}" for i in range(width)]
-    rows = texts.mapInArrow(_product(weights, basis), "dim long, " + ", ".join(f"{c} double" for c in columns))
+    rows = passages.mapInArrow(_product(weights, basis), "dim long, " + ", ".join(f"{c} double" for c in columns))
     found = rows.groupBy("dim").agg(*[F.sum(c).alias(c) for c in columns]).toArrow()
     out = np.zeros(q.shape)
-    if found.num_rows:
-        out[found.column("dim").to_numpy()] = np.stack([found.column(c).to_numpy() for c in columns], axis=1)
+    dims = found.column("dim").to_numpy()
+    for i, c in enumerate(columns):
+        out[dims, i] = found.column(c).to_numpy()
     basis.destroy()
     return out
 
@@ -236,16 +293,19 @@ def latent_space(texts: DataFrame, idf: np.ndarray, rank: int = RANK, seed: int
     """The table that folds a passage's word counts into the latent space: a row for each dimension, and a zero row.
 
     Randomised subspace iteration on A'A. The columns are right singular
-    vectors over their singular values, times the words' weights.
+    vectors over their singular values, times the words' weights. The texts are
+    read once, and their passages stored.
     """
     spark = texts.sparkSession
     splits = texts.rdd.getNumPartitions()
-    texts = texts.coalesce(min(splits, max(spark.sparkContext.defaultParallelism, -(-splits // SPLITS_A_TASK))))
+    held = written(texts.mapInArrow(_store_passages, "passages binary"), "passages")
+    held = held.coalesce(min(splits, max(spark.sparkContext.defaultParallelism, -(-splits // SPLITS_A_TASK))))
     weights = spark.sparkContext.broadcast(idf)
     q = np.linalg.qr(np.random.default_rng(seed).standard_normal((DIMS, rank + EXTRA)))[0]
     for _ in range(POWER_STEPS):
-        q = np.linalg.qr(_times(texts, weights, q))[0]
-    values, turn = np.linalg.eigh(q.T @ _times(texts, weights, q))
+        q = _times(held, weights, q)
+        q = np.linalg.qr(q)[0]
+    values, turn = np.linalg.eigh(q.T @ _times(held, weights, q))
     weights.destroy()
     values, turn = values[::-1][:rank], turn[:, ::-1][:, :rank]
     keep = values > 1e-6 * max(values[0], 1e-12)
@@ -276,8 +336,9 @@ class Items:
     vectors: np.ndarray
     owner: np.ndarray
     vocabulary: np.ndarray  # the distinct words of all items, sorted
-    places: list[np.ndarray]  # each item's distinct words, as places of the vocabulary
-    often: list[np.ndarray]  # how often the item has each of them
+    begun: np.ndarray  # item i has the distinct words places[begun[i]:begun[i + 1]] of the vocabulary, as often as often tells
+    places: np.ndarray
+    often: np.ndarray
     first: np.ndarray  # word i stands in holders[first[i]:first[i + 1]], as often as times tells
     holders: np.ndarray
     times: np.ndarray
@@ -292,7 +353,7 @@ def answer_of(text: str) -> str:
 
 def prepare_items(ids: list, texts: list[str | None], fold: np.ndarray) -> Items:
     none = np.empty(0, np.int64)
-    items = Items([], [], [], np.empty((0, fold.shape[1]), np.float32), none, np.empty(0, np.uint64), [], [], np.zeros(1, np.int64), none, none, none)
+    items = Items([], [], [], np.empty((0, fold.shape[1]), np.float32), none, np.empty(0, np.uint64), np.zeros(1, np.int64), none, none, np.zeros(1, np.int64), none, none, none)
     vectors, owner = [], []
     answers = [a for part in batch_words(pa.array([answer_of(t or "") for t in texts], pa.string()))
                for a in np.split(part.hashes, part.bounds[1:-1])]
@@ -315,13 +376,27 @@ def prepare_items(ids: list, texts: list[str | None], fold: np.ndarray) -> Items
         pair, items.times = np.unique(word * len(sizes) + np.repeat(np.arange(len(sizes)), sizes), return_counts=True)
         items.holders = pair % len(sizes)
         items.first = np.searchsorted(pair // len(sizes), np.arange(len(items.vocabulary) + 1))
-        for own in np.split(word, np.cumsum(sizes)[:-1]):
-            distinct, often = np.unique(own, return_counts=True)
-            items.places.append(distinct)
-            items.often.append(often)
+        by_item = np.lexsort((pair // len(sizes), items.holders))
+        items.places, items.often = (pair // len(sizes))[by_item], items.times[by_item]
+        items.begun = np.searchsorted(items.holders[by_item], np.arange(len(sizes) + 1))
     return items
 
 
+def _ranges(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers from each first one on, as many as its size tells."""
+    ends = np.cumsum(sizes)
+    return np.repeat(first - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def _split(sizes: np.ndarray, most: int) -> Iterator[slice]:
+    """Runs of neighbours whose sizes add up to ``most`` at most, one at least."""
+    ends, low = np.cumsum(sizes), 0
+    while low < len(sizes):
+        high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + most, "right")))
+        yield slice(low, high)
+        low = high
+
+
 def held_words(words: Words, windows: Passages, items: Items) -> Iterator[tuple[int, int, list[int]]]:
     """Text, item and passage starts wherever the words around hold enough of the item's words for the lowest share."""
     if not len(items.vocabulary) or not len(words.hashes):
@@ -334,54 +409,82 @@ def held_words(words: Words, windows: Passages, items: Items) -> Iterator[tuple[
     same = items.vocabulary[word] == words.hashes[at]
     at, word = at[same], word[same]
     text = np.searchsorted(words.bounds, at, "right") - 1
-    hits = np.searchsorted(text, np.arange(len(words.bounds)))
-    begun = np.searchsorted(windows.text, np.arange(len(words.bounds)))
-    pair = np.unique(text * len(items.vocabulary) + word)
+    # The places of each word of each text, one after the other.
+    key = text * len(items.vocabulary) + word
+    order = np.argsort(key, kind="stable")
+    key, places = key[order], (at - words.bounds[text])[order]
+    begun = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.empty(0, np.int64)
+    pair, ends = key[begun], np.append(begun[1:], len(key))
     pair_text, pair_word = pair // len(items.vocabulary), pair % len(items.vocabulary)
     n, texts = len(items.ids), len(words.bounds) - 1
-    inside = np.zeros(len(items.vocabulary), bool)
+    n_windows = np.bincount(windows.text, minlength=texts)
+    length = np.array([len(w) for w in items.words])
+    holders = items.first[pair_word + 1] - items.first[pair_word]
     step = max(1, COUNTS // n)
     for low in range(0, texts, step):
         high = min(texts, low + step)
         begin, end = np.searchsorted(pair_text, (low, high))
         counts = np.zeros((high - low) * n, np.int64)
-        sizes = items.first[pair_word[begin:end] + 1] - items.first[pair_word[begin:end]]
-        cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // COUNTS)) + 1
-        for some in np.split(np.arange(end - begin), cuts):
-            own = np.repeat(some, sizes[some])
-            ends = np.cumsum(sizes[some])
-            place = items.first[pair_word[begin + own]] + np.arange(len(own)) - np.repeat(ends - sizes[some], sizes[some])
-            key = (pair_text[begin + own] - low) * n + items.holders[place]
-            counts += np.bincount(key, items.times[place], len(counts)).astype(np.int64)
-        for t, item in np.argwhere(counts.reshape(-1, n) >= items.need):
-            t = int(t) + low
-            inside[items.places[item]] = True
-            here = slice(hits[t], hits[t + 1])
-            own = np.flatnonzero(inside[word[here]]) + hits[t]
-            inside[items.places[item]] = False
-            starts = windows.start[begun[t]:begun[t + 1]]
-            around = common_words(at[own] - words.bounds[t], np.searchsorted(items.places[item], word[own]), items.often[item], starts, len(items.words[item]))
-            enough = around >= items.need[item]
-            if enough.any():
-                yield t, int(item), starts[enough].tolist()
+        for part in _split(holders[begin:end], COUNTS):
+            some = np.arange(begin + part.start, begin + part.stop)
+            place = _ranges(items.first[pair_word[some]], holders[some])
+            here = np.repeat((pair_text[some] - low) * n, holders[some]) + items.holders[place]
+            counts += np.bincount(here, items.times[place], len(counts)).astype(np.int64)
+        of_text, of_item = np.nonzero(counts.reshape(-1, n) >= items.need)
+        of_text += low
+        # Every distinct word of the item that the text has.
+        sizes = items.begun[of_item + 1] - items.begun[of_item]
+        for part in _split(sizes, COUNTS):
+            wanted = _ranges(items.begun[of_item[part]], sizes[part])
+            owner = np.repeat(np.arange(part.start, part.stop), sizes[part])
+            asked = of_text[owner] * len(items.vocabulary) + items.places[wanted]
+            found = np.searchsorted(pair, asked)
+            found[found == len(pair)] = 0
+            has = pair[found] == asked
+            found, owner, often = found[has], owner[has], items.often[wanted[has]]
+            size = ends[found] - begun[found]
+            of_pair = np.searchsorted(owner, np.arange(part.start, part.stop + 1))
+            whole = np.concatenate([[0], np.cumsum(size)])[of_pair]
+            for run in _split(np.diff(whole) + n_windows[of_text[part]], COUNTS):
+                here = slice(of_pair[run.start], of_pair[run.stop])
+                pairs = slice(part.start + run.start, part.start + run.stop)
+                around = words_around(places[_ranges(begun[found[here]], size[here])], size[here], owner[here] - pairs.start, often[here],
+                                      n_windows[of_text[pairs]], length[of_item[pairs]])
+                window = np.cumsum(n_windows[of_text[pairs]] + 1) - n_windows[of_text[pairs]] - 1
+                least = np.repeat(items.need[of_item[pairs]], n_windows[of_text[pairs]] + 1)
+                enough = np.flatnonzero(around >= least)
+                whose = np.searchsorted(window, enough, "right") - 1
+                cuts = np.flatnonzero(whose[1:] != whose[:-1]) + 1
+                for starts, one in zip(np.split((enough - window[whose]) * STRIDE, cuts), whose[np.append(0, cuts)] if len(whose) else ()):
+                    yield int(of_text[pairs][one]), int(of_item[pairs][one]), starts.tolist()
+
+
+def words_around(places: np.ndarray, sizes: np.ndarray, owner: np.ndarray, often: np.ndarray, windows: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """How many of an item's words stand in the region of each passage, which reaches ``length`` words beyond it, for pairs of a text and an item.
+
+    Pair i has ``windows[i]`` passages and gets one number more, which is 0. A
+    word of pair ``owner[j]`` has the next ``sizes[j]`` of ``places`` in the
+    text, in order; it counts as ``often[j]`` wherever the region has it at all.
+    """
+    pair = np.repeat(owner, sizes)
+    first = np.clip((places - WINDOW - length[pair]) // STRIDE + 1, 0, windows[pair])
+    last = np.clip((places + length[pair]) // STRIDE + 1, 0, windows[pair])
+    # The regions that a word's place before has reached already do not count it again.
+    same = np.ones(len(places), bool)
+    same[np.cumsum(sizes) - sizes] = False
+    same = np.flatnonzero(same)
+    first[same] = np.maximum(first[same], last[same - 1])
+    weight = np.where(last > first, np.repeat(often, sizes), 0)
+    begun = np.cumsum(windows + 1) - windows - 1
+    n = int(np.sum(windows + 1))
+    return np.cumsum(np.bincount(begun[pair] + first, weight, n) - np.bincount(begun[pair] + last, weight, n))
 
 
 def common_words(places: np.ndarray, word: np.ndarray, often: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
-    """How many of an item's words stand in the region of each passage, which reaches ``length`` words beyond it.
-
-    ``places`` are where the text has words of the item, in order, and ``word``
-    which ones; a word of the item counts as ``often`` as the item has it,
-    wherever the region has it at all.
-    """
+    """``words_around`` for one pair: ``places`` are where the text has words of the item, in order, and ``word`` which ones."""
     order = np.argsort(word, kind="stable")
-    places, word = places[order], word[order]
-    first = np.searchsorted(starts, places - WINDOW - length, "right")
-    last = np.searchsorted(starts, places + length, "right")
-    # The regions that a word's place before has reached already do not count it again.
-    same = np.flatnonzero(word[1:] == word[:-1]) + 1
-    first[same] = np.maximum(first[same], last[same - 1])
-    weight = np.where(last > first, often[word], 0)
-    return np.cumsum(np.bincount(first, weight, len(starts) + 1) - np.bincount(last, weight, len(starts) + 1))[:-1]
+    distinct, sizes = np.unique(word, return_counts=True)
+    return words_around(places[order], sizes, np.zeros(len(distinct), np.int64), often[distinct], np.array([len(starts)]), np.array([length]))[:-1]
 
 
 def nearest_cosines(vectors: np.ndarray, windows: Passages, items: Items, texts: int) -> np.ndarray:
@@ -389,13 +492,23 @@ def nearest_cosines(vectors: np.ndarray, windows: Passages, items: Items, texts:
     best = np.full((texts, len(items.ids)), -1, np.float32)
     if not len(items.vectors):
         return best
-    of_item = np.flatnonzero(np.append(True, items.owner[1:] != items.owner[:-1]))
+    # The items' first windows, then the second ones of those that have two, and so on; the items with the most come first.
+    counts = np.bincount(items.owner, minlength=len(items.ids))
+    order = np.argsort(-counts, kind="stable")
+    heads = np.cumsum(counts) - counts
+    rounds = [heads[order[counts[order] > k]] + k for k in range(int(counts.max()))]
+    columns = items.vectors[np.concatenate(rounds)].T
+    place = np.argsort(order)
     step = max(1, COSINES // len(items.vectors))
     for at in range(0, len(vectors), step):
-        near = np.maximum.reduceat(vectors[at:at + step] @ items.vectors.T, of_item, axis=1)
+        cosines = vectors[at:at + step] @ columns
+        near, first = cosines[:, :len(order)], len(order)
+        for more in rounds[1:]:
+            np.maximum(near[:, :len(more)], cosines[:, first:first + len(more)], out=near[:, :len(more)])
+            first += len(more)
         text = windows.text[at:at + step]
         begun = np.flatnonzero(np.append(True, text[1:] != text[:-1]))
-        best[text[begun]] = np.maximum(best[text[begun]], np.maximum.reduceat(near, begun, axis=0))
+        best[text[begun]] = np.maximum(best[text[begun]], np.maximum.reduceat(near, begun, axis=0)[:, place])
     return best
 
 
@@ -427,8 +540,10 @@ def _settle(own: np.ndarray, item: list[int], answer: list[int], starts: list[in
     """
     share = answered = 0.0
     last = len(own)
+    # Other words are in no common subsequence.
+    words = set(item) | set(answer)
     for start in sorted(set(starts)):
-        region = own[max(0, start - len(item)):min(last, start + WINDOW + len(item))].tolist()
+        region = [w for w in own[max(0, start - len(item)):min(last, start + WINDOW + len(item))].tolist() if w in words]
         known = set(region)
         most = sum(w in known for w in item) / len(item)
         if most < ANSWERED_SHARE or (most <= share and (answered >= 1 or not answer)):

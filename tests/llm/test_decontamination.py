@@ -218,3 +218,52 @@ def test_a_long_text_settles_few_passages(monkeypatch):
     for part in batch_words(pa.array([" ".join([*own, *item, *own])])):
         found = list(d.held_words(part, d.passages(part)[1], items))
         assert len(found) == 1 and 0 < len(found[0][2]) < 12
+
+
+def test_stored_passages_give_the_product_of_the_texts():
+    """Each product read and hashed the texts again."""
+    class Held:
+        def __init__(self, value):
+            self.value = value
+
+    rng = np.random.default_rng(9)
+    texts = pa.array([None, "", "...", *[" ".join(f"w{int(x)}" for x in rng.zipf(1.3, n) % 900) for n in (1, 33, 700, 5000)]], pa.string())
+    idf, q = rng.random(d.DIMS) + 0.1, rng.standard_normal((d.DIMS, 3))
+    stored = list(d._store_passages(iter([pa.record_batch([texts], names=["text"])])))
+    whole, = d._product(Held(idf), Held(q))(iter([pa.record_batch([texts], names=["text"])]))
+    again, = d._product(Held(idf), Held(q))(iter([b.slice(i, 1) for b in stored for i in range(b.num_rows)]))
+    assert sum(b.num_rows for b in stored) > 2 and whole.num_rows > 100
+    assert all(np.allclose(a.to_numpy(), b.to_numpy()) for a, b in zip(whole.columns, again.columns))
+
+
+def test_pairs_of_a_slice_are_counted_together(monkeypatch):
+    """Every pair of a text and an item with enough common words was counted by itself."""
+    rng = np.random.default_rng(10)
+    texts = pa.array([" ".join(f"w{x}" for x in rng.integers(0, 60, n)) for n in rng.integers(0, 300, 40)])
+    items = d.prepare_items(list(range(30)), [" ".join(f"w{x}" for x in rng.integers(0, 62, n)) for n in rng.integers(1, 14, 30)], np.zeros((d.DIMS + 1, 2), np.float32))
+    part, = batch_words(texts)
+    windows = d.passages(part)[1]
+    calls, count = [], d.words_around
+    monkeypatch.setattr(d, "words_around", lambda *a: calls.append(1) or count(*a))
+    got = list(d.held_words(part, windows, items))
+    assert len(calls) < 5 and len(got) > 200 and len({(t, i) for t, i, _ in got}) == len(got)
+    for t, i, starts in got:
+        own, item = part.hashes[part.bounds[t]:part.bounds[t + 1]].tolist(), items.words[i]
+        want = [s for s in windows.start[windows.text == t].tolist()
+                if sum(w in own[max(0, s - len(item)):s + d.WINDOW + len(item)] for w in item) >= items.need[i]]
+        assert starts == want
+    monkeypatch.setattr(d, "COUNTS", 7)
+    assert list(d.held_words(part, windows, items)) == got
+
+
+def test_nearest_cosines_match_by_hand():
+    rng = np.random.default_rng(11)
+    items = d.Items(*[None] * 13)
+    items.ids, items.owner = list(range(4)), np.repeat(np.arange(4), [2, 1, 5, 3])
+    items.vectors = d._unit(rng.standard_normal((11, 6)).astype(np.float32))
+    vectors, text = d._unit(rng.standard_normal((9, 6)).astype(np.float32)), np.repeat([0, 2, 3], [4, 1, 4])
+    got = d.nearest_cosines(vectors, d.Passages(text, None, None), items, 5)
+    for t in range(5):
+        for i in range(4):
+            own = vectors[text == t] @ items.vectors[items.owner == i].T
+            assert np.isclose(got[t, i], own.max() if own.size else -1)
