@@ -274,14 +274,27 @@ def _product(weights: Broadcast, basis: Broadcast):
     return run
 
 
-def _times(passages: DataFrame, weights: Broadcast, q: np.ndarray) -> np.ndarray:
-    """A'A Q by one Spark job; its result has DIMS x l numbers at most."""
+def _orthonormal(table: np.ndarray, rows: int = 1024) -> np.ndarray:
+    """An orthonormal basis of the table's columns, in the table's place: blocks of rows first, then what is left of them."""
+    blocks = [slice(at, at + rows) for at in range(0, len(table), rows)]
+    rest = []
+    for block in blocks:
+        table[block], r = np.linalg.qr(table[block])
+        rest.append(r)
+    turns = np.linalg.qr(np.concatenate(rest))[0]
+    for block, turn in zip(blocks, np.split(turns, len(blocks))):
+        table[block] = table[block] @ turn
+    return table
+
+
+def _times(passages: DataFrame, weights: Broadcast, q: np.ndarray, out: np.ndarray) -> np.ndarray:
+    """A'A Q by one Spark job, into ``out``, which may be Q; its result has DIMS x l numbers at most."""
     spark, width = passages.sparkSession, q.shape[1]
     basis = spark.sparkContext.broadcast(q.astype(np.float32))
     columns = [f"y{i}" for i in range(width)]
     rows = passages.mapInArrow(_product(weights, basis), "dim long, " + ", ".join(f"{c} double" for c in columns))
     found = rows.groupBy("dim").agg(*[F.sum(c).alias(c) for c in columns]).toArrow()
-    out = np.zeros(q.shape)
+    out[:] = 0
     dims = found.column("dim").to_numpy()
     for i, c in enumerate(columns):
         out[dims, i] = found.column(c).to_numpy()
@@ -301,11 +314,10 @@ def latent_space(texts: DataFrame, idf: np.ndarray, rank: int = RANK, seed: int
     held = written(texts.mapInArrow(_store_passages, "passages binary"), "passages")
     held = held.coalesce(min(splits, max(spark.sparkContext.defaultParallelism, -(-splits // SPLITS_A_TASK))))
     weights = spark.sparkContext.broadcast(idf)
-    q = np.linalg.qr(np.random.default_rng(seed).standard_normal((DIMS, rank + EXTRA)))[0]
+    q = _orthonormal(np.random.default_rng(seed).standard_normal((DIMS, rank + EXTRA)))
     for _ in range(POWER_STEPS):
-        q = _times(held, weights, q)
-        q = np.linalg.qr(q)[0]
-    values, turn = np.linalg.eigh(q.T @ _times(held, weights, q))
+        q = _orthonormal(_times(held, weights, q, q))
+    values, turn = np.linalg.eigh(q.T @ _times(held, weights, q, np.empty_like(q)))
     weights.destroy()
     values, turn = values[::-1][:rank], turn[:, ::-1][:, :rank]
     keep = values > 1e-6 * max(values[0], 1e-12)

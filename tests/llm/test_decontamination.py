@@ -267,3 +267,15 @@ def test_nearest_cosines_match_by_hand():
         for i in range(4):
             own = vectors[text == t] @ items.vectors[items.owner == i].T
             assert np.isclose(got[t, i], own.max() if own.size else -1)
+
+
+def test_the_basis_is_made_in_place():
+    """A factorisation beside the table took four more tables of the driver's memory."""
+    rng = np.random.default_rng(12)
+    table = rng.standard_normal((5000, 20)) @ rng.standard_normal((20, 20))
+    plain = np.linalg.qr(table)[0]
+    got = d._orthonormal(table)
+    assert got is table and np.allclose(got.T @ got, np.eye(20)) and np.allclose(got @ (got.T @ plain), plain)
+    one = np.zeros((3000, 4))
+    one[5] = 1
+    assert np.allclose(np.abs(d._orthonormal(one)).max(axis=0)[0], 1)
