@@ -4,7 +4,8 @@ Passages are TF-IDF vectors over DIMS hashed words. Document frequencies come
 from all documents. A randomised SVD, done as distributed matrix products over
 the passages of all documents and benchmark items, gives the latent space; the
 driver only sees tables of DIMS x RANK numbers, and a task sends one such table
-for up to SPLITS_A_TASK splits. Every passage of every document is folded in
+for up to SPLITS_A_TASK splits, cut into parts of PART dimensions that tasks
+add up. Every passage of every document is folded in
 and compared with the benchmark items by cosine; the items stand in blocks, so
 one task holds BLOCK items at most. A short or much changed item fills little
 of a passage and may have any cosine, so the cosine is given with a pair and
@@ -47,6 +48,7 @@ DIMS = 1 << BITS
 RANK = 128
 EXTRA = 8
 POWER_STEPS = 2
+PART = 256  # dimensions whose sums are one row of a task's table
 SPLITS_A_TASK = 16  # splits whose passages one task multiplies, as its table of results is as large for one split
 WINDOW, STRIDE = 32, 16
 PHASE = 8  # an item's windows begin every PHASE words, since a document's may begin anywhere in it
@@ -287,17 +289,51 @@ def _orthonormal(table: np.ndarray, rows: int = 1024) -> np.ndarray:
     return table
 
 
-def _times(passages: DataFrame, weights: Broadcast, q: np.ndarray, out: np.ndarray) -> np.ndarray:
-    """A'A Q by one Spark job, into ``out``, which may be Q; its result has DIMS x l numbers at most."""
-    spark, width = passages.sparkSession, q.shape[1]
-    basis = spark.sparkContext.broadcast(q.astype(np.float32))
-    columns = [f"y{i}" for i in range(width)]
-    rows = passages.mapInArrow(_product(weights, basis), "dim long, " + ", ".join(f"{c} double" for c in columns))
-    found = rows.groupBy("dim").agg(*[F.sum(c).alias(c) for c in columns]).toArrow()
+def _in_parts(run):
+    """The tables of ``run``, a column for the dimension and one for each number, as rows of PART dimensions in bytes."""
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in run(batches):
+            dims = batch.column(0).to_numpy()
+            sums = np.stack([c.to_numpy() for c in batch.columns[1:]], axis=1)
+            parts, first = np.unique(dims // PART, return_index=True)
+            rows = list(zip(np.split(dims, first[1:]), np.split(sums, first[1:]))) if len(dims) else []
+            yield pa.record_batch([pa.array(parts, pa.int64()), pa.array([d.tobytes() for d, _ in rows], pa.binary()), pa.array([t.tobytes() for _, t in rows], pa.binary())],
+                                  names=["part", "dims", "sums"])
+
+    return packed
+
+
+def _unpacked(dims: pa.BinaryScalar, sums: pa.BinaryScalar) -> tuple[np.ndarray, np.ndarray]:
+    at = np.frombuffer(dims.as_buffer(), np.int64)
+    return at, np.frombuffer(sums.as_buffer(), np.float64).reshape(len(at), -1)
+
+
+def _add_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sum of all rows of each part; a part's rows are in one task."""
+    totals: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for batch in batches:
+        for part, *row in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+            dims, sums = _unpacked(*row)
+            if part not in totals:
+                totals[part] = np.zeros((PART, sums.shape[1])), np.zeros(PART, bool)
+            total, seen = totals[part]
+            total[dims - part * PART] += sums
+            seen[dims - part * PART] = True
+    for part, (total, seen) in totals.items():
+        some = np.flatnonzero(seen)
+        yield pa.record_batch([pa.array([(some + part * PART).tobytes()], pa.binary()), pa.array([total[some].tobytes()], pa.binary())], names=["dims", "sums"])
+
+
+def _times(passages: DataFrame, weights: Broadcast, q: np.ndarray, out: np.ndarray, product=_product) -> np.ndarray:
+    """A'A Q, or another product, by one Spark job into ``out``, which may be Q; its result has DIMS x l numbers at most."""
+    basis = passages.sparkSession.sparkContext.broadcast(q.astype(np.float32))
+    parts = passages.mapInArrow(_in_parts(product(weights, basis)), "part long, dims binary, sums binary").repartition("part")
+    found = parts.mapInArrow(_add_parts, "dims binary, sums binary").toArrow()
     out[:] = 0
-    dims = found.column("dim").to_numpy()
-    for i, c in enumerate(columns):
-        out[dims, i] = found.column(c).to_numpy()
+    for row in zip(found.column("dims"), found.column("sums")):
+        dims, sums = _unpacked(*row)
+        out[dims] = sums
     basis.destroy()
     return out
 

@@ -50,6 +50,7 @@ POSITIVES = 1_000  # toxic units
 NEGATIVES = 8_000  # units of clean documents
 LANDMARKS = 256
 ROUNDS = 3
+UNITS = 1024  # units that training works on at once
 CUT = 0.7
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -191,8 +192,8 @@ def kernel(left: list[str], right: list[str]) -> np.ndarray:
     place[place == len(codes)] = 0
     known = codes[place] == code_l if len(codes) else np.zeros(len(code_l), bool)
     out = np.zeros((len(left), len(right)))
-    for at in range(0, len(code_l), 20_000):
-        here = slice(at, at + 20_000)
+    for at in range(0, len(code_l), 2_000):
+        here = slice(at, at + 2_000)
         keep = known[here]
         np.add.at(out, row_l[here][keep], w_l[here][keep, None] * dense[place[here][keep]])
     norm = lambda units: length_norm(np.array([len(u) for u in units]))
@@ -210,8 +211,10 @@ def train_units(positive: list[str], negative: list[str], landmarks: int = LANDM
     chosen = chosen + negative[:: max(1, len(negative) // (landmarks - len(chosen)))][: landmarks - len(chosen)]
     values, vectors = np.linalg.eigh(kernel(chosen, chosen))
     root = vectors / np.sqrt(np.maximum(values, 1e-6))
-    features = kernel(positive + negative, chosen) @ root
-    x = np.hstack([features, np.ones((len(features), 1))])
+    units = positive + negative
+    x = np.ones((len(units), len(chosen) + 1))
+    for at in range(0, len(units), UNITS):
+        x[at:at + UNITS, :-1] = kernel(units[at:at + UNITS], chosen) @ root
     y = np.concatenate([np.ones(len(positive)), -np.ones(len(negative))])
     weight = np.where(y > 0, len(y) / (2 * len(positive)), len(y) / (2 * len(negative))) * cost / len(y)
     w = np.zeros(x.shape[1])
@@ -219,8 +222,15 @@ def train_units(positive: list[str], negative: list[str], landmarks: int = LANDM
     ridge[-1, -1] = 1e-9
     for _ in range(50):
         active = y * (x @ w) < 1
-        h = (x[active] * weight[active, None]).T @ x[active] + ridge
-        after = np.linalg.solve(h, (x[active] * weight[active, None]).T @ y[active])
+        h, target = ridge.copy(), np.zeros(len(w))
+        active = np.flatnonzero(active)
+        for at in range(0, len(active), UNITS):
+            some = active[at:at + UNITS]
+            own = x[some]
+            weighted = (own * weight[some, None]).T
+            h += weighted @ own
+            target += weighted @ y[some]
+        after = np.linalg.solve(h, target)
         if np.allclose(after, w, atol=1e-9):
             break
         w = after

@@ -279,3 +279,21 @@ def test_the_basis_is_made_in_place():
     one = np.zeros((3000, 4))
     one[5] = 1
     assert np.allclose(np.abs(d._orthonormal(one)).max(axis=0)[0], 1)
+
+
+def test_the_sums_of_a_product_are_added_in_parts(spark):
+    """Every number of a row was a column of an aggregation of its own, which the driver planned and compiled."""
+    rng = np.random.default_rng(13)
+    texts = [" ".join(f"w{int(x)}" for x in rng.zipf(1.3, 300) % 700) for _ in range(24)]
+    idf, q = rng.random(d.DIMS) + 0.1, rng.standard_normal((d.DIMS, 5))
+    docs = spark.createDataFrame([(t,) for t in [*texts, None, ""]], "text string").repartition(4)
+    weights = spark.sparkContext.broadcast(idf)
+    whole, = d._product(weights, spark.sparkContext.broadcast(q.astype(np.float32)))(iter([pa.record_batch([pa.array(texts)], names=["text"])]))
+    want = np.zeros(q.shape)
+    want[whole.column(0).to_numpy()] = np.stack([c.to_numpy() for c in whole.columns[1:]], axis=1)
+    packed, = d._in_parts(lambda batches: iter([whole]))(iter([]))
+    dims = [np.frombuffer(x.as_buffer(), np.int64) for x in packed.column("dims")]
+    assert np.array_equal(np.concatenate(dims), whole.column(0).to_numpy()) and all(len(set(x // d.PART)) == 1 for x in dims)
+    got = d._times(docs, weights, q, np.empty_like(q))
+    assert np.allclose(got, want, atol=1e-4) and np.count_nonzero(got.any(axis=1)) == whole.num_rows
+    assert not d._times(docs.where("text = ''"), weights, q, q).any()

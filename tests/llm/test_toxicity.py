@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -101,3 +102,15 @@ def test_held_out_documents(spark, rows):
     found = [r for r in got if r.predicted]
     right = sum(truth[r.doc_id] for r in found)
     assert right >= 0.9 * len(found) and right >= 0.75 * sum(truth[r.doc_id] for r in got)
+
+
+def test_training_holds_little_beside_its_features():
+    """Products with all units at once took five times the features of the driver."""
+    rng = np.random.default_rng(3)
+    units = ["".join(chr(97 + c) for c in rng.integers(0, 26, rng.integers(3, 12))) for _ in range(6_000)]
+    toxicity.train_units(units[:50], units[50:100])
+    tracemalloc.start()
+    toxicity.train_units(units[:2_500], units[2_500:])
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 4 * 8 * len(units) * toxicity.LANDMARKS
