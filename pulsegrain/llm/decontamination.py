@@ -56,7 +56,7 @@ SHARE = 0.7
 ANSWERED_SHARE = 0.55
 ANSWER_FOUND = 0.8
 BLOCK = 10_000
-MARKED = 64  # texts whose words are marked at once
+MARKED = 64  # texts whose words are marked at once, 255 at most
 STORED = 64  # passages of a stored row
 GATHER = 256  # half windows whose words' vectors are held at once
 ADDED = 1024  # sums of rows held at once
@@ -64,6 +64,8 @@ PASSAGES = 16384  # passages that are multiplied at once
 DENSE = 1024  # of them, those in one matrix product
 OFTEN = 32  # passages for each word that a dimension has among them, up to which a matrix product adds its words up
 COSINES = 1 << 21  # cosines held at once
+TOGETHER = 6  # neighbouring passages that are settled together first
+RARE = 8  # places in a text up to which a word's own are looked at first
 COUNTS = 1 << 18  # counts of common words held at once
 SCHEMA = "doc_id long, item_id long, cosine double, lcs_share double, answer_share double, answer_found boolean"
 
@@ -83,10 +85,10 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             some = np.flatnonzero(n)
             for first in range(0, len(some), MARKED):
                 own = some[first:first + MARKED]
-                held = np.zeros((len(own), DIMS), bool)
+                held = np.zeros((len(own), DIMS), np.uint8)
                 low, high = part.bounds[own[0]], part.bounds[own[-1] + 1]
-                held[np.repeat(np.arange(len(own)), n[own]), dims[low:high]] = True
-                total += np.count_nonzero(held, axis=0)
+                held.ravel()[np.repeat(np.arange(len(own)) << BITS, n[own]) + dims[low:high]] = 1
+                total += held.sum(axis=0, dtype=np.uint8)
     some = np.flatnonzero(total)
     yield pa.record_batch([pa.array(np.append(some, -1)), pa.array(np.append(total[some], docs))], names=["dim", "n"])
 
@@ -214,17 +216,15 @@ def _add_rows(out: np.ndarray, into: np.ndarray, counts: np.ndarray, table: np.n
         out[into[here]] += sums
 
 
-def _add_product(rows: np.ndarray, scale: np.ndarray, table: np.ndarray, total: np.ndarray) -> None:
-    """Adds C'(S^2 (C T)) to ``total``, C being the word counts of the passages and S their scale.
+def _multiplied(rows: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """C T, C being the word counts of the passages; the dimensions with many words among them, their counts, and which words these are.
 
-    Dimensions with many words among the passages meet them in a matrix product
-    on both ways, the words of the others are added one by one.
+    Dimensions with many words meet the passages in a matrix product, the words
+    of the others are added one by one.
     """
     n = len(rows)
     flat = rows.ravel()
-    order = np.argsort(flat, kind="stable")
-    counts = np.bincount(flat, minlength=DIMS + 1)[:DIMS]
-    many = np.flatnonzero(counts * OFTEN > n)
+    many = np.flatnonzero(np.bincount(flat, minlength=DIMS + 1)[:DIMS] * OFTEN > n)
     column = np.full(DIMS + 1, -1, np.int32)
     column[many] = np.arange(len(many))
     column[DIMS] = len(many)
@@ -238,37 +238,54 @@ def _add_product(rows: np.ndarray, scale: np.ndarray, table: np.ndarray, total:
         dense[low:low + DENSE] = np.bincount(cells, minlength=len(some) * (len(many) + 1)).reshape(len(some), -1)[:, :-1]
         held[low:low + DENSE] = dense[low:low + DENSE].astype(table.dtype) @ table[many]
     alone = rows.shape[1] - np.count_nonzero(often, axis=1)
-    often = often.ravel()
     some = np.flatnonzero(alone)
-    _add_rows(held, some, alone[some], table, flat[~often])
+    _add_rows(held, some, alone[some], table, flat[~often.ravel()])
+    return held, many, dense, often.ravel()
+
+
+def _add_product(rows: np.ndarray, scale: np.ndarray, table: np.ndarray, total: np.ndarray) -> None:
+    """Adds C'(S^2 (C T)) to ``total``, S being the scale of the passages."""
+    held, many, dense, often = _multiplied(rows, table)
     held *= scale[:, None] ** 2
-    for low in range(0, n, DENSE):
+    for low in range(0, len(rows), DENSE):
         total[many] += dense[low:low + DENSE].T.astype(table.dtype) @ held[low:low + DENSE]
-    few = np.flatnonzero((counts > 0) & (column[:-1] < 0))
+    flat = rows.ravel()
+    order = np.argsort(flat, kind="stable")
+    counts = np.bincount(flat[~often], minlength=DIMS)
+    few = np.flatnonzero(counts)
     _add_rows(total, few, counts[few], held, (order // rows.shape[1])[~often[order]])
 
 
-def _product(weights: Broadcast, basis: Broadcast):
-    """A'(A Q) for the passages of a task: the rows of A are unit TF-IDF vectors, Q is DIMS x l."""
+def _add_gram(rows: np.ndarray, scale: np.ndarray, table: np.ndarray, total: np.ndarray) -> None:
+    """Adds (S C T)'(S C T) to ``total``, which takes the way to the passages only."""
+    held = _multiplied(rows, table)[0]
+    held *= scale[:, None]
+    for low in range(0, len(rows), DENSE):
+        total += held[low:low + DENSE].T @ held[low:low + DENSE]
+
+
+def _added(weights: Broadcast, basis: Broadcast, add, dims: int | None):
+    """What ``add`` sums up over the passages of a task; a row for each of ``dims``, or of the basis's columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         idf, q = np.append(weights.value, 0.0), basis.value
         table = np.vstack([q * idf[:-1, None].astype(q.dtype), np.zeros((1, q.shape[1]), q.dtype)])
-        total = np.zeros(q.shape)
+        total = np.zeros((dims or q.shape[1], q.shape[1]))
         waiting: list[np.ndarray] = []
 
-        def add(least: int) -> None:
+        def multiply(least: int) -> None:
             while sum(map(len, waiting)) >= least:
                 rows = np.concatenate(waiting)
-                _add_product(rows[:PASSAGES], (1 / _lengths(rows[:PASSAGES], idf)).astype(q.dtype), table, total)
+                add(rows[:PASSAGES], (1 / _lengths(rows[:PASSAGES], idf)).astype(q.dtype), table, total)
                 waiting[:] = [rows[PASSAGES:]]
 
         for batch in batches:
             for rows in _passage_rows(batch.column(0)):
                 waiting.append(rows)
-                add(PASSAGES)
-        add(1)
-        total *= idf[:-1, None]
+                multiply(PASSAGES)
+        multiply(1)
+        if dims:
+            total *= idf[:-1, None]
         some = np.flatnonzero(total.any(axis=1))
         yield pa.record_batch([pa.array(some), *[pa.array(total[some, i]) for i in range(q.shape[1])]],
                               names=["dim", *[f"y{i}" for i in range(q.shape[1])]])
@@ -276,6 +293,16 @@ def _product(weights: Broadcast, basis: Broadcast):
     return run
 
 
+def _product(weights: Broadcast, basis: Broadcast):
+    """A'(A Q) for the passages of a task: the rows of A are unit TF-IDF vectors, Q is DIMS x l."""
+    return _added(weights, basis, _add_product, DIMS)
+
+
+def _gram(weights: Broadcast, basis: Broadcast):
+    """(A Q)'(A Q) for the passages of a task, l x l."""
+    return _added(weights, basis, _add_gram, None)
+
+
 def _orthonormal(table: np.ndarray, rows: int = 1024) -> np.ndarray:
     """An orthonormal basis of the table's columns, in the table's place: blocks of rows first, then what is left of them."""
     blocks = [slice(at, at + rows) for at in range(0, len(table), rows)]
@@ -353,7 +380,7 @@ def latent_space(texts: DataFrame, idf: np.ndarray, rank: int = RANK, seed: int
     q = _orthonormal(np.random.default_rng(seed).standard_normal((DIMS, rank + EXTRA)))
     for _ in range(POWER_STEPS):
         q = _orthonormal(_times(held, weights, q, q))
-    values, turn = np.linalg.eigh(q.T @ _times(held, weights, q, np.empty_like(q)))
+    values, turn = np.linalg.eigh(_times(held, weights, q, np.empty((q.shape[1], q.shape[1])), _gram))
     weights.destroy()
     values, turn = values[::-1][:rank], turn[:, ::-1][:, :rank]
     keep = values > 1e-6 * max(values[0], 1e-12)
@@ -468,6 +495,17 @@ def held_words(words: Words, windows: Passages, items: Items) -> Iterator[tuple[
     n_windows = np.bincount(windows.text, minlength=texts)
     length = np.array([len(w) for w in items.words])
     holders = items.first[pair_word + 1] - items.first[pair_word]
+    def around(of_text: np.ndarray, of_item: np.ndarray, owner: np.ndarray, found: np.ndarray, often: np.ndarray) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+        """Runs of the pairs, where each one's numbers begin, and the numbers of ``words_around``."""
+        size = ends[found] - begun[found]
+        of_pair = np.searchsorted(owner, np.arange(len(of_text) + 1))
+        whole = np.concatenate([[0], np.cumsum(size)])[of_pair]
+        count = n_windows[of_text]
+        for run in _split(np.diff(whole) + count, COUNTS):
+            here = slice(of_pair[run.start], of_pair[run.stop])
+            yield run, np.cumsum(count[run] + 1) - count[run] - 1, words_around(
+                places[_ranges(begun[found[here]], size[here])], size[here], owner[here] - run.start, often[here], count[run], length[of_item[run]])
+
     step = max(1, COUNTS // n)
     for low in range(0, texts, step):
         high = min(texts, low + step)
@@ -484,27 +522,27 @@ def held_words(words: Words, windows: Passages, items: Items) -> Iterator[tuple[
         sizes = items.begun[of_item + 1] - items.begun[of_item]
         for part in _split(sizes, COUNTS):
             wanted = _ranges(items.begun[of_item[part]], sizes[part])
-            owner = np.repeat(np.arange(part.start, part.stop), sizes[part])
-            asked = of_text[owner] * len(items.vocabulary) + items.places[wanted]
+            owner = np.repeat(np.arange(part.stop - part.start), sizes[part])
+            asked = of_text[part][owner] * len(items.vocabulary) + items.places[wanted]
             found = np.searchsorted(pair, asked)
             found[found == len(pair)] = 0
             has = pair[found] == asked
             found, owner, often = found[has], owner[has], items.often[wanted[has]]
-            size = ends[found] - begun[found]
-            of_pair = np.searchsorted(owner, np.arange(part.start, part.stop + 1))
-            whole = np.concatenate([[0], np.cumsum(size)])[of_pair]
-            for run in _split(np.diff(whole) + n_windows[of_text[part]], COUNTS):
-                here = slice(of_pair[run.start], of_pair[run.stop])
-                pairs = slice(part.start + run.start, part.start + run.stop)
-                around = words_around(places[_ranges(begun[found[here]], size[here])], size[here], owner[here] - pairs.start, often[here],
-                                      n_windows[of_text[pairs]], length[of_item[pairs]])
-                window = np.cumsum(n_windows[of_text[pairs]] + 1) - n_windows[of_text[pairs]] - 1
-                least = np.repeat(items.need[of_item[pairs]], n_windows[of_text[pairs]] + 1)
-                enough = np.flatnonzero(around >= least)
+            # First a word with many places counts as near to every passage: few pairs are left whose places are all looked at.
+            rare = ends[found] - begun[found] <= RARE
+            most = np.bincount(owner[~rare], often[~rare], part.stop - part.start).astype(float)
+            for run, window, counts in around(of_text[part], of_item[part], owner[rare], found[rare], often[rare]):
+                most[run] += np.maximum.reduceat(counts, window)
+            hopeful = most >= items.need[of_item[part]]
+            left = hopeful[owner]
+            text_left, item_left = of_text[part][hopeful], of_item[part][hopeful]
+            for run, window, counts in around(text_left, item_left, (np.cumsum(hopeful) - 1)[owner[left]], found[left], often[left]):
+                least = np.repeat(items.need[item_left[run]], np.diff(np.append(window, len(counts))))
+                enough = np.flatnonzero(counts >= least)
                 whose = np.searchsorted(window, enough, "right") - 1
                 cuts = np.flatnonzero(whose[1:] != whose[:-1]) + 1
                 for starts, one in zip(np.split((enough - window[whose]) * STRIDE, cuts), whose[np.append(0, cuts)] if len(whose) else ()):
-                    yield int(of_text[pairs][one]), int(of_item[pairs][one]), starts.tolist()
+                    yield int(text_left[run][one]), int(item_left[run][one]), starts.tolist()
 
 
 def words_around(places: np.ndarray, sizes: np.ndarray, owner: np.ndarray, often: np.ndarray, windows: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -580,6 +618,19 @@ def _search(space: Broadcast, block: Broadcast):
     return run
 
 
+def _hopeful(own: np.ndarray, item: list[int], starts: list[int]) -> Iterator[int]:
+    """The passages but for runs of TOGETHER neighbours whose words together hold less than ANSWERED_SHARE of the item in its order, as then each does."""
+    words, first = set(item), 0
+    while first < len(starts):
+        run = [s for s in starts[first:first + TOGETHER] if s <= starts[first] + TOGETHER * STRIDE]
+        first += len(run)
+        if len(run) > 1:
+            region = [w for w in own[max(0, run[0] - len(item)):run[-1] + WINDOW + len(item)].tolist() if w in words]
+            if common_subsequence(item, region) / len(item) < ANSWERED_SHARE:
+                continue
+        yield from run
+
+
 def _settle(own: np.ndarray, item: list[int], answer: list[int], starts: list[int]) -> tuple[float, float, bool]:
     """The best share of the item in the words around the candidate passages, and the best share of its answer where the item's reaches ANSWERED_SHARE.
 
@@ -590,7 +641,7 @@ def _settle(own: np.ndarray, item: list[int], answer: list[int], starts: list[in
     last = len(own)
     # Other words are in no common subsequence.
     words = set(item) | set(answer)
-    for start in sorted(set(starts)):
+    for start in _hopeful(own, item, sorted(set(starts))):
         region = [w for w in own[max(0, start - len(item)):min(last, start + WINDOW + len(item))].tolist() if w in words]
         known = set(region)
         most = sum(w in known for w in item) / len(item)

@@ -297,3 +297,56 @@ def test_the_sums_of_a_product_are_added_in_parts(spark):
     got = d._times(docs, weights, q, np.empty_like(q))
     assert np.allclose(got, want, atol=1e-4) and np.count_nonzero(got.any(axis=1)) == whole.num_rows
     assert not d._times(docs.where("text = ''"), weights, q, q).any()
+
+
+def test_the_last_product_goes_one_way():
+    """Q'(A'(A Q)) took the way back to the dimensions, and a table of DIMS rows from each task."""
+    class Held:
+        def __init__(self, value):
+            self.value = value
+
+    rng = np.random.default_rng(14)
+    texts = pa.array([None, "", *[" ".join(f"w{int(x)}" for x in rng.zipf(1.3, n) % 900) for n in (1, 33, 700, 5000)]], pa.string())
+    idf, q = rng.random(d.DIMS) + 0.1, rng.standard_normal((d.DIMS, 6))
+    batch = pa.record_batch([texts], names=["text"])
+    whole, = d._product(Held(idf), Held(q))(iter([batch]))
+    gram, = d._gram(Held(idf), Held(q))(iter([batch]))
+    table = lambda b: np.stack([c.to_numpy() for c in b.columns[1:]], axis=1)
+    assert gram.num_rows == 6 and np.allclose(table(gram), q[whole.column(0).to_numpy()].T @ table(whole))
+
+
+def test_neighbours_are_settled_together(monkeypatch):
+    """Every passage with enough words, in whatever order, had a common subsequence of its own."""
+    rng = np.random.default_rng(15)
+    item = list(range(30))
+    own = np.concatenate([rng.permutation(30) for _ in range(12)]).astype(np.uint64)
+    starts = list(range(0, len(own), d.STRIDE))
+    calls, longest = [], d.common_subsequence
+    monkeypatch.setattr(d, "common_subsequence", lambda *a: calls.append(1) or longest(*a))
+    monkeypatch.setattr(d, "TOGETHER", 3)
+    for k in range(60):
+        noisy = own.copy()
+        if k:
+            at = int(rng.integers(0, len(own) - 30))
+            noisy[at:at + 30] = np.where(rng.random(30) < 0.35, 99, np.arange(30))
+        regions = [noisy[max(0, s - 30):s + d.WINDOW + 30].tolist() for s in starts]
+        shares = [longest(item, r) / 30 for r in regions]
+        got = d._settle(noisy, item, [28, 29], starts)
+        assert got[0] == max(shares) if max(shares) >= d.ANSWERED_SHARE else got[0] < d.ANSWERED_SHARE
+        answered = [longest([28, 29], r) / 2 for r, share in zip(regions, shares) if share >= d.ANSWERED_SHARE]
+        assert got[1] == max(answered, default=0.0)
+    calls.clear()
+    descending = np.tile(np.arange(30)[::-1], 12).astype(np.uint64)
+    assert d._settle(descending, item, [28, 29], starts) == (0.0, 0.0, False) and 0 < len(calls) < len(starts)
+
+
+def test_places_of_frequent_words_are_looked_at_last(monkeypatch):
+    """Every place of a frequent word was looked at for each item that has it."""
+    texts = pa.array([" ".join(["the of and"] * 300 + [f"w{k}" for k in range(7)] + ["the of and"] * 300 + [f"w{k}" for k in range(7, 12)])])
+    items = d.prepare_items([1], [" ".join(["the of and", *[f"w{k}" for k in range(12)]])], np.zeros((d.DIMS + 1, 2), np.float32))
+    part, = batch_words(texts)
+    seen, count = [], d.words_around
+    monkeypatch.setattr(d, "words_around", lambda places, *a: seen.append(len(places)) or count(places, *a))
+    monkeypatch.setattr(d, "ANSWERED_SHARE", 0.8)
+    items.need[:] = 12
+    assert list(d.held_words(part, d.passages(part)[1], items)) == [] and sum(seen) == 12
