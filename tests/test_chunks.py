@@ -3,8 +3,10 @@
 import random
 from collections import Counter
 from itertools import combinations
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pulsegrain.operators import chunks, pairs, terms
@@ -58,6 +60,37 @@ def test_no_row_for_a_pair(spark, texts):
     assert "Generate" not in plan
 
 
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+@pytest.mark.parametrize("n, head, rows", [(3, 1, 3), (50, 3, 5), (4, 0, 64)])
+def test_pairs_in_rounds_leave_no_shuffle_and_no_text(spark, texts, monkeypatch, n, head, rows):
+    """All counted pairs lay on disk at once, both ways, beside the texts they came from: 6 GB filled it."""
+    for name, value in (("PAIRS_IN_BUCKET", 100), ("PAIRS_A_ROUND", 1), ("MATRIX_ROWS", rows), ("SPLITS_A_TASK", 1)):
+        monkeypatch.setattr(pairs, name, value)
+    monkeypatch.setattr(chunks, "CHUNK_BYTES", 700)
+    real, before, rounds, stored = texts.where("t is not null"), shuffle_files(spark), [], []
+    monkeypatch.setattr(pairs, "sent", lambda *a, f=pairs.sent: rounds.append(a[:3]) or f(*a))
+    monkeypatch.setattr(terms, "written", lambda df, name, f=terms.written: stored.append(f(df, name)) or stored[-1])
+    found = terms.cooccurrence_pairs(texts, "t", n, head)
+    assert not shuffle_files(spark) - before
+    assert words_only(found) == {r for r in wanted(real, n) if len(r[0]) > 1 and len(r[1]) > 1}
+    assert len(rounds) > 1 and [low for _, low, _ in rounds[1:]] == [high for _, _, high in rounds[:-1]]
+    left = [d for d in stored if Path(d.inputFiles()[0].removeprefix("file:")).exists()]
+    assert not [d.columns for d in left if "codes" in d.columns or "numbers" in d.columns]
+
+
+def test_pairs_of_two_heads_are_not_sent():
+    heads = np.array([2, 7], np.uint64)
+    sets = pa.record_batch([pa.array([5]), pa.array([2]), pa.array([pairs._packed(np.array([2, 7, 9, 2, 7]))]), pa.array([pairs._packed(np.array([3, 2]))])], names=["tokens", "sets", "numbers", "sizes"])
+    sent = [b for b in pairs.sent(1, 0, 1, heads)(iter([sets]))]
+    assert sum(b.column("entries")[0].as_py() for b in sent) == 2
+    among = [b.to_pylist()[0] for b in pairs.head_counts(heads)(iter([sets]))]
+    assert pairs._unpacked(among[0]["counts"], 4).tolist() == [0, 2, 2, 0]
+
+
 def test_no_texts(spark, texts):
     assert terms.cooccurrence_pairs(texts.where("id < 0"), "t").collect() == []
     assert terms.cooccurrence_pairs(texts.where("t is null"), "t").collect() == []
