@@ -4,12 +4,14 @@ import math
 import random
 from collections import Counter, defaultdict
 from datetime import datetime
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from pulsegrain.operators import match, metrics, models, numbering, ranking, reshape, rows as ops, terms, vectors
+from pulsegrain.operators import match, metrics, models, numbering, ranking, reshape, rows as ops, runs, terms, vectors
 from pulsegrain.plans import report
 from pulsegrain.session import new_path
 from pulsegrain.sources import files
@@ -557,3 +559,39 @@ def test_small_keyword_index_shuffles_no_text(spark, rows, monkeypatch):
     assert got == sorted([(i, k) for i in range(60) for k in ("text 3", "of 1", "5") if k in f"text {i % 7} of {i}"] + [(i, "all") for i in range(60)], key=repr)
     monkeypatch.setattr(match, "BROADCAST_BYTES", 0)
     assert rows(match.match_keyword_table(texts, words, "t", also="all"), "id", "keyword") == got
+
+
+@pytest.mark.parametrize("limit", [None, 0])
+def test_keywords_are_found_without_a_regex_per_character(spark, rows, monkeypatch, limit):
+    """Every character of every text was matched by a regex, twice; 6 GB did not end in time."""
+    if limit is not None:
+        monkeypatch.setattr(match, "BROADCAST_BYTES", limit)
+    rng = random.Random(11)
+    texts = ["".join(rng.choice("abc é나😀") for _ in range(rng.choice((0, 3, 40, 900)))) for _ in range(80)] + ["abc"] * 9 + [None, "", "é"]
+    words = {"".join(rng.choice("abc é나😀") for _ in range(rng.choice((1, 2, 5, 6)))) for _ in range(60)}
+    words |= {t[3:30] for t in texts[:40] if t} | {"absent here"}
+    df = spark.createDataFrame([(i, t, [i]) for i, t in enumerate(texts)], "id long, t string, more array<long>").repartition(3)
+    lexicon = spark.createDataFrame([(w,) for w in [*words, None, "abc"]], "keyword string")
+    found = match.match_keyword_table(df, lexicon, "t", also="any text")
+    assert "regexp" not in match.keyword_index(df, lexicon, "t")._jdf.queryExecution().toString() + found._jdf.queryExecution().toString()
+    brute = [(i, w, [i]) for i, t in enumerate(texts) if t is not None for w in {*words, "abc"} if w and w in t] + [(i, "any text", [i]) for i, t in enumerate(texts) if t is not None]
+    assert rows(found, "id", "keyword", "more") == sorted(brute, key=repr)
+
+
+@pytest.mark.parametrize("poor", [False, True])
+def test_run_search_in_small_slices_and_with_equal_hashes(monkeypatch, poor):
+    for name, value in (("SLICE_BYTES", 50), ("AT_ONCE", 2), ("OUT_BYTES", 100), ("MOST_BITS", 3)):
+        monkeypatch.setattr(runs, name, value)
+    if poor:
+        monkeypatch.setattr(runs, "_mixed", lambda x: (x % np.uint64(5)) << np.uint64(62) | np.uint64(1))
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("abé나") for _ in range(rng.randrange(0, 60))) for _ in range(50)] + [None, ""]
+    words = sorted({"".join(rng.choice("abé나") for _ in range(rng.randrange(1, 7))) for _ in range(50)})
+    found = runs.filed(pa.array(words), pa.array([w[-3:] for w in words]))
+    if poor:
+        found.hashes[:] = found.hashes[0]
+        monkeypatch.setattr(runs.Part, "stretch", lambda self, low, high: np.full(len(low), found.hashes[0]))
+    held = SimpleNamespace(value=found)
+    batches = [pa.record_batch([pa.array(range(len(texts))), pa.array(texts)], names=["id", "t"]).slice(1)]
+    got = [(r["id"], r["keyword"]) for b in runs.matched(held, "t", ["id", "t"], None)(iter(batches)) for r in b.to_pylist()]
+    assert sorted(got) == sorted((i, w) for i, t in enumerate(texts) if i for w in words if w in (t or ""))
